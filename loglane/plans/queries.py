@@ -21,7 +21,8 @@ from ..operators import eod
 from ..operators import offsets as off
 from ..operators import orders as od
 from ..sources import fixtures
-from ..sources.derived import derived_table
+from ..sources.derived import derived_path, derived_table
+from ..session import work_path
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -325,3 +326,39 @@ def consumer_lag(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("consumer_lag_total")
 def consumer_lag_total(spark: SparkSession, sf_dir: str) -> DataFrame:
     return off.lag_totals(_lag(spark, sf_dir))
+
+
+# --- streaming ingest ----------------------------------------------------------------
+
+def _run_dir(spark: SparkSession, name: str) -> str:
+    """A fresh folder per run: a new checkpoint always gets a new output path."""
+    import uuid
+    return work_path(spark, "runs", f"{name}-{uuid.uuid4().hex[:10]}")
+
+
+@query("stream_access_log")
+def stream_access_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Day files dropped in a landing folder, ingested by a streaming query
+    (availableNow) into the raw table; returns what was loaded."""
+    from ..streaming import ingest
+
+    landing = derived_path(spark, "trading_landing", [_path(sf_dir, "events")],
+                           lambda: day_lines(spark, sf_dir).select("file_name", "line"),
+                           partition_by=["file_name"])
+    run = _run_dir(spark, "stream-access")
+    q = ingest.ingest_access_log(spark, landing, f"{run}/raw", f"{run}/rejects", f"{run}/checkpoint")
+    q.awaitTermination()
+    return spark.read.parquet(f"{run}/raw").select(*al.ACCESS_LOG_COLUMNS)
+
+
+@query("stream_app_log")
+def stream_app_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The application log ingested by a streaming query into app_logs."""
+    from ..streaming import ingest
+
+    landing = derived_path(spark, "app_landing", [_path(sf_dir, "events")],
+                           lambda: app_lines(spark, sf_dir).select("line"))
+    run = _run_dir(spark, "stream-app")
+    q = ingest.ingest_app_log(spark, landing, f"{run}/raw", f"{run}/rejects", f"{run}/checkpoint")
+    q.awaitTermination()
+    return spark.read.parquet(f"{run}/raw").select(*ap.FIELDS)

@@ -35,18 +35,29 @@ def _fingerprint(paths: list[str], code: Callable) -> str:
 
 
 def derived_table(spark: SparkSession, name: str, inputs: list[str],
-                  build: Callable[[], DataFrame], partition_by: list[str] | None = None) -> DataFrame:
-    """Read the derived table ``name``; build and write it on first use."""
+                  build: Callable[[], DataFrame], partition_by: list[str] | None = None,
+                  fmt: str = "parquet") -> DataFrame:
+    """Read the derived table ``name``; build and write it on first use.
+    ``fmt="text"`` writes the single non-partition column as text lines and
+    returns the folder path as a one-row DataFrame-free string via
+    ``derived_path``."""
     final = work_path(spark, "derived", f"{name}-{_fingerprint(inputs, build)}")
     if not os.path.exists(os.path.join(final, "_SUCCESS")):
         tmp = f"{final}.tmp-{uuid.uuid4().hex[:8]}"
         w = build().write.mode("overwrite")
         if partition_by:
             w = w.partitionBy(*partition_by)
-        w.parquet(tmp)
+        w.format(fmt).save(tmp)
         try:
             os.rename(tmp, final)
         except OSError:
             if not os.path.exists(os.path.join(final, "_SUCCESS")):
                 raise
-    return spark.read.parquet(final)
+    return spark.read.format(fmt).load(final)
+
+
+def derived_path(spark: SparkSession, name: str, inputs: list[str], build: Callable[[], DataFrame],
+                 partition_by: list[str] | None = None, fmt: str = "text") -> str:
+    """Like ``derived_table`` but returns the folder (for streaming sources)."""
+    derived_table(spark, name, inputs, build, partition_by, fmt)
+    return work_path(spark, "derived", f"{name}-{_fingerprint(inputs, build)}")
