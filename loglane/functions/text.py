@@ -16,9 +16,26 @@ from pyspark.sql import functions as F
 # spaces only, and Java's ``\s`` misses U+001C..U+001F.
 PY_WHITESPACE = "".join(ch for ch in map(chr, range(sys.maxunicode + 1)) if ch.isspace())
 
-# A regex character class with the same set, for splitting on runs.
-_WS_CLASS = "[" + "".join(f"\\x{{{ord(ch):x}}}" for ch in PY_WHITESPACE) + "]"
-WS_RUN = _WS_CLASS + "+"
+
+
+def _char_class(chars: str, negate: bool = False) -> str:
+    """Regex class for a set of characters, written as code-point ranges."""
+    cps = sorted(map(ord, chars))
+    runs, start, prev = [], cps[0], cps[0]
+    for cp in cps[1:] + [None]:
+        if cp is not None and cp == prev + 1:
+            prev = cp
+            continue
+        runs.append(f"\\x{{{start:x}}}" if start == prev else f"\\x{{{start:x}}}-\\x{{{prev:x}}}")
+        if cp is not None:
+            start = prev = cp
+    return "[" + ("^" if negate else "") + "".join(runs) + "]"
+
+
+# Regex character classes with the same set (and its complement).
+WS = _char_class(PY_WHITESPACE)
+NON_WS = _char_class(PY_WHITESPACE, negate=True)
+WS_RUN = WS + "+"
 
 
 def col_of(c: str | Column) -> Column:
@@ -31,9 +48,21 @@ def ustrip(c: str | Column) -> Column:
 
 
 def split_ws(c: str | Column) -> Column:
-    """Python ``s.split()``: split on whitespace runs, no empty pieces."""
+    """Python ``s.split()``: split on whitespace runs, no empty pieces.
+
+    Runs are first collapsed to one space by ``regexp_replace`` (pattern
+    compiled once per task), then split on that single character, which
+    needs no regex at all."""
     s = ustrip(c)
-    return F.when(s == F.lit(""), F.array().cast("array<string>")).otherwise(F.split(s, WS_RUN, -1))
+    return F.when(s == F.lit(""), F.array().cast("array<string>")).otherwise(
+        F.split(F.regexp_replace(s, WS_RUN, " "), " ", -1))
+
+
+def ws_token(c: str | Column, i: int) -> Column:
+    """Python ``s.split()[i]`` or NULL when there are not that many tokens."""
+    pattern = f"^{WS}*(?:{NON_WS}+{WS}+){{{i}}}({NON_WS}+)"
+    c = col_of(c)
+    return F.when(c.rlike(pattern), F.regexp_extract(c, pattern, 1))
 
 
 def split_keep(c: str | Column, sep: str) -> Column:

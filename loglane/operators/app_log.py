@@ -9,6 +9,12 @@ the level; every later part holding ``=`` is a ``key=value`` pair split at
 the first ``=``. Pairs are applied in order over the positional values, so a
 later pair wins, including a ``timestamp=`` or ``level=`` pair. Unknown keys
 are read and dropped. A line with fewer than two parts is rejected.
+
+Implementation: each field is one ``regexp_extract`` over the raw line
+whose greedy prefix lands on the last pair with that key; positional parts
+come from ``substring_index``. Literal patterns are compiled once per task,
+no intermediate is shared between fields (so the optimizer never repeats an
+expensive step when it inlines one), and no per-row lambdas are used.
 """
 
 from __future__ import annotations
@@ -16,43 +22,53 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import before_first, nth, split_keep, ustrip
+from ..functions.text import WS, before_first, ustrip
 from ..schemas import APP_LOG_COLUMNS, APP_LOG_LIMITS
 
 FIELDS = ["timestamp", "level", "user_id", "endpoint", "method", "status", "duration_ms", "ip", "error"]
 REASON_SHORT = "fewer than 2 fields"
 
 
-def pairs(parts: Column) -> Column:
-    """ARRAY<STRUCT<k, v>> of the key=value parts after position 1."""
-    rest = F.slice(parts, F.lit(3), F.greatest(F.size(parts) - 2, F.lit(0)))
-    with_eq = F.filter(rest, lambda p: p.contains(F.lit("=")))
-    return F.transform(with_eq, lambda p: F.struct(
-        ustrip(before_first(p, "=")).alias("k"), ustrip(nth(F.split(p, "=", 2), 1)).alias("v")))
+def lookup(line: Column, key: str) -> Column:
+    """Value of the last ``key=value`` part after position 1 (stripped),
+    NULL when there is none."""
+    g = F.regexp_extract(line, f"(?s)^[^|]*\\|[^|]*\\|(?:.*\\|)?{WS}*{key}{WS}*(=[^|]*)", 1)
+    return F.when(g != F.lit(""), ustrip(F.substring(g, 2, 1 << 30)))
+
+
+def pair_section(line: Column) -> Column:
+    """``|`` + parts 2.. of the raw line (just ``|`` with two parts)."""
+    return F.concat(F.lit("|"), F.regexp_extract(line, r"(?s)^[^|]*\|[^|]*\|(.*)$", 1))
 
 
-def lookup(kv: Column, key: str) -> Column:
-    """Value of the last pair with this key, NULL when absent."""
-    return F.try_element_at(F.filter(kv, lambda x: x["k"] == F.lit(key)), F.lit(-1))["v"]
+def occurrences(section: Column, key: str) -> Column:
+    return F.regexp_count(section, F.lit(f"\\|{WS}*{key}{WS}*="))
 
 
 def parse_app_log(df: DataFrame, line: str = "line", keep: list[str] | None = None) -> DataFrame:
     """All lines with their fields as text (NULL when missing) and a
     ``reason`` that is NULL for parseable lines."""
     keep = list(keep or [])
-    bound = df.select(*keep, F.col(line).alias("__raw"),
-                      F.transform(split_keep(line, "|"), lambda p: ustrip(p)).alias("__p"))
-    bound = bound.select(*keep, "__raw", "__p", pairs(F.col("__p")).alias("__kv"))
-    p, kv = F.col("__p"), F.col("__kv")
-    cols = [F.coalesce(lookup(kv, "timestamp"), nth(p, 0)).alias("timestamp"),
-            F.coalesce(lookup(kv, "level"), nth(p, 1)).alias("level")]
-    cols += [lookup(kv, k).alias(k) for k in FIELDS[2:]]
-    reason = F.when(F.size(p) < 2, F.lit(REASON_SHORT))
-    return bound.select(*keep, F.col("__raw").alias("raw"), *cols,
-                        F.size(kv).alias("n_pairs"),
-                        F.size(F.array_distinct(F.concat(F.array(F.lit("timestamp"), F.lit("level")),
-                                                         F.transform(kv, lambda x: x["k"])))).alias("n_keys"),
-                        reason.alias("reason"))
+    c = F.col(line)
+    p0 = ustrip(before_first(c, "|"))
+    p1 = ustrip(F.substring_index(F.substring_index(c, "|", 2), "|", -1))
+    cols = [F.coalesce(lookup(c, "timestamp"), p0).alias("timestamp"),
+            F.coalesce(lookup(c, "level"), p1).alias("level")]
+    cols += [lookup(c, k).alias(k) for k in FIELDS[2:]]
+    reason = F.when(~c.contains(F.lit("|")), F.lit(REASON_SHORT))
+    return df.select(*keep, c.alias("raw"), *cols, reason.alias("reason"), pair_section(c).alias("pairs"))
+
+
+def override_count(pairs: Column) -> Column:
+    """How many times a stored field is set over an earlier value: a pair for
+    ``timestamp``/``level`` overrides the positional value, and each repeat of
+    any other field's key overrides the previous pair."""
+    total = None
+    for k in FIELDS:
+        c = occurrences(pairs, k)
+        term = c if k in ("timestamp", "level") else F.greatest(c - 1, F.lit(0))
+        total = term if total is None else total + term
+    return total
 
 
 def _int_or_null(c: Column) -> Column:
@@ -63,18 +79,24 @@ def _int_or_null(c: Column) -> Column:
 def type_app_log(parsed: DataFrame, limits: dict[str, int] = APP_LOG_LIMITS) -> DataFrame:
     """Typed columns; rows that cannot be stored get a reject reason instead
     of failing the batch. ``timestamp`` is TIMESTAMP_NTZ (no zone)."""
-    ts = F.col("timestamp").try_cast("timestamp_ntz")
-    status, dur = _int_or_null(F.col("status")), _int_or_null(F.col("duration_ms"))
+    other = [c for c in parsed.columns if c not in FIELDS + ["reason", "pairs"]]
+    typed = parsed.select(*other, F.col("timestamp").try_cast("timestamp_ntz").alias("timestamp"),
+                          "level", "user_id", "endpoint", "method",
+                          _int_or_null(F.col("status")).alias("status"),
+                          _int_or_null(F.col("duration_ms")).alias("duration_ms"), "ip", "error",
+                          F.col("reason").alias("__r0"), F.col("timestamp").alias("__ts"),
+                          F.col("status").alias("__st"), F.col("duration_ms").alias("__du"))
+
+    def bad_int(typed_col: str, text_col: str) -> Column:
+        return F.col(typed_col).isNull() & (F.coalesce(F.col(text_col), F.lit("")) != F.lit(""))
+
     problems = [
-        F.when(ts.isNull(), F.lit("timestamp is not a timestamp")),
-        F.when(status.isNull() & (F.coalesce(F.col("status"), F.lit("")) != ""), F.lit("status is not an integer")),
-        F.when(dur.isNull() & (F.coalesce(F.col("duration_ms"), F.lit("")) != ""), F.lit("duration_ms is not an integer")),
+        F.when(F.col("timestamp").isNull(), F.lit("timestamp is not a timestamp")),
+        F.when(bad_int("status", "__st"), F.lit("status is not an integer")),
+        F.when(bad_int("duration_ms", "__du"), F.lit("duration_ms is not an integer")),
     ] + [F.when(F.char_length(F.col(k)) > n, F.lit(f"{k} longer than {n}")) for k, n in limits.items()]
-    reason = F.coalesce(F.col("reason"), F.nullif(F.concat_ws("; ", *problems), F.lit("")))
-    return parsed.select(*[c for c in parsed.columns if c not in FIELDS + ["reason"]],
-                         ts.alias("timestamp"), "level", "user_id", "endpoint", "method",
-                         status.alias("status"), dur.alias("duration_ms"), "ip", "error",
-                         reason.alias("reason"))
+    reason = F.coalesce(F.col("__r0"), F.nullif(F.concat_ws("; ", *problems), F.lit("")))
+    return typed.select(*other, *FIELDS, reason.alias("reason"))
 
 
 def valid_rows(typed: DataFrame) -> DataFrame:

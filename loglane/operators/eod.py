@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import date_from_file_name
 from ..functions.text import (before_first, contains_any, count_char, drop_chars, last,
-                              nth, split_keep, split_ws, ustrip)
+                              split_keep, ustrip, ws_token)
 from .access_log import PENDING
 
 # Substrings that mark a trade line, and those that veto it
@@ -50,12 +50,14 @@ def trade_tokens(df: DataFrame, line: str = "line", guard: Column | None = None)
     numeric one), else ``unknown``; login is token 5 before ``:`` with
     quotes removed, ``unknown`` when missing. With ``guard``, lines where
     it is false are not tokenised at all (both come out ``unknown``)."""
-    toks = split_ws(line) if guard is None else F.when(guard, split_ws(line))
-    t4, t5 = nth(toks, 4), nth(toks, 5)
-    ip = F.when(F.size(toks) > 4, F.when(count_char(t4, ".") == 3, t4)).otherwise(None)
-    login = drop_chars(last(split_keep(ustrip(before_first(t5, ":")), " ")), "'")
-    return df.withColumn("ip", F.coalesce(ip, F.lit(UNKNOWN))).withColumn(
-        "login", F.coalesce(login, F.lit(UNKNOWN)))
+    t4, t5 = ws_token(line, 4), ws_token(line, 5)
+    if guard is not None:
+        t4, t5 = F.when(guard, t4), F.when(guard, t5)
+    bound = df.withColumn("__t4", t4).withColumn("__t5", t5)
+    ip = F.when(count_char("__t4", ".") == 3, F.col("__t4"))
+    login = drop_chars(last(split_keep(ustrip(before_first("__t5", ":")), " ")), "'")
+    return bound.withColumn("ip", F.coalesce(ip, F.lit(UNKNOWN))).withColumn(
+        "login", F.coalesce(login, F.lit(UNKNOWN))).drop("__t4", "__t5")
 
 
 def trade_pairs(day_lines: DataFrame, line: str = "line", file_name: str = "file_name",

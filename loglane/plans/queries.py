@@ -264,9 +264,8 @@ def kv_last_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines where a field is set more than once (a repeated pair, or a
     pair over a positional value) and the value that won."""
     p = _app_parsed(spark, sf_dir).where(F.col("reason").isNull())
-    overrides = F.col("n_pairs") + 2 - F.col("n_keys")
-    return p.where(overrides > 0).select("line_no", "timestamp", "level", "status",
-                                         overrides.alias("overrides"))
+    p = p.withColumn("overrides", ap.override_count(F.col("pairs")))
+    return p.where(F.col("overrides") > 0).select("line_no", "timestamp", "level", "status", "overrides")
 
 
 @query("app_log_rejects")

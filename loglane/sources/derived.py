@@ -20,6 +20,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..session import work_path
 
+# Bump when the on-disk layout of derived tables changes.
+LAYOUT_VERSION = 2
+
 
 def _fingerprint(paths: list[str], code: Callable) -> str:
     h = hashlib.sha1()
@@ -31,6 +34,7 @@ def _fingerprint(paths: list[str], code: Callable) -> str:
         except OSError:
             pass
     h.update(inspect.getsource(inspect.getmodule(code)).encode())
+    h.update(str(LAYOUT_VERSION).encode())
     return h.hexdigest()[:16]
 
 
@@ -44,7 +48,12 @@ def derived_table(spark: SparkSession, name: str, inputs: list[str],
     final = work_path(spark, "derived", f"{name}-{_fingerprint(inputs, build)}")
     if not os.path.exists(os.path.join(final, "_SUCCESS")):
         tmp = f"{final}.tmp-{uuid.uuid4().hex[:8]}"
-        w = build().write.mode("overwrite")
+        df = build()
+        par = spark.sparkContext.defaultParallelism
+        if not partition_by and df.rdd.getNumPartitions() < par:
+            # Small inputs come as one file; spread them so scans run in parallel.
+            df = df.repartition(par)
+        w = df.write.mode("overwrite")
         if partition_by:
             w = w.partitionBy(*partition_by)
         w.format(fmt).save(tmp)
