@@ -61,8 +61,8 @@ def split_ws(c: str | Column) -> Column:
 def ws_token(c: str | Column, i: int) -> Column:
     """Python ``s.split()[i]`` or NULL when there are not that many tokens."""
     pattern = f"^{WS}*(?:{NON_WS}+{WS}+){{{i}}}({NON_WS}+)"
-    c = col_of(c)
-    return F.when(c.rlike(pattern), F.regexp_extract(c, pattern, 1))
+    # Tokens are never empty, so an empty extract means "no such token".
+    return F.nullif(F.regexp_extract(col_of(c), pattern, 1), F.lit(""))
 
 
 def split_keep(c: str | Column, sep: str) -> Column:

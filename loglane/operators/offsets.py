@@ -56,6 +56,14 @@ def consumer_lag(watermarks: DataFrame, committed: DataFrame, style: str = "trad
                     lag.alias("lag"), lag_status(lag, style).alias("status"))
 
 
+def lag_for_topic(watermarks: DataFrame, committed: DataFrame, topic: str,
+                  style: str = "trading") -> DataFrame:
+    """Lag report of one topic; empty (not an error) when the topic does not
+    exist yet."""
+    return consumer_lag(watermarks.where(F.col("topic") == F.lit(topic)),
+                        committed.where(F.col("topic") == F.lit(topic)), style)
+
+
 def lag_totals(lag: DataFrame) -> DataFrame:
     """Detail, per-topic total and grand total of lag (rollup)."""
     return lag.rollup("topic", "partition").agg(F.sum("lag").alias("total_lag"))

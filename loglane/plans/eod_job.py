@@ -70,6 +70,13 @@ def close_day(spark: SparkSession, date_compact: str, day_file: str, raw_path: s
         F.count_if(changed & (F.col("flag") == eod.LILO)).alias("lilo_count"))
 
 
+def run_clock(offset_hours: int = 6):
+    """Driver-side run metadata: the wall clock shifted by ``offset_hours``
+    (the reference reports local time + 6 h). Never part of query output."""
+    import datetime as _dt
+    return _dt.datetime.now() + _dt.timedelta(hours=offset_hours)
+
+
 def summary_message(row) -> str:
     """One-line day-close message."""
     return (f"EOD flags updated for {row['log_date']} | trade: {row['trade_count']:,} | "

@@ -70,6 +70,15 @@ def read_day_file(spark: SparkSession, path: str) -> DataFrame:
     return read_lines(spark, path)
 
 
+def ensure_folder(spark: SparkSession, path: str) -> str:
+    """Create a landing folder if it is missing, so a stream can start before
+    the first file arrives (instead of waiting for it)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(p)
+    return path
+
+
 def landing_stream(spark: SparkSession, landing_dir: str, max_files_per_trigger: int | None = None,
                    newer_than_ms: int | None = None) -> DataFrame:
     """Streaming (file_name, line) over a landing folder of finished files.
@@ -77,6 +86,7 @@ def landing_stream(spark: SparkSession, landing_dir: str, max_files_per_trigger:
     The file source remembers which files it has read in its checkpoint,
     so a restart continues where it stopped. ``newer_than_ms`` keeps only
     files modified after that time (the "new lines only" start of a tail)."""
+    ensure_folder(spark, landing_dir)
     r = spark.readStream.format("text")
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))

@@ -36,14 +36,41 @@ def _write_partitions(df: DataFrame, path: str, partition_by: list[str]) -> None
 
 def access_log_batch(lines: DataFrame, parser: Callable = al.parse_strict,
                      log_date: str | None = None) -> DataFrame:
-    """Login lines of one batch -> access rows with a ``reason`` column."""
-    parsed = parser(al.cid_filter(lines), log_date=log_date, keep=["__raw"])
-    return parsed.withColumn("reason", al.length_violations())
+    """Login lines of one batch -> access rows with a ``reason`` column.
+    A missing or undecodable value (NULL line) becomes a reject row."""
+    parsed = parser(al.cid_filter(lines.where(F.col("line").isNotNull())), log_date=log_date, keep=["__raw"])
+    parsed = parsed.withColumn("reason", al.length_violations())
+    missing = lines.where(F.col("line").isNull()).select(
+        *[F.lit(None).cast(t).alias(c) for c, t in parsed.dtypes if c not in ("file_name", "__raw", "reason")],
+        "file_name", F.col("__raw"), F.lit(MISSING_VALUE).alias("reason"))
+    return parsed.unionByName(missing)
+
+
+MISSING_VALUE = "value is missing or not UTF-8"
+
+
+def batch_counters(lines: DataFrame, tagged: DataFrame, batch_id: int) -> DataFrame:
+    """One row per batch: lines read, sent (login lines), skipped, inserted,
+    rejected -- the producer's and consumer's counters as data."""
+    from ..functions.text import ustrip
+
+    sent = F.coalesce(ustrip("line").contains(F.lit(al.CID_MARKER)), F.lit(False))
+    zero = F.lit(0).cast("bigint")
+    read = lines.select(zero.alias("inserted"), zero.alias("rejected"), F.lit(1).cast("bigint").alias("lines"),
+                        sent.cast("bigint").alias("sent"))
+    out = tagged.select(F.col("reason").isNull().cast("bigint").alias("inserted"),
+                        F.col("reason").isNotNull().cast("bigint").alias("rejected"),
+                        zero.alias("lines"), zero.alias("sent"))
+    tot = read.unionByName(out).agg(*[F.sum(c).alias(c) for c in ("lines", "sent", "inserted", "rejected")])
+    return tot.select(F.lit(batch_id).alias("batch_id"), "lines", "sent",
+                      (F.col("lines") - F.col("sent")).alias("skipped"), "inserted", "rejected")
 
 
 def access_log_sink(raw_path: str, rejects_path: str, parser: Callable = al.parse_strict,
-                    log_date: str | None = None) -> Callable[[DataFrame, int], None]:
-    """foreachBatch function for trading lines."""
+                    log_date: str | None = None, counters_path: str | None = None
+                    ) -> Callable[[DataFrame, int], None]:
+    """foreachBatch function for trading lines. With ``counters_path``, one
+    counters row per batch is written there as well."""
     def write(batch: DataFrame, batch_id: int) -> None:
         tagged = access_log_batch(batch.withColumn("__raw", F.col("line")), parser, log_date)
         tagged = tagged.withColumn("batch_id", F.lit(batch_id)).persist()
@@ -56,6 +83,8 @@ def access_log_sink(raw_path: str, rejects_path: str, parser: Callable = al.pars
                 "reason", F.substring("__raw", 1, 90).alias("preview90"), F.col("__raw").alias("raw"),
                 "batch_id")
             _write_partitions(rej, rejects_path, ["batch_id"])
+            if counters_path:
+                _write_partitions(batch_counters(batch, tagged, batch_id), counters_path, ["batch_id"])
         finally:
             tagged.unpersist()
     return write

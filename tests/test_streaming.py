@@ -59,3 +59,29 @@ def test_missing_day_file_fails(spark, tmp_dir):
     with pytest.raises(FileNotFoundError):
         eod_job.close_day(spark, "20260318", os.path.join(tmp_dir, "trading_20260318.log"),
                           os.path.join(tmp_dir, "raw"), os.path.join(tmp_dir, "t"))
+
+
+def test_counters_and_null_values(spark, tmp_dir):
+    from loglane.streaming.ingest import MISSING_VALUE
+    good = ("XA\t4\t3\t00:00:00.028\t1.2.3.4\t'7': login (Client build 1, cid: abc, point: P, "
+            "ping: 1 ms, geo: IN)")
+    rows = [("trading_20260318.log", good), ("trading_20260318.log", "XA\t0\t2\tt\tMonitor\tx"),
+            ("trading_20260318.log", None)]
+    batch = spark.createDataFrame(rows, "file_name string, line string")
+    raw, rej, cnt = (os.path.join(tmp_dir, x) for x in ("raw", "rej", "cnt"))
+    ingest.access_log_sink(raw, rej, counters_path=cnt)(batch, 7)
+    assert spark.read.parquet(raw).count() == 1
+    r = spark.read.parquet(rej).collect()
+    assert [x["reason"] for x in r] == [MISSING_VALUE]
+    c = spark.read.parquet(cnt).first()
+    assert (c["batch_id"], c["lines"], c["sent"], c["skipped"], c["inserted"], c["rejected"]) == (7, 3, 1, 2, 1, 1)
+
+
+def test_lag_guard_and_clock(spark):
+    import datetime as dt
+    from loglane.operators import offsets as off
+    wm = spark.createDataFrame([("a", 0, 0, 5)], "topic string, partition int, low bigint, high bigint")
+    cm = spark.createDataFrame([], "topic string, partition int, committed bigint")
+    assert off.lag_for_topic(wm, cm, "missing").count() == 0
+    assert off.lag_for_topic(wm, cm, "a").first()["lag"] == 5
+    assert eod_job.run_clock(6) > dt.datetime.now() + dt.timedelta(hours=5, minutes=59)
