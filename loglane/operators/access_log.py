@@ -21,8 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import date_from_file_name
-from ..functions.text import (before_first, col_of, contains_any, drop_chars, last,
-                              nth, split_keep, ustrip)
+from ..functions.text import before_first, drop_chars, last, nth, split_keep, ustrip
 from ..schemas import ACCESS_LOG_COLUMNS, ACCESS_LOG_LIMITS
 
 # The marker of a login line and of an investor session.
@@ -129,7 +128,3 @@ def split_by_length(parsed: DataFrame, limits: dict[str, int] = ACCESS_LOG_LIMIT
     return (tagged.where(F.col("reason").isNull()).drop("reason"),
             tagged.where(F.col("reason").isNotNull()))
 
-
-def access_log_rows(df: DataFrame, **kw) -> DataFrame:
-    """Project to the declared access_log columns."""
-    return df.select(*ACCESS_LOG_COLUMNS)

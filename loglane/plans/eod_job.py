@@ -16,23 +16,21 @@ swap leaves ``table`` untouched, and a re-run starts over.
 
 from __future__ import annotations
 
-import os
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.dates import day_file_for, iso_from_compact
+from ..functions.dates import iso_from_compact
 from ..operators import eod
 from ..operators.access_log import ACCESS_LOG_COLUMNS, PENDING
 from ..session import work_path
+from ..sources import fs
 from ..sources.files import read_day_file
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+    return fs.exists(spark, path)
 
 
 def rows_to_close(spark: SparkSession, raw_path: str, table_path: str, log_date: str) -> DataFrame:

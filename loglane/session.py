@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -56,7 +55,6 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def work_path(spark: SparkSession, *parts: str) -> str:
-    """A path under the shared checkpoint folder."""
-    base = ensure_checkpoint_dir(spark)
-    base = base[len("file:"):] if base.startswith("file:") and not base.startswith("file://") else base
-    return os.path.join(base, *parts)
+    """A path (URI or local) under the shared checkpoint folder."""
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    return "/".join([base, *parts])

@@ -11,7 +11,6 @@ place, so concurrent or interrupted runs never expose a partial table."""
 from __future__ import annotations
 
 import hashlib
-import inspect
 import os
 import uuid
 from typing import Callable
@@ -19,22 +18,32 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import work_path
+from . import fs
 
 # Bump when the on-disk layout of derived tables changes.
 LAYOUT_VERSION = 2
 
+_PKG_DIR = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 
-def _fingerprint(paths: list[str], code: Callable) -> str:
-    h = hashlib.sha1()
+
+def _code_version() -> str:
+    """Hash of the package's source: any change to a rendering rule or an
+    operator gives derived tables a new path."""
+    h = hashlib.sha1(str(LAYOUT_VERSION).encode())
+    for root, _, names in sorted(os.walk(_PKG_DIR)):
+        for n in sorted(names):
+            if n.endswith(".py"):
+                with open(os.path.join(root, n), "rb") as fh:
+                    h.update(n.encode())
+                    h.update(fh.read())
+    return h.hexdigest()
+
+
+def _fingerprint(spark: SparkSession, paths: list[str]) -> str:
+    h = hashlib.sha1(_code_version().encode())
     for p in paths:
-        h.update(os.path.abspath(p).encode())
-        try:
-            st = os.stat(p)
-            h.update(f"{st.st_size}:{st.st_mtime_ns}".encode())
-        except OSError:
-            pass
-    h.update(inspect.getsource(inspect.getmodule(code)).encode())
-    h.update(str(LAYOUT_VERSION).encode())
+        h.update(p.encode())
+        h.update(fs.signature(spark, p).encode())
     return h.hexdigest()[:16]
 
 
@@ -42,11 +51,10 @@ def derived_table(spark: SparkSession, name: str, inputs: list[str],
                   build: Callable[[], DataFrame], partition_by: list[str] | None = None,
                   fmt: str = "parquet") -> DataFrame:
     """Read the derived table ``name``; build and write it on first use.
-    ``fmt="text"`` writes the single non-partition column as text lines and
-    returns the folder path as a one-row DataFrame-free string via
-    ``derived_path``."""
-    final = work_path(spark, "derived", f"{name}-{_fingerprint(inputs, build)}")
-    if not os.path.exists(os.path.join(final, "_SUCCESS")):
+    ``fmt="text"`` writes the single non-partition column as text lines
+    (see ``derived_path`` for streaming sources)."""
+    final = work_path(spark, "derived", f"{name}-{_fingerprint(spark, inputs)}")
+    if not fs.exists(spark, f"{final}/_SUCCESS"):
         tmp = f"{final}.tmp-{uuid.uuid4().hex[:8]}"
         df = build()
         par = spark.sparkContext.defaultParallelism
@@ -57,11 +65,11 @@ def derived_table(spark: SparkSession, name: str, inputs: list[str],
         if partition_by:
             w = w.partitionBy(*partition_by)
         w.format(fmt).save(tmp)
-        try:
-            os.rename(tmp, final)
-        except OSError:
-            if not os.path.exists(os.path.join(final, "_SUCCESS")):
-                raise
+        # Another run may have finished first; then its copy is used.
+        if not fs.exists(spark, final):
+            fs.rename(spark, tmp, final)
+        if not fs.exists(spark, f"{final}/_SUCCESS"):
+            raise RuntimeError(f"derived table {final} could not be published")
     return spark.read.format(fmt).load(final)
 
 
@@ -69,4 +77,4 @@ def derived_path(spark: SparkSession, name: str, inputs: list[str], build: Calla
                  partition_by: list[str] | None = None, fmt: str = "text") -> str:
     """Like ``derived_table`` but returns the folder (for streaming sources)."""
     derived_table(spark, name, inputs, build, partition_by, fmt)
-    return work_path(spark, "derived", f"{name}-{_fingerprint(inputs, build)}")
+    return work_path(spark, "derived", f"{name}-{_fingerprint(spark, inputs)}")

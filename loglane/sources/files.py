@@ -9,7 +9,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.dates import DAY_FILE_PATTERN
 from ..functions.text import lossy_utf8
 
 _BOMS = {b"\xff\xfe": "UTF-16LE", b"\xfe\xff": "UTF-16BE"}
@@ -73,10 +72,8 @@ def read_day_file(spark: SparkSession, path: str) -> DataFrame:
 def ensure_folder(spark: SparkSession, path: str) -> str:
     """Create a landing folder if it is missing, so a stream can start before
     the first file arrives (instead of waiting for it)."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(p)
-    return path
+    from .fs import mkdirs
+    return mkdirs(spark, path)
 
 
 def landing_stream(spark: SparkSession, landing_dir: str, max_files_per_trigger: int | None = None,

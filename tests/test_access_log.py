@@ -1,7 +1,6 @@
 """Golden vectors for the trading-line parsers (FIXTURES §3.1)."""
 
 import pytest
-from pyspark.sql import functions as F
 
 from loglane.operators import access_log as al
 

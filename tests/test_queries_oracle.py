@@ -1,7 +1,6 @@
 """Every registered query against its SQL oracle (DuckDB) at sf0.001."""
 
 import datetime as dt
-import hashlib
 
 import pytest
 
