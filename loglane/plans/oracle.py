@@ -111,8 +111,8 @@ SELECT {ACCESS_COLS} FROM flagged"""
 
 SQL["eod_flag_counts"] = f"""
 WITH {EV}, {TRADE_IPS}, {ACC}, {FLAGGED}
-SELECT log_date, count_if(flag = 'trade') AS trade_count, count_if(flag = 'lilo') AS lilo_count,
-       count_if(flag = 'pending') AS pending_count
+SELECT log_date, CAST(count_if(flag = 'trade') AS BIGINT) AS trade_count, CAST(count_if(flag = 'lilo') AS BIGINT) AS lilo_count,
+       CAST(count_if(flag = 'pending') AS BIGINT) AS pending_count
 FROM flagged GROUP BY log_date"""
 
 SQL["eod_rerun_sticky"] = f"""
@@ -188,8 +188,8 @@ SELECT file_name, log_date, count(*) AS lines FROM ev GROUP BY file_name, log_da
 
 SQL["ingest_counters"] = f"""
 WITH {EV}
-SELECT file_name, count(*) AS lines, count_if(is_login) AS sent, count_if(NOT is_login) AS skipped,
-       count_if(is_login AND NOT long_device) AS inserted, count_if(is_login AND long_device) AS rejected
+SELECT file_name, count(*) AS lines, CAST(count_if(is_login) AS BIGINT) AS sent, CAST(count_if(NOT is_login) AS BIGINT) AS skipped,
+       CAST(count_if(is_login AND NOT long_device) AS BIGINT) AS inserted, CAST(count_if(is_login AND long_device) AS BIGINT) AS rejected
 FROM ev GROUP BY file_name"""
 
 SQL["app_log_parse"] = f"""
@@ -250,7 +250,7 @@ FROM lag"""
 
 SQL["consumer_lag_total"] = f"""
 WITH {ENV}
-SELECT topic, "partition", sum(lag) AS total_lag FROM lag GROUP BY ROLLUP (topic, "partition")"""
+SELECT topic, "partition", CAST(sum(lag) AS BIGINT) AS total_lag FROM lag GROUP BY ROLLUP (topic, "partition")"""
 
 SQL["stream_access_log"] = f"""
 WITH {EV}, {ACC}

@@ -36,6 +36,10 @@ def duck():
     return con
 
 
+SPARK_TO_DUCK = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "date": "DATE",
+                 "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN", "double": "DOUBLE"}
+
+
 @pytest.mark.parametrize("name", sorted(ent.oracle_sql()))
 def test_query_matches_oracle(spark, duck, name):
     df = ent.queries()[name](spark, SF_SMALL)
@@ -44,6 +48,9 @@ def test_query_matches_oracle(spark, duck, name):
     ocols = [d[0] for d in res.description]
     assert sorted(df.columns) == sorted(ocols)
     assert _digest(df.columns, rows) == _digest(ocols, res.fetchall())
+    rel = duck.sql(ent.oracle_sql()[name])
+    duck_types = dict(zip(rel.columns, map(str, rel.types)))
+    assert {c: SPARK_TO_DUCK.get(t, t) for c, t in df.dtypes} == duck_types
 
 
 def test_entry_smoke(spark):
