@@ -57,7 +57,9 @@ def close_day(spark: SparkSession, date_compact: str, day_file: str, raw_path: s
     rows = rows_to_close(spark, raw_path, table_path, log_date).withColumn("__was", F.col("flag"))
     flagged = eod.apply_flags(rows, ips, [log_date])
     staging = work_path(spark, "staging", f"eod-{date_compact}-{uuid.uuid4().hex[:8]}")
-    flagged.repartition("log_date").sortWithinPartitions("ip").write.mode("overwrite") \
+    # Range-partition on ip: a day is written by many tasks, and each file holds
+    # one ip range (min/max statistics then skip files for ip lookups).
+    flagged.repartitionByRange("ip").sortWithinPartitions("ip").write.mode("overwrite") \
         .partitionBy("log_date").parquet(staging)
     staged = spark.read.parquet(staging)
     (staged.drop("__was").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")

@@ -66,7 +66,8 @@ def access_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     def build():
         parsed = al.parse_strict(al.cid_filter(day_lines(spark, sf_dir)))
         valid, _ = al.split_by_length(parsed)
-        return valid.repartition("log_date").sortWithinPartitions("ip")
+        # Files cover (log_date, ip) ranges; never one task per day.
+        return valid.repartitionByRange("log_date", "ip").sortWithinPartitions("log_date", "ip")
     return derived_table(spark, "access_log", [_path(sf_dir, "events")], build,
                          partition_by=["log_date"]).select(*al.ACCESS_LOG_COLUMNS)
 
