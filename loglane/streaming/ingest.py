@@ -90,6 +90,48 @@ def access_log_sink(raw_path: str, rejects_path: str, parser: Callable = al.pars
     return write
 
 
+def envelope_access_log_sink(raw_path: str, rejects_path: str, date_compact: str,
+                             parser: Callable = al.parse_strict) -> Callable[[DataFrame, int], None]:
+    """foreachBatch function for topic records (the envelope schema). The
+    day file and log_date come from the run's date (the consumer's
+    ``LOG_DATE``); rejects keep the record's topic, partition and offset."""
+    from ..functions.dates import iso_from_compact
+    from ..sources.files import envelope_lines
+
+    file_name = f"trading_{date_compact}.log"
+    log_date = iso_from_compact(date_compact)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        lines = envelope_lines(batch).withColumn("file_name", F.lit(file_name))
+        ok = lines.where(F.col("line").isNotNull())
+        parsed = parser(al.cid_filter(ok.withColumn("__raw", F.col("line"))), log_date=log_date,
+                        keep=["topic", "partition", "offset", "__raw"])
+        tagged = parsed.withColumn("reason", al.length_violations()).withColumn("batch_id", F.lit(batch_id)).persist()
+        try:
+            valid = tagged.where(F.col("reason").isNull()).select(*al.ACCESS_LOG_COLUMNS, "batch_id")
+            _write_partitions(valid, raw_path, ["log_date", "batch_id"])
+            bad_rows = tagged.where(F.col("reason").isNotNull()).select(
+                "topic", "partition", "offset", "reason", F.col("__raw").alias("raw"))
+            undecodable = lines.where(F.col("line").isNull()).select(
+                "topic", "partition", "offset", F.lit(MISSING_VALUE).alias("reason"), "raw")
+            rej = bad_rows.unionByName(undecodable).select(
+                F.lit("trading-access-logs").alias("source"), "topic", "partition", "offset", "reason",
+                F.substring("raw", 1, 90).alias("preview90"), "raw", F.lit(batch_id).alias("batch_id"))
+            _write_partitions(rej, rejects_path, ["batch_id"])
+        finally:
+            tagged.unpersist()
+    return write
+
+
+def ingest_topic_access_log(envelope_stream: DataFrame, raw_path: str, rejects_path: str, checkpoint: str,
+                            date_compact: str, trigger: str = "availableNow") -> StreamingQuery:
+    """Topic records (e.g. ``sources.kafka.read_topic_stream``) into ``raw``
+    and ``rejects``. Progress lives in the checkpoint, not in a consumer
+    group, so a restart resumes after the last committed micro-batch."""
+    return start(envelope_stream, envelope_access_log_sink(raw_path, rejects_path, date_compact),
+                 checkpoint, trigger)
+
+
 def app_log_sink(raw_path: str, rejects_path: str) -> Callable[[DataFrame, int], None]:
     """foreachBatch function for application-log lines."""
     from ..functions.text import ustrip

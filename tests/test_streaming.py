@@ -85,3 +85,29 @@ def test_lag_guard_and_clock(spark):
     assert off.lag_for_topic(wm, cm, "missing").count() == 0
     assert off.lag_for_topic(wm, cm, "a").first()["lag"] == 5
     assert eod_job.run_clock(6) > dt.datetime.now() + dt.timedelta(hours=5, minutes=59)
+
+
+def test_topic_envelope_stream(spark, tmp_dir):
+    """Records in the topic envelope shape, streamed from Parquet files (a
+    stand-in for the Kafka source, which is not installed here)."""
+    from loglane.schemas import ENVELOPE
+    from loglane.sources.files import lines_to_envelope
+
+    lines = day_lines(spark, "/root/testdata/sf0.001")
+    day = sorted(r[0] for r in lines.select("file_name").distinct().collect())[0]
+    one = al.cid_filter(lines.where(F.col("file_name") == day))
+    env = lines_to_envelope(one.select("file_name", "line"), topic="trading-access-logs",
+                            key=al.login_key("line"))
+    env = env.withColumn("partition", F.lit(0)).withColumn("offset", F.col("timestamp").cast("long") * 0)
+    bad = spark.createDataFrame([(None, bytearray(b"\xff\xfe"), "trading-access-logs", 1, 5, None, 0)], ENVELOPE)
+    src = os.path.join(tmp_dir, "topic")
+    env.unionByName(bad.withColumn("timestamp", F.current_timestamp())).write.parquet(src)
+    raw, rej, ck = (os.path.join(tmp_dir, x) for x in ("raw", "rej", "ck"))
+    stream = spark.readStream.schema(ENVELOPE).parquet(src)
+    ingest.ingest_topic_access_log(stream, raw, rej, ck, day[len("trading_"):len("trading_") + 8]).awaitTermination()
+    valid, _ = al.split_by_length(al.parse_strict(one))
+    got = spark.read.parquet(raw)
+    assert got.count() == valid.count() > 0
+    assert {r["file_name"] for r in got.select("file_name").distinct().collect()} == {day}
+    r = spark.read.parquet(rej).where(F.col("offset") == 5).first()
+    assert (r["partition"], r["reason"]) == (1, ingest.MISSING_VALUE)
