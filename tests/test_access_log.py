@@ -108,3 +108,10 @@ def test_strict_matches_python_statement(spark):
 
     for _ in range(5):
         check()
+
+
+def test_valid_plus_rejects_is_cid_lines(spark):
+    from loglane.plans.queries import day_lines
+    kept = al.cid_filter(day_lines(spark, "/root/testdata/sf0.001"))
+    valid, rej = al.split_by_length(al.parse_strict(kept))
+    assert valid.count() + rej.count() == kept.count() > 0

@@ -111,3 +111,14 @@ def test_topic_envelope_stream(spark, tmp_dir):
     assert {r["file_name"] for r in got.select("file_name").distinct().collect()} == {day}
     r = spark.read.parquet(rej).where(F.col("offset") == 5).first()
     assert (r["partition"], r["reason"]) == (1, ingest.MISSING_VALUE)
+
+
+def test_create_tables_if_absent(spark, tmp_dir):
+    from loglane.plans import tables
+    from loglane.schemas import ACCESS_LOG_COLUMNS, APP_LOG_COLUMNS
+    a = tables.create_access_log(spark, "t_access_log", os.path.join(tmp_dir, "access_log"))
+    tables.create_access_log(spark, "t_access_log", os.path.join(tmp_dir, "access_log"))  # no error twice
+    b = tables.create_app_logs(spark, "t_app_logs", os.path.join(tmp_dir, "app_logs"))
+    assert set(ACCESS_LOG_COLUMNS) <= set(spark.table(a).columns)
+    assert set(APP_LOG_COLUMNS) <= set(spark.table(b).columns)
+    assert spark.table(a).count() == 0
