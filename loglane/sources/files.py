@@ -37,6 +37,11 @@ def detect_encoding(spark: SparkSession, path: str) -> str:
     """``UTF-16LE``/``UTF-16BE`` when the file starts with a UTF-16 byte-order
     mark, else ``UTF-8``: a UTF-16 read without a mark fails, and the
     reader then falls back to the platform encoding."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(p) or fs.getFileStatus(p).isDirectory():
+        return "UTF-8"  # folders of landed files are read as UTF-8 text
     return _BOMS.get(_head_bytes(spark, path), "UTF-8")
 
 
@@ -51,7 +56,7 @@ def read_lines(spark: SparkSession, path: str, encoding: str | None = None) -> D
     the byte-order mark (for a single file). UTF-8 is read lossily
     (invalid bytes dropped). UTF-16 goes through the CSV reader used as a
     line reader (the text source is UTF-8 only); the BOM is removed."""
-    enc = encoding or (detect_encoding(spark, path) if not path.endswith("/") else "UTF-8")
+    enc = encoding or detect_encoding(spark, path)
     if enc.upper() in ("UTF-8", "UTF8"):
         df = spark.read.format("text").load(path)
         line = lossy_utf8(F.col("value"))

@@ -79,3 +79,12 @@ def test_records_shape(spark):
     assert rec["key"] == "1" and rec["value"] == '{"order_id":1,"customer":"customer_1","item":"widget","quantity":2}'
     bad = spark.createDataFrame([("{oops",), ('{"customer":"x"}',)], "value string")
     assert [r["reason"] for r in decode_orders(bad).collect()] == ["not an order message"] * 2
+
+
+def test_read_lines_from_folder(spark, tmp_dir):
+    for name in ("trading_20260318.log", "trading_20260319.log"):
+        with open(os.path.join(tmp_dir, name), "w") as fh:
+            fh.write("a\nb\n")
+    assert files.detect_encoding(spark, tmp_dir) == "UTF-8"
+    df = files.read_lines(spark, tmp_dir)
+    assert sorted(r["file_name"] for r in df.collect()) == ["trading_20260318.log"] * 2 + ["trading_20260319.log"] * 2
