@@ -115,3 +115,34 @@ def test_valid_plus_rejects_is_cid_lines(spark):
     kept = al.cid_filter(day_lines(spark, "/root/testdata/sf0.001"))
     valid, rej = al.split_by_length(al.parse_strict(kept))
     assert valid.count() + rej.count() == kept.count() > 0
+
+
+def test_labelled_matches_python_regex(spark):
+    pytest.importorskip("hypothesis")
+    import re
+
+    from hypothesis import given, settings, strategies as st
+
+    pieces = st.sampled_from(["'7': login (", "Client X", " build 5", ", investor", ", cid: ab", ", point: P 1",
+                              ", geo: a, b", ")", "\t", " ", "cid: ", "point: ", ",", "(", "'"])
+    lines = st.lists(pieces, max_size=12).map("".join)
+
+    def py(line):
+        def ex(p):
+            m = re.search(p, line)
+            return m.group(1) if m else None
+        return (ex(al.LABEL_LOGIN), ex(al.LABEL_CID), ex(al.LABEL_DEVICE), ex(al.LABEL_POINT),
+                "yes" if re.search(al.LABEL_INVESTOR, line) else "no")
+
+    @settings(max_examples=1, deadline=None)
+    @given(st.lists(lines, min_size=30, max_size=60))
+    def check(batch):
+        df = spark.createDataFrame([(i, "trading_20260318.log", s) for i, s in enumerate(batch)],
+                                   "id int, file_name string, line string")
+        got = {r["id"]: (r["login"], r["cid"], r["device"], r["server"], r["investor"])
+               for r in al.parse_labelled(df, keep=["id"]).collect()}
+        for i, s in enumerate(batch):
+            assert got[i] == py(s), repr(s)
+
+    for _ in range(4):
+        check()
