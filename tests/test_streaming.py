@@ -122,3 +122,24 @@ def test_create_tables_if_absent(spark, tmp_dir):
     assert set(ACCESS_LOG_COLUMNS) <= set(spark.table(a).columns)
     assert set(APP_LOG_COLUMNS) <= set(spark.table(b).columns)
     assert spark.table(a).count() == 0
+
+
+def test_close_day_with_utf16_day_file(spark, tmp_dir):
+    import datetime as dt
+    import io
+
+    day = os.path.join(tmp_dir, "trading_20260318.log")
+    with io.open(day, "w", encoding="utf-16") as fh:
+        fh.write("XA\t0\t6\t00:00:00.1\t1.2.3.4\t'7': order placed for execution for '7' [#1 buy 1 X at 2]\n")
+        fh.write("XA\t0\t2\t00:00:00.2\tMonitor\tconnections: 5\n")
+    d = dt.date(2026, 3, 18)
+    rows = [("trading_20260318.log", d, "00:00:01.000", ip, "7", "c", "Client", "point: P", "pending", "no", 0)
+            for ip in ("1.2.3.4", "9.9.9.9")]
+    raw = os.path.join(tmp_dir, "raw")
+    spark.createDataFrame(rows, "file_name string, log_date date, log_time string, ip string, login string, "
+                                "cid string, device string, server string, flag string, investor string, "
+                                "batch_id int").write.partitionBy("log_date", "batch_id").parquet(raw)
+    s = eod_job.close_day(spark, "20260318", day, raw, os.path.join(tmp_dir, "t")).first()
+    assert (s["trade_count"], s["lilo_count"]) == (1, 1)
+    got = {r["ip"]: r["flag"] for r in spark.read.parquet(os.path.join(tmp_dir, "t")).collect()}
+    assert got == {"1.2.3.4": "trade", "9.9.9.9": "lilo"}
