@@ -70,17 +70,31 @@ def trade_pairs(day_lines: DataFrame, line: str = "line", file_name: str = "file
               .select(d.alias("log_date"), "ip", "login"))
 
 
+def _tokens_by_day(day_lines: DataFrame, line: str = "line", file_name: str = "file_name",
+                   log_date: Column | None = None) -> DataFrame:
+    d = log_date if log_date is not None else date_from_file_name(file_name)
+    usable = (F.col("ip") != UNKNOWN) & (F.col("login") != UNKNOWN)
+    tl = trade_tokens(trade_lines(day_lines, line), line)
+    return tl.select(d.alias("log_date"), "ip", "login", usable.alias("__ok"))
+
+
 def trade_ip_logins(day_lines: DataFrame, **kw) -> DataFrame:
     """The trade map as a relation: distinct (log_date, ip, login).
 
     Kept as rows rather than a per-IP set so a shared IP (NAT) never has
-    to be gathered into one task; partial aggregation dedups map-side."""
-    return trade_pairs(day_lines, **kw).distinct()
+    to be gathered into one task; partial aggregation dedups map-side. The
+    sentinel test is aggregated and filtered after the grouping: a filter on
+    an aggregate result is not pushed into the tokenising projection, so each
+    line is tokenised once (generated filters do not share subexpressions)."""
+    return (_tokens_by_day(day_lines, **kw).groupBy("log_date", "ip", "login")
+            .agg(F.max("__ok").alias("__ok")).where(F.col("__ok")).drop("__ok"))
 
 
 def trade_ips(day_lines: DataFrame, **kw) -> DataFrame:
-    """Distinct (log_date, ip) with trading activity: the join side."""
-    return trade_pairs(day_lines, **kw).select("log_date", "ip").distinct()
+    """Distinct (log_date, ip) with trading activity: the join side. An IP
+    counts when at least one of its trade lines has a usable login."""
+    return (_tokens_by_day(day_lines, **kw).groupBy("log_date", "ip")
+            .agg(F.max("__ok").alias("__ok")).where(F.col("__ok")).drop("__ok"))
 
 
 def flag_expr(hit: Column, in_scope: Column) -> Column:
