@@ -132,6 +132,67 @@ def ingest_topic_access_log(envelope_stream: DataFrame, raw_path: str, rejects_p
                  checkpoint, trigger)
 
 
+def _envelope_rejects(df: DataFrame, source: str, batch_id: int) -> DataFrame:
+    return df.where(F.col("reason").isNotNull()).select(
+        F.lit(source).alias("source"), "topic", "partition", "offset", "reason",
+        F.substring("raw", 1, 90).alias("preview90"), "raw", F.lit(batch_id).alias("batch_id"))
+
+
+def envelope_app_log_sink(raw_path: str, rejects_path: str) -> Callable[[DataFrame, int], None]:
+    """foreachBatch function for app-log topic records."""
+    from ..functions.text import ustrip
+    from ..sources.files import envelope_lines
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        lines = envelope_lines(batch).select(
+            "topic", "partition", "offset", F.col("line").isNull().alias("__missing"),
+            ustrip(F.coalesce("line", F.lit(""))).alias("line"))
+        typed = ap.type_app_log(ap.parse_app_log(lines, keep=["topic", "partition", "offset", "__missing"]))
+        typed = typed.withColumn("reason", F.when(F.col("__missing"), F.lit(MISSING_VALUE))
+                                 .otherwise(F.col("reason")))
+        typed = typed.withColumn("batch_id", F.lit(batch_id)).persist()
+        try:
+            _write_partitions(typed.where(F.col("reason").isNull()).select(*ap.FIELDS, "batch_id"),
+                              raw_path, ["batch_id"])
+            _write_partitions(_envelope_rejects(typed, "app-logs", batch_id), rejects_path, ["batch_id"])
+        finally:
+            typed.unpersist()
+    return write
+
+
+def order_sink(orders_path: str, rejects_path: str) -> Callable[[DataFrame, int], None]:
+    """foreachBatch function for order messages (JSON values)."""
+    from ..operators.orders import decode_orders
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        msgs = batch.select("topic", "partition", "offset", F.col("key").cast("string").alias("key"), "value")
+        dec = decode_orders(msgs, keep=["topic", "partition", "offset", "key", "value"])
+        # Undecodable bytes are kept as hex in the reject row.
+        dec = dec.withColumn("raw", F.coalesce("raw", F.hex("value"))).withColumn("batch_id", F.lit(batch_id))
+        dec = dec.persist()
+        try:
+            _write_partitions(dec.where(F.col("reason").isNull()).select(
+                "key", "order_id", "customer", "item", "quantity", "topic", "partition", "offset", "batch_id"),
+                orders_path, ["batch_id"])
+            _write_partitions(_envelope_rejects(dec, "orders", batch_id), rejects_path, ["batch_id"])
+        finally:
+            dec.unpersist()
+    return write
+
+
+def ingest_topic_app_log(envelope_stream: DataFrame, raw_path: str, rejects_path: str, checkpoint: str,
+                         trigger: str = "availableNow") -> StreamingQuery:
+    """App-log topic records into ``raw`` and ``rejects``."""
+    return start(envelope_stream, envelope_app_log_sink(raw_path, rejects_path), checkpoint, trigger)
+
+
+def ingest_orders(envelope_stream: DataFrame, orders_path: str, rejects_path: str, checkpoint: str,
+                  trigger: str = "availableNow") -> StreamingQuery:
+    """Order topic records into ``orders`` and ``rejects`` (bad JSON is a
+    reject row, not a crash)."""
+    return start(envelope_stream, order_sink(orders_path, rejects_path), checkpoint, trigger)
+
+
 def app_log_sink(raw_path: str, rejects_path: str) -> Callable[[DataFrame, int], None]:
     """foreachBatch function for application-log lines."""
     from ..functions.text import ustrip
