@@ -95,10 +95,10 @@ def envelope_access_log_sink(raw_path: str, rejects_path: str, date_compact: str
     """foreachBatch function for topic records (the envelope schema). The
     day file and log_date come from the run's date (the consumer's
     ``LOG_DATE``); rejects keep the record's topic, partition and offset."""
-    from ..functions.dates import iso_from_compact
+    from ..functions.dates import day_file_for, iso_from_compact
     from ..sources.files import envelope_lines
 
-    file_name = f"trading_{date_compact}.log"
+    file_name = day_file_for(date_compact)  # raises on a malformed date, before any batch runs
     log_date = iso_from_compact(date_compact)
 
     def write(batch: DataFrame, batch_id: int) -> None:

@@ -68,3 +68,31 @@ def test_rate_limited_trigger(spark, tmp_dir):
     rates = ingest.progress_rates(q)
     assert batches <= n_parts and sum(r["numInputRows"] for r in rates) > 0
     assert max(r["batchId"] for r in rates) + 1 >= n_parts
+
+
+def test_landing_stream_new_files_only(spark, tmp_dir):
+    import time
+
+    from loglane.sources.files import landing_stream
+
+    landing = os.path.join(tmp_dir, "landing")
+    os.makedirs(landing)
+    with open(os.path.join(landing, "trading_20260317.log"), "w") as fh:
+        fh.write("old line\n")
+    time.sleep(1.2)
+    start_ms = int(time.time() * 1000)
+    time.sleep(0.2)
+    with open(os.path.join(landing, "trading_20260318.log"), "w") as fh:
+        fh.write("new line\n")
+    q = (landing_stream(spark, landing, newer_than_ms=start_ms).writeStream.format("memory")
+         .queryName("new_only").option("checkpointLocation", os.path.join(tmp_dir, "ck"))
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    got = [(r["file_name"], r["line"]) for r in spark.table("new_only").collect()]
+    assert got == [("trading_20260318.log", "new line")]
+
+
+def test_topic_ingest_rejects_bad_run_date(spark, tmp_dir):
+    import pytest
+    with pytest.raises(ValueError):
+        ingest.envelope_access_log_sink(os.path.join(tmp_dir, "r"), os.path.join(tmp_dir, "j"), "")
