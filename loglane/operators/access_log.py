@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import date_from_file_name
+from ..functions.rows import rows_where
 from ..functions.text import before_first, drop_chars, last, nth, split_keep, ustrip
 from ..schemas import ACCESS_LOG_COLUMNS, ACCESS_LOG_LIMITS
 
@@ -125,6 +126,6 @@ def split_by_length(parsed: DataFrame, limits: dict[str, int] = ACCESS_LOG_LIMIT
     """(valid, rejected) by the table's column limits; one pass over a shared
     reason column. A long value rejects its row, never the whole batch."""
     tagged = parsed.withColumn("reason", length_violations(limits))
-    return (tagged.where(F.col("reason").isNull()).drop("reason"),
-            tagged.where(F.col("reason").isNotNull()))
+    return (rows_where(tagged, F.col("reason").isNull(), parsed.columns),
+            rows_where(tagged, F.col("reason").isNotNull()))
 

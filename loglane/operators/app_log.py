@@ -22,6 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.rows import rows_where
 from ..functions.text import WS, before_first, ustrip
 from ..schemas import APP_LOG_COLUMNS, APP_LOG_LIMITS
 
@@ -99,8 +100,9 @@ def type_app_log(parsed: DataFrame, limits: dict[str, int] = APP_LOG_LIMITS) ->
     return typed.select(*other, *FIELDS, reason.alias("reason"))
 
 
-def valid_rows(typed: DataFrame) -> DataFrame:
-    return typed.where(F.col("reason").isNull()).select(*APP_LOG_COLUMNS)
+def valid_rows(typed: DataFrame, extra: list[str] | None = None) -> DataFrame:
+    """Rows that can be stored (parse evaluated once; see ``rows_where``)."""
+    return rows_where(typed, F.col("reason").isNull(), list(extra or []) + APP_LOG_COLUMNS)
 
 
 def reject_rows(df: DataFrame, source: str, raw: str = "raw") -> DataFrame:
@@ -110,7 +112,8 @@ def reject_rows(df: DataFrame, source: str, raw: str = "raw") -> DataFrame:
     def opt(name: str, typ: str) -> Column:
         return (F.col(name) if name in cols else F.lit(None)).cast(typ).alias(name)
 
-    return df.where(F.col("reason").isNotNull()).select(
+    shaped = df.select(
         F.lit(source).alias("source"), opt("topic", "string"), opt("partition", "int"),
         opt("offset", "bigint"), "reason", F.substring(F.col(raw), 1, 90).alias("preview90"),
         F.col(raw).alias("raw"))
+    return rows_where(shaped, F.col("reason").isNotNull())

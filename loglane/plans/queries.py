@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.dates import date_from_file_name
+from ..functions.rows import rows_where
 from ..functions.sequence import dense_rank_in_groups
 from ..functions.text import ustrip
 from ..operators import access_log as al
@@ -256,17 +257,16 @@ def app_log_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("app_log_typed")
 def app_log_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows ready for the app_logs table (typed, within limits)."""
-    t = ap.type_app_log(_app_parsed(spark, sf_dir))
-    return t.where(F.col("reason").isNull()).select("line_no", *ap.FIELDS)
+    return ap.valid_rows(ap.type_app_log(_app_parsed(spark, sf_dir)), extra=["line_no"])
 
 
 @query("kv_last_wins")
 def kv_last_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines where a field is set more than once (a repeated pair, or a
     pair over a positional value) and the value that won."""
-    p = _app_parsed(spark, sf_dir).where(F.col("reason").isNull())
-    p = p.withColumn("overrides", ap.override_count(F.col("pairs")))
-    return p.where(F.col("overrides") > 0).select("line_no", "timestamp", "level", "status", "overrides")
+    p = _app_parsed(spark, sf_dir).withColumn("overrides", ap.override_count(F.col("pairs")))
+    return rows_where(p, F.col("reason").isNull() & (F.col("overrides") > 0),
+                      ["line_no", "timestamp", "level", "status", "overrides"])
 
 
 @query("app_log_rejects")
