@@ -343,7 +343,8 @@ def stream_access_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ..streaming import ingest
 
     landing = derived_path(spark, "trading_landing", [_path(sf_dir, "events")],
-                           lambda: day_lines(spark, sf_dir).select("file_name", "line"),
+                           # one file per day, as a log server leaves them
+                           lambda: day_lines(spark, sf_dir).select("file_name", "line").repartition("file_name"),
                            partition_by=["file_name"])
     run = _run_dir(spark, "stream-access")
     q = ingest.ingest_access_log(spark, landing, f"{run}/raw", f"{run}/rejects", f"{run}/checkpoint")
