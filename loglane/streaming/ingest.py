@@ -240,8 +240,17 @@ def ingest_app_log(spark: SparkSession, landing_dir: str, raw_path: str, rejects
 
 
 def progress_rates(query: StreamingQuery) -> list[dict]:
-    """Lines/second per micro-batch from the query's recent progress."""
-    return [{"batchId": p["batchId"], "numInputRows": p["numInputRows"],
-             "inputRowsPerSecond": p.get("inputRowsPerSecond"),
-             "processedRowsPerSecond": p.get("processedRowsPerSecond")}
-            for p in (query.recentProgress or [])]
+    """Per micro-batch: input rows, lines/second in and processed, and the
+    sources' lag metrics when they report any (the Kafka source reports
+    ``avgOffsetsBehindLatest`` / ``maxOffsetsBehindLatest``)."""
+    out = []
+    for p in (query.recentProgress or []):
+        lag = {}
+        for src in p.get("sources", []) or []:
+            for k, v in (src.get("metrics") or {}).items():
+                if "OffsetsBehind" in k:
+                    lag[k] = v
+        out.append({"batchId": p["batchId"], "numInputRows": p["numInputRows"],
+                    "inputRowsPerSecond": p.get("inputRowsPerSecond"),
+                    "processedRowsPerSecond": p.get("processedRowsPerSecond"), "sourceLag": lag})
+    return out
