@@ -54,18 +54,22 @@ def _with_log_date(df: DataFrame, file_name: str, log_date: str | Column | None)
 
 
 def parse_strict(df: DataFrame, line: str = "line", file_name: str = "file_name",
-                 log_date: str | Column | None = None, keep: list[str] | None = None) -> DataFrame:
+                 log_date: str | Column | None = None, keep: list[str] | None = None,
+                 guard: Column | None = None) -> DataFrame:
     """Positional parse of (already filtered, stripped) login lines.
 
     ``log_date`` defaults to the date in the day-file name; pass an ISO date
     text or a Column to set it. ``keep`` lists extra input columns to carry
-    (for example envelope coordinates)."""
+    (for example envelope coordinates). With ``guard``, lines where it is
+    false are not split (their fields read as missing)."""
     keep = list(keep or [])
     df = _with_log_date(df, file_name, log_date)
     commas = split_keep(line, ",")
     # Positions 2.. of the reference's list; 0 and 1 are file name and date.
     fields = F.concat(split_keep(nth(commas, 0), "\t"),
                       F.slice(commas, F.lit(2), F.size(commas) - 1))
+    if guard is not None:
+        fields = F.when(guard, fields)
     bound = df.select(*keep, F.col(file_name).alias("file_name"), "log_date",
                       F.col(line).alias("__line"), fields.alias("__f"))
 

@@ -223,21 +223,15 @@ def log_date_from_file(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("ingest_counters")
 def ingest_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per day file: lines read, sent (login lines), skipped, inserted and
-    rejected rows, from one pass over tagged rows."""
+    rejected rows, in one scan and one aggregate (only sent lines are split)."""
     lines = day_lines(spark, sf_dir).withColumn("line", ustrip("line"))
-    is_cid = F.col("line").contains(F.lit(al.CID_MARKER))
-    sent = lines.withColumn("__sent", is_cid)
-    parsed = al.parse_strict(sent.where("__sent"), keep=[])
-    per_file_rows = parsed.withColumn("__reason", al.length_violations()).groupBy("file_name").agg(
-        F.count_if(F.col("__reason").isNull()).alias("inserted"),
-        F.count_if(F.col("__reason").isNotNull()).alias("rejected"))
-    per_file_lines = sent.groupBy("file_name").agg(
-        F.count(F.lit(1)).alias("lines"), F.count_if("__sent").alias("sent"),
-        F.count_if(~F.col("__sent")).alias("skipped"))
-    return (per_file_lines.join(per_file_rows, "file_name", "left")
-            .select("file_name", "lines", "sent", "skipped",
-                    F.coalesce("inserted", F.lit(0)).alias("inserted"),
-                    F.coalesce("rejected", F.lit(0)).alias("rejected")))
+    sent = F.col("line").contains(F.lit(al.CID_MARKER))
+    tagged = al.parse_strict(lines.withColumn("__sent", sent), keep=["__sent"], guard=F.col("__sent"))
+    tagged = tagged.withColumn("__bad", al.length_violations().isNotNull())
+    s, bad = F.col("__sent"), F.col("__bad")
+    return tagged.groupBy("file_name").agg(
+        F.count(F.lit(1)).alias("lines"), F.count_if(s).alias("sent"), F.count_if(~s).alias("skipped"),
+        F.count_if(s & ~bad).alias("inserted"), F.count_if(s & bad).alias("rejected"))
 
 
 # --- application log -----------------------------------------------------------
