@@ -51,21 +51,28 @@ def file_name_of(path_col: Column) -> Column:
     return F.when(name != "", name).otherwise(F.regexp_extract(path_col, r"([^/]+)$", 1))
 
 
+# Newline as encoded bytes, used as the text source's record separator.
+_UTF16_NEWLINE = {"UTF-16LE": "\n\u0000", "UTF-16BE": "\u0000\n"}
+
+
 def read_lines(spark: SparkSession, path: str, encoding: str | None = None) -> DataFrame:
     """(file_name, line) from text files; ``encoding`` None detects it from
-    the byte-order mark (for a single file). UTF-8 is read lossily
-    (invalid bytes dropped). UTF-16 goes through the CSV reader used as a
-    line reader (the text source is UTF-8 only); the BOM is removed."""
-    enc = encoding or detect_encoding(spark, path)
-    if enc.upper() in ("UTF-8", "UTF8"):
+    the byte-order mark. UTF-8 is read lossily (invalid bytes dropped).
+
+    UTF-16 is read by the same text source with the encoded newline bytes as
+    the record separator; each record's bytes are then decoded with
+    ``decode(..., 'UTF-16LE'|'UTF-16BE')``. Blank lines are kept, as a Python
+    line reader keeps them; the BOM and a trailing carriage return are
+    removed. (A newline byte pair can in principle also occur across two
+    characters at an odd offset; ordinary log text does not produce it.)"""
+    enc = (encoding or detect_encoding(spark, path)).upper()
+    if enc in ("UTF-8", "UTF8"):
         df = spark.read.format("text").load(path)
         line = lossy_utf8(F.col("value"))
     else:
-        df = (spark.read.format("csv").option("encoding", enc).option("lineSep", "\n")
-              .option("sep", "\u0001").option("quote", "").option("escape", "")
-              .option("header", "false").option("ignoreLeadingWhiteSpace", "false")
-              .option("ignoreTrailingWhiteSpace", "false").schema("value string").load(path))
-        line = F.regexp_replace(F.regexp_replace(F.col("value"), "^\ufeff", ""), "\r$", "")
+        df = spark.read.format("text").option("lineSep", _UTF16_NEWLINE[enc]).load(path)
+        text = F.decode(F.col("value").cast("binary"), enc)
+        line = F.regexp_replace(F.regexp_replace(text, "^\ufeff", ""), "\r$", "")
     return df.select(file_name_of(F.col("_metadata.file_path")).alias("file_name"), line.alias("line"))
 
 

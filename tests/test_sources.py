@@ -39,15 +39,24 @@ def test_lossy_utf8_lines(spark, tmp_dir):
     assert files.detect_encoding(spark, p) == "UTF-8"
 
 
+def test_utf16_big_endian(spark, tmp_dir):
+    p = os.path.join(tmp_dir, "trading_20260319.log")
+    with open(p, "wb") as fh:
+        fh.write(b"\xfe\xff" + "a b\n\nc\n".encode("utf-16-be"))
+    assert files.detect_encoding(spark, p) == "UTF-16BE"
+    assert [r["line"] for r in files.read_lines(spark, p).collect()] == ["a b", "", "c"]
+
+
 def test_utf16_day_file(spark, tmp_dir):
     p = os.path.join(tmp_dir, "trading_20260318.log")
-    text = "XA\t0\t6\t00:00:00.1\t1.2.3.4\t'7': order placed\nsecond line é\nthird\n"
+    text = "XA\t0\t6\t00:00:00.1\t1.2.3.4\t'7': order placed\nsecond line é\n\nthird\r\nlast"
     with io.open(p, "w", encoding="utf-16") as fh:
         fh.write(text)
     assert files.detect_encoding(spark, p).startswith("UTF-16")
     df = files.read_day_file(spark, p)
     with io.open(p, "r", encoding="utf-16", errors="ignore") as fh:
         want = [ln.rstrip("\n") for ln in fh.readlines()]
+    assert "" in want  # the blank line is kept, as Python keeps it
     assert [r["line"] for r in df.collect()] == want
     assert {r["file_name"] for r in df.collect()} == {"trading_20260318.log"}
 
