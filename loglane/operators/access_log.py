@@ -97,9 +97,15 @@ LABEL_INVESTOR = r", investor, cid: "
 
 
 def _extract(c: Column, pattern: str) -> Column:
+    """Group 1 of the first match, NULL when there is none."""
     return F.when(c.rlike(pattern), F.regexp_extract(c, pattern, 1))
 
 
+def _extract_nonempty(c: Column, pattern: str) -> Column:
+    """Same for a group that cannot match empty text: one regex pass."""
+    return F.nullif(F.regexp_extract(c, pattern, 1), F.lit(""))
+
+
 def parse_labelled(df: DataFrame, line: str = "line", file_name: str = "file_name",
                    log_date: str | Column | None = None, keep: list[str] | None = None) -> DataFrame:
     """Parse by label: each field is found by its label, so the optional
@@ -113,9 +119,9 @@ def parse_labelled(df: DataFrame, line: str = "line", file_name: str = "file_nam
         *keep, F.col(file_name).alias("file_name"), "log_date",
         nth(tabs, 3).alias("log_time"), nth(tabs, 4).alias("ip"),
         _extract(c, LABEL_LOGIN).alias("login"),
-        _extract(c, LABEL_CID).alias("cid"),
+        _extract_nonempty(c, LABEL_CID).alias("cid"),
         _extract(c, LABEL_DEVICE).alias("device"),
-        _extract(c, LABEL_POINT).alias("server"),
+        _extract_nonempty(c, LABEL_POINT).alias("server"),
         F.lit(PENDING).alias("flag"),
         F.when(c.rlike(LABEL_INVESTOR), "yes").otherwise("no").alias("investor"))
 
