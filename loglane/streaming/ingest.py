@@ -49,6 +49,21 @@ def access_log_batch(lines: DataFrame, parser: Callable = al.parse_strict,
 MISSING_VALUE = "value is missing or not UTF-8"
 
 
+def observe_lines(lines: DataFrame, name: str = "ingest"):
+    """Attach sent/skipped counters to a batch of lines with an
+    ``Observation``: they are computed by whatever job consumes the lines
+    (no extra pass) and read with ``obs.get`` afterwards."""
+    from pyspark.sql import Observation
+
+    from ..functions.text import ustrip
+
+    obs = Observation(name)
+    sent = F.coalesce(ustrip("line").contains(F.lit(al.CID_MARKER)), F.lit(False))
+    observed = lines.observe(obs, F.count(F.lit(1)).alias("lines"), F.count_if(sent).alias("sent"),
+                             F.count_if(~sent).alias("skipped"))
+    return observed, obs
+
+
 def batch_counters(lines: DataFrame, tagged: DataFrame, batch_id: int) -> DataFrame:
     """One row per batch: lines read, sent (login lines), skipped, inserted,
     rejected -- the producer's and consumer's counters as data."""

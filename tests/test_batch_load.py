@@ -96,3 +96,12 @@ def test_topic_ingest_rejects_bad_run_date(spark, tmp_dir):
     import pytest
     with pytest.raises(ValueError):
         ingest.envelope_access_log_sink(os.path.join(tmp_dir, "r"), os.path.join(tmp_dir, "j"), "")
+
+
+def test_observed_line_counters(spark):
+    lines = day_lines(spark, SF).select("file_name", "line")
+    observed, obs = ingest.observe_lines(lines)
+    n_rows = al.parse_strict(al.cid_filter(observed)).count()
+    got = obs.get
+    assert got["lines"] == lines.count() and got["sent"] == n_rows
+    assert got["skipped"] == got["lines"] - got["sent"]
