@@ -1,12 +1,19 @@
-"""Streaming ingest: landing files (or topic records) -> parsed table.
-
-Each micro-batch is parsed once, tagged with a reject reason per row and
-written by ``foreachBatch`` to two tables:
-
-* ``raw``: valid rows, partitioned by ``log_date`` and ``batch_id``;
-* ``rejects``: rows that cannot be stored, with reason and preview.
-
-Both writes use dynamic partition overwrite on the batch's own
+"""Streaming ingest: landing files or topic records -> parsed tables.
+
+Three feeds (trading lines, app-log lines, order messages), each from a
+landing folder of finished files or from any stream in the topic-envelope
+shape. Each micro-batch is parsed once (the tagged batch is persisted for
+the duration of the batch), tagged with a reject reason per row and written
+by ``foreachBatch`` to:
+
+* ``raw``: valid rows, partitioned by ``batch_id`` (and ``log_date`` for
+  access rows);
+* ``rejects``: rows that cannot be stored, with reason, preview and, for
+  topic records, their topic/partition/offset;
+* optionally ``counters``: one row per batch (lines, sent, skipped,
+  inserted, rejected).
+
+Every write is a dynamic partition overwrite of the batch's own
 ``batch_id`` partitions, so a batch replayed after a failure replaces its
 earlier output instead of adding to it (exactly-once effect). The file
 sink is not used: its metadata log would hide files added later by batch
@@ -24,10 +31,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ..functions.text import ustrip
 from ..operators import access_log as al
 from ..operators import app_log as ap
 from ..sources.files import landing_stream
 
+MISSING_VALUE = "value is missing or not UTF-8"
+
 
 def _write_partitions(df: DataFrame, path: str, partition_by: list[str]) -> None:
     (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
@@ -46,17 +56,12 @@ def access_log_batch(lines: DataFrame, parser: Callable = al.parse_strict,
     return parsed.unionByName(missing)
 
 
-MISSING_VALUE = "value is missing or not UTF-8"
-
-
 def observe_lines(lines: DataFrame, name: str = "ingest"):
     """Attach sent/skipped counters to a batch of lines with an
     ``Observation``: they are computed by whatever job consumes the lines
     (no extra pass) and read with ``obs.get`` afterwards."""
     from pyspark.sql import Observation
 
-    from ..functions.text import ustrip
-
     obs = Observation(name)
     sent = F.coalesce(ustrip("line").contains(F.lit(al.CID_MARKER)), F.lit(False))
     observed = lines.observe(obs, F.count(F.lit(1)).alias("lines"), F.count_if(sent).alias("sent"),
@@ -67,8 +72,6 @@ def observe_lines(lines: DataFrame, name: str = "ingest"):
 def batch_counters(lines: DataFrame, tagged: DataFrame, batch_id: int) -> DataFrame:
     """One row per batch: lines read, sent (login lines), skipped, inserted,
     rejected -- the producer's and consumer's counters as data."""
-    from ..functions.text import ustrip
-
     sent = F.coalesce(ustrip("line").contains(F.lit(al.CID_MARKER)), F.lit(False))
     zero = F.lit(0).cast("bigint")
     read = lines.select(zero.alias("inserted"), zero.alias("rejected"), F.lit(1).cast("bigint").alias("lines"),
@@ -155,7 +158,6 @@ def _envelope_rejects(df: DataFrame, source: str, batch_id: int) -> DataFrame:
 
 def envelope_app_log_sink(raw_path: str, rejects_path: str) -> Callable[[DataFrame, int], None]:
     """foreachBatch function for app-log topic records."""
-    from ..functions.text import ustrip
     from ..sources.files import envelope_lines
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -210,7 +212,6 @@ def ingest_orders(envelope_stream: DataFrame, orders_path: str, rejects_path: st
 
 def app_log_sink(raw_path: str, rejects_path: str) -> Callable[[DataFrame, int], None]:
     """foreachBatch function for application-log lines."""
-    from ..functions.text import ustrip
 
     def write(batch: DataFrame, batch_id: int) -> None:
         lines = batch.withColumn("line", ustrip("line"))
