@@ -45,29 +45,50 @@ def rows_to_close(spark: SparkSession, raw_path: str, table_path: str, log_date:
     return have.unionByName(new)
 
 
+# Largest distinct trade-IP set that is broadcast (rows of (log_date, ip));
+# above it the join stays a sort-merge join with AQE skew splitting.
+BROADCAST_MAX_ROWS = 2_000_000
+
+
 def close_day(spark: SparkSession, date_compact: str, day_file: str, raw_path: str,
-              table_path: str) -> DataFrame:
+              table_path: str, broadcast_max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Run the day close for ``date_compact`` (YYYYMMDD). Returns the summary
-    (log_date, trade_count, lilo_count): rows changed by this run."""
+    (log_date, lines_scanned, trade_ips, trade_count, lilo_count), counting
+    the rows changed by this run.
+
+    The day file is scanned once: its distinct trade IPs are written to the
+    staging folder (which also cuts lineage), counted there, and broadcast
+    only when the count is within ``broadcast_max_rows``."""
+    from pyspark.sql import Observation
+
     if not _exists(spark, day_file):
         raise FileNotFoundError(f"day file not found: {day_file}")
     log_date = iso_from_compact(date_compact)
     d = F.to_date(F.lit(log_date))
-    ips = eod.trade_ips(read_day_file(spark, day_file), log_date=d)
-    rows = rows_to_close(spark, raw_path, table_path, log_date).withColumn("__was", F.col("flag"))
-    flagged = eod.apply_flags(rows, ips, [log_date])
     staging = work_path(spark, "staging", f"eod-{date_compact}-{uuid.uuid4().hex[:8]}")
+
+    scanned = Observation("eod_scan")
+    lines = read_day_file(spark, day_file).observe(scanned, F.count(F.lit(1)).alias("lines"))
+    eod.trade_ips(lines, log_date=d).write.mode("overwrite").parquet(f"{staging}/trade_ips")
+    ips = spark.read.parquet(f"{staging}/trade_ips")
+    n_ips = ips.count()
+    side = F.broadcast(ips) if n_ips <= broadcast_max_rows else ips
+
+    rows = rows_to_close(spark, raw_path, table_path, log_date).withColumn("__was", F.col("flag"))
+    flagged = eod.apply_flags(rows, side, [log_date])
     # Range-partition on ip: a day is written by many tasks, and each file holds
     # one ip range (min/max statistics then skip files for ip lookups).
     flagged.repartitionByRange("ip").sortWithinPartitions("ip").write.mode("overwrite") \
-        .partitionBy("log_date").parquet(staging)
-    staged = spark.read.parquet(staging)
+        .partitionBy("log_date").parquet(f"{staging}/rows")
+    staged = spark.read.parquet(f"{staging}/rows")
     (staged.drop("__was").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("log_date").parquet(table_path))
     changed = F.col("__was") == F.lit(PENDING)
-    return staged.groupBy("log_date").agg(
+    counts = staged.groupBy("log_date").agg(
         F.count_if(changed & (F.col("flag") == eod.TRADE)).alias("trade_count"),
         F.count_if(changed & (F.col("flag") == eod.LILO)).alias("lilo_count"))
+    return counts.select("log_date", F.lit(scanned.get.get("lines", 0)).cast("bigint").alias("lines_scanned"),
+                         F.lit(n_ips).cast("bigint").alias("trade_ips"), "trade_count", "lilo_count")
 
 
 def run_clock(offset_hours: int = 6):
@@ -79,5 +100,5 @@ def run_clock(offset_hours: int = 6):
 
 def summary_message(row) -> str:
     """One-line day-close message."""
-    return (f"EOD flags updated for {row['log_date']} | trade: {row['trade_count']:,} | "
-            f"lilo: {row['lilo_count']:,}")
+    return (f"EOD flags updated for {row['log_date']} | scanned {row['lines_scanned']:,} lines, "
+            f"{row['trade_ips']:,} trade IPs | trade: {row['trade_count']:,} | lilo: {row['lilo_count']:,}")

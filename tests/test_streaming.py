@@ -141,5 +141,10 @@ def test_close_day_with_utf16_day_file(spark, tmp_dir):
                                 "batch_id int").write.partitionBy("log_date", "batch_id").parquet(raw)
     s = eod_job.close_day(spark, "20260318", day, raw, os.path.join(tmp_dir, "t")).first()
     assert (s["trade_count"], s["lilo_count"]) == (1, 1)
+    assert (s["lines_scanned"], s["trade_ips"]) == (2, 1)
+    assert "2 lines, 1 trade IPs" in eod_job.summary_message(s)
+    # Above the broadcast bound the same close runs as a sort-merge join.
+    s2 = eod_job.close_day(spark, "20260318", day, raw, os.path.join(tmp_dir, "t2"), broadcast_max_rows=0).first()
+    assert (s2["trade_count"], s2["lilo_count"]) == (1, 1)
     got = {r["ip"]: r["flag"] for r in spark.read.parquet(os.path.join(tmp_dir, "t")).collect()}
     assert got == {"1.2.3.4": "trade", "9.9.9.9": "lilo"}
