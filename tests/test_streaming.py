@@ -148,3 +148,22 @@ def test_close_day_with_utf16_day_file(spark, tmp_dir):
     assert (s2["trade_count"], s2["lilo_count"]) == (1, 1)
     got = {r["ip"]: r["flag"] for r in spark.read.parquet(os.path.join(tmp_dir, "t")).collect()}
     assert got == {"1.2.3.4": "trade", "9.9.9.9": "lilo"}
+
+
+def test_cli_close_day_and_ingest(spark, tmp_dir, capsys):
+    from loglane import cli
+
+    lines = day_lines(spark, "/root/testdata/sf0.001")
+    day = sorted(r[0] for r in lines.select("file_name").distinct().collect())[0]
+    logs = os.path.join(tmp_dir, "logs")
+    os.makedirs(logs)
+    with open(os.path.join(logs, day), "w") as fh:
+        for r in lines.where(F.col("file_name") == day).orderBy("line_no").collect():
+            fh.write(r["line"] + "\n")
+    raw, rej, ck, table = (os.path.join(tmp_dir, x) for x in ("raw", "rej", "ck", "table"))
+    assert cli.main(["ingest-access", "--landing", logs, "--raw", raw, "--rejects", rej, "--checkpoint", ck]) == 0
+    date = day[len("trading_"):len("trading_") + 8]
+    assert cli.main(["close-day", "--date", date, "--logs", logs, "--raw", raw, "--table", table]) == 0
+    out = capsys.readouterr().out
+    assert "EOD flags updated for" in out and "trade IPs" in out
+    assert cli.main(["close-day", "--date", "20000101", "--logs", logs, "--raw", raw, "--table", table]) == 1
