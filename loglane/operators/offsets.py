@@ -99,3 +99,47 @@ def progress_offsets(spark: SparkSession, progress_json: list[str] | str) -> Dat
                 if isinstance(parts, dict):
                     rows += [(topic, int(p), int(o)) for p, o in parts.items()]
     return spark.createDataFrame(rows, "topic string, partition int, committed bigint")
+
+
+def _read_text(spark: SparkSession, path: str) -> str:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    stream = fs.open(p)
+    try:
+        return jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def _batch_ids(spark: SparkSession, folder: str) -> set[int]:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(folder)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(p):
+        return set()
+    return {int(st.getPath().getName()) for st in fs.listStatus(p) if st.getPath().getName().isdigit()}
+
+
+def checkpoint_offsets(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """Committed offsets of a streaming query, read from its checkpoint: the
+    source offsets of the last micro-batch that has a commit entry, one row
+    per (topic, partition). This is the query's group progress; Spark does
+    not commit offsets to the broker, so a broker-side group monitor would
+    not see it. Sources without per-partition offsets (files) give no rows.
+    Reads two small metadata files on the driver."""
+    base = checkpoint.rstrip("/")
+    done = _batch_ids(spark, f"{base}/offsets") & _batch_ids(spark, f"{base}/commits")
+    rows = []
+    if done:
+        text = _read_text(spark, f"{base}/offsets/{max(done)}")
+        for ln in text.splitlines()[2:]:  # version line, batch metadata, then one line per source
+            try:
+                doc = json.loads(ln)
+            except ValueError:
+                continue
+            if isinstance(doc, dict):
+                for topic, parts in doc.items():
+                    if isinstance(parts, dict):
+                        rows += [(topic, int(p), int(o)) for p, o in parts.items()]
+    return spark.createDataFrame(rows, "topic string, partition int, committed bigint")

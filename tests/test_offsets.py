@@ -65,3 +65,34 @@ def test_progress_offsets(spark):
     doc = '{"sources": [{"endOffset": {"trading-access-logs": {"0": 14823, "1": 14901, "2": 14876}}}]}'
     got = sorted(tuple(r) for r in off.progress_offsets(spark, doc).collect())
     assert got == [("trading-access-logs", 0, 14823), ("trading-access-logs", 1, 14901), ("trading-access-logs", 2, 14876)]
+
+
+def test_checkpoint_offsets(spark, tmp_dir):
+    import os
+    ck = os.path.join(tmp_dir, "ck")
+    os.makedirs(os.path.join(ck, "offsets"))
+    os.makedirs(os.path.join(ck, "commits"))
+    meta = '{"batchWatermarkMs":0,"batchTimestampMs":1,"conf":{}}'
+    for b, offs in ((0, (10, 20, 30)), (1, (14823, 14901, 14876)), (2, (99999, 99999, 99999))):
+        with open(os.path.join(ck, "offsets", str(b)), "w") as fh:
+            fh.write("v1\n" + meta + "\n" + '{"trading-access-logs":{"0":%d,"1":%d,"2":%d}}' % offs)
+    for b in (0, 1):  # batch 2 was planned but never committed
+        with open(os.path.join(ck, "commits", str(b)), "w") as fh:
+            fh.write('v1\n{"nextBatchWatermarkMs":0}')
+    got = sorted(tuple(r) for r in off.checkpoint_offsets(spark, ck).collect())
+    assert got == [("trading-access-logs", 0, 14823), ("trading-access-logs", 1, 14901),
+                   ("trading-access-logs", 2, 14876)]
+    assert off.checkpoint_offsets(spark, os.path.join(tmp_dir, "none")).count() == 0
+
+
+def test_checkpoint_offsets_of_a_file_stream(spark, tmp_dir):
+    import os
+    from loglane.plans.queries import day_lines
+    from loglane.streaming import ingest
+    landing = os.path.join(tmp_dir, "landing")
+    day_lines(spark, "/root/testdata/sf0.001").limit(50).select("file_name", "line") \
+        .write.partitionBy("file_name").text(landing)
+    ck = os.path.join(tmp_dir, "ck")
+    ingest.ingest_access_log(spark, landing, os.path.join(tmp_dir, "r"), os.path.join(tmp_dir, "j"), ck) \
+        .awaitTermination()
+    assert off.checkpoint_offsets(spark, ck).count() == 0  # file sources have no partition offsets
