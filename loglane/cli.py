@@ -6,6 +6,10 @@
   --checkpoint PATH [--trigger availableNow|"3 seconds"] [--max-files N]``:
   run a streaming ingest; ``availableNow`` drains and exits, a time trigger
   runs until stopped.
+* ``lag-report --topic T --records PATH --checkpoint PATH [--style app]``:
+  per-partition lag of a topic (watermarks from a Parquet dump of its
+  records in the envelope shape, committed offsets from the consuming
+  query's checkpoint) and the total.
 """
 
 from __future__ import annotations
@@ -24,6 +28,11 @@ def _parser() -> argparse.ArgumentParser:
     c.add_argument("--raw", required=True)
     c.add_argument("--table", required=True)
     c.add_argument("--broadcast-max-rows", type=int, default=None)
+    lg = sub.add_parser("lag-report")
+    lg.add_argument("--topic", required=True)
+    lg.add_argument("--records", required=True, help="Parquet records with topic, partition, offset")
+    lg.add_argument("--checkpoint", required=True)
+    lg.add_argument("--style", choices=["trading", "app"], default="trading")
     for name in ("ingest-access", "ingest-app"):
         i = sub.add_parser(name)
         i.add_argument("--landing", required=True)
@@ -54,6 +63,22 @@ def main(argv: list[str] | None = None) -> int:
         for r in rows:
             print(eod_job.summary_message(r))
         return 0
+    if args.cmd == "lag-report":
+        from .operators import offsets as off
+
+        records = spark.read.parquet(args.records)
+        if records.where(records.topic == args.topic).limit(1).count() == 0:
+            print(f"Topic '{args.topic}' does not exist yet.")
+            return 0
+        lag = off.lag_for_topic(off.partition_offsets(records), off.checkpoint_offsets(spark, args.checkpoint),
+                                args.topic, args.style)
+        total = 0
+        for r in lag.orderBy("partition").collect():  # one row per partition
+            total += r["lag"]
+            print(f"  Partition {r['partition']} | committed={r['committed']:,}  latest={r['high']:,}  "
+                  f"lag={r['lag']:,}  [{r['status']}]")
+        print(f"  Total lag: {total:,} messages")
+        return 0
     from .streaming import ingest
 
     run = ingest.ingest_access_log if args.cmd == "ingest-access" else ingest.ingest_app_log

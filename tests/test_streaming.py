@@ -167,3 +167,25 @@ def test_cli_close_day_and_ingest(spark, tmp_dir, capsys):
     out = capsys.readouterr().out
     assert "EOD flags updated for" in out and "trade IPs" in out
     assert cli.main(["close-day", "--date", "20000101", "--logs", logs, "--raw", raw, "--table", table]) == 1
+
+
+def test_cli_lag_report(spark, tmp_dir, capsys):
+    from loglane import cli
+    recs = spark.createDataFrame([("t", p, o) for p in range(3) for o in range(10 + p)],
+                                 "topic string, partition int, offset bigint")
+    path = os.path.join(tmp_dir, "recs")
+    recs.write.parquet(path)
+    ck = os.path.join(tmp_dir, "ck")
+    os.makedirs(os.path.join(ck, "offsets"))
+    os.makedirs(os.path.join(ck, "commits"))
+    with open(os.path.join(ck, "offsets", "0"), "w") as fh:
+        fh.write('v1\n{"batchWatermarkMs":0}\n{"t":{"0":10,"1":5}}')
+    with open(os.path.join(ck, "commits", "0"), "w") as fh:
+        fh.write("v1\n{}")
+    assert cli.main(["lag-report", "--topic", "t", "--records", path, "--checkpoint", ck]) == 0
+    out = capsys.readouterr().out
+    assert "Partition 0 | committed=10  latest=10  lag=0  [OK]" in out
+    assert "Partition 1 | committed=5  latest=11  lag=6  [BEHIND by 6]" in out
+    assert "Partition 2 | committed=0  latest=12  lag=12" in out and "Total lag: 18 messages" in out
+    assert cli.main(["lag-report", "--topic", "nope", "--records", path, "--checkpoint", ck]) == 0
+    assert "does not exist yet" in capsys.readouterr().out
