@@ -97,6 +97,19 @@ def trade_ips(day_lines: DataFrame, **kw) -> DataFrame:
             .agg(F.max("__ok").alias("__ok")).where(F.col("__ok")).drop("__ok"))
 
 
+def trade_ip_scan(day_lines: DataFrame, line: str = "line", file_name: str = "file_name",
+                  log_date: Column | None = None) -> DataFrame:
+    """One pass over a day file giving both the trade IPs and the line count:
+    (log_date, ip, usable, lines) per key, where non-trade lines are not
+    tokenised and fall in the ``unknown`` key. Trade IPs are the rows with
+    ``usable``; lines scanned is the sum of ``lines``."""
+    d = log_date if log_date is not None else date_from_file_name(file_name)
+    t = trade_tokens(day_lines.withColumn("__t", is_trade_line(line)), line, guard=F.col("__t"))
+    usable = (F.col("ip") != UNKNOWN) & (F.col("login") != UNKNOWN)
+    return (t.select(d.alias("log_date"), "ip", usable.alias("usable"))
+            .groupBy("log_date", "ip").agg(F.max("usable").alias("usable"), F.count(F.lit(1)).alias("lines")))
+
+
 def flag_expr(hit: Column, in_scope: Column) -> Column:
     """Both updates in one expression: a pending row of a closed day becomes
     ``trade`` on a hit, else ``lilo``; every other row keeps its flag (NULL

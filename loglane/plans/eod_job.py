@@ -56,21 +56,21 @@ def close_day(spark: SparkSession, date_compact: str, day_file: str, raw_path: s
     (log_date, lines_scanned, trade_ips, trade_count, lilo_count), counting
     the rows changed by this run.
 
-    The day file is scanned once: its distinct trade IPs are written to the
-    staging folder (which also cuts lineage), counted there, and broadcast
-    only when the count is within ``broadcast_max_rows``."""
-    from pyspark.sql import Observation
-
+    The day file is scanned once: its distinct trade IPs (with the line
+    count) are written to the staging folder, which also cuts lineage, then
+    counted there and broadcast only when the count is within
+    ``broadcast_max_rows``."""
     if not _exists(spark, day_file):
         raise FileNotFoundError(f"day file not found: {day_file}")
     log_date = iso_from_compact(date_compact)
     d = F.to_date(F.lit(log_date))
     staging = work_path(spark, "staging", f"eod-{date_compact}-{uuid.uuid4().hex[:8]}")
 
-    scanned = Observation("eod_scan")
-    lines = read_day_file(spark, day_file).observe(scanned, F.count(F.lit(1)).alias("lines"))
-    eod.trade_ips(lines, log_date=d).write.mode("overwrite").parquet(f"{staging}/trade_ips")
-    ips = spark.read.parquet(f"{staging}/trade_ips")
+    eod.trade_ip_scan(read_day_file(spark, day_file), log_date=d).write.mode("overwrite") \
+        .parquet(f"{staging}/trade_ip_scan")
+    scan = spark.read.parquet(f"{staging}/trade_ip_scan")
+    n_lines = scan.agg(F.sum("lines")).first()[0] or 0  # one row per key: small
+    ips = scan.where(F.col("usable")).select("log_date", "ip")
     n_ips = ips.count()
     side = F.broadcast(ips) if n_ips <= broadcast_max_rows else ips
 
@@ -87,7 +87,7 @@ def close_day(spark: SparkSession, date_compact: str, day_file: str, raw_path: s
     counts = staged.groupBy("log_date").agg(
         F.count_if(changed & (F.col("flag") == eod.TRADE)).alias("trade_count"),
         F.count_if(changed & (F.col("flag") == eod.LILO)).alias("lilo_count"))
-    return counts.select("log_date", F.lit(scanned.get.get("lines", 0)).cast("bigint").alias("lines_scanned"),
+    return counts.select("log_date", F.lit(n_lines).cast("bigint").alias("lines_scanned"),
                          F.lit(n_ips).cast("bigint").alias("trade_ips"), "trade_count", "lilo_count")
 
 

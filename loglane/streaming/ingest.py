@@ -59,7 +59,10 @@ def access_log_batch(lines: DataFrame, parser: Callable = al.parse_strict,
 def observe_lines(lines: DataFrame, name: str = "ingest"):
     """Attach sent/skipped counters to a batch of lines with an
     ``Observation``: they are computed by whatever job consumes the lines
-    (no extra pass) and read with ``obs.get`` afterwards."""
+    (no extra pass) and read with ``obs.get`` afterwards. Caveat: when the
+    consuming plan's result is empty, AQE may replace the stage holding the
+    observation with an empty relation and no metrics arrive; jobs that need
+    the counts unconditionally should aggregate them (``batch_counters``)."""
     from pyspark.sql import Observation
 
     obs = Observation(name)
