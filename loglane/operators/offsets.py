@@ -34,14 +34,19 @@ def partition_offsets(envelope: DataFrame) -> DataFrame:
         F.min("offset").alias("low"), (F.max("offset") + 1).alias("high"))
 
 
+# Status wording of the two lag reports.
+STATUS_OK, STATUS_OK_APP = "OK", "OK - caught up"
+STATUS_BEHIND, STATUS_BEHIND_APP_SUFFIX = "BEHIND by ", " messages"
+
+
 def lag_status(lag, style: str = "trading"):
-    """``OK`` / ``BEHIND by 12,345`` (trading style) or
+    """``OK`` / ``BEHIND by 12,345`` (trading style, thousands separators) or
     ``OK - caught up`` / ``BEHIND by 12345 messages`` (app style)."""
     if style == "app":
-        return F.when(lag == 0, F.lit("OK - caught up")).otherwise(
-            F.concat(F.lit("BEHIND by "), lag.cast("string"), F.lit(" messages")))
-    return F.when(lag == 0, F.lit("OK")).otherwise(
-        F.concat(F.lit("BEHIND by "), F.format_number(lag, 0)))
+        return F.when(lag == 0, F.lit(STATUS_OK_APP)).otherwise(
+            F.concat(F.lit(STATUS_BEHIND), lag.cast("string"), F.lit(STATUS_BEHIND_APP_SUFFIX)))
+    return F.when(lag == 0, F.lit(STATUS_OK)).otherwise(
+        F.concat(F.lit(STATUS_BEHIND), F.format_number(lag, 0)))
 
 
 def consumer_lag(watermarks: DataFrame, committed: DataFrame, style: str = "trading") -> DataFrame:
