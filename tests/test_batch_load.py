@@ -105,3 +105,19 @@ def test_observed_line_counters(spark):
     got = obs.get
     assert got["lines"] == lines.count() and got["sent"] == n_rows
     assert got["skipped"] == got["lines"] - got["sent"]
+
+
+def test_progress_recorder(spark, tmp_dir):
+    import time
+
+    from loglane.streaming.monitor import record_progress
+    landing, files = _land(spark, tmp_dir, 2)
+    rec = record_progress(spark)
+    try:
+        base = os.path.join(tmp_dir, "m")
+        ingest.ingest_access_log(spark, landing, f"{base}/raw", f"{base}/rej", f"{base}/ck").awaitTermination()
+        time.sleep(1)  # listener events are delivered asynchronously
+        df = rec.to_df(spark)
+        assert df.count() >= 1 and df.agg({"num_input_rows": "sum"}).first()[0] > 0
+    finally:
+        spark.streams.removeListener(rec)
