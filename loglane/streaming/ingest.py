@@ -149,6 +149,7 @@ def ingest_topic_access_log(envelope_stream: DataFrame, raw_path: str, rejects_p
     """Topic records (e.g. ``sources.kafka.read_topic_stream``) into ``raw``
     and ``rejects``. Progress lives in the checkpoint, not in a consumer
     group, so a restart resumes after the last committed micro-batch."""
+    guard_fresh_checkpoint(envelope_stream.sparkSession, checkpoint, raw_path, rejects_path)
     return start(envelope_stream, envelope_access_log_sink(raw_path, rejects_path, date_compact),
                  checkpoint, trigger)
 
@@ -203,6 +204,7 @@ def order_sink(orders_path: str, rejects_path: str) -> Callable[[DataFrame, int]
 def ingest_topic_app_log(envelope_stream: DataFrame, raw_path: str, rejects_path: str, checkpoint: str,
                          trigger: str = "availableNow") -> StreamingQuery:
     """App-log topic records into ``raw`` and ``rejects``."""
+    guard_fresh_checkpoint(envelope_stream.sparkSession, checkpoint, raw_path, rejects_path)
     return start(envelope_stream, envelope_app_log_sink(raw_path, rejects_path), checkpoint, trigger)
 
 
@@ -210,6 +212,7 @@ def ingest_orders(envelope_stream: DataFrame, orders_path: str, rejects_path: st
                   trigger: str = "availableNow") -> StreamingQuery:
     """Order topic records into ``orders`` and ``rejects`` (bad JSON is a
     reject row, not a crash)."""
+    guard_fresh_checkpoint(envelope_stream.sparkSession, checkpoint, orders_path, rejects_path)
     return start(envelope_stream, order_sink(orders_path, rejects_path), checkpoint, trigger)
 
 
@@ -230,6 +233,20 @@ def app_log_sink(raw_path: str, rejects_path: str) -> Callable[[DataFrame, int],
     return write
 
 
+def guard_fresh_checkpoint(spark: SparkSession, checkpoint: str, *outputs: str) -> None:
+    """Refuse a new checkpoint over outputs that already hold batches: batch
+    ids would restart at 0 and the batch-id overwrites would replace the
+    old batches. Use a new output path with a new checkpoint."""
+    from ..sources import fs
+
+    if fs.exists(spark, f"{checkpoint.rstrip('/')}/offsets"):
+        return
+    for out in outputs:
+        if out and fs.exists(spark, out):
+            raise ValueError(f"{out} already holds batches but checkpoint {checkpoint} is new; "
+                             "a new checkpoint needs a new output path")
+
+
 def start(stream: DataFrame, sink: Callable[[DataFrame, int], None], checkpoint: str,
           trigger: str = "availableNow", name: str | None = None) -> StreamingQuery:
     """Start a foreachBatch query. ``trigger``: ``availableNow`` drains what
@@ -246,6 +263,7 @@ def ingest_access_log(spark: SparkSession, landing_dir: str, raw_path: str, reje
                       checkpoint: str, trigger: str = "availableNow", max_files_per_trigger: int | None = None,
                       parser: Callable = al.parse_strict) -> StreamingQuery:
     """Trading lines from a landing folder into ``raw`` and ``rejects``."""
+    guard_fresh_checkpoint(spark, checkpoint, raw_path, rejects_path)
     src = landing_stream(spark, landing_dir, max_files_per_trigger)
     return start(src, access_log_sink(raw_path, rejects_path, parser), checkpoint, trigger)
 
@@ -254,6 +272,7 @@ def ingest_app_log(spark: SparkSession, landing_dir: str, raw_path: str, rejects
                    checkpoint: str, trigger: str = "availableNow",
                    max_files_per_trigger: int | None = None) -> StreamingQuery:
     """Application-log lines from a landing folder into ``raw`` and ``rejects``."""
+    guard_fresh_checkpoint(spark, checkpoint, raw_path, rejects_path)
     src = landing_stream(spark, landing_dir, max_files_per_trigger)
     return start(src, app_log_sink(raw_path, rejects_path), checkpoint, trigger)
 

@@ -189,3 +189,18 @@ def test_cli_lag_report(spark, tmp_dir, capsys):
     assert "Partition 2 | committed=0  latest=12  lag=12" in out and "Total lag: 18 messages" in out
     assert cli.main(["lag-report", "--topic", "nope", "--records", path, "--checkpoint", ck]) == 0
     assert "does not exist yet" in capsys.readouterr().out
+
+
+def test_new_checkpoint_over_existing_output_is_refused(spark, tmp_dir):
+    import pytest
+    lines = day_lines(spark, "/root/testdata/sf0.001")
+    files = sorted(r[0] for r in lines.select("file_name").distinct().collect())
+    landing = os.path.join(tmp_dir, "landing")
+    _land(spark, lines, landing, files[:1])
+    raw, rej = os.path.join(tmp_dir, "raw"), os.path.join(tmp_dir, "rej")
+    ingest.ingest_access_log(spark, landing, raw, rej, os.path.join(tmp_dir, "ck1")).awaitTermination()
+    # the same checkpoint may resume ...
+    ingest.ingest_access_log(spark, landing, raw, rej, os.path.join(tmp_dir, "ck1")).awaitTermination()
+    # ... but a fresh one over the same output would restart batch ids at 0
+    with pytest.raises(ValueError):
+        ingest.ingest_access_log(spark, landing, raw, rej, os.path.join(tmp_dir, "ck2"))
