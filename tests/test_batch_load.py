@@ -116,7 +116,9 @@ def test_progress_recorder(spark, tmp_dir):
     try:
         base = os.path.join(tmp_dir, "m")
         ingest.ingest_access_log(spark, landing, f"{base}/raw", f"{base}/rej", f"{base}/ck").awaitTermination()
-        time.sleep(1)  # listener events are delivered asynchronously
+        deadline = time.time() + 15  # listener events are delivered asynchronously
+        while time.time() < deadline and rec.to_df(spark).count() == 0:
+            time.sleep(0.2)
         df = rec.to_df(spark)
         assert df.count() >= 1 and df.agg({"num_input_rows": "sum"}).first()[0] > 0
     finally:
