@@ -55,13 +55,15 @@ def main(argv: list[str] | None = None) -> int:
 
         day_file = f"{args.logs.rstrip('/')}/{day_file_for(args.date)}"
         kw = {} if args.broadcast_max_rows is None else {"broadcast_max_rows": args.broadcast_max_rows}
+        started = eod_job.run_clock()
         try:
             rows = eod_job.close_day(spark, args.date, day_file, args.raw, args.table, **kw).collect()
         except FileNotFoundError as e:
             print(str(e), file=sys.stderr)
             return 1
-        for r in rows:
+        for r in rows:  # one summary row per closed day
             print(eod_job.summary_message(r))
+        print(f"Done in {eod_job.run_clock() - started}")
         return 0
     if args.cmd == "lag-report":
         from .operators import offsets as off

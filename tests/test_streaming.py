@@ -165,7 +165,7 @@ def test_cli_close_day_and_ingest(spark, tmp_dir, capsys):
     date = day[len("trading_"):len("trading_") + 8]
     assert cli.main(["close-day", "--date", date, "--logs", logs, "--raw", raw, "--table", table]) == 0
     out = capsys.readouterr().out
-    assert "EOD flags updated for" in out and "trade IPs" in out
+    assert "EOD flags updated for" in out and "trade IPs" in out and "Done in" in out
     assert cli.main(["close-day", "--date", "20000101", "--logs", logs, "--raw", raw, "--table", table]) == 1
 
 
