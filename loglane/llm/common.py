@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import io
+import pathlib
+import re
 import uuid
+import zipfile
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -24,6 +28,40 @@ def scratch(spark: SparkSession, tag: str) -> str:
     return work_path(spark, "llm", f"{tag}-{uuid.uuid4().hex[:12]}")
 
 
+def open_file(uri: str, write: bool = False):
+    """A stream of a file in the shared folder, whatever store holds it."""
+    from pyarrow import fs
+
+    if ":" in uri.partition("/")[0]:
+        system, path = fs.FileSystem.from_uri(re.sub("^file:/+", "file:///", uri))
+    else:
+        system, path = fs.LocalFileSystem(), uri
+    if write:
+        system.create_dir(path.rpartition("/")[0], recursive=True)
+        return system.open_output_stream(path)
+    return system.open_input_stream(path)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Hand this package to the Python workers, once per application."""
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    top = pathlib.Path(__file__).resolve().parents[2]
+    data = io.BytesIO()
+    with zipfile.ZipFile(data, "w") as z:
+        for p in sorted((top / "loglane").rglob("*.py")):
+            z.write(p, p.relative_to(top))
+    uri = scratch(spark, "package") + ".zip"
+    with open_file(uri, write=True) as out:
+        out.write(data.getvalue())
+    spark.sparkContext.addPyFile(uri)
+    _SHIPPED.add(app)
+
+
 def stored(df: DataFrame, tag: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: later steps neither
     recompute it nor depend on executors that may be lost."""

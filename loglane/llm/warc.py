@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import read_table, scratch, stored
+from .common import open_file, read_table, scratch, ship_package, stored
 
 MIN_REVISIT_BYTES = 100
 ARCHIVE_BYTES = 64 << 20
@@ -129,16 +129,6 @@ def read_records(stream) -> Iterator[dict]:
                "payload_digest": digest}
 
 
-def _open(uri: str, write: bool):
-    from pyarrow import fs
-
-    system, path = fs.FileSystem.from_uri(uri) if "://" in uri or uri.startswith("file:") else (fs.LocalFileSystem(), uri)
-    if write:
-        system.create_dir(path.rpartition("/")[0], recursive=True)
-        return system.open_output_stream(path)
-    return system.open_input_stream(path)
-
-
 def mark_revisits(pages: DataFrame) -> DataFrame:
     """(page_id, url, payload, digest, refers_to): refers_to is set for pages
     whose payload a page with a smaller id has.
@@ -161,6 +151,8 @@ def write_archives(pages: DataFrame, folder: str, archive_bytes: int = ARCHIVE_B
     """Write a record per page under ``folder``; the manifest (archive, records)
     lists the archives of the task attempts that counted."""
 
+    ship_package(pages.sparkSession)
+
     def write(batches):
         from pyspark import TaskContext
 
@@ -174,7 +166,7 @@ def write_archives(pages: DataFrame, folder: str, archive_bytes: int = ARCHIVE_B
                 if out is None:
                     names.append(f"{folder}/part-{t.partitionId():05d}-{t.taskAttemptId()}-{len(names):04d}.warc.gz")
                     counts.append(0)
-                    out, size = _open(names[-1], True), 0
+                    out, size = open_file(names[-1], write=True), 0
                     out.write(info)
                 record = page_record(*(c[i].as_py() for c in cols))
                 out.write(record)
@@ -200,11 +192,13 @@ def read_archives(manifest: DataFrame, with_payload: bool = True) -> DataFrame:
     if with_payload:
         names, types, ddl = [*names, "payload"], [*types, pa.binary()], ddl + ", payload binary"
 
+    ship_package(manifest.sparkSession)
+
     def read(batches):
         for b in batches:
             for archive, expected in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 seen, rows, size = 0, [], 0
-                with _open(archive, False) as stream:
+                with open_file(archive) as stream:
                     for r in read_records(stream):
                         rows.append(r)
                         seen += 1
