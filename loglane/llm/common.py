@@ -110,3 +110,31 @@ def with_slice(docs: DataFrame, n: int) -> DataFrame:
     return docs.select(F.pmod(F.xxhash64(key), F.lit(n)).cast("int").alias("slice"),
                        F.col("doc_id").cast("long").alias("doc_id"),
                        F.coalesce("text", F.lit("")).alias("text"))
+
+
+def pack_arrays(*arrays) -> bytes:
+    """Numpy arrays as one compressed value (see ``unpack_arrays``)."""
+    import numpy as np
+    import zstandard
+
+    head = np.array([len(arrays), *(x for a in arrays for x in (ord(a.dtype.char), len(a)))], np.int64)
+    return zstandard.ZstdCompressor(level=1).compress(b"".join([head.tobytes(), *(a.tobytes() for a in arrays)]))
+
+
+def unpack_arrays(value: bytes) -> list:
+    import numpy as np
+    import zstandard
+
+    raw = zstandard.ZstdDecompressor().decompress(value)
+    n = int(np.frombuffer(raw, np.int64, 1)[0])
+    head = np.frombuffer(raw, np.int64, 1 + 2 * n)
+    out, at = [], head.nbytes
+    for code, size in head[1:].reshape(n, 2).tolist():
+        out.append(np.frombuffer(raw, np.dtype(chr(code)), size, at))
+        at += out[-1].nbytes
+    return out
+
+
+def keyed_table(keys: list[int], others: list[int], values: list[bytes], names: list[str]) -> pa.Table:
+    """An Arrow table of (key int, other int, value binary)."""
+    return pa.table([pa.array(keys, pa.int32()), pa.array(others, pa.int32()), pa.array(values, pa.binary())], names)

@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, packing, quality, url_filter, warc
+from . import bpe, ngram_join, packing, quality, url_filter, warc
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": packing.op1_packing,
     "op6_bpe": bpe.op6_bpe,
+    "op7_ngram_join": ngram_join.op7_ngram_join,
     "op8_warc": warc.op8_warc,
     "op9_url_filter": url_filter.op9_url_filter,
     "op10_quality": quality.op10_quality,
