@@ -6,10 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, ngram_join, packing, quality, url_filter, warc
+from . import bpe, ngram_join, packing, quality, suffix_dedup, url_filter, warc
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": packing.op1_packing,
+    "op3_suffix_dedup": suffix_dedup.op3_suffix_dedup,
     "op6_bpe": bpe.op6_bpe,
     "op7_ngram_join": ngram_join.op7_ngram_join,
     "op8_warc": warc.op8_warc,

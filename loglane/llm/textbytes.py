@@ -93,3 +93,42 @@ def shingle_sets(texts: list[bytes], size: int = 5) -> tuple[np.ndarray, np.ndar
     new[1:] = (hashes[1:] != hashes[:-1]) | (owner[1:] != owner[:-1])
     hashes, owner = hashes[new], owner[new]
     return hashes, np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=len(texts)))])
+
+
+def window_minimum(x: np.ndarray, width: int) -> np.ndarray:
+    """Least of every ``width`` neighbours, by doubling."""
+    out, have = x, 1
+    while have < width:
+        step = min(have, width - have)
+        out = np.minimum(out[:len(out) - step], out[step:])
+        have += step
+    return out
+
+
+def window_runs(texts: list[bytes], width: int, gram: int):
+    """Runs of neighbouring windows of ``width`` bytes that share their least
+    hash of ``gram`` bytes: (text, start, number of windows, that hash, hash of
+    all bytes of the run). Equal windows lie in runs of equal least hash, and
+    a run's bytes are its first window and the bytes after it."""
+    data, starts = joined(texts, b"")
+    n = len(data)
+    none = np.empty(0, np.int64)
+    if n < width:
+        return none, none, none, none.astype(U64), none.astype(U64)
+    sums = prefix_sums(data)
+    at = np.arange(n - gram + 1)
+    least = window_minimum(range_hash(sums, at, at + gram), width - gram + 1)
+    valid = np.zeros(len(least) + 1, bool)  # window starts that do not cross a text's end
+    lens = np.diff(starts)
+    for a, size in zip(starts[:-1][lens >= width].tolist(), lens[lens >= width].tolist()):
+        valid[a:a + size - width + 1] = True
+    valid = valid[:-1]
+    opens = np.ones(len(least), bool)
+    opens[1:] = least[1:] != least[:-1]
+    opens[1:] |= ~valid[:-1]
+    opens[starts[1:-1][starts[1:-1] < len(opens)]] = True
+    opens &= valid
+    first = np.flatnonzero(opens)
+    ends = np.flatnonzero(valid & np.append((opens | ~valid)[1:], True)) + 1
+    owner = np.searchsorted(starts, first, "right") - 1
+    return owner, first - starts[owner], ends - first, least[first], range_hash(sums, first, ends + width - 1)
