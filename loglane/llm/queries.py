@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, ngram_join, packing, quality, suffix_dedup, toxicity, url_filter, warc
+from . import bpe, html_text, ngram_join, packing, quality, suffix_dedup, toxicity, url_filter, warc
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": packing.op1_packing,
     "op3_suffix_dedup": suffix_dedup.op3_suffix_dedup,
+    "op4_html_text": html_text.op4_html_text,
     "op5_toxicity": toxicity.op5_toxicity,
     "op6_bpe": bpe.op6_bpe,
     "op7_ngram_join": ngram_join.op7_ngram_join,

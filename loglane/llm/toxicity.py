@@ -168,15 +168,13 @@ def label_model(v: np.ndarray, known: np.ndarray, iterations: int = 25):
         corr = np.clip(cov / np.outer(sd, sd), 0, 1)
         np.fill_diagonal(corr, 0)
         weight = 1 / (1 + corr.sum(axis=1))
-        fired = np.log(a / b) * weight
-        silent = np.log((1 - a) / (1 - b)) * weight
-        z = np.log(prior / (1 - prior)) + v @ (fired - silent) + silent.sum()
+        z = np.log(prior / (1 - prior)) + v @ (np.log(a / b) * weight)  # abstaining is no evidence
         model = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
         p = np.where(known >= 0, 0.5 * model + 0.5 * np.clip(known, 0.02, 0.98), model)
     return p, (a, b), weight
 
 
-def logistic(x: np.ndarray, p: np.ndarray, penalty: float = 1e-3, iterations: int = 400) -> tuple[np.ndarray, float]:
+def logistic(x: np.ndarray, p: np.ndarray, penalty: float = 1e-3, iterations: int = 200) -> tuple[np.ndarray, float]:
     """Weights and bias of a logistic regression on soft labels (gradient
     descent with momentum)."""
     w, c = np.zeros(x.shape[1], np.float32), float(np.log((p.mean() + 1e-4) / (1 - p.mean() + 1e-4)))
