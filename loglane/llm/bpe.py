@@ -1,15 +1,15 @@
 """Byte-level BPE with a minimal acyclic transducer as lexicon.
 
-1. The pre-tokens ("words") of all documents are counted by Spark; the
+1. The pre-tokens ("words") of all documents are counted by Spark (texts are
+   cut at each space before a non-space character, which always begins a new
+   pre-token, so equal pieces are split but once); the
    ``LEXICON_WORDS`` most frequent ones form the lexicon.
 2. The driver compiles them into a minimal acyclic automaton (shared prefixes
    and shared suffixes). Each transition carries a number; their sum along a
    word is the word's place in the table of id lists. The automaton is a flat
    file that every Python worker memory-maps.
-3. Documents are cut at each space before a non-space character, which always
-   begins a new pre-token, so a cut never changes an encoding. Pieces not met
-   before in a worker are split into pre-tokens; these walk the automaton, all
-   at once, and those that it lacks are merged exactly by merge rank.
+3. Words not met before in a worker walk the automaton, all at once, and those
+   that it lacks are merged exactly by merge rank, also many at once.
 4. Decoding goes from ids to bytes to text (bad UTF-8 is replaced).
 
 The special token's string in a text becomes its id, as the tokenizers library
@@ -26,7 +26,9 @@ import hashlib
 import json
 import mmap
 import os
+import re
 from collections import Counter
+from functools import lru_cache
 from itertools import chain
 
 import numpy as np
@@ -39,8 +41,15 @@ from .common import open_file, pieces, read_table, scratch, ship_package
 
 LEXICON_WORDS = 32_768
 #: Entries a worker keeps of pieces met before, and of counts not yet sent.
-CACHE_ENTRIES = 300_000
+CACHE_ENTRIES = 500_000
 MAGIC = 0x4D414654
+#: A space that more white space or the end follows: such runs need ``cut``.
+RUN = re.compile(r" (?:\s|\Z)")
+#: Characters whose class every Unicode version since 4.1 agrees on; where others
+#: occur, the tokenizers library itself splits.
+UNSURE = re.compile("[^\\x00-\u024f\u0370-\u0373\u0391-\u03a1\u03a3-\u03ce\u0400-\u0486\u048a-\u04ff"
+                    "\u2000-\u2063\u20a0-\u20b5\u2100-\u214c\u2190-\u23db\u2460-\u2604\u3000-\u303f\u3041-\u3096"
+                    "\u30a0-\u30ff\u4e00-\u9fa5\uac00-\ud7a3\uff01-\uff5e]")
 
 
 def default_vocabulary() -> str:
@@ -88,46 +97,38 @@ class Vocabulary:
         merges = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
         self.ranks = {(vocab[a], vocab[b]): (r, vocab[a + b]) for r, (a, b) in enumerate(merges)}
         self.single = [self.ids[bytes([b])] for b in range(256)]
+        table = sorted((a << 20 | b, r, new) for (a, b), (r, new) in self.ranks.items())
+        self._pairs, self._pair_rank, self._pair_id = np.array(table, np.int64).reshape(-1, 3).T.copy()
+        self._single = np.array(self.single, np.int64)
         self._findall = regex.compile(public_tokenizers.PATTERN).findall
         self._pre = Tokenizer.from_file(path).pre_tokenizer
 
-    def split(self, piece: str) -> list[str]:
-        """Pre-tokens. Beyond Latin letters the library itself splits, as
-        character classes differ between Unicode versions."""
-        if piece.isascii() or max(piece) < "ɐ":
-            return self._findall(piece)
-        return [piece[a:b] for _, (a, b) in self._pre.pre_tokenize_str(piece)]
+    def split(self, text: str) -> list[str]:
+        """Pre-tokens."""
+        if text.isascii() or not UNSURE.search(text):
+            return self._findall(text)
+        return [text[a:b] for _, (a, b) in self._pre.pre_tokenize_str(text)]
+
+    def library(self):
+        """A fast encoder of the same vocabulary for texts without unsure
+        characters, or None if the merge ranks are not the order of ids."""
+        import public_tokenizers
+        import tiktoken
+
+        if [new for _, new in self.ranks.values()] != list(range(256, 256 + len(self.ranks))):
+            return None
+        return tiktoken.Encoding("file", pat_str=public_tokenizers.PATTERN, mergeable_ranks=self.ids, special_tokens={})
 
     def merge(self, word: bytes) -> list[int]:
-        """Ids of one pre-token: always the pair of lowest rank first."""
-        ids, ranks = [self.single[b] for b in word], self.ranks
-        if len(ids) > 64:
-            return self._merge_long(ids)
-        while len(ids) > 1:
-            best = min(((ranks[p][0], i) for i, p in enumerate(zip(ids, ids[1:])) if p in ranks), default=None)
-            if best is None:
-                break
-            pair = (ids[best[1]], ids[best[1] + 1])
-            new, out, i = ranks[pair][1], [], 0
-            while i < len(ids):
-                if i + 1 < len(ids) and (ids[i], ids[i + 1]) == pair:
-                    out.append(new)
-                    i += 2
-                else:
-                    out.append(ids[i])
-                    i += 1
-            ids = out
-        return ids
-
-    def _merge_long(self, ids: list[int]) -> list[int]:
-        """The same with a heap and linked neighbours, for long runs."""
+        """Ids of one pre-token: always the leftmost pair of lowest rank first
+        (a heap and linked neighbours)."""
         from heapq import heapify, heappop, heappush
 
-        n, ranks = len(ids), self.ranks
+        ids, ranks = [self.single[b] for b in word], self.ranks
+        n = len(ids)
         left, right = list(range(-1, n - 1)), [*range(1, n), -1]
         heap = [(ranks[p][0], i, *p) for i, p in enumerate(zip(ids, ids[1:])) if p in ranks]
         heapify(heap)
-        ids = list(ids)
         while heap:
             _, i, a, b = heappop(heap)
             j = right[i]
@@ -141,6 +142,60 @@ class Vocabulary:
                     heappush(heap, (ranks[p][0], x, *p))
         return [x for x in ids if x >= 0]
 
+    def merge_all(self, words: list[bytes]) -> list[list[int]]:
+        """``merge`` of many words at once: words of like length are rows of a
+        matrix, and each step merges one pair in every row."""
+        out: list[list[int]] = [[]] * len(words)
+        lens = np.fromiter(map(len, words), np.int64, len(words))
+        for low, high in ((0, 4), (4, 8), (8, 12), (12, 16), (16, 24), (24, 48)):
+            rows = np.flatnonzero((lens > low) & (lens <= high))
+            for at in range(0, len(rows), 20_000):
+                some = rows[at:at + 20_000]
+                for i, ids in zip(some.tolist(), self._merge_rows([words[i] for i in some.tolist()], high)):
+                    out[i] = ids
+        for i in np.flatnonzero(lens > 48).tolist():
+            out[i] = self.merge(words[i])
+        return out
+
+    def _rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Place of each pair in the sorted table of pairs, or -1."""
+        key = left << 20 | right
+        at = np.minimum(np.searchsorted(self._pairs, key), len(self._pairs) - 1)
+        return np.where((self._pairs[at] == key) & (right >= 0) & (left >= 0), at, -1)
+
+    def _merge_rows(self, words: list[bytes], width: int) -> list[list[int]]:
+        n, far = len(words), np.iinfo(np.int64).max
+        data = np.frombuffer(b"".join([w.ljust(width + 1, b"\0") for w in words]), np.uint8).reshape(n, width + 1)
+        lens = np.fromiter(map(len, words), np.int64, n)
+        ids = np.where(np.arange(width + 1) < lens[:, None], self._single[data], -1)
+        found = self._rank(ids[:, :-1].ravel(), ids[:, 1:].ravel())
+        rank = np.where(found >= 0, self._pair_rank[found], far).reshape(n, width)
+        result, live = np.full((n, width + 1), -1, np.int64), np.arange(n)
+        columns = np.arange(width + 1)
+        while len(live):
+            j = rank.argmin(axis=1)
+            row = np.arange(len(live))
+            go = rank[row, j] < far
+            if not go.all():
+                result[live[~go]] = ids[~go]
+                live, ids, rank, j = live[go], ids[go], rank[go], j[go]
+                row = np.arange(len(live))
+            if not len(live):
+                break
+            merged = self._pair_id[self._rank(ids[row, j], ids[row, j + 1])]
+            ids[row, j] = merged
+            shift = np.minimum(columns + (columns > j[:, None]), width)  # close the gap at j + 1
+            ids = np.take_along_axis(ids, shift, axis=1)
+            ids[:, -1] = -1
+            rank = np.take_along_axis(rank, np.minimum(shift[:, :-1], width - 1), axis=1)
+            rank[:, -1] = far
+            for k in (j - 1, j):
+                k0 = np.maximum(k, 0)
+                right = np.minimum(k0 + 1, width)
+                found = self._rank(ids[row, k0], np.where(right > k0, ids[row, right], -1))
+                rank[row[k >= 0], k0[k >= 0]] = np.where(found >= 0, self._pair_rank[found], far)[k >= 0]
+        return [r[:m].tolist() for r, m in zip(result, (result >= 0).sum(axis=1).tolist())]
+
 
 def compile_lexicon(entries: dict[bytes, list[int]]) -> bytes:
     """The flat file of the minimal acyclic transducer of ``entries``.
@@ -233,46 +288,62 @@ class Lexicon:
 
 
 class Encoder:
-    """Encodes and decodes texts, remembering pieces met before."""
+    """Encodes and decodes texts, remembering words met before."""
 
     def __init__(self, vocabulary: Vocabulary, lexicon: Lexicon | None):
         self.vocabulary, self.lexicon = vocabulary, lexicon
-        self.known: dict[str, tuple] = {}
+        self.known: dict[str, tuple] = {}  # word: (ids as decimal text, count, bytes that they decode to)
         self.special = next(iter(vocabulary.specials), None)
 
-    def learn(self, new: list[str]) -> None:
-        """Encode pieces: (ids as decimal text, count, bytes that they decode to)."""
-        v = self.vocabulary
-        if len(self.known) + len(new) > CACHE_ENTRIES:
-            self.known.clear()
-        split = [v.split(p) for p in new]
-        words = list({w: None for ws in split for w in ws})
-        raw = [w.encode() for w in words]
-        places = self.lexicon.find(raw).tolist() if self.lexicon else [-1] * len(raw)
-        ids = {w: v.merge(b) if at < 0 else self.lexicon.ids_at(at) for w, b, at in zip(words, raw, places)}
-        for piece, ws in zip(new, split):
-            got = [i for w in ws for i in ids[w]]
-            self.known[piece] = (",".join(map(str, got)), len(got), b"".join(map(v.bytes_of.__getitem__, got)))
+    def learn(self, words: list[str]) -> list[tuple]:
+        v, raw = self.vocabulary, [w.encode() for w in words]
+        ids: list = [None] * len(raw)
+        places = self.lexicon.find(raw) if self.lexicon else np.full(len(raw), -1)
+        unseen = np.flatnonzero(places < 0).tolist()
+        for i in np.flatnonzero(places >= 0).tolist():
+            ids[i] = self.lexicon.ids_at(int(places[i]))
+        for i, got in zip(unseen, v.merge_all([raw[i] for i in unseen])):
+            ids[i] = got
+        of = v.bytes_of
+        return [(str(g[0]), 1, of[g[0]]) if len(g) == 1 else
+                (",".join(map(str, g)), len(g), b"".join([of[i] for i in g])) for g in ids]
 
     def encode_all(self, texts: list[str]) -> list[list[tuple]]:
-        """Per text its encoded pieces, in order."""
-        out = []
+        """Per text its encoded words, in order."""
+        split, special = self.vocabulary.split, self.special
+        plans = []
         for text in texts:
-            parts = [text]
-            if self.special and self.special in text:
-                parts = [x for p in text.split(self.special) for x in (p, self.special)][:-1]
-            cuts = [c for p in parts for c in ([p] if p == self.special else cut(p))]
-            new = [c for c in dict.fromkeys(cuts) if c not in self.known and c != self.special]
-            if new:
-                self.learn(new)
-            known = self.known
-            if len(parts) > 1:
-                i = self.vocabulary.specials[self.special]
-                own = (str(i), 1, self.special.encode())
-                out.append([own if c == self.special else known[c] for c in cuts])
+            if special and special in text:
+                bits = [x for p in text.split(special) for x in (p, special)][:-1]
+                plans.append([w for p in bits for w in ([p] if p == special else split(p))])
             else:
-                out.append([known[c] for c in cuts])
-        return out
+                plans.append(split(text))
+        words = set(chain.from_iterable(plans))
+        if len(self.known) + len(words) > CACHE_ENTRIES:
+            self.known.clear()
+        if special:
+            self.known[special] = (str(self.vocabulary.specials[special]), 1, special.encode())
+        new = list(words - self.known.keys())
+        self.known.update(zip(new, self.learn(new)))
+        known = self.known.__getitem__
+        return [list(map(known, p)) for p in plans]
+
+
+@lru_cache(maxsize=2)
+def vocabulary_of(path: str) -> Vocabulary:
+    return Vocabulary(path)
+
+
+@lru_cache(maxsize=2)
+def library_of(path: str):
+    return vocabulary_of(path).library()
+
+
+@lru_cache(maxsize=2)
+def tokenizer_of(path: str):
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(path)
 
 
 _OPEN: dict[tuple[str, str], Encoder] = {}
@@ -282,7 +353,7 @@ def encoder(vocabulary: str, lexicon: str) -> Encoder:
     """The encoder of this worker, kept between tasks."""
     if (vocabulary, lexicon) not in _OPEN:
         _OPEN.clear()
-        _OPEN[vocabulary, lexicon] = Encoder(Vocabulary(vocabulary), Lexicon(SparkFiles.get(lexicon)))
+        _OPEN[vocabulary, lexicon] = Encoder(vocabulary_of(vocabulary), Lexicon(SparkFiles.get(lexicon)))
     return _OPEN[vocabulary, lexicon]
 
 
@@ -291,15 +362,16 @@ def word_counts(docs: DataFrame, vocabulary: str, text: str = "text") -> DataFra
     Longer ones are left to exact merging."""
 
     def count(batches):
-        v, special, seen = Vocabulary(vocabulary), "", Counter()
+        v, seen, spaced = vocabulary_of(vocabulary), Counter(), Counter()  # spaced: of " " + piece
 
         def flush():
             per_word: Counter = Counter()
-            for piece, n in seen.items():
+            for piece, n in chain(seen.items(), ((" " + p, n) for p, n in spaced.items())):
                 for w in v.split(piece):
                     if len(w) <= 48:
                         per_word[w] += n
             seen.clear()
+            spaced.clear()
             return pa.RecordBatch.from_arrays([pa.array(list(per_word), pa.string()),
                                                pa.array(list(per_word.values()), pa.int64())], ["word", "n"])
 
@@ -307,8 +379,13 @@ def word_counts(docs: DataFrame, vocabulary: str, text: str = "text") -> DataFra
         for b in pieces(batches, text):
             for t in b.column(0).to_pylist():
                 for part in (t or "").split(special) if special else [t or ""]:
-                    seen.update(cut(part))
-            if len(seen) > CACHE_ENTRIES:
+                    if RUN.search(part):
+                        seen.update(cut(part))
+                    else:
+                        first, *rest = part.split(" ")
+                        seen[first] += 1
+                        spaced.update(rest)
+            if len(seen) + len(spaced) > CACHE_ENTRIES:
                 yield flush()
         yield flush()
 
@@ -321,8 +398,9 @@ def build_lexicon(docs: DataFrame, vocabulary: str, size: int = LEXICON_WORDS, t
     executors; returns its name there."""
     spark = docs.sparkSession
     top = word_counts(docs, vocabulary, text).orderBy(F.desc("n"), "word").limit(size)
-    v = Vocabulary(vocabulary)
-    flat = compile_lexicon({(w := r["word"].encode()): v.merge(w) for r in top.toLocalIterator()})
+    v = vocabulary_of(vocabulary)
+    words = [r["word"].encode() for r in top.toLocalIterator()]
+    flat = compile_lexicon(dict(zip(words, v.merge_all(words))))
     uri = scratch(spark, "lexicon") + ".bin"
     with open_file(uri, write=True) as out:
         out.write(flat)
@@ -345,8 +423,7 @@ def encode_decode(docs: DataFrame, vocabulary: str | None = None, size: int = LE
         e = encoder(vocabulary, lexicon)
         for b in pieces(batches, "text"):
             counts, id_sums, text_sums, ids, decoded = [], [], [], [], []
-            for t in b.column(1).to_pylist():
-                got = e.encode_all([t or ""])[0]
+            for got in e.encode_all([t or "" for t in b.column(1).to_pylist()]):
                 joined = ",".join([g[0] for g in got])
                 back = b"".join([g[2] for g in got]).decode("utf-8", "replace")
                 counts.append(sum([g[1] for g in got]))

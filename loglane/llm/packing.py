@@ -27,13 +27,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .bpe import cut, default_vocabulary
+from .bpe import UNSURE, default_vocabulary, library_of, tokenizer_of, vocabulary_of
 from .common import pieces, read_table, ship_package
 
 LENGTH = 1024
 END_TOKEN = 2
 SHARD_DOCS = 8192
-CACHE_ENTRIES = 300_000
 
 
 def pack(lengths: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -68,28 +67,13 @@ def tokenised(docs: DataFrame, vocabulary: str, size: int, end_token: int) -> Da
     """Pieces: doc_id, piece, start, length, ids_crc32."""
 
     def run(batches):
-        import os
-
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        t = Tokenizer.from_file(vocabulary)
-        special = [str(x.content) for x in t.get_added_tokens_decoder().values()]
-        known: dict[str, bytes] = {}
-        end = np.uint32(end_token).tobytes()
+        v, end = vocabulary_of(vocabulary), np.uint32(end_token).tobytes()
+        fast = library_of(vocabulary)
 
         def ids_of(text: str) -> bytes:
-            if any(s in text for s in special):  # cut apart by the library itself
-                return np.array(t.encode(text, add_special_tokens=False).ids, np.uint32).tobytes()
-            cuts = cut(text)
-            new = [c for c in dict.fromkeys(cuts) if c not in known]
-            if new:
-                if len(known) + len(new) > CACHE_ENTRIES:
-                    known.clear()
-                    new = list(dict.fromkeys(cuts))
-                for c, e in zip(new, t.encode_batch_fast(new, add_special_tokens=False)):
-                    known[c] = np.array(e.ids, np.uint32).tobytes()
-            return b"".join([known[c] for c in cuts])
+            if fast is None or any(s in text for s in v.specials) or UNSURE.search(text):
+                return np.array(tokenizer_of(vocabulary).encode(text, add_special_tokens=False).ids, np.uint32).tobytes()
+            return np.array(fast.encode_ordinary(text), np.uint32).tobytes()
 
         for b in pieces(batches, "text"):
             rows, first, length, piece, crc = [], [], [], [], []
