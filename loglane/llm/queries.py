@@ -6,10 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, html_text, ngram_join, packing, quality, suffix_dedup, toxicity, url_filter, warc
+from . import ann, bpe, html_text, ngram_join, packing, quality, suffix_dedup, toxicity, url_filter, warc
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": packing.op1_packing,
+    "op2_ann": ann.op2_ann,
     "op3_suffix_dedup": suffix_dedup.op3_suffix_dedup,
     "op4_html_text": html_text.op4_html_text,
     "op5_toxicity": toxicity.op5_toxicity,
