@@ -1,15 +1,14 @@
 """Byte-level BPE with a minimal acyclic transducer as lexicon.
 
-1. The pre-tokens ("words") of all documents are counted by Spark (texts are
-   cut at each space before a non-space character, which always begins a new
-   pre-token, so equal pieces are split but once); the
+1. The pre-tokens ("words") of all documents are counted by Spark; the
    ``LEXICON_WORDS`` most frequent ones form the lexicon.
 2. The driver compiles them into a minimal acyclic automaton (shared prefixes
    and shared suffixes). Each transition carries a number; their sum along a
    word is the word's place in the table of id lists. The automaton is a flat
    file that every Python worker memory-maps.
 3. Words not met before in a worker walk the automaton, all at once, and those
-   that it lacks are merged exactly by merge rank, also many at once.
+   that it lacks are merged exactly by merge rank (by a public library where the
+   vocabulary's ranks are its ids, else by ``Vocabulary.merge``).
 4. Decoding goes from ids to bytes to text (bad UTF-8 is replaced).
 
 The special token's string in a text becomes its id, as the tokenizers library
@@ -28,7 +27,7 @@ import mmap
 import os
 import re
 from collections import Counter
-from functools import lru_cache
+from functools import cached_property, lru_cache
 from itertools import chain
 
 import numpy as np
@@ -43,8 +42,6 @@ LEXICON_WORDS = 32_768
 #: Entries a worker keeps of pieces met before, and of counts not yet sent.
 CACHE_ENTRIES = 500_000
 MAGIC = 0x4D414654
-#: A space that more white space or the end follows: such runs need ``cut``.
-RUN = re.compile(r" (?:\s|\Z)")
 #: Characters whose class every Unicode version since 4.1 agrees on; where others
 #: occur, the tokenizers library itself splits.
 UNSURE = re.compile("[^\\x00-\u024f\u0370-\u0373\u0391-\u03a1\u03a3-\u03ce\u0400-\u0486\u048a-\u04ff"
@@ -66,19 +63,6 @@ def byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in prints} | {b: chr(256 + i) for i, b in enumerate(hidden)}
 
 
-def cut(text: str) -> list[str]:
-    """Pieces that join to ``text``; each but the first begins with a space
-    that a non-space character follows."""
-    parts = text.split(" ")
-    out = [parts[0]]
-    for p in parts[1:]:
-        if p and not p[0].isspace():
-            out.append(" " + p)
-        else:  # the space belongs to a run of white space
-            out[-1] += " " + p
-    return out if out[0] else out[1:]
-
-
 class Vocabulary:
     """Pre-token splitting and exact merging by a vocabulary file."""
 
@@ -97,9 +81,7 @@ class Vocabulary:
         merges = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
         self.ranks = {(vocab[a], vocab[b]): (r, vocab[a + b]) for r, (a, b) in enumerate(merges)}
         self.single = [self.ids[bytes([b])] for b in range(256)]
-        table = sorted((a << 20 | b, r, new) for (a, b), (r, new) in self.ranks.items())
-        self._pairs, self._pair_rank, self._pair_id = np.array(table, np.int64).reshape(-1, 3).T.copy()
-        self._single = np.array(self.single, np.int64)
+        self.decimal = {i: str(i) for i in self.bytes_of}
         self._findall = regex.compile(public_tokenizers.PATTERN).findall
         self._pre = Tokenizer.from_file(path).pre_tokenizer
 
@@ -109,6 +91,7 @@ class Vocabulary:
             return self._findall(text)
         return [text[a:b] for _, (a, b) in self._pre.pre_tokenize_str(text)]
 
+    @cached_property
     def library(self):
         """A fast encoder of the same vocabulary for texts without unsure
         characters, or None if the merge ranks are not the order of ids."""
@@ -119,6 +102,10 @@ class Vocabulary:
             return None
         return tiktoken.Encoding("file", pat_str=public_tokenizers.PATTERN, mergeable_ranks=self.ids, special_tokens={})
 
+    def merger(self):
+        """Merges one word exactly as ``merge`` does, faster; None without ``library``."""
+        return self.library.encode_ordinary if self.library else None
+
     def merge(self, word: bytes) -> list[int]:
         """Ids of one pre-token: always the leftmost pair of lowest rank first
         (a heap and linked neighbours)."""
@@ -142,60 +129,6 @@ class Vocabulary:
                     heappush(heap, (ranks[p][0], x, *p))
         return [x for x in ids if x >= 0]
 
-    def merge_all(self, words: list[bytes]) -> list[list[int]]:
-        """``merge`` of many words at once: words of like length are rows of a
-        matrix, and each step merges one pair in every row."""
-        out: list[list[int]] = [[]] * len(words)
-        lens = np.fromiter(map(len, words), np.int64, len(words))
-        for low, high in ((0, 4), (4, 8), (8, 12), (12, 16), (16, 24), (24, 48)):
-            rows = np.flatnonzero((lens > low) & (lens <= high))
-            for at in range(0, len(rows), 20_000):
-                some = rows[at:at + 20_000]
-                for i, ids in zip(some.tolist(), self._merge_rows([words[i] for i in some.tolist()], high)):
-                    out[i] = ids
-        for i in np.flatnonzero(lens > 48).tolist():
-            out[i] = self.merge(words[i])
-        return out
-
-    def _rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
-        """Place of each pair in the sorted table of pairs, or -1."""
-        key = left << 20 | right
-        at = np.minimum(np.searchsorted(self._pairs, key), len(self._pairs) - 1)
-        return np.where((self._pairs[at] == key) & (right >= 0) & (left >= 0), at, -1)
-
-    def _merge_rows(self, words: list[bytes], width: int) -> list[list[int]]:
-        n, far = len(words), np.iinfo(np.int64).max
-        data = np.frombuffer(b"".join([w.ljust(width + 1, b"\0") for w in words]), np.uint8).reshape(n, width + 1)
-        lens = np.fromiter(map(len, words), np.int64, n)
-        ids = np.where(np.arange(width + 1) < lens[:, None], self._single[data], -1)
-        found = self._rank(ids[:, :-1].ravel(), ids[:, 1:].ravel())
-        rank = np.where(found >= 0, self._pair_rank[found], far).reshape(n, width)
-        result, live = np.full((n, width + 1), -1, np.int64), np.arange(n)
-        columns = np.arange(width + 1)
-        while len(live):
-            j = rank.argmin(axis=1)
-            row = np.arange(len(live))
-            go = rank[row, j] < far
-            if not go.all():
-                result[live[~go]] = ids[~go]
-                live, ids, rank, j = live[go], ids[go], rank[go], j[go]
-                row = np.arange(len(live))
-            if not len(live):
-                break
-            merged = self._pair_id[self._rank(ids[row, j], ids[row, j + 1])]
-            ids[row, j] = merged
-            shift = np.minimum(columns + (columns > j[:, None]), width)  # close the gap at j + 1
-            ids = np.take_along_axis(ids, shift, axis=1)
-            ids[:, -1] = -1
-            rank = np.take_along_axis(rank, np.minimum(shift[:, :-1], width - 1), axis=1)
-            rank[:, -1] = far
-            for k in (j - 1, j):
-                k0 = np.maximum(k, 0)
-                right = np.minimum(k0 + 1, width)
-                found = self._rank(ids[row, k0], np.where(right > k0, ids[row, right], -1))
-                rank[row[k >= 0], k0[k >= 0]] = np.where(found >= 0, self._pair_rank[found], far)[k >= 0]
-        return [r[:m].tolist() for r, m in zip(result, (result >= 0).sum(axis=1).tolist())]
-
 
 def compile_lexicon(entries: dict[bytes, list[int]]) -> bytes:
     """The flat file of the minimal acyclic transducer of ``entries``.
@@ -302,11 +235,12 @@ class Encoder:
         unseen = np.flatnonzero(places < 0).tolist()
         for i in np.flatnonzero(places >= 0).tolist():
             ids[i] = self.lexicon.ids_at(int(places[i]))
-        for i, got in zip(unseen, v.merge_all([raw[i] for i in unseen])):
-            ids[i] = got
-        of = v.bytes_of
-        return [(str(g[0]), 1, of[g[0]]) if len(g) == 1 else
-                (",".join(map(str, g)), len(g), b"".join([of[i] for i in g])) for g in ids]
+        fast = v.merger()
+        for i in unseen:
+            ids[i] = fast(words[i]) if fast and not UNSURE.search(words[i]) else v.merge(raw[i])
+        of, name = v.bytes_of, v.decimal
+        return [(name[g[0]], 1, of[g[0]]) if len(g) == 1 else
+                (",".join([name[i] for i in g]), len(g), b"".join([of[i] for i in g])) for g in ids]
 
     def encode_all(self, texts: list[str]) -> list[list[tuple]]:
         """Per text its encoded words, in order."""
@@ -336,7 +270,7 @@ def vocabulary_of(path: str) -> Vocabulary:
 
 @lru_cache(maxsize=2)
 def library_of(path: str):
-    return vocabulary_of(path).library()
+    return vocabulary_of(path).library
 
 
 @lru_cache(maxsize=2)
@@ -362,30 +296,20 @@ def word_counts(docs: DataFrame, vocabulary: str, text: str = "text") -> DataFra
     Longer ones are left to exact merging."""
 
     def count(batches):
-        v, seen, spaced = vocabulary_of(vocabulary), Counter(), Counter()  # spaced: of " " + piece
+        v, seen = vocabulary_of(vocabulary), Counter()
 
         def flush():
-            per_word: Counter = Counter()
-            for piece, n in chain(seen.items(), ((" " + p, n) for p, n in spaced.items())):
-                for w in v.split(piece):
-                    if len(w) <= 48:
-                        per_word[w] += n
+            few = [(w, n) for w, n in seen.items() if len(w) <= 48]
             seen.clear()
-            spaced.clear()
-            return pa.RecordBatch.from_arrays([pa.array(list(per_word), pa.string()),
-                                               pa.array(list(per_word.values()), pa.int64())], ["word", "n"])
+            return pa.RecordBatch.from_arrays([pa.array([w for w, _ in few], pa.string()),
+                                               pa.array([n for _, n in few], pa.int64())], ["word", "n"])
 
         special = next(iter(v.specials), None)
         for b in pieces(batches, text):
             for t in b.column(0).to_pylist():
                 for part in (t or "").split(special) if special else [t or ""]:
-                    if RUN.search(part):
-                        seen.update(cut(part))
-                    else:
-                        first, *rest = part.split(" ")
-                        seen[first] += 1
-                        spaced.update(rest)
-            if len(seen) + len(spaced) > CACHE_ENTRIES:
+                    seen.update(v.split(part))
+            if len(seen) > CACHE_ENTRIES:
                 yield flush()
         yield flush()
 
@@ -400,7 +324,7 @@ def build_lexicon(docs: DataFrame, vocabulary: str, size: int = LEXICON_WORDS, t
     top = word_counts(docs, vocabulary, text).orderBy(F.desc("n"), "word").limit(size)
     v = vocabulary_of(vocabulary)
     words = [r["word"].encode() for r in top.toLocalIterator()]
-    flat = compile_lexicon(dict(zip(words, v.merge_all(words))))
+    flat = compile_lexicon({w: v.merge(w) for w in words})
     uri = scratch(spark, "lexicon") + ".bin"
     with open_file(uri, write=True) as out:
         out.write(flat)
