@@ -42,7 +42,7 @@ MAX_LABELLED = 20_000
 MAX_UNLABELLED = 10_000
 MAX_TERMS = 512
 MAX_VOTERS = 96
-MIN_PRECISION = 0.8
+MIN_PRECISION = 0.9
 THRESHOLD = 0.7
 HELD_OUT = 1
 #: A short list of common English insults.
@@ -153,15 +153,15 @@ def votes(rows: DataFrame, terms: list[str]) -> tuple[list[list[int]], list[int
 def label_model(v: np.ndarray, known: np.ndarray, iterations: int = 25):
     """Posterior of the latent label for each row of votes (0 or 1).
 
-    ``known``: 1, 0 or -1 (not known); known labels start the estimate and
-    keep half their weight. Returns posterior, rates (toxic, other), weights."""
+    ``known``: 1, 0 or -1 (not known); known labels give the base rate, start
+    the estimate and keep half their weight. Returns posterior, rates (toxic, other), weights."""
     n, m = v.shape
     p = np.where(known >= 0, np.clip(known, 0.02, 0.98), 0.0)
     p[known < 0] = np.where(v[known < 0].any(axis=1), 0.8, 0.05)
+    prior = float(np.clip(known[known >= 0].mean() if (known >= 0).any() else 0.1, 1e-3, 1 - 1e-3))
     for _ in range(iterations):
         a = (p @ v + 0.5) / (p.sum() + 1.0)
         b = ((1 - p) @ v + 0.05) / ((1 - p).sum() + 1.0)
-        prior = np.clip(p.mean(), 1e-3, 1 - 1e-3)
         residual = v - (np.outer(p, a) + np.outer(1 - p, b))
         cov = residual.T @ residual / n
         sd = np.sqrt(np.maximum(np.diag(cov), 1e-9))
