@@ -100,7 +100,7 @@ def training_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
     y = y.where(~held_out())
     n_labels, n_docs = y.count(), d.count()
     y = y.where(_share(MAX_LABELLED, n_labels, "labelled"))
-    wide = d.join(y, "doc_id", "left")
+    wide = d.join(F.broadcast(y), "doc_id", "left")  # about MAX_LABELLED narrow rows
     pick = F.col("toxic").isNotNull() | _share(MAX_UNLABELLED, n_docs, "other")
     return wide.where(pick).select("text", "toxic")
 
@@ -205,7 +205,7 @@ def calibrate(z: np.ndarray, y: np.ndarray, iterations: int = 50) -> tuple[float
 
 def fit(docs: DataFrame, labels: DataFrame) -> Model:
     ship_package(docs.sparkSession)
-    rows = stored(training_rows(docs, labels).repartition(docs.sparkSession.sparkContext.defaultParallelism), "toxic-sample")
+    rows = stored(training_rows(docs, labels), "toxic-sample")
     kinds = {r["toxic"]: r["count"] for r in rows.where("toxic is not null").groupBy("toxic").count().collect()}
     n_toxic = sum(n for k, n in kinds.items() if k)
     none = Model({}, -30.0, 1.0, 0.0, [], [])
