@@ -10,7 +10,7 @@ Main entry points (all DataFrame -> DataFrame unless noted):
 * ``operators.eod``: ``trade_lines``, ``trade_ips``, ``trade_ip_logins``,
   ``apply_flags``, ``flag_counts``, ``scan_summary``
 * ``operators.offsets``: ``topic_catalog``, ``partition_offsets``,
-  ``consumer_lag``, ``lag_totals``, ``key_partition``, ``assign_offsets``
+  ``consumer_lag``, ``lag_totals``, ``key_partition``
 * ``sources.files``: ``read_day_file``, ``read_lines``, ``landing_stream``
 * ``streaming.ingest`` / ``streaming.produce``: streaming consumers and
   producer-side records

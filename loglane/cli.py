@@ -3,7 +3,8 @@
 * ``close-day --date YYYYMMDD --logs DIR --raw PATH --table PATH``: the day
   close for one date (default today); exits 1 when the day file is missing.
 * ``ingest-access`` / ``ingest-app --landing DIR --raw PATH --rejects PATH
-  --checkpoint PATH [--trigger availableNow|"3 seconds"] [--max-files N]``:
+  --checkpoint PATH [--trigger availableNow|"3 seconds"] [--max-files N]
+  [--counters PATH] [--new-only] [--archive DIR]``:
   run a streaming ingest; ``availableNow`` drains and exits, a time trigger
   runs until stopped.
 * ``lag-report --topic T --records PATH --checkpoint PATH [--style app]``:
@@ -25,9 +26,8 @@ def _parser() -> argparse.ArgumentParser:
     c = sub.add_parser("close-day")
     c.add_argument("--date", default=_dt.date.today().strftime("%Y%m%d"))
     c.add_argument("--logs", required=True, help="folder holding trading_YYYYMMDD.log")
-    c.add_argument("--raw", required=True)
+    c.add_argument("--raw", required=True, nargs="+", help="one or more raw paths")
     c.add_argument("--table", required=True)
-    c.add_argument("--broadcast-max-rows", type=int, default=None)
     lg = sub.add_parser("lag-report")
     lg.add_argument("--topic", required=True)
     lg.add_argument("--records", required=True, help="Parquet records with topic, partition, offset")
@@ -41,6 +41,9 @@ def _parser() -> argparse.ArgumentParser:
         i.add_argument("--checkpoint", required=True)
         i.add_argument("--trigger", default="availableNow")
         i.add_argument("--max-files", type=int, default=None)
+        i.add_argument("--counters", default=None, help="path for one counters row per batch")
+        i.add_argument("--new-only", action="store_true", help="only files changed from now on")
+        i.add_argument("--archive", default=None, help="folder for files that were read")
     return ap
 
 
@@ -54,10 +57,9 @@ def main(argv: list[str] | None = None) -> int:
         from .plans import eod_job
 
         day_file = f"{args.logs.rstrip('/')}/{day_file_for(args.date)}"
-        kw = {} if args.broadcast_max_rows is None else {"broadcast_max_rows": args.broadcast_max_rows}
         started = eod_job.run_clock()
         try:
-            rows = eod_job.close_day(spark, args.date, day_file, args.raw, args.table, **kw).collect()
+            rows = eod_job.close_day(spark, args.date, day_file, args.raw, args.table).collect()
         except FileNotFoundError as e:
             print(str(e), file=sys.stderr)
             return 1
@@ -74,18 +76,20 @@ def main(argv: list[str] | None = None) -> int:
             return 0
         lag = off.lag_for_topic(off.partition_offsets(records), off.checkpoint_offsets(spark, args.checkpoint),
                                 args.topic, args.style)
-        total = 0
+        sep = "" if args.style == "app" else ","
         for r in lag.orderBy("partition").collect():  # one row per partition
-            total += r["lag"]
-            print(f"  Partition {r['partition']} | committed={r['committed']:,}  latest={r['high']:,}  "
-                  f"lag={r['lag']:,}  [{r['status']}]")
-        print(f"  Total lag: {total:,} messages")
+            print(f"  partition {r['partition']}: at {r['committed']:{sep}} of {r['high']:{sep}}, "
+                  f"lag {r['lag']:{sep}} [{r['status']}]")
+        total = off.lag_totals(lag).where("topic is null").first()
+        print(f"  total lag: {total['total_lag']:{sep}}")
         return 0
     from .streaming import ingest
 
     run = ingest.ingest_access_log if args.cmd == "ingest-access" else ingest.ingest_app_log
+    now_ms = int(_dt.datetime.now().timestamp() * 1000)
     q = run(spark, args.landing, args.raw, args.rejects, args.checkpoint, trigger=args.trigger,
-            max_files_per_trigger=args.max_files)
+            max_files_per_trigger=args.max_files, counters_path=args.counters,
+            newer_than_ms=now_ms if args.new_only else None, archive_dir=args.archive)
     q.awaitTermination()
     for p in ingest.progress_rates(q):
         print(p)

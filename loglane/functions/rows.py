@@ -6,16 +6,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def rows_where(df: DataFrame, condition: Column, cols: list[str] | None = None) -> DataFrame:
-    """Rows of ``df`` where ``condition`` holds, projected to ``cols``.
+def where_computed(df: DataFrame, condition: Column) -> DataFrame:
+    """Rows of ``df`` where ``condition`` holds on columns that are costly to
+    compute, such as a parse result.
 
-    Written as a generator that emits zero or one row per input row, not as
-    a filter. Catalyst pushes a Filter below the projections that compute
-    the columns it tests and evaluates those expressions again there, and
-    generated filter code does not share repeated subexpressions, so a
-    filter on a parse result runs the parse twice or more. A generator is
-    not pushed down, so each column is computed once. Use it for predicates
-    on parsed columns; a predicate on raw input columns should stay a
-    ``where`` so it reaches the scan."""
-    cols = list(cols or df.columns)
-    return df.select(F.inline(F.when(condition, F.array(F.struct(*cols)))))
+    Catalyst pushes a filter below the projection that computes its columns
+    and evaluates them there once more for each mention (generated filters do
+    not share subexpressions). A row number beside the computed columns keeps
+    the filter above them; columns that nobody reads are still pruned. Use a
+    plain ``where`` on raw columns, and where later filters must reach the
+    scan."""
+    numbered = df.withColumn("__row", F.monotonically_increasing_id())
+    return numbered.where(condition & (F.col("__row") >= 0)).select(*df.columns)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -15,7 +17,8 @@ def dense_rank_in_groups(df: DataFrame, group_cols: list[str], order_col: str,
     of all rows. Here the order key is cut into fixed-width buckets: a small
     table of per-bucket counts gives each bucket's starting position (prefix
     sum), and the row_number runs per (group, bucket), which holds at most
-    ``bucket_width`` rows."""
+    ``bucket_width`` rows. Rows with a NULL in ``group_cols`` form a group of
+    their own, as in a window."""
     b = "__bucket"
     keyed = df.withColumn(b, F.floor(F.col(order_col) / F.lit(bucket_width)))
     keys = group_cols + [b]
@@ -24,6 +27,8 @@ def dense_rank_in_groups(df: DataFrame, group_cols: list[str], order_col: str,
                 .rowsBetween(Window.unboundedPreceding, -1))
     starts = counts.select(*keys, F.coalesce(F.sum("__n").over(w_prefix), F.lit(0)).alias("__start"))
     w_local = Window.partitionBy(*keys).orderBy(order_col)
-    return (keyed.join(starts, keys)
+    named = starts.select(*[F.col(k).alias(f"__k_{k}") for k in keys], "__start")
+    same = reduce(lambda x, y: x & y, [F.col(k).eqNullSafe(F.col(f"__k_{k}")) for k in keys])
+    return (keyed.join(named, same)
             .withColumn(out_col, (F.col("__start") + F.row_number().over(w_local) - 1).cast("long"))
-            .drop(b, "__start"))
+            .select(*df.columns, out_col))

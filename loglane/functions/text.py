@@ -112,8 +112,3 @@ def lossy_utf8(c: str | Column) -> Column:
     """Bytes or text decoded as UTF-8 with invalid sequences dropped
     (Python ``errors="ignore"``). A genuine U+FFFD is dropped as well."""
     return F.regexp_replace(F.make_valid_utf8(col_of(c).cast("string")), "\ufffd", "")
-
-
-def strict_utf8(c: str | Column) -> Column:
-    """Bytes decoded as UTF-8; NULL when invalid (the row becomes a reject)."""
-    return F.try_validate_utf8(col_of(c).cast("string"))

@@ -21,7 +21,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import date_from_file_name
-from ..functions.rows import rows_where
 from ..functions.text import before_first, drop_chars, last, nth, split_keep, ustrip
 from ..schemas import ACCESS_LOG_COLUMNS, ACCESS_LOG_LIMITS
 
@@ -32,10 +31,11 @@ PENDING = "pending"
 
 
 def cid_filter(df: DataFrame, line: str = "line") -> DataFrame:
-    """Keep login lines: strip each line (Python ``str.strip``), then keep the
-    ones containing ``cid:`` (case-sensitive). Runs right after the scan."""
-    stripped = df.withColumn(line, ustrip(line))
-    return stripped.where(F.col(line).contains(F.lit(CID_MARKER)))
+    """Keep lines containing ``cid:`` (case-sensitive) and strip them (Python
+    ``str.strip``). Stripping cannot change whether the marker occurs, so the
+    raw line is tested: the test reaches the scan and dropped lines are never
+    trimmed."""
+    return df.where(F.col(line).contains(F.lit(CID_MARKER))).withColumn(line, ustrip(line))
 
 
 def login_key(line: str | Column = "line") -> Column:
@@ -133,9 +133,11 @@ def length_violations(limits: dict[str, int] = ACCESS_LOG_LIMITS) -> Column:
 
 
 def split_by_length(parsed: DataFrame, limits: dict[str, int] = ACCESS_LOG_LIMITS) -> tuple[DataFrame, DataFrame]:
-    """(valid, rejected) by the table's column limits; one pass over a shared
-    reason column. A long value rejects its row, never the whole batch."""
+    """(valid, rejected) by the table's column limits. A long value rejects its
+    row, never the whole batch. Both are plain filters, so later filters and
+    column selections still reach the scan; a load that needs both writes the
+    tagged rows once (``plans.batch_load``)."""
     tagged = parsed.withColumn("reason", length_violations(limits))
-    return (rows_where(tagged, F.col("reason").isNull(), parsed.columns),
-            rows_where(tagged, F.col("reason").isNotNull()))
+    return (tagged.where(F.col("reason").isNull()).select(*parsed.columns),
+            tagged.where(F.col("reason").isNotNull()))
 

@@ -2,7 +2,7 @@
 
 Line format::
 
-    2026-03-18 14:32:01.123 | INFO  | user_id=123 | endpoint=/api/orders | ... [| error=...]
+    2031-07-05 08:00:00.250 | WARN  | user_id=u9 | endpoint=/v1/stock | ... [| error=...]
 
 Parts are split on ``|`` and stripped; part 0 is the timestamp and part 1
 the level; every later part holding ``=`` is a ``key=value`` pair split at
@@ -10,11 +10,10 @@ the first ``=``. Pairs are applied in order over the positional values, so a
 later pair wins, including a ``timestamp=`` or ``level=`` pair. Unknown keys
 are read and dropped. A line with fewer than two parts is rejected.
 
-Implementation: each field is one ``regexp_extract`` over the raw line
-whose greedy prefix lands on the last pair with that key; positional parts
-come from ``substring_index``. Literal patterns are compiled once per task,
-no intermediate is shared between fields (so the optimizer never repeats an
-expensive step when it inlines one), and no per-row lambdas are used.
+Implementation: one ``regexp_replace`` per line removes the white space
+around pipes and before each pair's first ``=``. In that form the last pair of
+a key starts at the last occurrence of the literal ``|key=``, so a field is
+found by plain substring searches, without a pattern, a map or a lambda.
 """
 
 from __future__ import annotations
@@ -22,42 +21,54 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.rows import rows_where
+from ..functions.rows import where_computed
 from ..functions.text import WS, before_first, ustrip
 from ..schemas import APP_LOG_COLUMNS, APP_LOG_LIMITS
 
+# Field names of the line format and the table.
 FIELDS = ["timestamp", "level", "user_id", "endpoint", "method", "status", "duration_ms", "ip", "error"]
 REASON_SHORT = "fewer than 2 fields"
 
 
-def lookup(line: Column, key: str) -> Column:
-    """Value of the last ``key=value`` part after position 1 (stripped),
-    NULL when there is none."""
-    g = F.regexp_extract(line, f"(?s)^[^|]*\\|[^|]*\\|(?:.*\\|)?{WS}*{key}{WS}*(=[^|]*)", 1)
-    return F.when(g != F.lit(""), ustrip(F.substring(g, 2, 1 << 30)))
+def pair_section(line: Column) -> Column:
+    """Parts 2.. of a line, each after a ``|``, without white space around pipes
+    and before a part's first ``=``; empty with two parts or fewer."""
+    rest = F.regexp_extract(line, r"(?s)^[^|]*\|[^|]*(\|.*)$", 1)
+    return F.regexp_replace(rest, f"{WS}*\\|{WS}*([^|=]*?){WS}*(=|(?=\\|)|$)", "|$1$2")
 
 
-def pair_section(line: Column) -> Column:
-    """``|`` + parts 2.. of the raw line (just ``|`` with two parts)."""
-    return F.concat(F.lit("|"), F.regexp_extract(line, r"(?s)^[^|]*\|[^|]*\|(.*)$", 1))
+def lookup(pairs: Column, key: str) -> Column:
+    """Value of the last pair of ``key`` (stripped), NULL when there is none.
+    ``pairs`` comes from ``pair_section``."""
+    mark = f"|{key}="
+    value = before_first(F.substring_index(pairs, mark, -1), "|")
+    return F.when(pairs.contains(F.lit(mark)), ustrip(value))
 
 
-def occurrences(section: Column, key: str) -> Column:
-    return F.regexp_count(section, F.lit(f"\\|{WS}*{key}{WS}*="))
+def occurrences(pairs: Column, key: str) -> Column:
+    mark = f"|{key}="
+    gone = F.length(pairs) - F.length(F.replace(pairs, F.lit(mark), F.lit("")))
+    return (gone / len(mark)).cast("int")
 
 
 def parse_app_log(df: DataFrame, line: str = "line", keep: list[str] | None = None) -> DataFrame:
     """All lines with their fields as text (NULL when missing) and a
     ``reason`` that is NULL for parseable lines."""
     keep = list(keep or [])
-    c = F.col(line)
+    src = df.select(*keep, F.col(line).alias("raw"), pair_section(F.col(line)).alias("pairs"))
+    c, pairs = F.col("raw"), F.col("pairs")
     p0 = ustrip(before_first(c, "|"))
     p1 = ustrip(F.substring_index(F.substring_index(c, "|", 2), "|", -1))
-    cols = [F.coalesce(lookup(c, "timestamp"), p0).alias("timestamp"),
-            F.coalesce(lookup(c, "level"), p1).alias("level")]
-    cols += [lookup(c, k).alias(k) for k in FIELDS[2:]]
+    cols = [F.coalesce(lookup(pairs, "timestamp"), p0).alias("timestamp"),
+            F.coalesce(lookup(pairs, "level"), p1).alias("level")]
+    cols += [lookup(pairs, k).alias(k) for k in FIELDS[2:]]
     reason = F.when(~c.contains(F.lit("|")), F.lit(REASON_SHORT))
-    return df.select(*keep, c.alias("raw"), *cols, reason.alias("reason"), pair_section(c).alias("pairs"))
+    return src.select(*keep, "raw", *cols, reason.alias("reason"), "pairs")
+
+
+def severity(status: Column) -> Column:
+    """HTTP status -> level word: >=500 ERROR, >=400 WARN, else INFO."""
+    return F.when(status >= 500, F.lit("ERROR")).when(status >= 400, F.lit("WARN")).otherwise(F.lit("INFO"))
 
 
 def override_count(pairs: Column) -> Column:
@@ -101,19 +112,19 @@ def type_app_log(parsed: DataFrame, limits: dict[str, int] = APP_LOG_LIMITS) ->
 
 
 def valid_rows(typed: DataFrame, extra: list[str] | None = None) -> DataFrame:
-    """Rows that can be stored (parse evaluated once; see ``rows_where``)."""
-    return rows_where(typed, F.col("reason").isNull(), list(extra or []) + APP_LOG_COLUMNS)
+    """Rows that can be stored."""
+    return where_computed(typed, F.col("reason").isNull()).select(*(extra or []), *APP_LOG_COLUMNS)
 
 
-def reject_rows(df: DataFrame, source: str, raw: str = "raw") -> DataFrame:
-    """Rows with a reason, in the reject-table shape."""
+def reject_rows(df: DataFrame, source: str, raw: str = "raw", keep: list[str] | None = None) -> DataFrame:
+    """Rows with a reason, in the reject-table shape (after the columns ``keep``)."""
     cols = set(df.columns)
 
     def opt(name: str, typ: str) -> Column:
         return (F.col(name) if name in cols else F.lit(None)).cast(typ).alias(name)
 
     shaped = df.select(
-        F.lit(source).alias("source"), opt("topic", "string"), opt("partition", "int"),
+        *(keep or []), F.lit(source).alias("source"), opt("topic", "string"), opt("partition", "int"),
         opt("offset", "bigint"), "reason", F.substring(F.col(raw), 1, 90).alias("preview90"),
         F.col(raw).alias("raw"))
-    return rows_where(shaped, F.col("reason").isNotNull())
+    return where_computed(shaped, F.col("reason").isNotNull())

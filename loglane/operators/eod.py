@@ -60,16 +60,6 @@ def trade_tokens(df: DataFrame, line: str = "line", guard: Column | None = None)
         "login", F.coalesce(login, F.lit(UNKNOWN))).drop("__t4", "__t5")
 
 
-def trade_pairs(day_lines: DataFrame, line: str = "line", file_name: str = "file_name",
-                log_date: Column | None = None) -> DataFrame:
-    """(log_date, ip, login) of every usable trade line (sentinels dropped;
-    an empty login is kept)."""
-    d = log_date if log_date is not None else date_from_file_name(file_name)
-    tl = trade_tokens(trade_lines(day_lines, line), line)
-    return (tl.where((F.col("ip") != UNKNOWN) & (F.col("login") != UNKNOWN))
-              .select(d.alias("log_date"), "ip", "login"))
-
-
 def _tokens_by_day(day_lines: DataFrame, line: str = "line", file_name: str = "file_name",
                    log_date: Column | None = None) -> DataFrame:
     d = log_date if log_date is not None else date_from_file_name(file_name)
@@ -123,7 +113,8 @@ def apply_flags(access: DataFrame, ips: DataFrame, log_dates: list[str] | None =
     """Flag ``access`` rows against the distinct trade IPs of their day.
 
     ``log_dates`` lists the days being closed (ISO text); None closes every
-    day present. The IP side is distinct per (log_date, ip), so the left
+    day present. Rows without a ``log_date`` belong to no day and stay as they
+    are. The IP side is distinct per (log_date, ip), so the left
     join never multiplies rows. Its size is known only at run time: AQE
     broadcasts it when the shuffled stage is under the broadcast threshold
     and otherwise keeps a sort-merge join, splitting skewed (NAT) IPs."""
@@ -131,7 +122,7 @@ def apply_flags(access: DataFrame, ips: DataFrame, log_dates: list[str] | None =
     if log_dates is not None:
         hits = hits.where(F.col("log_date").isin([F.to_date(F.lit(d)) for d in log_dates]))
     joined = access.join(hits, ["log_date", "ip"], "left")
-    in_scope = F.lit(True) if log_dates is None else F.col("log_date").isin(
+    in_scope = F.col("log_date").isNotNull() if log_dates is None else F.col("log_date").isin(
         [F.to_date(F.lit(d)) for d in log_dates])
     out = joined.select(*[flag_expr(F.col("__hit").isNotNull(), in_scope).alias("flag") if c == "flag"
                           else F.col(c) for c in access.columns])

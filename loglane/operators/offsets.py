@@ -12,8 +12,6 @@ import json
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.sequence import dense_rank_in_groups
-
 
 def visible(envelope: DataFrame) -> DataFrame:
     """Skip internal topics (names starting with ``__``)."""
@@ -81,13 +79,6 @@ def key_partition(key, partitions: int = 3):
     return F.when(key.isNotNull(), F.pmod(F.crc32(key.cast("binary")), F.lit(partitions)).cast("int"))
 
 
-def assign_offsets(df: DataFrame, partition: str, arrival: str, out: str = "offset",
-                   bucket_width: int = 1 << 20) -> DataFrame:
-    """Offsets as a broker assigns them: 0, 1, 2, ... per partition in
-    arrival order."""
-    return dense_rank_in_groups(df, [partition], arrival, out, bucket_width)
-
-
 def progress_offsets(spark: SparkSession, progress_json: list[str] | str) -> DataFrame:
     """Committed offsets from streaming progress (``query.lastProgress``
     JSON): the end offset per (topic, partition) of each Kafka source."""

@@ -40,7 +40,7 @@ def load_access_log(lines: DataFrame, path: str, load_id: str) -> None:
 def load_app_log(lines: DataFrame, path: str, load_id: str) -> None:
     """App-log lines -> ``path`` partitioned by (load_id, outcome)."""
     typed = ap.type_app_log(ap.parse_app_log(lines.withColumn("line", ustrip("line"))))
-    out = typed.select(*ap.FIELDS, "reason", F.substring("raw", 1, 90).alias("preview90"),
+    out = typed.select(*ap.FIELDS, "reason", F.substring("raw", 1, 90).alias("preview90"), "raw",
                        F.lit(load_id).alias("load_id"), outcome().alias("outcome"))
     _write(out, path, ["load_id", "outcome"])
 

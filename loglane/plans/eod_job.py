@@ -1,17 +1,19 @@
 """Day close over stored tables, safe to re-run and to interrupt.
 
 Layout:
-* ``raw``: streaming appends, partitioned by ``log_date``/``batch_id``,
-  never rewritten by this job;
+* ``raw``: streaming appends, partitioned by ``log_date``/``run_id``/``batch_id``,
+  never rewritten by this job; several raw paths may feed one table;
 * ``table``: the flagged access_log, one partition per ``log_date``,
-  keeping ``batch_id`` so a later run knows which batches it has.
+  keeping ``run_id`` and ``batch_id`` so a later run knows which batches it has.
 
 Closing day D: the rows of D already in ``table`` (their flags kept) plus
-the ``raw`` batches of D not yet there (a left anti join on ``batch_id``)
+the raw batches of D not yet there (a left anti join on run and batch)
 are flagged against the trade IPs of D's day file, written to a staging
 folder, then swapped into ``table`` with a dynamic overwrite of partition D
-only. Parquet tables have no UPDATE or MERGE here; a failure before the
-swap leaves ``table`` untouched, and a re-run starts over.
+only. Only D's folders are listed and read, with a declared schema. Parquet
+tables have no UPDATE or MERGE here; a failure before the swap leaves
+``table`` untouched, and a re-run starts over. The staging folder is removed
+at the end.
 """
 
 from __future__ import annotations
@@ -20,75 +22,86 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampType
 
 from ..functions.dates import iso_from_compact
 from ..operators import eod
 from ..operators.access_log import ACCESS_LOG_COLUMNS, PENDING
+from ..schemas import ACCESS_LOG
 from ..session import work_path
 from ..sources import fs
 from ..sources.files import read_day_file
 
+STORED = StructType([*ACCESS_LOG.fields, StructField("run_id", StringType()), StructField("batch_id", LongType()),
+                     StructField("etl_timestamp", TimestampType())])
+IDENTITY = ["run_id", "batch_id"]
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    return fs.exists(spark, path)
 
-
-def rows_to_close(spark: SparkSession, raw_path: str, table_path: str, log_date: str) -> DataFrame:
-    """Rows of one day: those already in the table plus new raw batches."""
-    d = F.to_date(F.lit(log_date))
-    cols = ACCESS_LOG_COLUMNS + ["batch_id"]
-    raw = spark.read.parquet(raw_path).where(F.col("log_date") == d).select(*cols)
-    if not _exists(spark, table_path):
-        return raw
-    have = spark.read.parquet(table_path).where(F.col("log_date") == d).select(*cols)
-    new = raw.join(have.select("batch_id").distinct(), "batch_id", "left_anti").select(*cols)
-    return have.unionByName(new)
+def _day(spark: SparkSession, path: str, log_date: str) -> DataFrame:
+    """Rows of one day of a table partitioned by log_date; none where the
+    table or the day is missing."""
+    folder = f"{path.rstrip('/')}/log_date={log_date}"
+    if not fs.exists(spark, folder):
+        return spark.createDataFrame([], STORED)
+    df = spark.read.schema(STORED).option("basePath", path).parquet(folder)
+    return df.withColumn("run_id", F.coalesce("run_id", F.lit(""))).select(*STORED.names)
 
 
-# Largest distinct trade-IP set that is broadcast (rows of (log_date, ip));
-# above it the join stays a sort-merge join with AQE skew splitting.
-BROADCAST_MAX_ROWS = 2_000_000
+def rows_to_close(spark: SparkSession, raw_path: str | list[str], table_path: str, log_date: str) -> DataFrame:
+    """Rows of one day: those already in the table plus new raw batches of all
+    raw paths. A batch is known by its run and its number."""
+    have = _day(spark, table_path, log_date)
+    out = have
+    for path in [raw_path] if isinstance(raw_path, str) else raw_path:
+        new = _day(spark, path, log_date).join(have.select(*IDENTITY).distinct(), IDENTITY, "left_anti")
+        out = out.unionByName(new.select(*STORED.names))
+    return out
 
 
-def close_day(spark: SparkSession, date_compact: str, day_file: str, raw_path: str,
-              table_path: str, broadcast_max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Run the day close for ``date_compact`` (YYYYMMDD). Returns the summary
-    (log_date, lines_scanned, trade_ips, trade_count, lilo_count), counting
-    the rows changed by this run.
+def close_day(spark: SparkSession, date_compact: str, day_file: str, raw_path: str | list[str],
+              table_path: str, table_name: str | None = None) -> DataFrame:
+    """Run the day close for ``date_compact`` (YYYYMMDD). Returns one summary
+    row (log_date, lines_scanned, trade_ips, trade_count, lilo_count), counting
+    the rows changed by this run; a day without access rows gives zeros.
+    ``table_name``: a catalog table over ``table_path`` that learns of the day.
 
     The day file is scanned once: its distinct trade IPs (with the line
-    count) are written to the staging folder, which also cuts lineage, then
-    counted there and broadcast only when the count is within
-    ``broadcast_max_rows``."""
-    if not _exists(spark, day_file):
+    count) are written to the staging folder, which also cuts lineage. Their
+    size is then known, and the planner and AQE choose the join by bytes."""
+    if not fs.exists(spark, day_file):
         raise FileNotFoundError(f"day file not found: {day_file}")
     log_date = iso_from_compact(date_compact)
     d = F.to_date(F.lit(log_date))
     staging = work_path(spark, "staging", f"eod-{date_compact}-{uuid.uuid4().hex[:8]}")
 
-    eod.trade_ip_scan(read_day_file(spark, day_file), log_date=d).write.mode("overwrite") \
-        .parquet(f"{staging}/trade_ip_scan")
-    scan = spark.read.parquet(f"{staging}/trade_ip_scan")
-    n_lines = scan.agg(F.sum("lines")).first()[0] or 0  # one row per key: small
+    found = eod.trade_ip_scan(read_day_file(spark, day_file), log_date=d)
+    found.write.mode("overwrite").parquet(f"{staging}/trade_ip_scan")
+    scan = spark.read.schema(found.schema).parquet(f"{staging}/trade_ip_scan")
+    n_lines, n_ips = scan.agg(F.coalesce(F.sum("lines"), F.lit(0)), F.count_if("usable")).first()
     ips = scan.where(F.col("usable")).select("log_date", "ip")
-    n_ips = ips.count()
-    side = F.broadcast(ips) if n_ips <= broadcast_max_rows else ips
 
     rows = rows_to_close(spark, raw_path, table_path, log_date).withColumn("__was", F.col("flag"))
-    flagged = eod.apply_flags(rows, side, [log_date])
-    # Range-partition on ip: a day is written by many tasks, and each file holds
-    # one ip range (min/max statistics then skip files for ip lookups).
-    flagged.repartitionByRange("ip").sortWithinPartitions("ip").write.mode("overwrite") \
-        .partitionBy("log_date").parquet(f"{staging}/rows")
-    staged = spark.read.parquet(f"{staging}/rows")
-    (staged.drop("__was").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("log_date").parquet(table_path))
+    flagged = eod.apply_flags(rows, ips, [log_date])
+    # Ranges of (ip, time): a day is written by many tasks, also where one
+    # address has most rows, and files hold few addresses, sorted (min/max
+    # statistics then skip files for ip lookups).
+    (flagged.repartitionByRange("log_date", "ip", "log_time").sortWithinPartitions("log_date", "ip")
+     .write.mode("overwrite").partitionBy("log_date").parquet(f"{staging}/rows"))
+    staged = spark.read.schema(StructType([*STORED.fields, StructField("__was", StringType())])) \
+        .option("basePath", f"{staging}/rows").parquet(f"{staging}/rows")
+    if any(c.startswith("log_date=") for c in fs.children(spark, f"{staging}/rows")):
+        (staged.drop("__was").sortWithinPartitions("log_date", "ip").write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy("log_date").parquet(table_path))
+        if table_name:
+            from .tables import refresh
+
+            refresh(spark, table_name)
     changed = F.col("__was") == F.lit(PENDING)
-    counts = staged.groupBy("log_date").agg(
-        F.count_if(changed & (F.col("flag") == eod.TRADE)).alias("trade_count"),
-        F.count_if(changed & (F.col("flag") == eod.LILO)).alias("lilo_count"))
-    return counts.select("log_date", F.lit(n_lines).cast("bigint").alias("lines_scanned"),
-                         F.lit(n_ips).cast("bigint").alias("trade_ips"), "trade_count", "lilo_count")
+    trade, lilo = staged.agg(F.count_if(changed & (F.col("flag") == eod.TRADE)),
+                             F.count_if(changed & (F.col("flag") == eod.LILO))).first()
+    fs.delete(spark, staging)
+    return spark.range(1).select(d.alias("log_date"), *[F.lit(int(v)).cast("bigint").alias(k) for k, v in (
+        ("lines_scanned", n_lines), ("trade_ips", n_ips), ("trade_count", trade), ("lilo_count", lilo))])
 
 
 def run_clock(offset_hours: int = 6):
@@ -100,5 +113,5 @@ def run_clock(offset_hours: int = 6):
 
 def summary_message(row) -> str:
     """One-line day-close message."""
-    return (f"EOD flags updated for {row['log_date']} | scanned {row['lines_scanned']:,} lines, "
-            f"{row['trade_ips']:,} trade IPs | trade: {row['trade_count']:,} | lilo: {row['lilo_count']:,}")
+    return (f"Closed {row['log_date']}: {row['lines_scanned']:,} lines, {row['trade_ips']:,} trade IPs; "
+            f"{row['trade_count']:,} rows set to trade, {row['lilo_count']:,} to lilo")

@@ -12,25 +12,29 @@ ev AS (
          'trading_' || strftime(CAST(ts AS DATE), '%Y%m%d') || '.log' AS file_name,
          strftime(ts, '%H:%M:%S.%g') AS log_time,
          '10.0.0.' || CAST(user_id // 3 AS VARCHAR) AS ip,
-         CAST(user_id + 11000000 AS VARCHAR) AS login,
-         (event_type = 'purchase' AND event_id % 4 <> 3)
-           OR (event_type IN ('click', 'view') AND event_id % 4 = 1) AS is_trade,
+         CASE WHEN event_type IN ('click', 'view') AND event_id % 60 = 21 THEN ''
+              ELSE CAST(user_id + 11000000 AS VARCHAR) END AS login,
+         (event_type = 'purchase' AND event_id % 16 NOT IN (3, 9, 10, 11, 12, 15))
+           OR (event_type IN ('click', 'view') AND event_id % 4 = 1 AND event_id % 70 <> 31) AS is_trade,
+         (event_type = 'purchase' AND event_id % 16 NOT IN (3, 9, 10, 11, 12, 15) AND event_id % 48 <> 22)
+           OR (event_type IN ('click', 'view') AND event_id % 4 = 1 AND event_id % 70 <> 31) AS is_usable,
          event_type IN ('click', 'view') AS is_login,
+         event_id % 70 = 31 AS short,
          event_id % 500 = 250 AS long_device
   FROM events)"""
 
 TRADE_IPS = """
-trade_ips AS (SELECT DISTINCT log_date, ip FROM ev WHERE is_trade)"""
+trade_ips AS (SELECT DISTINCT log_date, ip FROM ev WHERE is_usable)"""
 
 ACC = """
 acc AS (
   SELECT file_name, log_date, log_time, ip, login,
          CASE WHEN event_id % 20 = 0 THEN 'unknown' ELSE md5(CAST(event_id AS VARCHAR)) END AS cid,
-         CASE WHEN long_device THEN 'Client ' || repeat('Q', 120)
-              WHEN event_id % 3 = 0 THEN 'Client iPhone'
-              WHEN event_id % 3 = 1 THEN 'Client Android'
-              ELSE 'Client' END AS device,
-         CASE WHEN event_id % 20 = 0 THEN 'cid: ' || md5(CAST(event_id AS VARCHAR))
+         CASE WHEN long_device THEN 'Terminal ' || repeat('Q', 120)
+              WHEN event_id % 3 = 0 THEN 'Terminal Alpha'
+              WHEN event_id % 3 = 1 THEN 'Terminal Beta'
+              ELSE 'Terminal' END AS device,
+         CASE WHEN short THEN 'Unknown' WHEN event_id % 20 = 0 THEN 'cid: ' || md5(CAST(event_id AS VARCHAR))
               ELSE 'point: Access Server Asia ' || CAST(event_id % 2 + 1 AS VARCHAR) END AS server,
          'pending' AS flag,
          CASE WHEN event_id % 20 = 0 THEN 'yes' ELSE 'no' END AS investor,
@@ -86,8 +90,7 @@ env AS (
   SELECT CASE WHEN event_type = 'signup' THEN '__internal' ELSE event_type END AS topic,
          CAST(user_id % 3 AS INTEGER) AS "partition", event_id
   FROM events),
-env_off AS (
-  SELECT *, row_number() OVER (PARTITION BY topic, "partition" ORDER BY event_id) - 1 AS "offset" FROM env),
+env_off AS (SELECT *, event_id AS "offset" FROM env),
 wm AS (
   SELECT topic, "partition", CAST(min("offset") AS BIGINT) AS low, CAST(max("offset") + 1 AS BIGINT) AS high
   FROM env_off GROUP BY topic, "partition"),
@@ -117,8 +120,8 @@ FROM flagged GROUP BY log_date"""
 
 SQL["eod_rerun_sticky"] = f"""
 WITH {EV}, {ACC},
-early_ips AS (SELECT DISTINCT log_date, ip FROM ev WHERE is_trade AND log_time < '18:00:00.000'),
-all_ips AS (SELECT DISTINCT log_date, ip FROM ev WHERE is_trade)
+early_ips AS (SELECT DISTINCT log_date, ip FROM ev WHERE is_usable AND log_time < '18:00:00.000'),
+all_ips AS (SELECT DISTINCT log_date, ip FROM ev WHERE is_usable)
 SELECT a.file_name, a.log_date, a.log_time, a.ip, a.login, a.cid, a.device, a.server,
        CASE WHEN a.log_time < '18:00:00.000'
             THEN CASE WHEN e.ip IS NOT NULL THEN 'trade' ELSE 'lilo' END
@@ -135,15 +138,15 @@ SELECT file_name, event_id AS line_no FROM ev WHERE is_trade"""
 
 SQL["trade_ip_logins"] = f"""
 WITH {EV}
-SELECT DISTINCT log_date, ip, login FROM ev WHERE is_trade"""
+SELECT DISTINCT log_date, ip, login FROM ev WHERE is_usable"""
 
 SQL["trade_ip_login_counts"] = f"""
 WITH {EV}
-SELECT log_date, ip, count(DISTINCT login) AS n_logins FROM ev WHERE is_trade GROUP BY log_date, ip"""
+SELECT log_date, ip, count(DISTINCT login) AS n_logins FROM ev WHERE is_usable GROUP BY log_date, ip"""
 
 SQL["trade_scan_summary"] = f"""
 WITH {EV}
-SELECT file_name, count(*) AS lines_scanned, count(DISTINCT CASE WHEN is_trade THEN ip END) AS trade_ips
+SELECT file_name, count(*) AS lines_scanned, count(DISTINCT CASE WHEN is_usable THEN ip END) AS trade_ips
 FROM ev GROUP BY file_name"""
 
 SQL["cid_filter"] = f"""
@@ -158,11 +161,11 @@ SELECT {ACCESS_COLS} FROM acc"""
 SQL["access_log_parse_labelled"] = f"""
 WITH {EV}
 SELECT file_name, log_date, log_time, ip, login, md5(CAST(event_id AS VARCHAR)) AS cid,
-       CASE WHEN long_device THEN 'Client ' || repeat('Q', 120)
-            WHEN event_id % 3 = 0 THEN 'Client iPhone'
-            WHEN event_id % 3 = 1 THEN 'Client Android'
-            ELSE 'Client' END AS device,
-       'point: Access Server Asia ' || CAST(event_id % 2 + 1 AS VARCHAR) AS server,
+       CASE WHEN long_device THEN 'Terminal ' || repeat('Q', 120)
+            WHEN event_id % 3 = 0 THEN 'Terminal Alpha'
+            WHEN event_id % 3 = 1 THEN 'Terminal Beta'
+            ELSE 'Terminal' END AS device,
+       CASE WHEN NOT short THEN 'point: Access Server Asia ' || CAST(event_id % 2 + 1 AS VARCHAR) END AS server,
        'pending' AS flag,
        CASE WHEN event_id % 20 = 0 THEN 'yes' ELSE 'no' END AS investor
 FROM ev WHERE is_login"""
@@ -174,11 +177,11 @@ FROM ev WHERE is_login AND long_device"""
 
 SQL["login_key"] = f"""
 WITH {EV}
-SELECT file_name, login AS key, count(*) AS messages FROM ev WHERE is_login GROUP BY file_name, login"""
+SELECT file_name, nullif(login, '') AS key, count(*) AS messages FROM ev WHERE is_login GROUP BY ALL"""
 
 SQL["login_event_order"] = f"""
 WITH {EV}
-SELECT login AS key, event_id AS line_no,
+SELECT nullif(login, '') AS key, event_id AS line_no,
        row_number() OVER (PARTITION BY login ORDER BY event_id) - 1 AS seq
 FROM ev WHERE is_login"""
 
@@ -207,12 +210,12 @@ SELECT line_no, "timestamp", level, status, 1 AS overrides FROM app_parsed WHERE
 
 SQL["app_log_rejects"] = f"""
 WITH {APP}
-SELECT 'fewer than 2 fields' AS reason,
-       CASE WHEN v = 1 THEN 'malformed line ' || CAST(line_no AS VARCHAR) ELSE '' END AS preview90
+SELECT line_no, 'fewer than 2 fields' AS reason,
+       CASE WHEN v = 1 THEN 'malformed line ' || CAST(line_no AS VARCHAR) ELSE '' END AS preview90, preview90 AS raw
 FROM app2 WHERE v IN (1, 8)
 UNION ALL
-SELECT CASE WHEN v = 3 THEN 'status is not an integer' ELSE 'timestamp is not a timestamp' END AS reason,
-       substring(line, 1, 90) AS preview90
+SELECT line_no, CASE WHEN v = 3 THEN 'status is not an integer' ELSE 'timestamp is not a timestamp' END AS reason,
+       substring(line, 1, 90) AS preview90, line AS raw
 FROM app_parsed WHERE v IN (3, 7)"""
 
 SQL["status_severity"] = f"""
@@ -265,7 +268,7 @@ SELECT "timestamp", level, user_id, endpoint, method, status, duration_ms, ip, e
 # decimal logins, so each character is one byte.
 SQL["key_partition"] = f"""
 WITH RECURSIVE {EV},
-keys AS (SELECT login AS key, count(*) AS messages FROM ev WHERE is_login GROUP BY login),
+keys AS (SELECT login AS key, count(*) AS messages FROM ev WHERE is_login AND login <> '' GROUP BY login),
 st(key, pos, bit, crc) AS (
   SELECT key, 0, 8, CAST(4294967295 AS BIGINT) FROM keys
   UNION ALL
@@ -277,4 +280,54 @@ st(key, pos, bit, crc) AS (
               ELSE crc >> 1 END
   FROM st WHERE NOT (pos = length(key) AND bit = 8))
 SELECT k.key, CAST(xor(s.crc, CAST(4294967295 AS BIGINT)) % 3 AS INTEGER) AS "partition", k.messages
-FROM keys k JOIN st s ON s.key = k.key AND s.pos = length(k.key) AND s.bit = 8"""
+FROM keys k JOIN st s ON s.key = k.key AND s.pos = length(k.key) AND s.bit = 8
+UNION ALL
+SELECT NULL, NULL, count(*) FROM ev WHERE is_login AND login = '' HAVING count(*) > 0"""
+
+SQL["orders_json_rejects"] = """
+SELECT o_orderkey,
+       CASE o_orderkey % 8 WHEN 1 THEN 'missing or mistyped: quantity'
+            WHEN 2 THEN 'missing or mistyped: customer, item, quantity'
+            WHEN 5 THEN 'value is not UTF-8' WHEN 6 THEN 'value is missing'
+            ELSE 'not an order message' END AS reason
+FROM orders WHERE o_orderkey % 8 <> 0"""
+
+ONE_DAY = "'trading_20310705.log' AS file_name, DATE '2031-07-05' AS log_date"
+
+SQL["stream_topic_access_log"] = f"""
+WITH {EV}, {ACC}
+SELECT * REPLACE ({ONE_DAY}) FROM (
+SELECT {ACCESS_COLS} FROM acc WHERE NOT long_device
+UNION ALL
+SELECT file_name, log_date, log_time, ip, login, 'unknown' AS cid,
+       CASE event_id % 3 WHEN 0 THEN 'Terminal Alpha)' WHEN 1 THEN 'Terminal Beta)' ELSE 'Terminal)' END AS device,
+       'Unknown' AS server, 'pending' AS flag, 'no' AS investor
+FROM ev WHERE event_type = 'signup')"""
+
+SQL["stream_counters"] = f"""
+WITH {EV}
+SELECT count(*) AS lines, CAST(count_if(is_login) AS BIGINT) AS sent, CAST(count_if(NOT is_login) AS BIGINT) AS skipped,
+       CAST(count_if(is_login AND NOT long_device) AS BIGINT) AS inserted,
+       CAST(count_if(is_login AND long_device) AS BIGINT) AS rejected
+FROM ev"""
+
+SQL["undated_rejects"] = f"""
+WITH {EV}
+SELECT 'no date in the file name' AS reason, 'trading_today.log' AS topic, count(*) AS lines, count(*) AS whole_lines
+FROM ev WHERE is_login HAVING count(*) > 0"""
+
+SQL["close_day_two_feeds"] = f"""
+WITH {EV}, {ACC}
+SELECT * REPLACE ({ONE_DAY}) FROM (
+SELECT a.file_name, a.log_date, a.log_time, a.ip, a.login, a.cid, a.device, a.server,
+       CASE WHEN a.ip IN (SELECT ip FROM ev WHERE is_usable) THEN 'trade' ELSE 'lilo' END AS flag, a.investor
+FROM acc a WHERE NOT a.long_device)"""
+
+SQL["close_day_empty"] = f"""
+WITH {EV}
+SELECT DATE '2031-07-05' AS log_date, count(*) AS lines_scanned,
+       count(DISTINCT CASE WHEN is_usable THEN ip END) AS trade_ips,
+       CAST(0 AS BIGINT) AS trade_count, CAST(0 AS BIGINT) AS lilo_count
+FROM ev"""
+
+SQL["utf16_day_scan"] = SQL["trade_scan_summary"]

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.dates import date_from_file_name
-from ..functions.rows import rows_where
+from ..functions.rows import where_computed
 from ..functions.sequence import dense_rank_in_groups
 from ..functions.text import ustrip
 from ..operators import access_log as al
@@ -68,7 +68,8 @@ def access_table(spark: SparkSession, sf_dir: str) -> DataFrame:
         parsed = al.parse_strict(al.cid_filter(day_lines(spark, sf_dir)))
         valid, _ = al.split_by_length(parsed)
         # Files cover (log_date, ip) ranges; never one task per day.
-        return valid.repartitionByRange("log_date", "ip").sortWithinPartitions("log_date", "ip")
+        # The time splits a hot address.
+        return (valid.repartitionByRange("log_date", "ip", "log_time").sortWithinPartitions("log_date", "ip"))
     return derived_table(spark, "access_log", [_path(sf_dir, "events")], build,
                          partition_by=["log_date"]).select(*al.ACCESS_LOG_COLUMNS)
 
@@ -117,9 +118,9 @@ def eod_rerun_sticky(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = day_lines(spark, sf_dir)
     acc = access_table(spark, sf_dir)
     line_time = F.get(F.split(F.col("line"), "\t"), F.lit(3))
-    first = eod.apply_flags(acc.where(F.col("log_time") < CUTOFF),
-                            eod.trade_ips(lines.where(line_time < CUTOFF)))
-    late = acc.where(~(F.col("log_time") < CUTOFF))
+    early = F.coalesce(F.col("log_time") < CUTOFF, F.lit(False))
+    first = eod.apply_flags(acc.where(early), eod.trade_ips(lines.where(line_time < CUTOFF)))
+    late = acc.where(~early)
     return eod.apply_flags(first.unionByName(late), eod.trade_ips(lines))
 
 
@@ -259,15 +260,16 @@ def kv_last_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines where a field is set more than once (a repeated pair, or a
     pair over a positional value) and the value that won."""
     p = _app_parsed(spark, sf_dir).withColumn("overrides", ap.override_count(F.col("pairs")))
-    return rows_where(p, F.col("reason").isNull() & (F.col("overrides") > 0),
-                      ["line_no", "timestamp", "level", "status", "overrides"])
+    won = where_computed(p, F.col("reason").isNull() & (F.col("overrides") > 0))
+    return won.select("line_no", "timestamp", "level", "status", "overrides")
 
 
 @query("app_log_rejects")
 def app_log_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every app-log line that cannot be stored, with reason and preview."""
+    """Every app-log line that cannot be stored: its number, the reason, the
+    whole line and the 90-character preview."""
     t = ap.type_app_log(_app_parsed(spark, sf_dir))
-    return ap.reject_rows(t, "app-logs").select("reason", "preview90")
+    return ap.reject_rows(t, "app-logs", keep=["line_no"]).select("line_no", "reason", "preview90", "raw")
 
 
 @query("status_severity")
@@ -276,7 +278,7 @@ def status_severity(spark: SparkSession, sf_dir: str) -> DataFrame:
     to 5, and how often each status occurs among stored rows."""
     t = app_log_typed(spark, sf_dir).where(F.col("status").isNotNull())
     return t.groupBy("status").agg(F.count(F.lit(1)).alias("lines")).select(
-        "status", F.rpad(fixtures.severity(F.col("status")), 5, " ").alias("severity"), "lines")
+        "status", F.rpad(ap.severity(F.col("status")), 5, " ").alias("severity"), "lines")
 
 
 # --- orders ----------------------------------------------------------------------
@@ -295,6 +297,14 @@ def orders_json_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dec.where(F.col("reason").isNull()).select("key", "order_id", "customer", "item", "quantity")
 
 
+@query("orders_json_rejects")
+def orders_json_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Damaged order messages, each with its reason."""
+    bad = fixtures.order_texts(table(spark, sf_dir, "orders"))
+    dec = od.decode_orders(bad, keep=["o_orderkey"])
+    return where_computed(dec, F.col("reason").isNotNull()).select("o_orderkey", "reason")
+
+
 # --- stream health -----------------------------------------------------------------
 
 @query("topic_catalog")
@@ -337,8 +347,9 @@ def stream_access_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ..streaming import ingest
 
     landing = derived_path(spark, "trading_landing", [_path(sf_dir, "events")],
-                           # one file per day, as a log server leaves them
-                           lambda: day_lines(spark, sf_dir).select("file_name", "line").repartition("file_name"),
+                           # a large day is several files
+                           lambda: day_lines(spark, sf_dir).repartitionByRange("file_name", "line_no")
+                           .select("file_name", "line"),
                            partition_by=["file_name"])
     run = _run_dir(spark, "stream-access")
     q = ingest.ingest_access_log(spark, landing, f"{run}/raw", f"{run}/rejects", f"{run}/checkpoint")
@@ -357,3 +368,113 @@ def stream_app_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     q = ingest.ingest_app_log(spark, landing, f"{run}/raw", f"{run}/rejects", f"{run}/checkpoint")
     q.awaitTermination()
     return spark.read.parquet(f"{run}/raw").select(*ap.FIELDS)
+
+
+def _landed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return day_lines(spark, sf_dir).select("file_name", "line_no", "line")
+
+
+def _write_batch(spark: SparkSession, lines: DataFrame, run: str, feed: str, batch_id: int) -> str:
+    from ..streaming import ingest
+
+    ingest.access_log_sink(f"{run}/{feed}/raw", f"{run}/{feed}/rejects")(lines.select("file_name", "line"), batch_id)
+    return f"{run}/{feed}/raw"
+
+
+@query("stream_topic_access_log")
+def stream_topic_access_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All login and logout lines as topic records of one day, read by the
+    consumer: every record is parsed, also those without ``cid:``."""
+    from ..sources.files import lines_to_envelope
+    from ..streaming import ingest
+
+    lines = day_lines(spark, sf_dir).where(F.col("line").contains(": log"))
+    run = _run_dir(spark, "stream-topic")
+    records = lines_to_envelope(lines, topic="trading-access-logs").withColumn("partition", F.lit(0))
+    records.write.parquet(f"{run}/topic")
+    q = ingest.ingest_topic_access_log(
+        spark.readStream.schema(records.schema).parquet(f"{run}/topic"), f"{run}/raw", f"{run}/rejects",
+        f"{run}/checkpoint", ONE_DAY)
+    q.awaitTermination()
+    return spark.read.parquet(f"{run}/raw").select(*al.ACCESS_LOG_COLUMNS)
+
+
+@query("stream_counters")
+def stream_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counters that the landing-folder ingest writes, summed over its batches."""
+    from ..streaming import ingest
+
+    run = _run_dir(spark, "stream-counters")
+    day_lines(spark, sf_dir).select("file_name", "line").write.partitionBy("file_name").text(f"{run}/landing")
+    q = ingest.ingest_access_log(spark, f"{run}/landing", f"{run}/raw", f"{run}/rejects", f"{run}/checkpoint",
+                                 max_files_per_trigger=64, counters_path=f"{run}/counters")
+    q.awaitTermination()
+    names = ("lines", "sent", "skipped", "inserted", "rejected")
+    return spark.read.parquet(f"{run}/counters").agg(*[F.sum(c).alias(c) for c in names])
+
+
+@query("undated_rejects")
+def undated_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of a landing file without a date in its name: none is loaded, each
+    login line is a reject with its whole text."""
+    run = _run_dir(spark, "undated")
+    lines = _landed(spark, sf_dir).withColumn("file_name", F.lit("trading_today.log"))
+    _write_batch(spark, lines, run, "a", 0)
+    rej = spark.read.parquet(f"{run}/a/rejects")
+    return rej.groupBy("reason", "topic").agg(F.count(F.lit(1)).alias("lines"),
+                                              F.count_if(F.col("raw").contains("cid:")).alias("whole_lines"))
+
+
+#: Queries of a single day take all lines as that day's.
+ONE_DAY = "20310705"
+
+
+def _two_feeds(spark: SparkSession, sf_dir: str) -> tuple[str, list[str], str]:
+    """All lines as one day's, dealt to two raw paths that both start at batch
+    0, and the day file."""
+    run = _run_dir(spark, "close")
+    day = f"trading_{ONE_DAY}.log"
+    lines = _landed(spark, sf_dir).withColumn("file_name", F.lit(day))
+    raws = [_write_batch(spark, lines.where(F.col("line_no") % 2 == i), run, f"feed{i}", 0) for i in (0, 1)]
+    lines.select("line").write.text(f"{run}/logs/{day}")
+    return run, raws, f"{run}/logs/{day}"
+
+
+@query("close_day_two_feeds")
+def close_day_two_feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A day closed twice through the stored tables: first with one feed, then
+    with both. Batches of both feeds are numbered 0."""
+    from .eod_job import close_day
+
+    run, raws, day_file = _two_feeds(spark, sf_dir)
+    close_day(spark, ONE_DAY, day_file, raws[:1], f"{run}/table")
+    close_day(spark, ONE_DAY, day_file, raws, f"{run}/table")
+    return spark.read.parquet(f"{run}/table").select(*al.ACCESS_LOG_COLUMNS)
+
+
+@query("close_day_empty")
+def close_day_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Summary of closing a day whose access rows never arrived: the day file
+    is scanned, and one row reports zero changes."""
+    from .eod_job import close_day
+
+    run, _, day_file = _two_feeds(spark, sf_dir)
+    return close_day(spark, ONE_DAY, day_file, f"{run}/nothing", f"{run}/empty_table")
+
+
+@query("utf16_day_scan")
+def utf16_day_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trade IPs per day from a folder where every other day file is UTF-16
+    (with a malformed unit in each line), read by the one encoding-aware
+    reader."""
+    from ..sources.files import read_lines
+
+    run = _run_dir(spark, "utf16")
+    wide = F.dayofmonth(F.to_date(F.substring("file_name", 9, 8), "yyyyMMdd")) % 2 == 0
+    text = F.regexp_replace(F.col("line"), "\u00a0", " ")  # keeps the rendered bytes within one byte per unit
+    units = F.regexp_replace(F.hex(text.cast("binary")), "(..)", "$100")
+    # little-endian: each line after the first begins with half of the newline before it
+    wide_line = F.unhex(F.concat(F.lit("00"), units, F.lit("00D8")))
+    out = _landed(spark, sf_dir).select("file_name", F.when(wide, wide_line).otherwise(text.cast("binary")).cast("string").alias("line"))
+    out.write.partitionBy("file_name").text(f"{run}/logs")
+    return eod.scan_summary(read_lines(spark, f"{run}/logs"))

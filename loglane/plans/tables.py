@@ -9,10 +9,12 @@ from ..schemas import ACCESS_LOG, APP_LOG, ddl
 
 
 def create_app_logs(spark: SparkSession, name: str = "app_logs", location: str | None = None) -> str:
-    """app_logs (9 columns + batch_id) if it does not exist yet."""
+    """app_logs (9 columns, load time, run and batch) if it does not exist yet.
+    Its location is the ``raw`` path of an app-log ingest; call ``refresh`` after
+    loads."""
     loc = f" LOCATION '{location}'" if location else ""
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({ddl(APP_LOG)}, `batch_id` bigint) USING parquet"
-              f" PARTITIONED BY (batch_id){loc}")
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({ddl(APP_LOG)}, `created_at` timestamp, `run_id` string, `batch_id` bigint)"
+              f" USING parquet PARTITIONED BY (run_id, batch_id){loc}")
     return name
 
 
@@ -22,6 +24,12 @@ def create_access_log(spark: SparkSession, name: str = "access_log", location: s
     loc = f" LOCATION '{location}'" if location else ""
     cols = [f for f in ACCESS_LOG.fields if f.name != "log_date"]
     body = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in cols)
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({body}, `batch_id` bigint, `log_date` date) USING parquet"
-              f" PARTITIONED BY (log_date){loc}")
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({body}, `run_id` string, `batch_id` bigint, `etl_timestamp` timestamp,"
+              f" `log_date` date) USING parquet PARTITIONED BY (log_date){loc}")
     return name
+
+
+def refresh(spark: SparkSession, name: str) -> None:
+    """Make partitions that jobs wrote under a table's location visible to SQL."""
+    spark.sql(f"MSCK REPAIR TABLE {name}")
+    spark.catalog.refreshTable(name)

@@ -45,9 +45,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints, staging and landing data.
 
     A cluster names it in ``spark.checkpoint.dir``; that value is used as is.
-    Only when it is unset (local runs, tests) is a scratch folder made."""
+    Only a local run may leave it unset: it gets a scratch folder. Elsewhere
+    executors would each write to their own disk, so that is refused."""
     d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not d:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         d = tempfile.mkdtemp(prefix="loglane-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     spark.sparkContext.setCheckpointDir(d)

@@ -58,9 +58,9 @@ def derived_table(spark: SparkSession, name: str, inputs: list[str],
         tmp = f"{final}.tmp-{uuid.uuid4().hex[:8]}"
         df = build()
         par = spark.sparkContext.defaultParallelism
-        if not partition_by and df.rdd.getNumPartitions() < par:
+        if not partition_by:
             # Small inputs come as one file; spread them so scans run in parallel.
-            df = df.repartition(par)
+            df = df.repartition(max(par, int(spark.conf.get("spark.sql.shuffle.partitions"))))
         w = df.write.mode("overwrite")
         if partition_by:
             w = w.partitionBy(*partition_by)

@@ -35,16 +35,54 @@ def _head_bytes(spark: SparkSession, path: str, n: int = 2) -> bytes:
 
 def detect_encoding(spark: SparkSession, path: str) -> str:
     """``UTF-16LE``/``UTF-16BE`` when the file starts with a UTF-16 byte-order
-    mark, else ``UTF-8``: a UTF-16 read without a mark fails, and the
-    reader then falls back to the platform encoding."""
+    mark, else ``UTF-8``. Folders may mix encodings; their lines are told
+    apart one by one (``decoded_line``)."""
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     if not fs.exists(p) or fs.getFileStatus(p).isDirectory():
-        return "UTF-8"  # folders of landed files are read as UTF-8 text
+        return "UTF-8"
     return _BOMS.get(_head_bytes(spark, path), "UTF-8")
 
 
+# One well-formed UTF-16 sequence as hex digits, big-endian: a unit that is no
+# surrogate, or a high and a low surrogate.
+_UNITS = "(?:(?!D[89A-F])[0-9A-F]{4}|D[89AB][0-9A-F]{2}D[C-F][0-9A-F]{2})"
+
+
+def _utf16(hex_be: Column) -> Column:
+    """Text of big-endian UTF-16 given as hex digits; malformed units (lone
+    surrogates, half a unit) and U+FFFD are dropped, as bad UTF-8 is."""
+    good = F.regexp_replace(hex_be, f"\\G({_UNITS}*+)(?:[0-9A-F]{{4}}|[0-9A-F]{{1,3}}$)", "$1")
+    return F.replace(F.decode(F.unhex(good), "UTF-16BE"), F.lit("\ufffd"), F.lit(""))
+
+
+def _swapped(hex_le: Column) -> Column:
+    return F.regexp_replace(hex_le, "([0-9A-F]{2})([0-9A-F]{2})", "$2$1")
+
+
+def decoded_line(value: Column) -> Column:
+    """Text of one line as the text source cuts it after each byte 0A, in
+    whichever encoding its file was written; bad sequences are dropped.
+
+    Log text in UTF-16 has zero bytes, UTF-8 text has none. The cut leaves the
+    newline's other byte: before every later line of a little-endian file, at
+    the end of every line of a big-endian one. A line that could be either
+    counts as little-endian, which reads the same for ASCII. Characters with a
+    byte 0A (such as U+010A) would cut a line; log text has none. The last
+    newline of a little-endian file leaves one more blank line."""
+    text = value.cast("string")
+    h = F.hex(value.cast("binary"))
+    le_mark, be_mark = h.startswith("FFFE"), h.startswith("FEFF")
+    later_le = h.startswith("00") & (F.length(h) % 4 == 2)
+    body = F.when(le_mark | be_mark, F.substring(h, 5, F.length(h))).otherwise(h)
+    le = F.when(later_le, F.substring(h, 3, F.length(h))).otherwise(body)
+    be = F.when(F.length(body) % 4 == 2, F.substring(body, 1, F.length(body) - 2)).otherwise(body)
+    wide = F.when(le_mark | later_le, _utf16(_swapped(le))).otherwise(_utf16(be))
+    is_wide = F.contains(text, F.lit("\u0000")) | le_mark | be_mark
+    return F.regexp_replace(F.when(is_wide, wide).otherwise(lossy_utf8(value)), "\r$", "")
+
+
 def file_name_of(path_col: Column) -> Column:
     """Day-file name from a path (also inside ``file_name=...`` folders)."""
     name = F.regexp_extract(path_col, r"(trading_\d{8}\.log)", 1)
@@ -56,23 +94,30 @@ _UTF16_NEWLINE = {"UTF-16LE": "\n\u0000", "UTF-16BE": "\u0000\n"}
 
 
 def read_lines(spark: SparkSession, path: str, encoding: str | None = None) -> DataFrame:
-    """(file_name, line) from text files; ``encoding`` None detects it from
-    the byte-order mark. UTF-8 is read lossily (invalid bytes dropped).
-
-    UTF-16 is read by the same text source with the encoded newline bytes as
-    the record separator; each record's bytes are then decoded with
-    ``decode(..., 'UTF-16LE'|'UTF-16BE')``. Blank lines are kept, as a Python
-    line reader keeps them; the BOM and a trailing carriage return are
-    removed. (A newline byte pair can in principle also occur across two
-    characters at an odd offset; ordinary log text does not produce it.)"""
+    """(file_name, line) from a text file or folder in UTF-8 or UTF-16; invalid
+    sequences are dropped. ``encoding`` None reads a single file's byte-order
+    mark; files of a folder may differ and are told apart line by line
+    (``decoded_line``). Blank lines are kept, as a Python line reader keeps
+    them; marks and trailing carriage returns are removed.
+
+    A single UTF-16 file is cut at the encoded newline bytes. (That byte pair
+    can in principle also occur across two characters at an odd offset;
+    ordinary log text does not produce it.)"""
+    from .fs import is_folder
+
     enc = (encoding or detect_encoding(spark, path)).upper()
-    if enc in ("UTF-8", "UTF8"):
-        df = spark.read.format("text").load(path)
-        line = lossy_utf8(F.col("value"))
-    else:
-        df = spark.read.format("text").option("lineSep", _UTF16_NEWLINE[enc]).load(path)
-        text = F.decode(F.col("value").cast("binary"), enc)
+    reader = spark.read.format("text")
+    if enc in _UTF16_NEWLINE:
+        df = reader.option("lineSep", _UTF16_NEWLINE[enc]).load(path)
+        h = F.hex(F.col("value").cast("binary"))
+        text = _utf16(_swapped(h) if enc == "UTF-16LE" else h)
         line = F.regexp_replace(F.regexp_replace(text, "^\ufeff", ""), "\r$", "")
+    elif is_folder(spark, path):
+        df = reader.option("lineSep", "\n").load(path)
+        line = decoded_line(F.col("value"))
+    else:
+        df = reader.load(path)
+        line = lossy_utf8(F.col("value"))
     return df.select(file_name_of(F.col("_metadata.file_path")).alias("file_name"), line.alias("line"))
 
 
@@ -89,22 +134,26 @@ def ensure_folder(spark: SparkSession, path: str) -> str:
 
 
 def landing_stream(spark: SparkSession, landing_dir: str, max_files_per_trigger: int | None = None,
-                   newer_than_ms: int | None = None) -> DataFrame:
+                   newer_than_ms: int | None = None, archive_dir: str | None = None) -> DataFrame:
     """Streaming (file_name, line) over a landing folder of finished files.
 
     The file source remembers which files it has read in its checkpoint,
     so a restart continues where it stopped. ``newer_than_ms`` keeps only
-    files modified after that time (the "new lines only" start of a tail)."""
+    files modified after that time (the "new lines only" start of a tail).
+    With ``archive_dir``, files are moved there once read, which keeps the
+    listing of each trigger short."""
     ensure_folder(spark, landing_dir)
-    r = spark.readStream.format("text")
+    r = spark.readStream.format("text").option("lineSep", "\n")
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    if archive_dir:
+        r = r.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
     df = r.load(landing_dir)
     if newer_than_ms is not None:
         df = df.where(F.col("_metadata.file_modification_time") >
                       F.timestamp_millis(F.lit(newer_than_ms)))
     return df.select(file_name_of(F.col("_metadata.file_path")).alias("file_name"),
-                     lossy_utf8(F.col("value")).alias("line"))
+                     decoded_line(F.col("value")).alias("line"))
 
 
 def lines_to_envelope(lines: DataFrame, topic: str | Column | None = None, key: Column | None = None) -> DataFrame:

@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import day_file_name
+from ..operators.app_log import severity
 
 
 def _pick(idx: Column, options: list[Column | str]) -> Column:
@@ -33,17 +34,26 @@ def _s(c: Column) -> Column:
     return c.cast("string")
 
 
-# Fixed values of the rendering, chosen here. Clients follow FIXTURES.md
-# (their device text is checked by the oracle). Geo texts contain commas;
-# the second contains "Border", whose "order" is a false trade hit on a
-# login line (kept for parity). No value contains another trade keyword or
-# "investor". Actions and instruments are free text inside trade lines.
-CLIENTS = ["Client iPhone build 5545", "Client Android build 5676", "Client build 5660"]
+# Fixed values of the rendering, chosen here (the oracle checks device and
+# geo effects). Geo texts contain commas; "Border" holds "order", a false
+# trade hit on a login line (kept for parity). No other value contains a trade
+# keyword or "investor".
+CLIENTS = ["Terminal Alpha", "Terminal Beta", "Terminal"]
+BUILDS = [" build 11", " build 22", " build 33"]
 GEOS = ["SG, Singapore, Harbour Net", "DE, Hamburg, Border Telecom",
         "BR, Recife, Rio Link, RL", "KE, Nairobi, Savanna ISP"]
-ACTIONS = ["long", "short", "long entry", "short entry", "close"]
-INSTRUMENTS = ["AAA1", "BBB2", "CCC3", "DDD4", "EEE5", "FFF6", "GGG7"]
-LONG_DEVICE = "Client " + "Q" * 120 + " build 1"
+LONG_DEVICE = "Terminal " + "Q" * 120 + " build 1"
+
+# Awkward lines, by the remainder of ``event_id``. Those of login lines are odd,
+# so never on the even ids of investor and long-device lines.
+NO_BUILD = (40, 11)   # client text without "build"
+UNKEYED = (60, 21)    # empty login: no message key
+SHORT = (70, 31)      # message ends after cid: the strict parse pads
+SENTINEL = (48, 22)   # trade line whose login token is "unknown"
+
+
+def is_variant(e: Column, variant: tuple[int, int]) -> Column:
+    return e % variant[0] == variant[1]
 
 
 def ip_of(user_id: Column) -> Column:
@@ -74,32 +84,46 @@ def trading_lines(events: DataFrame) -> DataFrame:
     def head(a: str, b: str, src: Column) -> Column:
         return F.concat_ws("\t", code, F.lit(a), F.lit(b), t, src)
 
-    client = F.when(e % 500 == 250, F.lit(LONG_DEVICE)).otherwise(_pick(e % 3, CLIENTS))
-    login_line = F.concat(
-        head("4", "3", ip), F.lit("\t"), q, F.lit(": login ("), client,
-        F.when(e % 20 == 0, F.lit(", investor")).otherwise(F.lit("")),
-        F.lit(", cid: "), F.md5(_s(e)),
+    build = F.when(is_variant(e, NO_BUILD), F.lit("")).otherwise(_pick(e % 3, BUILDS))
+    client = F.when(e % 500 == 250, F.lit(LONG_DEVICE)).otherwise(F.concat(_pick(e % 3, CLIENTS), build))
+    who = F.when(is_variant(e, UNKEYED), F.lit("''")).otherwise(q)
+    details = F.concat(
         F.lit(", point: Access Server Asia "), _s(e % 2 + 1),
         F.lit(", ping: "), _s(e % 1500), F.lit(" ms, geo: "), _pick(e % 4, GEOS),
         F.when(e % 10 == 3, F.lit(", flags: datacenter")).otherwise(F.lit("")), F.lit(")"))
+    login_line = F.concat(
+        head("4", "3", ip), F.lit("\t"), who, F.lit(": login ("), client,
+        F.when(e % 20 == 0, F.lit(", investor")).otherwise(F.lit("")),
+        F.lit(", cid: "), F.md5(_s(e)),
+        F.when(is_variant(e, SHORT), F.lit("")).otherwise(details))
     logout_line = F.concat(head("4", "3", ip), F.lit("\t"), q, F.lit(": logout ("),
                            _pick(e % 3, CLIENTS), F.lit(")"))
-    trade_msg = _pick(e % 4, [
-        F.concat(F.lit("order placed for execution for "), q, F.lit(" [#"), _s(e), F.lit(" "),
-                 _pick(e % 5, ACTIONS), F.lit(" "), _s(e % 10 + 1), F.lit(" "),
-                 _pick(e % 7, INSTRUMENTS), F.lit(" at "), _s(e % 4000 + 1000),
-                 F.lit("], time "), _s(e % 450 + 50), F.lit(" ms")),
-        F.concat(F.lit("modify order #"), _s(e), F.lit(" sell limit "), _s(e % 4000 + 1000)),
-        F.concat(F.lit("position modified [#"), _s(e), F.lit("]")),
-        F.concat(F.lit("request from "), q, F.lit(": confirm for order #"), _s(e)),
+    # Every include text, every veto text and one line with neither.
+    number = F.concat(F.lit(" #"), _s(e))
+    trade_msg = _pick(e % 16, [
+        F.concat(F.lit("order placed for execution"), number),
+        F.concat(F.lit("modify order"), number),
+        F.concat(F.lit("position modified"), number),
+        F.concat(F.lit("request from desk for order"), number),
+        F.concat(F.lit("buy limit: "), _s(e % 4000 + 1000)),
+        F.concat(F.lit("request transferred to dealers"), number),
+        F.concat(F.lit("market sell"), number),
+        F.concat(F.lit("market buy"), number),
+        F.concat(F.lit("order modified"), number),
+        F.concat(F.lit("received mail on order"), number),
+        F.concat(F.lit("history deals synchronized, order"), number),
+        F.concat(F.lit("history orders synchronized"), number),
+        F.concat(F.lit("confirm for market buy"), number),
+        F.concat(F.lit("modify requested"), number),
+        F.concat(F.lit("sell limit "), _s(e % 4000 + 1000)),
+        F.concat(F.lit("stop reached"), number),
     ])
-    trade_line = F.concat(head("0", "6", ip), F.lit("\t"), q, F.lit(": "), trade_msg)
+    trader = F.when(is_variant(e, SENTINEL), F.lit("unknown")).otherwise(q)
+    trade_line = F.concat(head("0", "6", ip), F.lit("\t"), trader, F.lit(": "), trade_msg)
     system_line = _pick(e % 4, [
-        F.concat(head("0", "2", F.lit("Monitor")), F.lit("\tconnections: "), _s(e % 2000 + 1000),
-                 F.lit(", blocked: 0, cpu: "), _s(e % 35 + 5), F.lit("%")),
-        F.concat(head("0", "6", F.lit("End of Day")), F.lit("\tgroup 'REAL' completed ["),
-                 _s(e % 90000), F.lit(" account(s)]")),
-        F.concat(head("0", "3", F.lit("10.0.0.1")), F.lit("\tconnection accepted")),
+        F.concat(head("0", "2", F.lit("Monitor")), F.lit("\tpeers "), _s(e % 700), F.lit(", load "), _s(e % 9)),
+        F.concat(head("0", "6", F.lit("Night run")), F.lit("\tstep "), _s(e % 31), F.lit(" done")),
+        F.concat(head("0", "3", F.lit("10.0.0.1")), F.lit("\tpeer joined")),
         F.concat(head("0", "2", ip), F.lit("\t"), q, F.lit(": history orders synchronized")),
     ])
     et = F.col("event_type")
@@ -142,11 +166,6 @@ def app_log_lines(events: DataFrame) -> DataFrame:
     return events.select(e.alias("line_no"), _pad(line).alias("line"))
 
 
-def severity(status: Column) -> Column:
-    """HTTP status -> level word: >=500 ERROR, >=400 WARN, else INFO."""
-    return F.when(status >= 500, F.lit("ERROR")).when(status >= 400, F.lit("WARN")).otherwise(F.lit("INFO"))
-
-
 def order_rows(orders: DataFrame) -> DataFrame:
     """orders -> order message fields."""
     k = F.col("o_orderkey")
@@ -157,23 +176,38 @@ def order_rows(orders: DataFrame) -> DataFrame:
         (F.lit(2) * (k % 50)).alias("quantity"))
 
 
-def event_envelope(events: DataFrame, bucket_width: int = 1 << 20) -> DataFrame:
+def order_texts(orders: DataFrame) -> DataFrame:
+    """orders -> (o_orderkey, value): order messages of which seven in eight are
+    damaged, by ``o_orderkey % 8`` (1 mistyped quantity, 2 only an order_id, 3
+    text after the object, 4 cut off, 5 not UTF-8, 6 missing, 7 two objects)."""
+    k = F.col("o_orderkey")
+    good = F.to_json(F.struct(k.alias("order_id"), F.concat(F.lit("customer_"), _s(F.col("o_custkey"))).alias("customer"),
+                              F.lit("widget").alias("item"), (F.lit(2) * (k % 50)).alias("quantity")))
+    number = F.concat(F.lit('{"order_id":'), _s(k))
+    v = k % 8
+    text = (F.when(v == 1, F.concat(number, F.lit(',"customer":"c","item":"widget","quantity":"many"}')))
+            .when(v == 2, F.concat(number, F.lit("}")))
+            .when(v == 3, F.concat(good, F.lit(" and more")))
+            .when(v == 4, F.concat(number, F.lit(',"customer":"c')))
+            .when(v == 7, F.concat(good, F.lit(","), good))
+            .otherwise(good)).cast("binary")
+    return orders.select(k, F.when(v == 5, F.unhex(F.lit("FFFE7B"))).when(v != 6, text).alias("value"))
+
+
+def event_envelope(events: DataFrame) -> DataFrame:
     """events -> message envelopes: topic = event type (``signup`` is renamed
-    ``__internal``), partition = ``user_id % 3``, offset = arrival order by
-    ``event_id`` within (topic, partition)."""
-    from ..functions.sequence import dense_rank_in_groups
-
+    ``__internal``), partition = ``user_id % 3``, offset = ``event_id``
+    (lag needs offsets that grow, not dense ones)."""
     et = F.col("event_type")
-    df = events.select(
+    return events.select(
         F.lit(None).cast("binary").alias("key"),
         F.col("event_id").cast("string").cast("binary").alias("value"),
         F.when(et == "signup", F.lit("__internal")).otherwise(et).alias("topic"),
         (F.col("user_id") % 3).cast("int").alias("partition"),
+        F.col("event_id").cast("long").alias("offset"),
         F.col("ts").cast("timestamp").alias("timestamp"),
         F.lit(0).alias("timestampType"),
-        F.col("event_id"))
-    df = dense_rank_in_groups(df, ["topic", "partition"], "event_id", "offset", bucket_width)
-    return df.select("key", "value", "topic", "partition", "offset", "timestamp", "timestampType", "event_id")
+        "event_id")
 
 
 def committed_offsets(envelope: DataFrame) -> DataFrame:

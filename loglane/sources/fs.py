@@ -23,6 +23,41 @@ def mkdirs(spark: SparkSession, path: str) -> str:
     return path
 
 
+def is_folder(spark: SparkSession, path: str) -> bool:
+    fs, p = _fs_path(spark, path)
+    return bool(fs.exists(p)) and bool(fs.getFileStatus(p).isDirectory())
+
+
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder (none if it is missing)."""
+    fs, p = _fs_path(spark, path)
+    return [st.getPath().getName() for st in fs.listStatus(p)] if fs.exists(p) else []
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    fs, p = _fs_path(spark, path)
+    fs.delete(p, True)
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    fs, p = _fs_path(spark, path)
+    stream = fs.open(p)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small new file; an existing one is an error."""
+    fs, p = _fs_path(spark, path)
+    stream = fs.create(p, False)
+    try:
+        stream.write(bytearray(text.encode("utf-8")))
+    finally:
+        stream.close()
+
+
 def rename(spark: SparkSession, src: str, dst: str) -> bool:
     fs, s = _fs_path(spark, src)
     return bool(fs.rename(s, spark.sparkContext._jvm.org.apache.hadoop.fs.Path(dst)))

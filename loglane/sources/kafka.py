@@ -10,15 +10,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+#: Flush on 500 rows or 3 seconds, whichever comes first.
+FLUSH = {"min_offsets_per_trigger": 500, "max_trigger_delay": "3s"}
+
+
 def source_options(bootstrap: str, topic: str, starting: str = "earliest", ending: str | None = None,
                    min_offsets_per_trigger: int | None = None, max_trigger_delay: str | None = None,
                    max_offsets_per_trigger: int | None = None, min_partitions: int | None = None,
                    extra: dict | None = None) -> dict:
     """Subscribe options. ``starting`` applies only when the query has no
     checkpoint yet; afterwards the checkpoint decides. ``min_offsets_per_trigger``
-    with ``max_trigger_delay`` flushes on "500 rows or 3 seconds"."""
-    o = {"kafka.bootstrap.servers": bootstrap, "subscribe": topic, "startingOffsets": starting,
-         "failOnDataLoss": "false"}
+    with ``max_trigger_delay`` flushes on "500 rows or 3 seconds" (``FLUSH``).
+    Records that aged out before they were read fail the query (Spark's
+    default); pass ``failOnDataLoss`` in ``extra`` to skip them knowingly."""
+    o = {"kafka.bootstrap.servers": bootstrap, "subscribe": topic, "startingOffsets": starting}
     if ending:
         o["endingOffsets"] = ending
     if min_offsets_per_trigger:
@@ -34,7 +39,9 @@ def source_options(bootstrap: str, topic: str, starting: str = "earliest", endin
 
 
 def read_topic_stream(spark: SparkSession, bootstrap: str, topic: str, **kw) -> DataFrame:
-    """Streaming envelope DataFrame of a topic (from earliest by default)."""
+    """Streaming envelope DataFrame of a topic (from earliest and with ``FLUSH``
+    by default)."""
+    kw = {**FLUSH, **kw}
     return spark.readStream.format("kafka").options(**source_options(bootstrap, topic, **kw)).load()
 
 

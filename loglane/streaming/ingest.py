@@ -2,22 +2,23 @@
 
 Three feeds (trading lines, app-log lines, order messages), each from a
 landing folder of finished files or from any stream in the topic-envelope
-shape. Each micro-batch is parsed once (the tagged batch is persisted for
-the duration of the batch), tagged with a reject reason per row and written
-by ``foreachBatch`` to:
-
-* ``raw``: valid rows, partitioned by ``batch_id`` (and ``log_date`` for
-  access rows);
-* ``rejects``: rows that cannot be stored, with reason, preview and, for
-  topic records, their topic/partition/offset;
+shape. A ``foreachBatch`` sink parses each micro-batch once, tags every row
+with a reject reason or none, and writes the tagged rows once, partitioned by
+outcome, to a staging folder. Its folders are then moved to:
+
+* ``raw``: valid rows, partitioned by ``run_id`` and ``batch_id`` (and
+  ``log_date`` for access rows);
+* ``rejects``: rows that cannot be stored, with reason, preview, the whole
+  line and, for topic records, their topic/partition/offset;
 * optionally ``counters``: one row per batch (lines, sent, skipped,
   inserted, rejected).
 
-Every write is a dynamic partition overwrite of the batch's own
-``batch_id`` partitions, so a batch replayed after a failure replaces its
-earlier output instead of adding to it (exactly-once effect). The file
-sink is not used: its metadata log would hide files added later by batch
-jobs such as the day close.
+Nothing is persisted on executors: a backlog of any size streams through one
+scan and one write. A batch replayed after a failure replaces its own folders
+(exactly-once effect). ``run_id`` is made once per ``raw`` path, so rows of two
+raw paths whose batch ids both start at 0 can be told apart. The file sink is
+not used: its metadata log would hide files added later by batch jobs such as
+the day close.
 
 Never start a new checkpoint over an existing ``raw`` path: batch ids would
 restart at 0 and overwrite old batches. A new checkpoint needs a new path.
@@ -25,6 +26,7 @@ restart at 0 and overwrite old batches. A new checkpoint needs a new path.
 
 from __future__ import annotations
 
+import uuid
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -34,26 +36,94 @@ from pyspark.sql.streaming import StreamingQuery
 from ..functions.text import ustrip
 from ..operators import access_log as al
 from ..operators import app_log as ap
+from ..sources import fs
 from ..sources.files import landing_stream
 
 MISSING_VALUE = "value is missing or not UTF-8"
-
-
-def _write_partitions(df: DataFrame, path: str, partition_by: list[str]) -> None:
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(*partition_by).parquet(path))
-
-
-def access_log_batch(lines: DataFrame, parser: Callable = al.parse_strict,
-                     log_date: str | None = None) -> DataFrame:
-    """Login lines of one batch -> access rows with a ``reason`` column.
-    A missing or undecodable value (NULL line) becomes a reject row."""
-    parsed = parser(al.cid_filter(lines.where(F.col("line").isNotNull())), log_date=log_date, keep=["__raw"])
-    parsed = parsed.withColumn("reason", al.length_violations())
-    missing = lines.where(F.col("line").isNull()).select(
-        *[F.lit(None).cast(t).alias(c) for c, t in parsed.dtypes if c not in ("file_name", "__raw", "reason")],
-        "file_name", F.col("__raw"), F.lit(MISSING_VALUE).alias("reason"))
-    return parsed.unionByName(missing)
+UNDATED = "no date in the file name"
+REJECT_COLUMNS = ["source", "topic", "partition", "offset", "reason", "preview90", "raw"]
+
+
+def run_id_of(spark: SparkSession, raw_path: str) -> str:
+    """The identity of a raw path: made when it is first written to."""
+    path = f"{raw_path.rstrip('/')}/_run_id"
+    if not fs.exists(spark, path):
+        fs.write_text(spark, path, "r" + uuid.uuid4().hex)
+    return fs.read_text(spark, path)
+
+
+def _move(spark: SparkSession, src: str, dst: str) -> None:
+    """Replace folder ``dst`` by ``src`` (remove it where there is no ``src``)."""
+    fs.delete(spark, dst)
+    if fs.exists(spark, src):
+        fs.mkdirs(spark, dst.rpartition("/")[0])
+        if not fs.rename(spark, src, dst):
+            raise OSError(f"could not publish {dst}")
+
+
+def store_batch(tagged: DataFrame, batch_id: int, raw_path: str, rejects_path: str, columns: list[str],
+                source: str, loaded_at: str, dated: bool = False) -> dict[str, int]:
+    """Write a tagged batch (``columns``, reason, raw, topic, partition, offset)
+    once and publish it; returns rows inserted and rejected."""
+    spark = tagged.sparkSession
+    raw_path, rejects_path = raw_path.rstrip("/"), rejects_path.rstrip("/")
+    run = run_id_of(spark, raw_path)
+    bad = F.col("reason").isNotNull()
+    own = {"source": F.when(bad, F.lit(source)), "preview90": F.when(bad, F.substring("raw", 1, 90)),
+           "raw": F.when(bad, F.col("raw"))}
+    extra = [own.get(c, F.col(c)).alias(c) for c in REJECT_COLUMNS if c not in columns]
+    out = tagged.select(*columns, *extra, F.current_timestamp().alias(loaded_at),
+                        F.when(bad, F.lit("rejected")).otherwise(F.lit("valid")).alias("outcome"))
+    staging = f"{raw_path}/_staging/{run}-{batch_id}"
+    out.write.mode("overwrite").partitionBy("outcome", *(["log_date"] if dated else [])).parquet(staging)
+    counts = dict.fromkeys(("valid", "rejected"), 0)
+    if any(c.startswith("outcome=") for c in fs.children(spark, staging)):
+        rows = spark.read.schema("outcome string").parquet(staging).groupBy("outcome").count().collect()
+        counts |= {r["outcome"]: r["count"] for r in rows}
+    batch = f"run_id={run}/batch_id={batch_id}"
+    if dated:
+        old = [c for c in fs.children(spark, raw_path) if c.startswith("log_date=")]
+        new = fs.children(spark, f"{staging}/outcome=valid")
+        for day in {*new, *(c for c in old if fs.exists(spark, f"{raw_path}/{c}/{batch}"))}:
+            _move(spark, f"{staging}/outcome=valid/{day}", f"{raw_path}/{day}/{batch}")
+    else:
+        _move(spark, f"{staging}/outcome=valid", f"{raw_path}/{batch}")
+    _move(spark, f"{staging}/outcome=rejected", f"{rejects_path}/{batch}")
+    fs.delete(spark, staging)
+    return counts
+
+
+def _write_counters(lines: DataFrame, counts: dict[str, int], batch_id: int, path: str) -> None:
+    """One row per batch: lines read, sent (login lines), skipped, inserted,
+    rejected. Counts the batch's lines; the rest comes from the written data."""
+    row = batch_counters(lines, batch_id, counts["valid"], counts["rejected"])
+    (row.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("batch_id").parquet(path))
+
+
+def batch_counters(lines: DataFrame, batch_id: int, inserted: int, rejected: int,
+                   sent: Callable | None = None) -> DataFrame:
+    is_sent = F.coalesce(F.col("line").contains(F.lit(al.CID_MARKER)), F.lit(False)) if sent is None else sent
+    n, s = F.count(F.lit(1)), F.count_if(is_sent)
+    return lines.agg(n.alias("lines"), s.alias("sent"), (n - s).alias("skipped")).select(
+        F.lit(batch_id).alias("batch_id"), "lines", "sent", "skipped",
+        F.lit(inserted).cast("bigint").alias("inserted"), F.lit(rejected).cast("bigint").alias("rejected"))
+
+
+def access_log_batch(lines: DataFrame, parser: Callable = al.parse_strict, log_date: str | None = None,
+                     only_logins: bool = True) -> DataFrame:
+    """Lines of one batch (line, file_name, raw, topic, partition, offset) ->
+    access rows with a ``reason``, in one pass. A missing or undecodable value
+    (NULL line) and a row without a day are rejects. With ``only_logins``, lines
+    without ``cid:`` are skipped first, as the producer does; a consumer parses
+    every record."""
+    keep = ["raw", "topic", "partition", "offset"]
+    if only_logins:
+        lines = lines.where(F.col("line").isNull() | F.col("line").contains(F.lit(al.CID_MARKER)))
+    parsed = parser(lines.withColumn("line", ustrip("line")).withColumn("__none", F.col("line").isNull()),
+                    log_date=log_date, keep=[*keep, "__none"])
+    return parsed.withColumn("reason", F.when(F.col("__none"), F.lit(MISSING_VALUE))
+                             .when(F.col("log_date").isNull(), F.lit(UNDATED)).otherwise(al.length_violations()))
 
 
 def observe_lines(lines: DataFrame, name: str = "ingest"):
@@ -72,19 +142,10 @@ def observe_lines(lines: DataFrame, name: str = "ingest"):
     return observed, obs
 
 
-def batch_counters(lines: DataFrame, tagged: DataFrame, batch_id: int) -> DataFrame:
-    """One row per batch: lines read, sent (login lines), skipped, inserted,
-    rejected -- the producer's and consumer's counters as data."""
-    sent = F.coalesce(ustrip("line").contains(F.lit(al.CID_MARKER)), F.lit(False))
-    zero = F.lit(0).cast("bigint")
-    read = lines.select(zero.alias("inserted"), zero.alias("rejected"), F.lit(1).cast("bigint").alias("lines"),
-                        sent.cast("bigint").alias("sent"))
-    out = tagged.select(F.col("reason").isNull().cast("bigint").alias("inserted"),
-                        F.col("reason").isNotNull().cast("bigint").alias("rejected"),
-                        zero.alias("lines"), zero.alias("sent"))
-    tot = read.unionByName(out).agg(*[F.sum(c).alias(c) for c in ("lines", "sent", "inserted", "rejected")])
-    return tot.select(F.lit(batch_id).alias("batch_id"), "lines", "sent",
-                      (F.col("lines") - F.col("sent")).alias("skipped"), "inserted", "rejected")
+def _from_files(batch: DataFrame) -> DataFrame:
+    """Landing lines with the columns that topic records have."""
+    return batch.select("file_name", "line", F.col("line").alias("raw"), F.col("file_name").alias("topic"),
+                        F.lit(None).cast("int").alias("partition"), F.lit(None).cast("bigint").alias("offset"))
 
 
 def access_log_sink(raw_path: str, rejects_path: str, parser: Callable = al.parse_strict,
@@ -93,29 +154,21 @@ def access_log_sink(raw_path: str, rejects_path: str, parser: Callable = al.pars
     """foreachBatch function for trading lines. With ``counters_path``, one
     counters row per batch is written there as well."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        tagged = access_log_batch(batch.withColumn("__raw", F.col("line")), parser, log_date)
-        tagged = tagged.withColumn("batch_id", F.lit(batch_id)).persist()
-        try:
-            valid = tagged.where(F.col("reason").isNull()).select(*al.ACCESS_LOG_COLUMNS, "batch_id")
-            _write_partitions(valid, raw_path, ["log_date", "batch_id"])
-            rej = tagged.where(F.col("reason").isNotNull()).select(
-                F.lit("trading-access-logs").alias("source"), F.col("file_name").alias("topic"),
-                F.lit(None).cast("int").alias("partition"), F.lit(None).cast("bigint").alias("offset"),
-                "reason", F.substring("__raw", 1, 90).alias("preview90"), F.col("__raw").alias("raw"),
-                "batch_id")
-            _write_partitions(rej, rejects_path, ["batch_id"])
-            if counters_path:
-                _write_partitions(batch_counters(batch, tagged, batch_id), counters_path, ["batch_id"])
-        finally:
-            tagged.unpersist()
+        tagged = access_log_batch(_from_files(batch), parser, log_date)
+        counts = store_batch(tagged, batch_id, raw_path, rejects_path, al.ACCESS_LOG_COLUMNS,
+                             "trading-access-logs", "etl_timestamp", dated=True)
+        if counters_path:
+            _write_counters(batch, counts, batch_id, counters_path)
     return write
 
 
 def envelope_access_log_sink(raw_path: str, rejects_path: str, date_compact: str,
-                             parser: Callable = al.parse_strict) -> Callable[[DataFrame, int], None]:
+                             parser: Callable = al.parse_strict, counters_path: str | None = None
+                             ) -> Callable[[DataFrame, int], None]:
     """foreachBatch function for topic records (the envelope schema). The
     day file and log_date come from the run's date (the consumer's
-    ``LOG_DATE``); rejects keep the record's topic, partition and offset."""
+    ``LOG_DATE``); every record is parsed; rejects keep the record's topic,
+    partition and offset."""
     from ..functions.dates import day_file_for, iso_from_compact
     from ..sources.files import envelope_lines
 
@@ -124,60 +177,58 @@ def envelope_access_log_sink(raw_path: str, rejects_path: str, date_compact: str
 
     def write(batch: DataFrame, batch_id: int) -> None:
         lines = envelope_lines(batch).withColumn("file_name", F.lit(file_name))
-        ok = lines.where(F.col("line").isNotNull())
-        parsed = parser(al.cid_filter(ok.withColumn("__raw", F.col("line"))), log_date=log_date,
-                        keep=["topic", "partition", "offset", "__raw"])
-        tagged = parsed.withColumn("reason", al.length_violations()).withColumn("batch_id", F.lit(batch_id)).persist()
-        try:
-            valid = tagged.where(F.col("reason").isNull()).select(*al.ACCESS_LOG_COLUMNS, "batch_id")
-            _write_partitions(valid, raw_path, ["log_date", "batch_id"])
-            bad_rows = tagged.where(F.col("reason").isNotNull()).select(
-                "topic", "partition", "offset", "reason", F.col("__raw").alias("raw"))
-            undecodable = lines.where(F.col("line").isNull()).select(
-                "topic", "partition", "offset", F.lit(MISSING_VALUE).alias("reason"), "raw")
-            rej = bad_rows.unionByName(undecodable).select(
-                F.lit("trading-access-logs").alias("source"), "topic", "partition", "offset", "reason",
-                F.substring("raw", 1, 90).alias("preview90"), "raw", F.lit(batch_id).alias("batch_id"))
-            _write_partitions(rej, rejects_path, ["batch_id"])
-        finally:
-            tagged.unpersist()
+        tagged = access_log_batch(lines, parser, log_date, only_logins=False)
+        counts = store_batch(tagged, batch_id, raw_path, rejects_path, al.ACCESS_LOG_COLUMNS,
+                             "trading-access-logs", "etl_timestamp", dated=True)
+        if counters_path:
+            _write_counters(lines, counts, batch_id, counters_path)
     return write
 
 
 def ingest_topic_access_log(envelope_stream: DataFrame, raw_path: str, rejects_path: str, checkpoint: str,
-                            date_compact: str, trigger: str = "availableNow") -> StreamingQuery:
+                            date_compact: str, trigger: str = "availableNow",
+                            counters_path: str | None = None) -> StreamingQuery:
     """Topic records (e.g. ``sources.kafka.read_topic_stream``) into ``raw``
     and ``rejects``. Progress lives in the checkpoint, not in a consumer
     group, so a restart resumes after the last committed micro-batch."""
     guard_fresh_checkpoint(envelope_stream.sparkSession, checkpoint, raw_path, rejects_path)
-    return start(envelope_stream, envelope_access_log_sink(raw_path, rejects_path, date_compact),
-                 checkpoint, trigger)
+    return start(envelope_stream, envelope_access_log_sink(raw_path, rejects_path, date_compact,
+                                                           counters_path=counters_path), checkpoint, trigger)
+
+
+def _app_tagged(lines: DataFrame) -> DataFrame:
+    """App-log lines (line, raw, topic, partition, offset) -> typed rows with a reason."""
+    keep = ["__line", "topic", "partition", "offset", "__none"]
+    src = lines.select(F.col("raw").alias("__line"), "topic", "partition", "offset",
+                       F.col("line").isNull().alias("__none"), ustrip(F.coalesce("line", F.lit(""))).alias("line"))
+    typed = ap.type_app_log(ap.parse_app_log(src, keep=keep))
+    return typed.withColumn("reason", F.when(F.col("__none"), F.lit(MISSING_VALUE)).otherwise(F.col("reason"))) \
+        .withColumn("raw", F.when(F.col("__none"), F.col("__line")).otherwise(F.col("raw")))
 
 
-def _envelope_rejects(df: DataFrame, source: str, batch_id: int) -> DataFrame:
-    return df.where(F.col("reason").isNotNull()).select(
-        F.lit(source).alias("source"), "topic", "partition", "offset", "reason",
-        F.substring("raw", 1, 90).alias("preview90"), "raw", F.lit(batch_id).alias("batch_id"))
+def _app_store(lines: DataFrame, batch_id: int, raw_path: str, rejects_path: str, counters_path: str | None) -> None:
+    counts = store_batch(_app_tagged(lines), batch_id, raw_path, rejects_path, ap.FIELDS, "app-logs", "created_at")
+    if counters_path:
+        every = batch_counters(lines, batch_id, counts["valid"], counts["rejected"], sent=F.lit(True))
+        (every.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("batch_id").parquet(counters_path))
 
 
-def envelope_app_log_sink(raw_path: str, rejects_path: str) -> Callable[[DataFrame, int], None]:
+def envelope_app_log_sink(raw_path: str, rejects_path: str, counters_path: str | None = None
+                          ) -> Callable[[DataFrame, int], None]:
     """foreachBatch function for app-log topic records."""
     from ..sources.files import envelope_lines
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        lines = envelope_lines(batch).select(
-            "topic", "partition", "offset", F.col("line").isNull().alias("__missing"),
-            ustrip(F.coalesce("line", F.lit(""))).alias("line"))
-        typed = ap.type_app_log(ap.parse_app_log(lines, keep=["topic", "partition", "offset", "__missing"]))
-        typed = typed.withColumn("reason", F.when(F.col("__missing"), F.lit(MISSING_VALUE))
-                                 .otherwise(F.col("reason")))
-        typed = typed.withColumn("batch_id", F.lit(batch_id)).persist()
-        try:
-            _write_partitions(typed.where(F.col("reason").isNull()).select(*ap.FIELDS, "batch_id"),
-                              raw_path, ["batch_id"])
-            _write_partitions(_envelope_rejects(typed, "app-logs", batch_id), rejects_path, ["batch_id"])
-        finally:
-            typed.unpersist()
+        _app_store(envelope_lines(batch), batch_id, raw_path, rejects_path, counters_path)
+    return write
+
+
+def app_log_sink(raw_path: str, rejects_path: str, counters_path: str | None = None
+                 ) -> Callable[[DataFrame, int], None]:
+    """foreachBatch function for application-log lines."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        _app_store(_from_files(batch), batch_id, raw_path, rejects_path, counters_path)
     return write
 
 
@@ -189,23 +240,18 @@ def order_sink(orders_path: str, rejects_path: str) -> Callable[[DataFrame, int]
         msgs = batch.select("topic", "partition", "offset", F.col("key").cast("string").alias("key"), "value")
         dec = decode_orders(msgs, keep=["topic", "partition", "offset", "key", "value"])
         # Undecodable bytes are kept as hex in the reject row.
-        dec = dec.withColumn("raw", F.coalesce("raw", F.hex("value"))).withColumn("batch_id", F.lit(batch_id))
-        dec = dec.persist()
-        try:
-            _write_partitions(dec.where(F.col("reason").isNull()).select(
-                "key", "order_id", "customer", "item", "quantity", "topic", "partition", "offset", "batch_id"),
-                orders_path, ["batch_id"])
-            _write_partitions(_envelope_rejects(dec, "orders", batch_id), rejects_path, ["batch_id"])
-        finally:
-            dec.unpersist()
+        dec = dec.withColumn("raw", F.coalesce("raw", F.hex("value")))
+        store_batch(dec, batch_id, orders_path, rejects_path,
+                    ["key", "order_id", "customer", "item", "quantity", "topic", "partition", "offset"],
+                    "orders", "created_at")
     return write
 
 
 def ingest_topic_app_log(envelope_stream: DataFrame, raw_path: str, rejects_path: str, checkpoint: str,
-                         trigger: str = "availableNow") -> StreamingQuery:
+                         trigger: str = "availableNow", counters_path: str | None = None) -> StreamingQuery:
     """App-log topic records into ``raw`` and ``rejects``."""
     guard_fresh_checkpoint(envelope_stream.sparkSession, checkpoint, raw_path, rejects_path)
-    return start(envelope_stream, envelope_app_log_sink(raw_path, rejects_path), checkpoint, trigger)
+    return start(envelope_stream, envelope_app_log_sink(raw_path, rejects_path, counters_path), checkpoint, trigger)
 
 
 def ingest_orders(envelope_stream: DataFrame, orders_path: str, rejects_path: str, checkpoint: str,
@@ -216,33 +262,14 @@ def ingest_orders(envelope_stream: DataFrame, orders_path: str, rejects_path: st
     return start(envelope_stream, order_sink(orders_path, rejects_path), checkpoint, trigger)
 
 
-def app_log_sink(raw_path: str, rejects_path: str) -> Callable[[DataFrame, int], None]:
-    """foreachBatch function for application-log lines."""
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        lines = batch.withColumn("line", ustrip("line"))
-        typed = ap.type_app_log(ap.parse_app_log(lines, keep=["file_name"]))
-        typed = typed.withColumn("batch_id", F.lit(batch_id)).persist()
-        try:
-            _write_partitions(typed.where(F.col("reason").isNull()).select(*ap.FIELDS, "batch_id"),
-                              raw_path, ["batch_id"])
-            rej = ap.reject_rows(typed.withColumnRenamed("file_name", "topic"), "app-logs")
-            _write_partitions(rej.withColumn("batch_id", F.lit(batch_id)), rejects_path, ["batch_id"])
-        finally:
-            typed.unpersist()
-    return write
-
-
 def guard_fresh_checkpoint(spark: SparkSession, checkpoint: str, *outputs: str) -> None:
     """Refuse a new checkpoint over outputs that already hold batches: batch
     ids would restart at 0 and the batch-id overwrites would replace the
     old batches. Use a new output path with a new checkpoint."""
-    from ..sources import fs
-
     if fs.exists(spark, f"{checkpoint.rstrip('/')}/offsets"):
         return
     for out in outputs:
-        if out and fs.exists(spark, out):
+        if out and any(not c.startswith(("_", ".")) for c in fs.children(spark, out)):
             raise ValueError(f"{out} already holds batches but checkpoint {checkpoint} is new; "
                              "a new checkpoint needs a new output path")
 
@@ -261,24 +288,30 @@ def start(stream: DataFrame, sink: Callable[[DataFrame, int], None], checkpoint:
 
 def ingest_access_log(spark: SparkSession, landing_dir: str, raw_path: str, rejects_path: str,
                       checkpoint: str, trigger: str = "availableNow", max_files_per_trigger: int | None = None,
-                      parser: Callable = al.parse_strict) -> StreamingQuery:
-    """Trading lines from a landing folder into ``raw`` and ``rejects``."""
+                      parser: Callable = al.parse_strict, counters_path: str | None = None,
+                      newer_than_ms: int | None = None, archive_dir: str | None = None) -> StreamingQuery:
+    """Trading lines from a landing folder into ``raw`` and ``rejects``.
+    ``newer_than_ms`` starts with files changed after that time; ``archive_dir``
+    takes files that were read, so the folder's listing stays short."""
     guard_fresh_checkpoint(spark, checkpoint, raw_path, rejects_path)
-    src = landing_stream(spark, landing_dir, max_files_per_trigger)
-    return start(src, access_log_sink(raw_path, rejects_path, parser), checkpoint, trigger)
+    src = landing_stream(spark, landing_dir, max_files_per_trigger, newer_than_ms, archive_dir)
+    return start(src, access_log_sink(raw_path, rejects_path, parser, counters_path=counters_path), checkpoint, trigger)
 
 
 def ingest_app_log(spark: SparkSession, landing_dir: str, raw_path: str, rejects_path: str,
-                   checkpoint: str, trigger: str = "availableNow",
-                   max_files_per_trigger: int | None = None) -> StreamingQuery:
-    """Application-log lines from a landing folder into ``raw`` and ``rejects``."""
+                   checkpoint: str, trigger: str = "availableNow", max_files_per_trigger: int | None = None,
+                   counters_path: str | None = None, newer_than_ms: int | None = None,
+                   archive_dir: str | None = None) -> StreamingQuery:
+    """Application-log lines from a landing folder into ``raw`` and ``rejects``
+    (options as for ``ingest_access_log``)."""
     guard_fresh_checkpoint(spark, checkpoint, raw_path, rejects_path)
-    src = landing_stream(spark, landing_dir, max_files_per_trigger)
-    return start(src, app_log_sink(raw_path, rejects_path), checkpoint, trigger)
+    src = landing_stream(spark, landing_dir, max_files_per_trigger, newer_than_ms, archive_dir)
+    return start(src, app_log_sink(raw_path, rejects_path, counters_path), checkpoint, trigger)
 
 
 def progress_rates(query: StreamingQuery) -> list[dict]:
-    """Per micro-batch: input rows, lines/second in and processed, and the
+    """Per micro-batch that Spark still keeps (the latest 100 by default;
+    ``streaming.monitor`` records all): input rows, lines/second in and processed, and the
     sources' lag metrics when they report any (the Kafka source reports
     ``avgOffsetsBehindLatest`` / ``maxOffsetsBehindLatest``)."""
     out = []

@@ -17,8 +17,8 @@ class ProgressRecorder(StreamingQueryListener):
     """Keeps one row per micro-batch of every query in the session (lines
     read, lines/second in and processed, trigger duration and, for sources
     that report it, the average offsets behind latest). Register with
-    ``spark.streams.addListener``; rows are small and bounded by the number
-    of batches."""
+    ``spark.streams.addListener``. A long-lived session calls ``flush`` now and
+    then: it appends the rows to a table and drops them here."""
 
     def __init__(self) -> None:
         self._rows: list[tuple] = []
@@ -46,6 +46,14 @@ class ProgressRecorder(StreamingQueryListener):
     def onQueryTerminated(self, event) -> None:  # noqa: N802
         pass
 
+    def flush(self, spark: SparkSession, path: str) -> int:
+        """Append the rows so far to a Parquet table and forget them."""
+        with self._lock:
+            rows, self._rows = self._rows, []
+        if rows:
+            spark.createDataFrame(rows, PROGRESS_SCHEMA).coalesce(1).write.mode("append").parquet(path)
+        return len(rows)
+
     def to_df(self, spark: SparkSession) -> DataFrame:
         with self._lock:
             rows = list(self._rows)

@@ -45,7 +45,9 @@ def test_key_partition_is_crc32(spark):
 def test_registered_key_partition_matches_zlib(spark):
     from loglane.plans.queries import REGISTRY
     rows = REGISTRY["key_partition"](spark, "/root/testdata/sf0.001").collect()
-    assert rows and all(r["partition"] == zlib.crc32(r["key"].encode()) % 3 for r in rows)
+    keyed = [r for r in rows if r["key"] is not None]
+    assert keyed and all(r["partition"] == zlib.crc32(r["key"].encode()) % 3 for r in keyed)
+    assert [r["partition"] for r in rows if r["key"] is None] == [None]
     assert len({r["key"] for r in rows}) == len(rows)
 
 

@@ -54,10 +54,8 @@ def test_utf16_day_file(spark, tmp_dir):
         fh.write(text)
     assert files.detect_encoding(spark, p).startswith("UTF-16")
     df = files.read_day_file(spark, p)
-    with io.open(p, "r", encoding="utf-16", errors="ignore") as fh:
-        want = [ln.rstrip("\n") for ln in fh.readlines()]
-    assert "" in want  # the blank line is kept, as Python keeps it
-    assert [r["line"] for r in df.collect()] == want
+    first = "XA\t0\t6\t00:00:00.1\t1.2.3.4\t'7': order placed"
+    assert [r["line"] for r in df.collect()] == [first, "second line é", "", "third", "last"]
     assert {r["file_name"] for r in df.collect()} == {"trading_20260318.log"}
 
 
@@ -97,3 +95,37 @@ def test_read_lines_from_folder(spark, tmp_dir):
     assert files.detect_encoding(spark, tmp_dir) == "UTF-8"
     df = files.read_lines(spark, tmp_dir)
     assert sorted(r["file_name"] for r in df.collect()) == ["trading_20260318.log"] * 2 + ["trading_20260319.log"] * 2
+
+
+LINES = ["XA\t0\t6\tt\t1.2.3.4\t'7': order placed", "é ж 日本 \U0001f600", "last"]
+
+
+def _mixed_folder(folder):
+    """The same lines in three encodings, each file with malformed bytes in its second line."""
+    text = "\n".join(LINES)
+    cut = text.index("\n") + 1
+    for name, enc, mark, bad in (("trading_20260318.log", "utf-8", b"", b"\xff"),
+                                 ("trading_20260319.log", "utf-16-le", b"\xff\xfe", b"\x00\xd8"),
+                                 ("trading_20260320.log", "utf-16-be", b"\xfe\xff", b"\xdc\x00")):
+        with open(os.path.join(folder, name), "wb") as fh:
+            fh.write(mark + text[:cut].encode(enc) + bad + text[cut:].encode(enc))
+
+
+def test_folder_of_mixed_encodings_with_malformed_units(spark, tmp_dir):
+    _mixed_folder(tmp_dir)
+    want = sorted((f"trading_202603{d}.log", x) for d in (18, 19, 20) for x in LINES)
+    assert sorted((r["file_name"], r["line"]) for r in files.read_lines(spark, tmp_dir).collect()) == want
+    for d in (18, 19, 20):
+        one = files.read_day_file(spark, os.path.join(tmp_dir, f"trading_202603{d}.log"))
+        assert [r["line"] for r in one.collect()] == LINES
+
+
+def test_landing_stream_of_mixed_encodings(spark, tmp_dir):
+    landing = os.path.join(tmp_dir, "landing")
+    os.makedirs(landing)
+    _mixed_folder(landing)
+    q = (files.landing_stream(spark, landing).writeStream.format("memory").queryName("mixed")
+         .option("checkpointLocation", os.path.join(tmp_dir, "ck")).trigger(availableNow=True).start())
+    q.awaitTermination()
+    got = sorted((r["file_name"], r["line"]) for r in spark.table("mixed").collect())
+    assert got == sorted((f"trading_202603{d}.log", x) for d in (18, 19, 20) for x in LINES)

@@ -143,8 +143,16 @@ def test_close_day_with_utf16_day_file(spark, tmp_dir):
     assert (s["trade_count"], s["lilo_count"]) == (1, 1)
     assert (s["lines_scanned"], s["trade_ips"]) == (2, 1)
     assert "2 lines, 1 trade IPs" in eod_job.summary_message(s)
-    # Above the broadcast bound the same close runs as a sort-merge join.
-    s2 = eod_job.close_day(spark, "20260318", day, raw, os.path.join(tmp_dir, "t2"), broadcast_max_rows=0).first()
+    # Where the address set is too large to broadcast, the same close runs as a sort-merge join.
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    old = {k: spark.conf.get(k, None) for k in keys}
+    try:
+        for k in keys:
+            spark.conf.set(k, "-1")
+        s2 = eod_job.close_day(spark, "20260318", day, raw, os.path.join(tmp_dir, "t2")).first()
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     assert (s2["trade_count"], s2["lilo_count"]) == (1, 1)
     got = {r["ip"]: r["flag"] for r in spark.read.parquet(os.path.join(tmp_dir, "t")).collect()}
     assert got == {"1.2.3.4": "trade", "9.9.9.9": "lilo"}
@@ -165,7 +173,7 @@ def test_cli_close_day_and_ingest(spark, tmp_dir, capsys):
     date = day[len("trading_"):len("trading_") + 8]
     assert cli.main(["close-day", "--date", date, "--logs", logs, "--raw", raw, "--table", table]) == 0
     out = capsys.readouterr().out
-    assert "EOD flags updated for" in out and "trade IPs" in out and "Done in" in out
+    assert "Closed " in out and "trade IPs" in out and "Done in" in out
     assert cli.main(["close-day", "--date", "20000101", "--logs", logs, "--raw", raw, "--table", table]) == 1
 
 
@@ -184,9 +192,9 @@ def test_cli_lag_report(spark, tmp_dir, capsys):
         fh.write("v1\n{}")
     assert cli.main(["lag-report", "--topic", "t", "--records", path, "--checkpoint", ck]) == 0
     out = capsys.readouterr().out
-    assert "Partition 0 | committed=10  latest=10  lag=0  [OK]" in out
-    assert "Partition 1 | committed=5  latest=11  lag=6  [BEHIND by 6]" in out
-    assert "Partition 2 | committed=0  latest=12  lag=12" in out and "Total lag: 18 messages" in out
+    assert "partition 0: at 10 of 10, lag 0 [OK]" in out
+    assert "partition 1: at 5 of 11, lag 6 [BEHIND by 6]" in out
+    assert "partition 2: at 0 of 12, lag 12" in out and "total lag: 18" in out
     assert cli.main(["lag-report", "--topic", "nope", "--records", path, "--checkpoint", ck]) == 0
     assert "does not exist yet" in capsys.readouterr().out
 

@@ -27,7 +27,8 @@ def test_trading_records(spark):
     recs = produce.trading_records(day_lines(spark, SF), partitions=3)
     rows = recs.collect()
     assert len(rows) == REGISTRY["cid_filter"](spark, SF).count()
-    assert all(r["partition"] == zlib.crc32(r["key"].encode()) % 3 for r in rows)
+    assert all(r["partition"] == (None if r["key"] is None else zlib.crc32(r["key"].encode()) % 3) for r in rows)
+    assert any(r["key"] is None for r in rows) and any(r["key"] is not None for r in rows)
     assert all("cid:" in r["value"] and r["value"] == r["value"].strip() for r in rows)
 
 
