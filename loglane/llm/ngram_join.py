@@ -16,8 +16,12 @@ So documents first meet in blocks that lose no link, and each block has trees:
 2. The order of shingles is: not frequent by the sketch first, then by hash. A
    document of n shingles shows its first n // 4 + 1; two documents that link
    share one of these. A document with a frequent line shows rarer shingles.
-3. Holders of a shown shingle form a block named by the smallest holder; equal
-   names merge, so every linked pair is in a common block.
+   A shown shingle that the sketch gives more than ``HOLDERS`` holders (a large
+   group of near copies) is split: holders fall into chunks by a hash, and each
+   pair of chunks is a shingle of its own, so all pairs still meet and no task
+   gets more than two chunks.
+3. Holders of a shown shingle form a block named by the smallest holder (and the
+   chunk pair); equal names merge, so every linked pair is in a common block.
 4. A block gets its members' points; trees leave clusters of members whose
    bounds allow 0.75.
 5. A cluster gets its members' whole sets, and again trees choose the pairs to
@@ -51,6 +55,7 @@ STEP_TEXTS = 1 << 20
 SKETCH = 1 << 20
 SKETCH_PARTS = 32
 MIN_FREQUENT = 256
+HOLDERS = 1 << 14
 
 
 def steps(texts: list[bytes], limit: int = STEP_TEXTS):
@@ -117,21 +122,42 @@ def set_statistics(docs: DataFrame) -> DataFrame:
     return stored(rows.mapInArrow(run, "doc_id long, n long, a long, b long, part int, sketch binary"), "ngram-sets")
 
 
-def frequent_places(statistics: DataFrame) -> np.ndarray:
-    """Packed bits of the sketch places that count as frequent: fixed size."""
+def frequent_places(statistics: DataFrame) -> bytes:
+    """Of each sketch place the binary logarithm of its count where that is
+    frequent, else 0; packed, of fixed size."""
     shown = statistics.where("part is null and n > 0").agg(F.sum(F.expr("n div 4 + 1"))).first()[0] or 0
     least = max(MIN_FREQUENT, 32 * shown // SKETCH)
 
     def add(key, table):
         total = sum(unpack_arrays(x)[0] for x in table.column("sketch").to_pylist())
         return pa.table({"part": pa.array([key[0].as_py()], pa.int32()),
-                         "bits": pa.array([np.packbits(total >= least).tobytes()], pa.binary())})
+                         "levels": pa.array([levels(total).tobytes()], pa.binary())})
+
+    def levels(total):
+        return np.where(total >= least, np.log2(np.maximum(total, 2)), 0).astype(np.uint8)
 
     rows = (statistics.where("part is not null").select("part", "sketch").groupBy("part")
-            .applyInArrow(add, "part int, bits binary").orderBy("part").collect())
-    if not rows:
-        return np.zeros(SKETCH // 8, np.uint8)
-    return np.frombuffer(b"".join(r["bits"] for r in rows), np.uint8)
+            .applyInArrow(add, "part int, levels binary").orderBy("part").collect())
+    found = np.frombuffer(b"".join(bytes(r["levels"]) for r in rows), np.uint8)
+    return pack_arrays(found if len(found) else np.zeros(SKETCH, np.uint8))
+
+
+def split_shown(token: np.ndarray, member: np.ndarray, doc: np.ndarray, level: np.ndarray, holders: int):
+    """(token, member, pair) with the tokens of many holders split by pairs of
+    chunks; pair is 0 for tokens that are not split."""
+    chunks = np.left_shift(1, np.maximum(level[sketch_place(token)].astype(np.int64) - (holders.bit_length() - 1), 0))
+    whole = chunks == 1
+    tokens, members, pairs = [token[whole]], [member[whole]], [np.zeros(int(whole.sum()), np.int64)]
+    for n in np.unique(chunks[~whole]).tolist():
+        at = np.flatnonzero(chunks == n)
+        own = (mix(doc[member[at]].astype(U64)) % U64(n)).astype(np.int64)
+        for other in range(n):
+            low, high = np.minimum(own, other), np.maximum(own, other)
+            pair = (n * n + low * n + high).astype(np.int64)
+            tokens.append(mix(token[at] ^ mix(pair.astype(U64))))
+            members.append(member[at])
+            pairs.append(pair)
+    return np.concatenate(tokens), np.concatenate(members), np.concatenate(pairs)
 
 
 def members_of(table: pa.Table) -> tuple[np.ndarray, list[bytes]]:
@@ -166,7 +192,7 @@ PART = "part int, other int, value binary"
 PART_NAMES = ["part", "other", "value"]
 
 
-def similar_links(docs: DataFrame, frequent: np.ndarray, slice_bytes: int = SLICE_BYTES) -> DataFrame:
+def similar_links(docs: DataFrame, frequent: bytes, slice_bytes: int = SLICE_BYTES, holders: int = HOLDERS) -> DataFrame:
     """Links (a, b) between doc_ids that connect each component."""
     some = docs.where("doc_id is not null")
     n = slice_count(some, "text", slice_bytes)
@@ -174,33 +200,38 @@ def similar_links(docs: DataFrame, frequent: np.ndarray, slice_bytes: int = SLIC
 
     def show(key, table):
         """Shown shingles of a slice, dealt to parts by the shingle."""
-        s, hot = key[0].as_py(), np.unpackbits(frequent).astype(bool)
-        sets = all_sets(members_of(table)[1])
-        shown = [prefix(x, hot) if len(x) else x for x in sets]
+        s, level = key[0].as_py(), unpack_arrays(frequent)[0]
+        doc, texts_here = members_of(table)
+        shown = [prefix(x, level > 0) if len(x) else x for x in all_sets(texts_here)]
         if not shown:
             return keyed_table([], [], [], PART_NAMES)
         token = np.concatenate(shown)
         member = np.repeat(np.arange(len(shown)), [len(x) for x in shown])
+        token, member, pair = split_shown(token, member, doc, level, holders)
         keys, values = [], []
         for p, at in by_part(part_of(token, n), n):
             keys.append(p)
-            values.append(pack_arrays(token[at], member[at].astype(np.uint32)))
+            values.append(pack_arrays(token[at], member[at].astype(np.uint32), pair[at]))
         return keyed_table(keys, [s] * len(keys), values, PART_NAMES)
 
     def blocks(key, table):
-        """Holders of each shingle that has several, with the smallest of them."""
-        p, token, holder = key[0].as_py(), [], []
+        """Holders of each shingle that has several, with the block's name."""
+        p, token, holder, pair = key[0].as_py(), [], [], []
         for s, value in zip(table.column("other").to_pylist(), table.column("value").to_pylist()):
-            t, m = unpack_arrays(value)
+            t, m, c = unpack_arrays(value)
             token.append(t)
             holder.append((s << 32) | m.astype(np.int64))
-        token, holder = np.concatenate(token), np.concatenate(holder)
+            pair.append(c)
+        token, holder, pair = (np.concatenate(x) for x in (token, holder, pair))
         order = np.lexsort((holder, token))
-        token, holder = token[order], holder[order]
+        token, holder, pair = token[order], holder[order], pair[order]
         start = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]]))
         size = np.diff(np.append(start, len(token)))
         several = np.repeat(size > 1, size)
-        pairs = np.unique(np.stack([holder[several], np.repeat(holder[start], size)[several]]), axis=1)
+        name = holder[start]
+        split = pair[start] > 0
+        name[split] = mix(name[split].astype(U64) ^ mix(pair[start][split].astype(U64))).astype(np.int64)
+        pairs = np.unique(np.stack([holder[several], np.repeat(name, size)[several]]), axis=1)
         keys, values = [], []
         for s, at in by_part(pairs[0] >> 32, n):
             keys.append(s)
@@ -303,11 +334,11 @@ def similar_links(docs: DataFrame, frequent: np.ndarray, slice_bytes: int = SLIC
     return sets.groupBy("part").applyInArrow(verified, "a long, b long")
 
 
-def similar_documents(docs: DataFrame, slice_bytes: int = SLICE_BYTES) -> DataFrame:
+def similar_documents(docs: DataFrame, slice_bytes: int = SLICE_BYTES, holders: int = HOLDERS) -> DataFrame:
     """Per document: doc_id, n_shingles, component_id."""
     ship_package(docs.sparkSession)
     statistics = set_statistics(docs)
-    links = stored(similar_links(docs, frequent_places(statistics), slice_bytes), "ngram-links")
+    links = stored(similar_links(docs, frequent_places(statistics), slice_bytes, holders), "ngram-links")
     labels = component_labels(links)
     rows = statistics.where("part is null").select("doc_id", "n", "a", "b")
     worded = rows.where("n > 0")
