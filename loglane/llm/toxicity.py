@@ -1,7 +1,7 @@
 """Toxicity scores by weak supervision.
 
-1. Voters. From labelled rows Spark counts, per word and per word beginning
-   (4 and 5 letters), the toxic and other texts that have it. Those that are
+1. Voters. From labelled rows Spark counts, per word, per word beginning (4 to
+   8 letters) and per beginning that several words share, the toxic and other texts that have it. Those that are
    frequent in toxic texts and rare elsewhere become voters, one for each word
    (lexicon) or beginning (pattern); a short public word list and two phrase
    patterns vote too. A voter says "toxic" or abstains.
@@ -9,8 +9,8 @@
    toxic and on other texts, estimated by expectation maximisation over the
    votes of a sample, labelled or not. Correlations between voters given the
    label are estimated from residuals, and a voter's evidence is divided by
-   one plus its positive correlations, so that ten spellings of one word do
-   not count ten times.
+   one plus the variance it shares with others (squares of its positive
+   correlations), so that ten spellings of one word do not count ten times.
 3. Classifier. A logistic regression on the terms learns the posterior labels
    of the sample; its margin is calibrated on the labelled rows.
 
@@ -28,6 +28,7 @@ one doc_id the largest counts; extra columns are kept by ``score_documents``.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
@@ -49,14 +50,18 @@ HELD_OUT = 1
 PUBLIC_WORDS = ["clown", "disgusting", "idiot", "loser", "moron", "pathetic", "scum", "stupid", "trash", "worthless"]
 #: Phrase patterns.
 PATTERNS = [r"\byou(?:'re| are)? (?:an? |such an? )?(?:idiot|moron|loser|clown)\b", r"\b(?:shut up|go to hell|drop dead)\b"]
+#: Lengths of word beginnings that may become pattern voters.
+BEGINNINGS = (4, 5, 6, 7, 8)
 WORD = re.compile(r"[^\W\d_]+")
 _PATTERNS = [re.compile(p) for p in PATTERNS]
 
 
 def terms_of(text: str | None) -> set[str]:
-    """Words, and word beginnings marked by a star, of a lower-cased text."""
+    """Of a lower-cased text: its words, the beginnings of its words marked by a
+    star, and those that two different words or more share marked by two."""
     words = set(WORD.findall((text or "").lower()))
-    return words | {w[:4] + "*" for w in words if len(w) > 4} | {w[:5] + "*" for w in words if len(w) > 5}
+    begins = Counter(w[:n] for n in BEGINNINGS for w in words if len(w) > n)
+    return words | {b + "*" for b in begins} | {b + "**" for b, k in begins.items() if k > 1}
 
 
 @dataclass
@@ -72,14 +77,19 @@ class Model:
 
     def scorer(self):
         words = {t: w for t, w in self.terms.items() if t[-1] != "*"}
-        four = {t[:-1]: w for t, w in self.terms.items() if t[-1] == "*" and len(t) == 5}
-        five = {t[:-1]: w for t, w in self.terms.items() if t[-1] == "*" and len(t) == 6}
+        begins: dict[int, set[str]] = {}
+        for t in self.terms:
+            if t[-1] == "*":
+                begins.setdefault(len(t.rstrip("*")), set()).add(t.rstrip("*"))
 
         def score(text: str | None) -> float:
             found = set(WORD.findall((text or "").lower()))
             z = sum([words[w] for w in words.keys() & found])
-            z += sum([four[w] for w in four.keys() & {w[:4] for w in found if len(w) > 4}])
-            z += sum([five[w] for w in five.keys() & {w[:5] for w in found if len(w) > 5}])
+            for n, known in begins.items():
+                hits = [b for w in found if len(w) > n and (b := w[:n]) in known]
+                if hits:
+                    z += sum([self.terms.get(b + "*", 0.0) + (self.terms.get(b + "**", 0.0) if k > 1 else 0.0)
+                              for b, k in Counter(hits).items()])
             return float(1 / (1 + np.exp(-np.clip(self.scale * (z + self.bias) + self.shift, -30, 30))))
 
         return score
@@ -155,7 +165,7 @@ def label_model(v: np.ndarray, known: np.ndarray, iterations: int = 25):
 
     ``known``: 1, 0 or -1 (not known); known labels give the base rate, start
     the estimate and keep half their weight. Returns posterior, rates (toxic, other), weights."""
-    n, m = v.shape
+    n, silent = len(v), ~v.any(axis=1)
     p = np.where(known >= 0, np.clip(known, 0.02, 0.98), 0.0)
     p[known < 0] = np.where(v[known < 0].any(axis=1), 0.8, 0.05)
     prior = float(np.clip(known[known >= 0].mean() if (known >= 0).any() else 0.1, 1e-3, 1 - 1e-3))
@@ -167,8 +177,10 @@ def label_model(v: np.ndarray, known: np.ndarray, iterations: int = 25):
         sd = np.sqrt(np.maximum(np.diag(cov), 1e-9))
         corr = np.clip(cov / np.outer(sd, sd), 0, 1)
         np.fill_diagonal(corr, 0)
-        weight = 1 / (1 + corr.sum(axis=1))
-        z = np.log(prior / (1 - prior)) + v @ (np.log(a / b) * weight)  # abstaining is no evidence
+        weight = 1 / (1 + (corr ** 2).sum(axis=1))
+        # one abstention is no evidence; that all abstain speaks for the other label
+        silence = np.log(((p[silent].sum() + 0.5) / (p.sum() + 1)) / (((1 - p)[silent].sum() + 0.5) / ((1 - p).sum() + 1)))
+        z = np.log(prior / (1 - prior)) + v @ (np.log(a / b) * weight) + silent * min(silence, 0.0)
         model = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
         p = np.where(known >= 0, 0.5 * model + 0.5 * np.clip(known, 0.02, 0.98), model)
     return p, (a, b), weight
