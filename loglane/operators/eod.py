@@ -87,6 +87,19 @@ def trade_ips(day_lines: DataFrame, **kw) -> DataFrame:
             .agg(F.max("__ok").alias("__ok")).where(F.col("__ok")).drop("__ok"))
 
 
+def first_trade_times(day_lines: DataFrame, time: Column, line: str = "line",
+                      file_name: str = "file_name") -> DataFrame:
+    """(log_date, ip, first_time): when each trading IP first traded. A close
+    that ran at any hour can be told from it: the IP was known if its first
+    time is before that hour."""
+    tl = trade_tokens(trade_lines(day_lines.withColumn("__time", time), line), line)
+    usable = (F.col("ip") != UNKNOWN) & (F.col("login") != UNKNOWN)
+    return (tl.select(date_from_file_name(file_name).alias("log_date"), "ip",
+                      F.when(usable, F.col("__time")).alias("__time"))
+            .groupBy("log_date", "ip").agg(F.min("__time").alias("first_time"))
+            .where(F.col("first_time").isNotNull()))
+
+
 def trade_ip_scan(day_lines: DataFrame, line: str = "line", file_name: str = "file_name",
                   log_date: Column | None = None) -> DataFrame:
     """One pass over a day file giving both the trade IPs and the line count:

@@ -114,14 +114,15 @@ CUTOFF = "18:00:00.000"
 def eod_rerun_sticky(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two closes of each day: the first at 18:00 over the rows and the day
     file as they were then, the second after the rest arrived. Flags set by
-    the first run stay; only rows still pending are classified again."""
-    lines = day_lines(spark, sf_dir)
-    acc = access_table(spark, sf_dir)
+    the first run stay; only rows still pending are classified again. One
+    aggregate and one join serve both runs: an address counted in the first run
+    if it had traded by then (``close_day_two_feeds`` closes stored tables)."""
     line_time = F.get(F.split(F.col("line"), "\t"), F.lit(3))
+    first = eod.first_trade_times(day_lines(spark, sf_dir), line_time)
     early = F.coalesce(F.col("log_time") < CUTOFF, F.lit(False))
-    first = eod.apply_flags(acc.where(early), eod.trade_ips(lines.where(line_time < CUTOFF)))
-    late = acc.where(~early)
-    return eod.apply_flags(first.unionByName(late), eod.trade_ips(lines))
+    hit = F.coalesce(F.when(early, F.col("first_time") < CUTOFF).otherwise(F.col("first_time").isNotNull()), F.lit(False))
+    rows = access_table(spark, sf_dir).join(first, ["log_date", "ip"], "left")
+    return rows.withColumn("flag", eod.flag_expr(hit, F.col("log_date").isNotNull())).select(*al.ACCESS_LOG_COLUMNS)
 
 
 @query("trade_line_filter")
