@@ -21,6 +21,8 @@ base; a text without line breaks is one line; extra columns are kept by
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,7 +39,7 @@ BOILERPLATE = [
     "terms of service", "terms of use",
 ]
 SPACE = r"[\x20\x09-\x0D]+"
-SPACE_CHARS = " \t\n\x0b\x0c\r"
+WORD = r"[^\x20\x09-\x0D]"
 SYMBOLS = "#*$%&|<>"
 
 
@@ -48,11 +50,11 @@ def let(value: Column, body) -> Column:
 
 def words(text: Column) -> Column:
     """Runs of other characters than space, tab, LF, VT, FF and CR."""
-    return F.filter(F.split(text, SPACE), lambda w: w != F.lit(""))
+    return F.array_remove(F.split(text, SPACE), "")
 
 
 def count_of(text: Column, chars: str) -> Column:
-    return (F.length(text) - F.length(F.translate(text, chars, ""))).cast("long")
+    return (F.length(text) - F.length(F.regexp_replace(text, f"[{re.escape(chars)}]+", ""))).cast("long")
 
 
 def repeat_words(ws: Column) -> Column:
@@ -80,23 +82,26 @@ def repeat_words(ws: Column) -> Column:
 
 
 def dup_lines(lines: Column) -> Column:
-    worded = F.filter(lines, lambda x: F.translate(x, SPACE_CHARS, "") != "")
+    worded = F.filter(lines, lambda x: x.rlike(WORD))
     return let(worded, lambda v: (F.size(v) - F.size(F.array_distinct(v))).cast("long"))
 
 
 def line_ok(line: Column) -> Column:
     """Whether a line passes all three rules; lines without a word pass."""
-    low = F.lower(line)
-    n = F.size(words(line))
-    symbols = count_of(line, SYMBOLS)
-    punctuation = (symbols > n * F.lit(MAX_LINE_SYMBOLS)) | ~line.rlike(r"\p{L}")
-    seps = count_of(line, "|»>")
-    ended = line.rlike(r"[.!?:;,…\"'”»)][\x20\x09-\x0D]*$")
-    navigation = ((seps >= 2) & (n - seps <= 3 * (seps + 1))) | ((n <= 2) & ~ended)
-    boiler = F.lit(False)
-    for phrase in BOILERPLATE:
-        boiler = boiler | F.contains(low, F.lit(phrase))
-    return (n == 0) | ~(punctuation | navigation | boiler)
+    measures = F.struct(F.size(words(line)).alias("n"), count_of(line, SYMBOLS).alias("symbols"),
+                        count_of(line, "|»>").alias("seps"), F.lower(line).alias("low"))
+
+    def judged(m: Column) -> Column:
+        n, seps = m["n"], m["seps"]
+        punctuation = (m["symbols"] > n * F.lit(MAX_LINE_SYMBOLS)) | ~line.rlike(r"\p{L}")
+        ended = line.rlike(r"[.!?:;,…\"'”»)][\x20\x09-\x0D]*$")
+        navigation = ((seps >= 2) & (n - seps <= 3 * (seps + 1))) | ((n <= 2) & ~ended)
+        boiler = F.lit(False)
+        for phrase in BOILERPLATE:
+            boiler = boiler | F.contains(m["low"], F.lit(phrase))
+        return (n == 0) | ~(punctuation | navigation | boiler)
+
+    return let(measures, judged)
 
 
 def line_clean(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -107,15 +112,16 @@ def line_clean(docs: DataFrame, text: str = "text") -> DataFrame:
     t = F.coalesce(F.col(text), F.lit(""))
     lines = F.split(t, "\n")
     out = src.withColumns({
-        "word_chars": F.length(F.translate(t, SPACE_CHARS, "")).cast("long"),
         "n_symbols": count_of(t, SYMBOLS),
         "n_dup_lines": dup_lines(lines),
-        "_w": let(words(t), lambda w: F.struct(F.size(w).cast("long").alias("n"), repeat_words(w).alias("r"))),
+        "_w": let(words(t), lambda w: F.struct(
+            F.size(w).cast("long").alias("n"), F.length(F.array_join(w, "")).cast("long").alias("c"),
+            repeat_words(w).alias("r"))),
         "clean_text": F.array_join(F.filter(lines, line_ok), "\n"),
     })
-    out = out.withColumns({"n_words": F.col("_w.n"), "n_repeat_words": F.col("_w.r")}).drop("_w")
+    out = out.withColumns({"n_words": F.col("_w.n"), "word_chars": F.col("_w.c"), "n_repeat_words": F.col("_w.r")}).drop("_w")
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
-    kept_chars = F.length(F.translate("clean_text", SPACE_CHARS, ""))
+    kept_chars = F.length(F.regexp_replace("clean_text", SPACE, ""))
     return out.withColumns({"base_failed": failed,
                             "kept": ~failed & (kept_chars >= MIN_KEPT_SHARE * F.col("word_chars"))})
 
