@@ -201,8 +201,7 @@ def extract_text(pages: DataFrame) -> DataFrame:
     ship_package(pages.sparkSession)
     id_type = pages.schema["page_id"].dataType.simpleString()
     rows = with_host_path(pages.select("page_id", "url", "html")).select("host", "path", "page_id", "url", "html")
-    n = max(1, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    dealt = rows.repartitionByRange(n, "host", "path", "page_id").sortWithinPartitions("host", "path", "page_id")
+    dealt = rows.repartitionByRange("host", "path", "page_id").sortWithinPartitions("host", "path", "page_id")
 
     def run(batches):
         import pyarrow.compute as pc
