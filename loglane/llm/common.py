@@ -33,7 +33,8 @@ def open_file(uri: str, write: bool = False):
     from pyarrow import fs
 
     if ":" in uri.partition("/")[0]:
-        system, path = fs.FileSystem.from_uri(re.sub("^file:/+", "file:///", uri))
+        known = re.sub("^s3[an]:", "s3:", re.sub("^file:/+", "file:///", uri))  # as pyarrow spells them
+        system, path = fs.FileSystem.from_uri(known)
     else:
         system, path = fs.LocalFileSystem(), uri
     if write:
