@@ -295,7 +295,7 @@ def orders_json_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order messages off the topic -> order columns."""
     msgs = order_messages(spark, sf_dir)
     dec = od.decode_orders(msgs.withColumn("key", F.col("key").cast("string")), keep=["key"])
-    return dec.where(F.col("reason").isNull()).select("key", "order_id", "customer", "item", "quantity")
+    return where_computed(dec, F.col("reason").isNull()).select("key", "order_id", "customer", "item", "quantity")
 
 
 @query("orders_json_rejects")
