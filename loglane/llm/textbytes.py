@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 
 U64 = np.uint64
+#: Bytes that are hashed at a time.
+STEP = 1 << 20
+_SPACE = re.compile(rb"[\x20\x09-\x0D]")
 _MULTIPLIER = U64(0x9E3779B97F4A7C15 | 1)
 
 
@@ -55,22 +60,55 @@ def joined(texts: list[bytes], gap: bytes) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(gap.join([*texts, b""]), np.uint8), starts
 
 
-def shingle_sets(texts: list[bytes], size: int = 5) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct hashes of ``size``-word shingles, ascending in each text, and the
-    offsets of the texts in them. A-Z count as a-z; words are runs of other
-    bytes than space and 9 to 13; a text with fewer words is one shingle."""
-    if not texts:
-        return np.empty(0, U64), np.zeros(1, np.int64)
+def _word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Hash and text number of each word, in order."""
     data, starts = joined(texts, b" ")
     upper = (data >= 65) & (data <= 90)
     data = data + (upper.view(np.uint8) << 5)
     word = (data != 32) & ((data < 9) | (data > 13))
     edge = np.flatnonzero(np.diff(np.concatenate([[0], word.view(np.int8), [0]])))
     first, end = edge[0::2], edge[1::2]
-    if not len(first):
+    return range_hash(prefix_sums(data), first, end), np.searchsorted(starts, first, "right") - 1
+
+
+def word_hashes(texts: list[bytes], limit: int = STEP) -> tuple[np.ndarray, np.ndarray]:
+    """``_word_hashes`` of texts of any length: about ``limit`` bytes at a time,
+    long texts being cut at white space."""
+    if sum(map(len, texts)) <= 2 * limit:
+        return _word_hashes(texts)
+    found, group, owners, size = [], [], [], 0
+
+    def flush() -> None:
+        nonlocal group, owners, size
+        if group:
+            h, part = _word_hashes(group)
+            found.append((h, np.array(owners)[part]))
+        group, owners, size = [], [], 0
+
+    for i, t in enumerate(texts):
+        at = 0
+        while at < len(t):
+            gap = _SPACE.search(t, at + limit) if len(t) - at > limit else None
+            stop = gap.start() if gap else len(t)
+            group.append(t[at:stop])
+            owners.append(i)
+            size += stop - at
+            at = stop
+            if size >= limit:
+                flush()
+    flush()
+    if not found:
+        return np.empty(0, U64), np.empty(0, np.int64)
+    return np.concatenate([h for h, _ in found]), np.concatenate([o for _, o in found])
+
+
+def shingle_sets(texts: list[bytes], size: int = 5, limit: int = STEP) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct hashes of ``size``-word shingles, ascending in each text, and the
+    offsets of the texts in them. A-Z count as a-z; words are runs of other
+    bytes than space and 9 to 13; a text with fewer words is one shingle."""
+    h, owner = word_hashes(texts, limit)
+    if not len(h):
         return np.empty(0, U64), np.zeros(len(texts) + 1, np.int64)
-    h = range_hash(prefix_sums(data), first, end)
-    owner = np.searchsorted(starts, first, "right") - 1
     n_words = np.bincount(owner, minlength=len(texts))
     at = np.concatenate([[0], np.cumsum(n_words)])
     padded = np.concatenate([h, np.zeros(size, U64)])
