@@ -191,7 +191,7 @@ def logistic(x: np.ndarray, p: np.ndarray, penalty: float = 1e-3, iterations: in
     descent with momentum)."""
     w, c = np.zeros(x.shape[1], np.float32), float(np.log((p.mean() + 1e-4) / (1 - p.mean() + 1e-4)))
     vw, vc = np.zeros_like(w), 0.0
-    x = x.astype(np.float32)
+    x = x.astype(np.float32, copy=False)
     balance = np.where(p > 0.5, 0.5 / max((p > 0.5).mean(), 1e-3), 0.5 / max((p <= 0.5).mean(), 1e-3)).astype(np.float32)
     rate = 4.0 / max(1.0, float((x.sum(axis=1) + 1).mean()))
     for _ in range(iterations):
