@@ -12,20 +12,21 @@ log2(n) coordinates are split, too few to prune among documents of one size.
 So documents first meet in blocks that lose no link, and each block has trees:
 
 1. All texts are read once for each document's set size, set hash, and a count
-   sketch (fixed size) of the prefix shingles.
+   sketch (fixed size) of all shingles, which never counts too few documents.
 2. The order of shingles is: not frequent by the sketch first, then by hash. A
    document of n shingles shows its first n // 4 + 1; two documents that link
    share one of these. A document with a frequent line shows rarer shingles.
    A shown shingle that the sketch gives more than ``HOLDERS`` holders (a large
-   group of near copies) is split: holders fall into chunks by a hash, and each
-   pair of chunks is a shingle of its own, so all pairs still meet and no task
-   gets more than two chunks.
+   group of near copies) is split: holders fall into chunks of about that many
+   or fewer by a hash, and each pair of chunks is a shingle of its own, so all
+   pairs still meet. A group of h holders thus travels about h / HOLDERS times.
 3. Holders of a shown shingle form a block named by the smallest holder (and the
    chunk pair); equal names merge, so every linked pair is in a common block.
 4. A block gets its members' points; trees leave clusters of members whose
-   bounds allow 0.75.
+   bounds allow 0.75. A cluster is named by its smallest id and the chunk pair.
 5. A cluster gets its members' whole sets, and again trees choose the pairs to
    verify; pairs already joined are skipped, so no group emits all its pairs.
+   In 4 and 5 what is split makes a part of its own, of two chunks.
 6. Spark joins the links by star contraction to components.
 
 Texts travel in slices of about ``SLICE_BYTES`` (a hash of the id); equal sets
@@ -97,17 +98,16 @@ def prefix(s: np.ndarray, frequent: np.ndarray) -> np.ndarray:
 
 def set_statistics(docs: DataFrame) -> DataFrame:
     """Rows (doc_id, n, a, b) of documents, and rows (part, sketch) of the
-    sketch of prefix shingles, written once."""
+    sketch of all shingles, written once."""
     names = ["doc_id", "n", "a", "b", "part", "sketch"]
 
     def run(batches):
-        sketch, none = np.zeros(SKETCH, np.int64), np.zeros(SKETCH, bool)
+        sketch = np.zeros(SKETCH, np.int64)
         for batch in pieces(batches, "text"):
             sets = all_sets([t.encode() if t else b"" for t in batch.column(1).to_pylist()])
             keys = [set_key(s) for s in sets]
-            for s in dict(zip(keys, sets)).values():
-                if len(s):
-                    np.add.at(sketch, sketch_place(prefix(s, none)), 1)
+            for s in sets:  # equal sets may lie in several slices, so each counts
+                np.add.at(sketch, sketch_place(s), 1)
             m = len(sets)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([len(s) for s in sets], pa.int64()),
@@ -123,23 +123,24 @@ def set_statistics(docs: DataFrame) -> DataFrame:
 
 
 def frequent_places(statistics: DataFrame) -> bytes:
-    """Of each sketch place the binary logarithm of its count where that is
-    frequent, else 0; packed, of fixed size."""
+    """Of each sketch place the binary logarithm of its count, rounded up, and
+    whether it is frequent; packed, of fixed size."""
     shown = statistics.where("part is null and n > 0").agg(F.sum(F.expr("n div 4 + 1"))).first()[0] or 0
     least = max(MIN_FREQUENT, 32 * shown // SKETCH)
 
     def add(key, table):
         total = sum(unpack_arrays(x)[0] for x in table.column("sketch").to_pylist())
         return pa.table({"part": pa.array([key[0].as_py()], pa.int32()),
-                         "levels": pa.array([levels(total).tobytes()], pa.binary())})
+                         "levels": pa.array([levels(total).tobytes()], pa.binary()),
+                         "often": pa.array([(total >= least).tobytes()], pa.binary())})
 
     def levels(total):
-        return np.where(total >= least, np.log2(np.maximum(total, 2)), 0).astype(np.uint8)
+        return np.ceil(np.log2(np.maximum(total, 1))).astype(np.uint8)
 
     rows = (statistics.where("part is not null").select("part", "sketch").groupBy("part")
-            .applyInArrow(add, "part int, levels binary").orderBy("part").collect())
-    found = np.frombuffer(b"".join(bytes(r["levels"]) for r in rows), np.uint8)
-    return pack_arrays(found if len(found) else np.zeros(SKETCH, np.uint8))
+            .applyInArrow(add, "part int, levels binary, often binary").orderBy("part").collect())
+    found = [np.frombuffer(b"".join(bytes(r[c]) for r in rows), t) for c, t in (("levels", np.uint8), ("often", bool))]
+    return pack_arrays(*(x if len(x) else np.zeros(SKETCH, x.dtype) for x in found))
 
 
 def split_shown(token: np.ndarray, member: np.ndarray, doc: np.ndarray, level: np.ndarray, holders: int):
@@ -151,11 +152,12 @@ def split_shown(token: np.ndarray, member: np.ndarray, doc: np.ndarray, level: n
     for n in np.unique(chunks[~whole]).tolist():
         at = np.flatnonzero(chunks == n)
         own = (mix(doc[member[at]].astype(U64)) % U64(n)).astype(np.int64)
-        for other in range(n):
-            low, high = np.minimum(own, other), np.maximum(own, other)
+        for other in range(n):  # those of one chunk meet in any of its pairs
+            i = np.flatnonzero(own != other)
+            low, high = np.minimum(own[i], other), np.maximum(own[i], other)
             pair = (n * n + low * n + high).astype(np.int64)
-            tokens.append(mix(token[at] ^ mix(pair.astype(U64))))
-            members.append(member[at])
+            tokens.append(mix(token[at[i]] ^ mix(pair.astype(U64))))
+            members.append(member[at[i]])
             pairs.append(pair)
     return np.concatenate(tokens), np.concatenate(members), np.concatenate(pairs)
 
@@ -178,10 +180,29 @@ def by_part(part: np.ndarray, n: int):
         yield p, order[cuts[p]:cuts[p + 1]]
 
 
+def by_sparse_part(part: np.ndarray):
+    """``by_part`` for numbers of any size."""
+    order = np.argsort(part, kind="stable")
+    cuts = np.flatnonzero(np.diff(part[order], prepend=-1, append=-1)).tolist()
+    for a, b in zip(cuts[:-1], cuts[1:]):
+        yield int(part[order[a]]), order[a:b]
+
+
 def part_of(names: np.ndarray, n: int) -> np.ndarray:
     return (mix(names.astype(U64)) % U64(n)).astype(np.int64)
 
 
+def group_part(names: np.ndarray, pair: np.ndarray, n: int) -> np.ndarray:
+    """``part_of``, but a part of its own for each group of a chunk pair."""
+    own = n + (mix(names.astype(U64)) % U64((1 << 31) - n)).astype(np.int64)
+    return np.where(pair > 0, own, part_of(names, n))
+
+
+def paired(name: np.ndarray, pair: np.ndarray) -> np.ndarray:
+    """Names of groups, with the chunk pair mixed in where there is one."""
+    return np.where(pair > 0, mix(name.astype(U64) ^ mix(pair.astype(U64))).astype(np.int64), name)
+
+
 def ragged(values: np.ndarray, lens: np.ndarray) -> list[np.ndarray]:
     return np.split(values, np.cumsum(lens)[:-1]) if len(lens) else []
 
@@ -194,15 +215,20 @@ PART_NAMES = ["part", "other", "value"]
 
 def similar_links(docs: DataFrame, frequent: bytes, slice_bytes: int = SLICE_BYTES, holders: int = HOLDERS) -> DataFrame:
     """Links (a, b) between doc_ids that connect each component."""
+    return link_steps(docs, frequent, slice_bytes, holders)[-1]
+
+
+def link_steps(docs: DataFrame, frequent: bytes, slice_bytes: int, holders: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """What the parts of steps 4 and 5 receive, and the links."""
     some = docs.where("doc_id is not null")
     n = slice_count(some, "text", slice_bytes)
     texts = with_slice(some, n).where("text != ''")
 
     def show(key, table):
         """Shown shingles of a slice, dealt to parts by the shingle."""
-        s, level = key[0].as_py(), unpack_arrays(frequent)[0]
+        s, (level, often) = key[0].as_py(), unpack_arrays(frequent)
         doc, texts_here = members_of(table)
-        shown = [prefix(x, level > 0) if len(x) else x for x in all_sets(texts_here)]
+        shown = [prefix(x, often) if len(x) else x for x in all_sets(texts_here)]
         if not shown:
             return keyed_table([], [], [], PART_NAMES)
         token = np.concatenate(shown)
@@ -228,14 +254,12 @@ def similar_links(docs: DataFrame, frequent: bytes, slice_bytes: int = SLICE_BYT
         start = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]]))
         size = np.diff(np.append(start, len(token)))
         several = np.repeat(size > 1, size)
-        name = holder[start]
-        split = pair[start] > 0
-        name[split] = mix(name[split].astype(U64) ^ mix(pair[start][split].astype(U64))).astype(np.int64)
-        pairs = np.unique(np.stack([holder[several], np.repeat(name, size)[several]]), axis=1)
+        name = paired(holder[start], pair[start])
+        pairs = np.unique(np.stack([holder[several], np.repeat(name, size)[several], pair[several]]), axis=1)
         keys, values = [], []
         for s, at in by_part(pairs[0] >> 32, n):
             keys.append(s)
-            values.append(pack_arrays((pairs[0][at] & 0xFFFFFFFF).astype(np.uint32), pairs[1][at]))
+            values.append(pack_arrays((pairs[0][at] & 0xFFFFFFFF).astype(np.uint32), pairs[1][at], pairs[2][at]))
         return keyed_table(keys, [p] * len(keys), values, KEYED_NAMES)
 
     def send(key, left, right, what):
@@ -243,21 +267,21 @@ def similar_links(docs: DataFrame, frequent: bytes, slice_bytes: int = SLICE_BYT
         s, wanted = key[0].as_py(), [unpack_arrays(x) for x in right.column("value").to_pylist()]
         if not wanted:
             return keyed_table([], [], [], PART_NAMES)
-        member, group = (np.concatenate([w[i] for w in wanted]).astype(np.int64) for i in (0, 1))
-        member, group = np.unique(np.stack([member, group]), axis=1)
+        member, group, pair = (np.concatenate([w[i] for w in wanted]).astype(np.int64) for i in range(3))
+        member, group, pair = np.unique(np.stack([member, group, pair]), axis=1)
         doc, text = members_of(left)
         used, member = np.unique(member, return_inverse=True)
         sets = all_sets([text[i] for i in used.tolist()])
         doc = doc[used]
         sent = [what(x) for x in sets]
         keys, values = [], []
-        for p, at in by_part(part_of(group, n), n):
+        for p, at in by_sparse_part(group_part(group, pair, n)):
             own, place = np.unique(member[at], return_inverse=True)
             parts = [sent[i] for i in own.tolist()]
             keys.append(p)
             values.append(pack_arrays(doc[own], used[own], np.array([len(sets[i]) for i in own.tolist()], np.int64),
                                       np.array([len(x) for x in parts], np.int64), np.concatenate(parts),
-                                      place.astype(np.int64), group[at]))
+                                      place.astype(np.int64), group[at], pair[at]))
         return keyed_table(keys, [s] * len(keys), values, PART_NAMES)
 
     def send_points(key, left, right):
@@ -267,10 +291,10 @@ def similar_links(docs: DataFrame, frequent: bytes, slice_bytes: int = SLICE_BYT
         return send(key, left, right, lambda x: x)
 
     def groups(table):
-        """(doc, slice, member, size, value) of all members, and the places of each group."""
-        doc, where, member, size, value, place, group, base = [], [], [], [], [], [], [], 0
+        """(doc, slice, member, size, value) of all members, and the places and chunk pair of each group."""
+        doc, where, member, size, value, place, group, pair, base = [], [], [], [], [], [], [], [], 0
         for s, packed in zip(table.column("other").to_pylist(), table.column("value").to_pylist()):
-            d, m, k, lens, flat, at, g = unpack_arrays(packed)
+            d, m, k, lens, flat, at, g, c = unpack_arrays(packed)
             doc.append(d)
             where.append(np.full(len(d), s))
             member.append(m)
@@ -278,37 +302,39 @@ def similar_links(docs: DataFrame, frequent: bytes, slice_bytes: int = SLICE_BYT
             value += ragged(flat, lens)
             place.append(at + base)
             group.append(g)
+            pair.append(c)
             base += len(d)
         columns = [np.concatenate(x) for x in (doc, where, member, size)]
-        place, group = np.concatenate(place), np.concatenate(group)
+        place, group, pair = (np.concatenate(x) for x in (place, group, pair))
         order = np.lexsort((columns[0][place], group))
-        place, group = place[order], group[order]
+        place, group, pair = place[order], group[order], pair[order]
         cuts = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1], [True]]))
-        return *columns, value, [place[a:b] for a, b in zip(cuts[:-1], cuts[1:]) if b - a > 1]
+        return *columns, value, [(place[a:b], pair[a:b]) for a, b in zip(cuts[:-1], cuts[1:]) if b - a > 1]
 
     def clusters(key, table):
         """Members that the trees leave together, by slice: (member, cluster)."""
         doc, where, member, size, value, found = groups(table)
-        at, name = [], []
-        for g in found:
+        at, name, pair = [], [], []
+        for g, c in found:
             label = similar_components(size[g], [value[i] for i in g.tolist()])
             several = np.bincount(label, minlength=len(g))[label] > 1
             least = np.full(len(g), np.iinfo(np.int64).max)
             np.minimum.at(least, label, doc[g])
             at.append(g[several])
-            name.append(least[label][several])
+            name.append(paired(least[label], c)[several])
+            pair.append(c[several])
         keys, values = [], []
         if at:
-            at, name = np.concatenate(at), np.concatenate(name)
+            at, name, pair = (np.concatenate(x) for x in (at, name, pair))
             for s, i in by_part(where[at], n):
                 keys.append(s)
-                values.append(pack_arrays(member[at[i]], name[i]))
+                values.append(pack_arrays(member[at[i]], name[i], pair[i]))
         return keyed_table(keys, [key[0].as_py()] * len(keys), values, KEYED_NAMES)
 
     def verified(key, table):
         doc, _, _, size, value, found = groups(table)
         a, b = [], []
-        for g in found:
+        for g, _ in found:
             sets = [value[i] for i in g.tolist()]
 
             def alike(i, j, sets=sets):
@@ -331,7 +357,7 @@ def similar_links(docs: DataFrame, frequent: bytes, slice_bytes: int = SLICE_BYT
     points = texts.groupBy("slice").cogroup(wanted.groupBy("slice")).applyInArrow(send_points, PART)
     near = points.groupBy("part").applyInArrow(clusters, KEYED)
     sets = texts.groupBy("slice").cogroup(near.groupBy("slice")).applyInArrow(send_sets, PART)
-    return sets.groupBy("part").applyInArrow(verified, "a long, b long")
+    return points, sets, sets.groupBy("part").applyInArrow(verified, "a long, b long")
 
 
 def similar_documents(docs: DataFrame, slice_bytes: int = SLICE_BYTES, holders: int = HOLDERS) -> DataFrame:
