@@ -1,9 +1,11 @@
 """Main text of web pages by nearest-URL page differencing.
 
-1. Pages are dealt and sorted by host, path and id (range partitions, so a
-   large host spreads over tasks). Each page is paired with the neighbour of
-   its host whose path shares more leading parts; a neighbour with the same
-   lines tells nothing and is passed over.
+1. Of pages with one host, path and html one is differenced, and all get its
+   text by a join. Pages are dealt and sorted by host, path and html hash (range
+   partitions, so a large host spreads over tasks). Each page is paired with the
+   page before or after on its host whose path shares more leading parts. Pages
+   with the same lines, or of the same path with nine tenths of their text in
+   common (crawled again), tell nothing: such a run is passed over as a whole.
 2. A page becomes text lines, one for each block, with the place where it
    stands: in a boilerplate container (menu, header, footer, sidebar, notice,
    advert, form, comments), in the marked article, or elsewhere.
@@ -18,7 +20,8 @@ articles have in common is still text. Whole pages are read; nothing is capped.
 The alignment takes n*m/64 steps on machine words after equal ends are cut off.
 
 Defined results: null and empty html give an empty text; a page alone on its
-host loses no line to differencing; repeated rows give equal texts; null urls
+host, or with near copies only, loses no line to differencing; repeated rows
+give equal texts; null urls
 share one (empty) host; broken markup is read as far as it goes (an unclosed
 container ends with its parent or where an article begins); extra columns are
 ignored.
@@ -188,63 +191,93 @@ def shared_parts(a: str, b: str) -> int:
     return n
 
 
+def near_copies(a: list[str], b: list[str]) -> bool:
+    """Whether nine tenths of both pages' text stands in the common lines."""
+    same = sum(len(a[i]) for i in common_lines(a, b))
+    return 10 * same >= 9 * max(sum(map(len, a)), sum(map(len, b)))
+
+
 @dataclass
 class _Page:
-    key: tuple
+    key: bytes
     host: str
     path: str
     lines: list
 
+    def tells(self, other: _Page) -> bool:
+        """Whether this page's lines can be differenced against the other's."""
+        if self.lines == other.lines:
+            return False
+        return self.path != other.path or not near_copies([x for x, _ in self.lines], [x for x, _ in other.lines])
+
+
+def with_neighbours(pages):
+    """(page, neighbour's lines or None) for pages in order."""
+    before, run = None, []  # the last page before the run, and neighbours that tell nothing of each other
+
+    def results(after):
+        for p in run:
+            near = [q for q in (before, after) if q is not None and q.host == p.host]
+            near = [q for q in near if q.lines != p.lines]
+            yield p, max(near, key=lambda q: shared_parts(p.path, q.path)).lines if near else None
+
+    for page in pages:
+        if run and (run[-1].host != page.host or page.tells(run[-1])):
+            yield from results(page)
+            before, run = run[-1], []
+        run.append(page)
+    yield from results(None)
+
 
 def extract_text(pages: DataFrame) -> DataFrame:
     """Per page: page_id, url, text, n_chars."""
     ship_package(pages.sparkSession)
-    id_type = pages.schema["page_id"].dataType.simpleString()
-    rows = with_host_path(pages.select("page_id", "url", "html")).select("host", "path", "page_id", "url", "html")
-    dealt = rows.repartitionByRange("host", "path", "page_id").sortWithinPartitions("host", "path", "page_id")
+    source = F.coalesce("html", F.lit(""))
+    rows = with_host_path(pages.select("page_id", "url", "html")).withColumn(
+        "key", F.unhex(F.md5(F.concat_ws("\0", "host", "path", source))))
+
+    def once(batches):
+        """Pages without the copies that this task has met."""
+        seen = set()
+        for b in batches:
+            take = []
+            for i, k in enumerate(b.column(0).to_pylist()):
+                if k not in seen:
+                    seen.add(k)
+                    take.append(i)
+            yield b.take(pa.array(take, pa.int32()))
+
+    distinct = rows.select("key", "host", "path", source.alias("html"))
+    distinct = distinct.mapInArrow(once, "key binary, host string, path string, html string")
+    dealt = distinct.repartitionByRange("host", "path", "key").sortWithinPartitions("host", "path", "key")
 
     def run(batches):
-        import pyarrow.compute as pc
-
-
-        def result():
-            p = window[1]
-            near = sorted((q for q in (window[0], window[2]) if q is not None and q.host == p.host),
-                          key=lambda q: -shared_parts(p.path, q.path))
-            other = next((q.lines for q in near if q.lines != p.lines), None)
-            return *p.key, main_text(p.lines, other)
-
         def pages_in():
+            last = None
             for b in batches:
                 for i in range(b.num_rows):
-                    host, path, page_id, url, source = (b.column(k)[i].as_py() for k in range(5))
-                    yield _Page((page_id, url), host, path, lines_of(source))
-
-        out, size = [], 0
+                    key, host, path, html_ = (b.column(k)[i].as_py() for k in range(4))
+                    if key != last:
+                        yield _Page(key, host, path, lines_of(html_))
+                    last = key
 
         def batch():
-            t = pa.array([r[2] for r in out], pa.string())
-            return pa.RecordBatch.from_arrays(
-                [pa.array([r[0] for r in out], id_arrow), pa.array([r[1] for r in out], pa.string()), t,
-                 pc.utf8_length(t).cast(pa.int64())], ["page_id", "url", "text", "n_chars"])
-
-        window = [None, None, None]  # before, this, after
-        for page in pages_in():
-            window = [window[1], window[2], page]
-            if window[1] is not None:
-                out.append(result())
-                size += len(out[-1][2])
+            return pa.RecordBatch.from_arrays([pa.array([k for k, _ in out], pa.binary()),
+                                               pa.array([t for _, t in out], pa.string())], ["key", "text"])
+
+        out, size = [], 0
+        for page, neighbour in with_neighbours(pages_in()):
+            out.append((page.key, main_text(page.lines, neighbour)))
+            size += len(out[-1][1])
             if size > 1 << 20:
                 yield batch()
                 out, size = [], 0
-        window = [window[1], window[2], None]
-        if window[1] is not None:
-            out.append(result())
         if out:
             yield batch()
 
-    id_arrow = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[id_type]
-    return dealt.mapInArrow(run, f"page_id {id_type}, url string, text string, n_chars long")
+    texts = dealt.mapInArrow(run, "key binary, text string")
+    return rows.select("key", "page_id", "url").join(texts, "key").select(
+        "page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
 
 
 def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:

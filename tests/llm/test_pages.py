@@ -86,6 +86,24 @@ def test_extract_pairs_pages_of_a_host(spark):
     assert html_text.extract_text(spark.createDataFrame([], PAGES)).count() == 0
 
 
+def test_equal_and_crawled_again_pages_are_passed_over(spark):
+    def plain(text):
+        return f"<body><div>Menu of site</div><p>{text}</p><div>Imprint</div></body>"
+
+    crawled = [f"A long article that was crawled again and again, {'word ' * 60}.</p><p>Seen {i} times" for i in range(4)]
+    rows = [(0, "http://a.org/a", plain("zero"), "h"), (9, "http://a.org/z", plain("nine"), "h")]
+    rows += [(i, f"http://a.org/x?q={i}", plain("equal"), "h") for i in range(1, 6)]
+    rows += [(20 + i, f"http://a.org/y?q={i}", plain(t), "h") for i, t in enumerate(crawled)]
+    spark.conf.set("spark.sql.shuffle.partitions", "1")
+    try:
+        got = {r["page_id"]: r["text"] for r in html_text.extract_text(spark.createDataFrame(rows, PAGES)).collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+    assert got == {0: "zero", 9: "nine", **{i: "equal" for i in range(1, 6)},
+                   **{20 + i: f"A long article that was crawled again and again, {'word ' * 60}".strip()
+                      + f" .\n\nSeen {i} times" for i in range(4)}}
+
+
 # --- WARC ------------------------------------------------------------------------
 
 
