@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import ann, bpe, html_text, ngram_join, packing, quality, suffix_dedup, toxicity, url_filter, warc
+from . import (ann, bpe, cross_parsing, html_text, merkle, ngram_join, packing, quality, suffix_dedup, toxicity,
+               url_filter, warc, whitening)
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": packing.op1_packing,
@@ -19,6 +20,9 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_warc": warc.op8_warc,
     "op9_url_filter": url_filter.op9_url_filter,
     "op10_quality": quality.op10_quality,
+    "op11_language": cross_parsing.op11_language,
+    "op12_merkle": merkle.op12_merkle,
+    "op13_whitening": whitening.op13_whitening,
 }
 
-SQL: dict[str, str] = {**warc.SQL, **quality.SQL}
+SQL: dict[str, str] = {**warc.SQL, **quality.SQL, **merkle.SQL}
