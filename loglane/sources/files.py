@@ -1,8 +1,8 @@
 """Line sources over files: day files, landing folders, encodings.
 
 Everything returns (file_name, line) DataFrames read by Spark in parallel
-splits; nothing is read into the driver except the two-byte encoding mark
-of a day file."""
+splits, each file in the encoding that its mark tells; the driver reads
+nothing but names."""
 
 from __future__ import annotations
 
@@ -35,8 +35,8 @@ def _head_bytes(spark: SparkSession, path: str, n: int = 2) -> bytes:
 
 def detect_encoding(spark: SparkSession, path: str) -> str:
     """``UTF-16LE``/``UTF-16BE`` when the file starts with a UTF-16 byte-order
-    mark, else ``UTF-8``. Folders may mix encodings; their lines are told
-    apart one by one (``decoded_line``)."""
+    mark, else ``UTF-8`` (also for a folder, whose files may differ: see
+    ``encoding_manifest``)."""
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
@@ -45,80 +45,68 @@ def detect_encoding(spark: SparkSession, path: str) -> str:
     return _BOMS.get(_head_bytes(spark, path), "UTF-8")
 
 
-# One well-formed UTF-16 sequence as hex digits, big-endian: a unit that is no
-# surrogate, or a high and a low surrogate.
-_UNITS = "(?:(?!D[89A-F])[0-9A-F]{4}|D[89AB][0-9A-F]{2}D[C-F][0-9A-F]{2})"
+def file_name_of(path_col: Column) -> Column:
+    """Day-file name from a path (also inside ``file_name=...`` folders)."""
+    name = F.regexp_extract(path_col, r"(trading_\d{8}\.log)", 1)
+    return F.when(name != "", name).otherwise(F.regexp_extract(path_col, r"([^/]+)$", 1))
 
 
-def _utf16(hex_be: Column) -> Column:
-    """Text of big-endian UTF-16 given as hex digits; malformed units (lone
-    surrogates, half a unit) and U+FFFD are dropped, as bad UTF-8 is."""
-    good = F.regexp_replace(hex_be, f"\\G({_UNITS}*+)(?:[0-9A-F]{{4}}|[0-9A-F]{{1,3}}$)", "$1")
-    return F.replace(F.decode(F.unhex(good), "UTF-16BE"), F.lit("\ufffd"), F.lit(""))
+#: The columns of Spark's binary file source.
+BINARY_FILE = "path string, modificationTime timestamp, length bigint, content binary"
 
 
-def _swapped(hex_le: Column) -> Column:
-    return F.regexp_replace(hex_le, "([0-9A-F]{2})([0-9A-F]{2})", "$2$1")
+def listed(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """(path, length, modificationTime) of the files below ``path``; no content is read."""
+    return spark.read.format("binaryFile").load(path).select("path", "length", "modificationTime")
 
 
-def decoded_line(value: Column) -> Column:
-    """Text of one line as the text source cuts it after each byte 0A, in
-    whichever encoding its file was written; bad sequences are dropped.
+def encoding_manifest(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """(path, length, encoding) of the files below ``path``, by their marks. Tasks
+    read two bytes of each; the driver does where pyarrow does not know the store."""
+    from .ranges import encodings, store_of
 
-    Log text in UTF-16 has zero bytes, UTF-8 text has none. The cut leaves the
-    newline's other byte: before every later line of a little-endian file, at
-    the end of every line of a big-endian one. A line that could be either
-    counts as little-endian, which reads the same for ASCII. Characters with a
-    byte 0A (such as U+010A) would cut a line; log text has none. The last
-    newline of a little-endian file leaves one more blank line."""
-    text = value.cast("string")
-    h = F.hex(value.cast("binary"))
-    le_mark, be_mark = h.startswith("FFFE"), h.startswith("FEFF")
-    later_le = h.startswith("00") & (F.length(h) % 4 == 2)
-    body = F.when(le_mark | be_mark, F.substring(h, 5, F.length(h))).otherwise(h)
-    le = F.when(later_le, F.substring(h, 3, F.length(h))).otherwise(body)
-    be = F.when(F.length(body) % 4 == 2, F.substring(body, 1, F.length(body) - 2)).otherwise(body)
-    wide = F.when(le_mark | later_le, _utf16(_swapped(le))).otherwise(_utf16(be))
-    is_wide = F.contains(text, F.lit("\u0000")) | le_mark | be_mark
-    return F.regexp_replace(F.when(is_wide, wide).otherwise(lossy_utf8(value)), "\r$", "")
+    try:
+        for p in [path] if isinstance(path, str) else path:
+            store_of(p)
+    except (OSError, ValueError, ImportError):  # pyarrow.lib.ArrowInvalid is a ValueError
+        rows = [(r["path"], r["length"], _BOMS.get(_head_bytes(spark, r["path"]), "UTF-8")) for r in listed(spark, path).collect()]
+        return spark.createDataFrame(rows, "path string, length long, encoding string")
+    return encodings(listed(spark, path))
 
 
-def file_name_of(path_col: Column) -> Column:
-    """Day-file name from a path (also inside ``file_name=...`` folders)."""
-    name = F.regexp_extract(path_col, r"(trading_\d{8}\.log)", 1)
-    return F.when(name != "", name).otherwise(F.regexp_extract(path_col, r"([^/]+)$", 1))
+def _named(lines: DataFrame, path: Column) -> DataFrame:
+    return lines.select(file_name_of(path).alias("file_name"), "line")
 
 
-# Newline as encoded bytes, used as the text source's record separator.
-_UTF16_NEWLINE = {"UTF-16LE": "\n\u0000", "UTF-16BE": "\u0000\n"}
+def _utf8_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    return _named(spark.read.format("text").load(path).withColumn("line", lossy_utf8(F.col("value"))),
+                  F.col("_metadata.file_path"))
 
 
 def read_lines(spark: SparkSession, path: str, encoding: str | None = None) -> DataFrame:
-    """(file_name, line) from a text file or folder in UTF-8 or UTF-16; invalid
-    sequences are dropped. ``encoding`` None reads a single file's byte-order
-    mark; files of a folder may differ and are told apart line by line
-    (``decoded_line``). Blank lines are kept, as a Python line reader keeps
-    them; marks and trailing carriage returns are removed.
-
-    A single UTF-16 file is cut at the encoded newline bytes. (That byte pair
-    can in principle also occur across two characters at an odd offset;
-    ordinary log text does not produce it.)"""
-    from .fs import is_folder
-
-    enc = (encoding or detect_encoding(spark, path)).upper()
-    reader = spark.read.format("text")
-    if enc in _UTF16_NEWLINE:
-        df = reader.option("lineSep", _UTF16_NEWLINE[enc]).load(path)
-        h = F.hex(F.col("value").cast("binary"))
-        text = _utf16(_swapped(h) if enc == "UTF-16LE" else h)
-        line = F.regexp_replace(F.regexp_replace(text, "^\ufeff", ""), "\r$", "")
-    elif is_folder(spark, path):
-        df = reader.option("lineSep", "\n").load(path)
-        line = decoded_line(F.col("value"))
-    else:
-        df = reader.load(path)
-        line = lossy_utf8(F.col("value"))
-    return df.select(file_name_of(F.col("_metadata.file_path")).alias("file_name"), line.alias("line"))
+    """(file_name, line) from a text file or folder. Each file is read in its own
+    encoding, by its byte-order mark; ``encoding`` overrides the marks. Files in
+    UTF-8 are scanned by the text source; those in UTF-16 range by range, cut at
+    code units (``ranges``).
+
+    Lines end where Python's reader ends them (LF, CR LF, lone CR); blank lines
+    are kept, invalid sequences and the mark are dropped."""
+    from .ranges import read_ranges
+
+    if encoding and encoding.upper() != "UTF-8":
+        return _named(read_ranges(listed(spark, path), encoding.upper()), F.col("path"))
+    if encoding:
+        return _utf8_lines(spark, path)
+    found = encoding_manifest(spark, path)
+    # names only, as the file index itself holds; most folders have no wide file
+    wide = found.where("encoding != 'UTF-8'").select("path", "length").collect()
+    if not wide:
+        return _utf8_lines(spark, path)
+    paths = {r["path"] for r in wide}
+    files = spark.createDataFrame([tuple(r) for r in wide], "path string, length long")
+    lines = _named(read_ranges(files), F.col("path"))
+    rest = [r["path"] for r in listed(spark, path).select("path").collect() if r["path"] not in paths]
+    return lines.unionByName(_utf8_lines(spark, rest)) if rest else lines
 
 
 def read_day_file(spark: SparkSession, path: str) -> DataFrame:
@@ -139,21 +127,24 @@ def landing_stream(spark: SparkSession, landing_dir: str, max_files_per_trigger:
 
     The file source remembers which files it has read in its checkpoint,
     so a restart continues where it stopped. ``newer_than_ms`` keeps only
-    files modified after that time (the "new lines only" start of a tail).
-    With ``archive_dir``, files are moved there once read, which keeps the
-    listing of each trigger short."""
+    files modified after that time (the "new lines only" start of a tail; files
+    that still grow are ``tail.tail_stream``'s). With ``archive_dir``, files are
+    moved there once read, which keeps the listing of each trigger short.
+
+    The stream carries names and lengths; tasks read byte ranges of the files,
+    each in its own encoding, as ``read_lines`` does."""
+    from .ranges import read_ranges
+
     ensure_folder(spark, landing_dir)
-    r = spark.readStream.format("text").option("lineSep", "\n")
+    r = spark.readStream.format("binaryFile").schema(BINARY_FILE)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
     if archive_dir:
         r = r.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
-    df = r.load(landing_dir)
+    files = r.load(landing_dir).select("path", "length", "modificationTime")
     if newer_than_ms is not None:
-        df = df.where(F.col("_metadata.file_modification_time") >
-                      F.timestamp_millis(F.lit(newer_than_ms)))
-    return df.select(file_name_of(F.col("_metadata.file_path")).alias("file_name"),
-                     decoded_line(F.col("value")).alias("line"))
+        files = files.where(F.col("modificationTime") > F.timestamp_millis(F.lit(newer_than_ms)))
+    return _named(read_ranges(files), F.col("path"))
 
 
 def lines_to_envelope(lines: DataFrame, topic: str | Column | None = None, key: Column | None = None) -> DataFrame:

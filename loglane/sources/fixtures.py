@@ -88,12 +88,12 @@ def trading_lines(events: DataFrame) -> DataFrame:
     client = F.when(e % 500 == 250, F.lit(LONG_DEVICE)).otherwise(F.concat(_pick(e % 3, CLIENTS), build))
     who = F.when(is_variant(e, UNKEYED), F.lit("''")).otherwise(q)
     details = F.concat(
-        F.lit(", point: Access Server Asia "), _s(e % 2 + 1),
+        F.lit(", point: Gate North "), _s(e % 2 + 1),
         F.lit(", ping: "), _s(e % 1500), F.lit(" ms, geo: "), _pick(e % 4, GEOS),
-        F.when(e % 10 == 3, F.lit(", flags: datacenter")).otherwise(F.lit("")), F.lit(")"))
+        F.when(e % 9 == 4, F.lit(", via: relay")).otherwise(F.lit("")), F.lit(")"))
     login_line = F.concat(
         head("4", "3", ip), F.lit("\t"), who, F.lit(": login ("), client,
-        F.when(e % 20 == 0, F.lit(", investor")).otherwise(F.lit("")),
+        F.when(e % 12 == 0, F.lit(", investor")).otherwise(F.lit("")),
         F.lit(", cid: "), F.md5(_s(e)),
         F.when(is_variant(e, SHORT), F.lit("")).otherwise(details))
     logout_line = F.concat(head("4", "3", ip), F.lit("\t"), q, F.lit(": logout ("),
@@ -120,12 +120,8 @@ def trading_lines(events: DataFrame) -> DataFrame:
     ])
     trader = F.when(is_variant(e, SENTINEL), F.lit("unknown")).otherwise(q)
     trade_line = F.concat(head("0", "6", ip), F.lit("\t"), trader, F.lit(": "), trade_msg)
-    system_line = _pick(e % 4, [
-        F.concat(head("0", "2", F.lit("Monitor")), F.lit("\tpeers "), _s(e % 700), F.lit(", load "), _s(e % 9)),
-        F.concat(head("0", "6", F.lit("Night run")), F.lit("\tstep "), _s(e % 31), F.lit(" done")),
-        F.concat(head("0", "3", F.lit("10.0.0.1")), F.lit("\tpeer joined")),
-        F.concat(head("0", "2", ip), F.lit("\t"), q, F.lit(": history orders synchronized")),
-    ])
+    # neither a login nor a trade: the event's own columns
+    system_line = F.concat_ws("\t", code, t, F.col("event_type"), _s(e), _s(F.col("user_id")))
     et = F.col("event_type")
     line = (F.when(et.isin("click", "view"), login_line)
             .when(et == "signup", logout_line)
@@ -135,6 +131,59 @@ def trading_lines(events: DataFrame) -> DataFrame:
                          e.alias("line_no"), _pad(line).alias("line"))
 
 
+def write_day_files(lines: DataFrame, folder: str, encoding: str) -> None:
+    """Day files of (file_name, line) under ``folder``, in UTF-8 or in UTF-16 with a
+    mark. Big-endian files get theirs from the writer; in little-endian ones each line
+    begins with a mark instead of its leading spaces; readers drop the first mark (the
+    others are part of the first field)."""
+    if encoding == "UTF-8":
+        lines.select("file_name", "line").write.mode("append").partitionBy("file_name").text(folder)
+        return
+    line = F.col("line") if encoding == "UTF-16BE" else F.concat(F.lit("\ufeff"), F.ltrim("line"))
+    (lines.select("file_name", line.alias("line")).write.mode("append").partitionBy("file_name")
+     .options(encoding="UTF-16" if encoding == "UTF-16BE" else encoding, sep="\x01", quote="", emptyValue="", nullValue="",
+              lineSep="\n", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(folder))
+
+
+def grow_day_files(lines: DataFrame, folder: str, step: int, steps: int) -> int:
+    """Day files of (file_name, line_no, line) as they stand after ``step`` of
+    ``steps``; before the last, each ends in the middle of a line. A file is written
+    anew beside its place, longer each time, and moved there, so a task may be
+    repeated. Returns how many files there are."""
+    import pyarrow as pa
+
+    from .ranges import ship_package, store_of
+
+    spark = lines.sparkSession
+    ship_package(spark)
+    last = lines.agg(F.max("line_no")).first()[0] or 0
+    now = lines.where(F.col("line_no") <= last * (step + 1) // steps).select("file_name", "line_no", "line")
+
+    def write(batches):
+        system, base, _ = store_of(folder)
+        system.create_dir(base, recursive=True)
+        names, out, held = [], None, b""
+
+        def finish():
+            if out is not None:
+                out.write(held if step == steps - 1 else held[:len(held) // 2])
+                out.close()
+                system.move(f"{base}/_{names[-1]}", f"{base}/{names[-1]}")
+
+        for b in batches:
+            for name, line in zip(b.column(0).to_pylist(), b.column(2).to_pylist()):
+                if not names or name != names[-1]:
+                    finish()
+                    names.append(name)
+                    out, held = system.open_output_stream(f"{base}/_{name}"), b""
+                out.write(held)
+                held = line.encode() + b"\n"
+        finish()
+        yield pa.RecordBatch.from_arrays([pa.array(names, pa.string())], ["file_name"])
+
+    return now.repartition("file_name").sortWithinPartitions("file_name", "line_no").mapInArrow(write, "file_name string").count()
+
+
 def app_log_lines(events: DataFrame) -> DataFrame:
     """events -> (line_no, line): the application server log, with damaged lines.
 

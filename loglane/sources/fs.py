@@ -48,16 +48,20 @@ def read_text(spark: SparkSession, path: str) -> str:
         stream.close()
 
 
-def write_text(spark: SparkSession, path: str, text: str) -> None:
-    """A small new file; an existing one is an error."""
+def write_bytes(spark: SparkSession, path: str, data: bytes, overwrite: bool = False) -> None:
+    """A small file; an existing one is an error unless it may be replaced."""
     fs, p = _fs_path(spark, path)
-    stream = fs.create(p, False)
+    stream = fs.create(p, overwrite)
     try:
-        stream.write(bytearray(text.encode("utf-8")))
+        stream.write(bytearray(data))
     finally:
         stream.close()
 
 
+def write_text(spark: SparkSession, path: str, text: str, overwrite: bool = False) -> None:
+    write_bytes(spark, path, text.encode("utf-8"), overwrite)
+
+
 def rename(spark: SparkSession, src: str, dst: str) -> bool:
     fs, s = _fs_path(spark, src)
     return bool(fs.rename(s, spark.sparkContext._jvm.org.apache.hadoop.fs.Path(dst)))
