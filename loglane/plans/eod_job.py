@@ -1,23 +1,31 @@
-"""Day close over stored tables, safe to re-run and to interrupt.
+"""Day close over stored tables: appended, all or nothing, safe to re-run.
 
 Layout:
 * ``raw``: streaming appends, partitioned by ``log_date``/``run_id``/``batch_id``,
   never rewritten by this job; several raw paths may feed one table;
-* ``table``: the flagged access_log, one partition per ``log_date``,
-  keeping ``run_id`` and ``batch_id`` so a later run knows which batches it has.
-
-Closing day D: the rows of D already in ``table`` (their flags kept) plus
-the raw batches of D not yet there (a left anti join on run and batch)
-are flagged against the trade IPs of D's day file, written to a staging
-folder, then swapped into ``table`` with a dynamic overwrite of partition D
-only. Only D's folders are listed and read, with a declared schema. Parquet
-tables have no UPDATE or MERGE here; a failure before the swap leaves
-``table`` untouched, and a re-run starts over. The staging folder is removed
-at the end.
+* ``table``: the flagged access_log, ``log_date=<day>/close=<n>-<id>/``, keeping
+  ``run_id`` and ``batch_id`` so a later close knows which batches it has.
+
+A flag that was set never changes, so a close has no reason to touch rows of an
+earlier one. It reads only the raw batches of the day that the table does
+not have yet, flags them against the trade IPs of the day file, writes them once
+to a staging folder beside the data and publishes them by renaming that one
+folder. One late row costs one small file. A failure before the rename leaves the
+day as it was, and the next run starts over; a second run finds nothing to do.
+
+``fold_day`` puts the closes of a day into one, sorted by address. Its folder
+stands for all with a smaller number: one rename switches the day, and
+the old folders are removed afterwards. ``closed_rows`` reads by that rule, at any
+moment; SQL tables and plain folder reads see both for the time between.
+
+On stores whose rename is a copy, give a catalog table: its partitions are added
+after the files are in place, and readers of the table see whole closes only.
+Close one day from one job at a time.
 """
 
 from __future__ import annotations
 
+import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,7 +34,6 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType, Tim
 
 from ..functions.dates import iso_from_compact
 from ..operators import eod
-from ..operators.access_log import ACCESS_LOG_COLUMNS, PENDING
 from ..schemas import ACCESS_LOG
 from ..session import work_path
 from ..sources import fs
@@ -35,44 +42,109 @@ from ..sources.files import read_day_file
 STORED = StructType([*ACCESS_LOG.fields, StructField("run_id", StringType()), StructField("batch_id", LongType()),
                      StructField("etl_timestamp", TimestampType())])
 IDENTITY = ["run_id", "batch_id"]
+FOLDED = "-fold"
+_CLOSE = re.compile(r"close=(\d+)-")
+
+
+def _number(folder: str) -> int:
+    m = _CLOSE.match(folder)
+    return int(m[1]) if m else 0
+
+
+def _closes(spark: SparkSession, table_path: str, log_date: str) -> tuple[list[str], list[str]]:
+    """Close folders of a day that count, and those that a fold replaced."""
+    day = f"{table_path.rstrip('/')}/log_date={log_date}"
+    found = sorted((c for c in fs.children(spark, day) if c.startswith("close=")), key=lambda c: (_number(c), c))
+    folds = [i for i, c in enumerate(found) if c.endswith(FOLDED)]
+    first = folds[-1] if folds else 0
+    return [f"{day}/{c}" for c in found[first:]], [f"{day}/{c}" for c in found[:first]]
+
+
+def _rows(spark: SparkSession, base: str, folders: list[str]) -> DataFrame:
+    """Rows of some partition folders of a table; none without folders."""
+    if not folders:
+        return spark.createDataFrame([], StructType([*STORED.fields, StructField("close", StringType())]))
+    schema = StructType([*STORED.fields, StructField("close", StringType())])
+    df = spark.read.schema(schema).option("basePath", base).parquet(*folders)
+    return df.withColumn("run_id", F.coalesce("run_id", F.lit("")))
+
+
+def closed_rows(spark: SparkSession, table_path: str, log_dates: list[str] | None = None) -> DataFrame:
+    """Rows of the closed table with ``close`` (which close set their flag); of
+    some days (ISO text) or all. Only the folders of those days are listed."""
+    days = log_dates if log_dates is not None else sorted(
+        c.removeprefix("log_date=") for c in fs.children(spark, table_path) if c.startswith("log_date="))
+    return _rows(spark, table_path, [f for d in days for f in _closes(spark, table_path, d)[0]])
+
+
+def new_batches(spark: SparkSession, raw_path: str, log_date: str, have: set[tuple[str, int]]) -> list[str]:
+    """Batch folders of a day under one raw path that are not among ``have``."""
+    day = f"{raw_path.rstrip('/')}/log_date={log_date}"
+    out = []
+    for c in fs.children(spark, day):
+        if c.startswith("batch_id="):  # a raw path written without run ids
+            out += [f"{day}/{c}"] if ("", int(c.removeprefix("batch_id="))) not in have else []
+        elif c.startswith("run_id="):
+            run = c.removeprefix("run_id=")
+            out += [f"{day}/{c}/{b}" for b in fs.children(spark, f"{day}/{c}")
+                    if b.startswith("batch_id=") and (run, int(b.removeprefix("batch_id="))) not in have]
+    return out
 
 
-def _day(spark: SparkSession, path: str, log_date: str) -> DataFrame:
-    """Rows of one day of a table partitioned by log_date; none where the
-    table or the day is missing."""
-    folder = f"{path.rstrip('/')}/log_date={log_date}"
-    if not fs.exists(spark, folder):
-        return spark.createDataFrame([], STORED)
-    df = spark.read.schema(STORED).option("basePath", path).parquet(folder)
-    return df.withColumn("run_id", F.coalesce("run_id", F.lit(""))).select(*STORED.names)
-
-
-def rows_to_close(spark: SparkSession, raw_path: str | list[str], table_path: str, log_date: str) -> DataFrame:
-    """Rows of one day: those already in the table plus new raw batches of all
-    raw paths. A batch is known by its run and its number."""
-    have = _day(spark, table_path, log_date)
-    out = have
+def rows_to_close(spark: SparkSession, raw_path: str | list[str], table_path: str, log_date: str) -> DataFrame | None:
+    """Rows of one day in raw batches that the table does not have yet, from all
+    raw paths (None without such batches). A batch is known by its run and its
+    number; batches of other days or closed ones are not read."""
+    live, _ = _closes(spark, table_path, log_date)
+    # two dictionary-coded columns of one day; a row per batch comes back
+    have = {tuple(r) for r in _rows(spark, table_path, live).select(*IDENTITY).distinct().collect()}
+    out = None
     for path in [raw_path] if isinstance(raw_path, str) else raw_path:
-        new = _day(spark, path, log_date).join(have.select(*IDENTITY).distinct(), IDENTITY, "left_anti")
-        out = out.unionByName(new.select(*STORED.names))
+        folders = new_batches(spark, path, log_date, have)
+        if folders:
+            rows = _rows(spark, path, folders).select(*STORED.names)
+            out = rows if out is None else out.unionByName(rows)
     return out
 
 
+def _publish(spark: SparkSession, staged: str, table_path: str, log_date: str, name: str) -> str:
+    """Make a written folder part of the table by one rename."""
+    day = f"{table_path.rstrip('/')}/log_date={log_date}"
+    fs.mkdirs(spark, day)
+    if not fs.rename(spark, staged, f"{day}/{name}"):
+        raise OSError(f"could not publish {day}/{name}")
+    return f"{day}/{name}"
+
+
+def _write_sorted(rows: DataFrame, path: str) -> None:
+    """Ranges of (ip, time): a day is written by many tasks, also where one address
+    has most rows, and files hold few addresses, sorted (min/max statistics
+    then skip files for ip lookups)."""
+    (rows.repartitionByRange("ip", "log_time").sortWithinPartitions("ip")
+     .drop("log_date").write.mode("overwrite").parquet(path))
+
+
+def _set_flags(rows: DataFrame) -> tuple[int, int]:
+    """How many rows are trade and lilo (reads the flag column only)."""
+    return tuple(rows.agg(F.count_if(F.col("flag") == eod.TRADE), F.count_if(F.col("flag") == eod.LILO)).first())
+
+
 def close_day(spark: SparkSession, date_compact: str, day_file: str, raw_path: str | list[str],
               table_path: str, table_name: str | None = None) -> DataFrame:
     """Run the day close for ``date_compact`` (YYYYMMDD). Returns one summary
     row (log_date, lines_scanned, trade_ips, trade_count, lilo_count), counting
-    the rows changed by this run; a day without access rows gives zeros.
-    ``table_name``: a catalog table over ``table_path`` that learns of the day.
+    the rows changed by this run; a day without new access rows gives zeros.
+    ``table_name``: a catalog table over ``table_path`` that learns of the close.
 
     The day file is scanned once: its distinct trade IPs (with the line
-    count) are written to the staging folder, which also cuts lineage. Their
+    count) are written to a staging folder, which also cuts lineage. Their
     size is then known, and the planner and AQE choose the join by bytes."""
     if not fs.exists(spark, day_file):
         raise FileNotFoundError(f"day file not found: {day_file}")
     log_date = iso_from_compact(date_compact)
     d = F.to_date(F.lit(log_date))
-    staging = work_path(spark, "staging", f"eod-{date_compact}-{uuid.uuid4().hex[:8]}")
+    run = uuid.uuid4().hex[:8]
+    staging = work_path(spark, "staging", f"eod-{date_compact}-{run}")
 
     found = eod.trade_ip_scan(read_day_file(spark, day_file), log_date=d)
     found.write.mode("overwrite").parquet(f"{staging}/trade_ip_scan")
@@ -80,30 +152,59 @@ def close_day(spark: SparkSession, date_compact: str, day_file: str, raw_path: s
     n_lines, n_ips = scan.agg(F.coalesce(F.sum("lines"), F.lit(0)), F.count_if("usable")).first()
     ips = scan.where(F.col("usable")).select("log_date", "ip")
 
-    rows = rows_to_close(spark, raw_path, table_path, log_date).withColumn("__was", F.col("flag"))
-    flagged = eod.apply_flags(rows, ips, [log_date])
-    # Ranges of (ip, time): a day is written by many tasks, also where one
-    # address has most rows, and files hold few addresses, sorted (min/max
-    # statistics then skip files for ip lookups).
-    (flagged.repartitionByRange("log_date", "ip", "log_time").sortWithinPartitions("log_date", "ip")
-     .write.mode("overwrite").partitionBy("log_date").parquet(f"{staging}/rows"))
-    staged = spark.read.schema(StructType([*STORED.fields, StructField("__was", StringType())])) \
-        .option("basePath", f"{staging}/rows").parquet(f"{staging}/rows")
-    if any(c.startswith("log_date=") for c in fs.children(spark, f"{staging}/rows")):
-        (staged.drop("__was").sortWithinPartitions("log_date", "ip").write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy("log_date").parquet(table_path))
+    trade = lilo = 0
+    clean_up(spark, table_path, log_date, table_name)
+    rows = rows_to_close(spark, raw_path, table_path, log_date)
+    if rows is not None:
+        here = f"{table_path.rstrip('/')}/_staging/{run}"
+        _write_sorted(eod.apply_flags(rows, ips, [log_date]), here)
+        after, before = _set_flags(spark.read.schema("flag string").parquet(here)), _set_flags(rows)
+        trade, lilo = after[0] - before[0], after[1] - before[1]
+        live, old = _closes(spark, table_path, log_date)
+        last = max([0, *(_number(f.rpartition("/")[2]) for f in live + old)])
+        folder = _publish(spark, here, table_path, log_date, f"close={last + 1:06d}-{run}")
         if table_name:
-            from .tables import refresh
+            from .tables import add_close
 
-            refresh(spark, table_name)
-    changed = F.col("__was") == F.lit(PENDING)
-    trade, lilo = staged.agg(F.count_if(changed & (F.col("flag") == eod.TRADE)),
-                             F.count_if(changed & (F.col("flag") == eod.LILO))).first()
+            add_close(spark, table_name, log_date, folder)
     fs.delete(spark, staging)
     return spark.range(1).select(d.alias("log_date"), *[F.lit(int(v)).cast("bigint").alias(k) for k, v in (
         ("lines_scanned", n_lines), ("trade_ips", n_ips), ("trade_count", trade), ("lilo_count", lilo))])
 
 
+def clean_up(spark: SparkSession, table_path: str, log_date: str, table_name: str | None = None) -> int:
+    """Remove closes of a day that a fold replaced; how many there were."""
+    _, old = _closes(spark, table_path, log_date)
+    for folder in old:
+        if table_name:
+            from .tables import drop_close
+
+            drop_close(spark, table_name, log_date, folder)
+        fs.delete(spark, folder)
+    return len(old)
+
+
+def fold_day(spark: SparkSession, date_compact: str, table_path: str, table_name: str | None = None) -> int:
+    """Put the closes of a day into one; how many there were. A day of one
+    close (or none) is left alone. Flags and rows stay as they are."""
+    log_date = iso_from_compact(date_compact)
+    clean_up(spark, table_path, log_date, table_name)
+    live, _ = _closes(spark, table_path, log_date)
+    if len(live) < 2:
+        return len(live)
+    run = uuid.uuid4().hex[:8]
+    here = f"{table_path.rstrip('/')}/_staging/{run}"
+    _write_sorted(_rows(spark, table_path, live).select(*STORED.names), here)
+    last = _number(live[-1].rpartition("/")[2])
+    folder = _publish(spark, here, table_path, log_date, f"close={last + 1:06d}-{run}{FOLDED}")
+    if table_name:
+        from .tables import add_close
+
+        add_close(spark, table_name, log_date, folder)
+    clean_up(spark, table_path, log_date, table_name)
+    return len(live)
+
+
 def run_clock(offset_hours: int = 6):
     """Driver-side run metadata: the wall clock shifted by ``offset_hours``
     (the reference reports local time + 6 h). Never part of query output."""

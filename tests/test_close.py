@@ -142,3 +142,98 @@ def test_recorder_flushes_to_a_table(spark, tmp_dir):
     path = os.path.join(tmp_dir, "progress")
     assert (rec.flush(spark, path), rec.flush(spark, path)) == (1, 0)
     assert spark.read.parquet(path).count() == 1 and rec.to_df(spark).count() == 0
+
+
+def _closed(spark, tmp_dir, parts, name="c"):
+    """A table closed after each part of the logins arrived."""
+    raw, table = os.path.join(tmp_dir, f"{name}-raw"), os.path.join(tmp_dir, f"{name}-table")
+    day = _day_file(tmp_dir, [TRADE])
+    for n, part in enumerate(parts):
+        ingest.access_log_sink(raw, raw + "-rej")(_lines(spark, part), n)
+        eod_job.close_day(spark, DAY, day, raw, table)
+    return raw, table, day
+
+
+def _files(table):
+    return {os.path.join(d, f): os.stat(os.path.join(d, f)).st_mtime_ns
+            for d, _, names in os.walk(table) for f in names if f.endswith(".parquet")}
+
+
+def test_a_late_row_writes_its_own_file_only(spark, tmp_dir):
+    raw, table, day = _closed(spark, tmp_dir, [[_login(i) for i in range(500)]])
+    before = _files(table)
+    ingest.access_log_sink(raw, raw + "-rej")(_lines(spark, [_login(900, "8.8.8.8")]), 1)
+    s = eod_job.close_day(spark, DAY, day, raw, table).first()
+    assert (s["trade_count"], s["lilo_count"]) == (0, 1)
+    after = _files(table)
+    assert before.items() <= after.items() and len(after) == len(before) + 1
+    late = eod_job.closed_rows(spark, table).where("ip = '8.8.8.8'").first()
+    assert late["flag"] == "lilo" and late["close"].startswith("000002-")
+    assert spark.read.parquet(table).count() == 501
+
+
+def test_a_late_row_reads_new_batches_only(spark, tmp_dir):
+    raw, table, _ = _closed(spark, tmp_dir, [[_login(1)], [_login(2)]])
+    ingest.access_log_sink(raw, raw + "-rej")(_lines(spark, [_login(3)]), 7)
+    rows = eod_job.rows_to_close(spark, raw, table, "2031-07-05")
+    assert [os.path.basename(os.path.dirname(f)) for f in rows.inputFiles()] == ["batch_id=7"]
+
+
+def test_failure_between_write_and_publish_keeps_the_day(spark, tmp_dir, monkeypatch):
+    from loglane.sources import fs
+
+    import pytest
+
+    raw, table, day = _closed(spark, tmp_dir, [[_login(i) for i in range(5)]])
+    ingest.access_log_sink(raw, raw + "-rej")(_lines(spark, [_login(9, "8.8.8.8")]), 1)
+    with monkeypatch.context() as m:
+        m.setattr(fs, "rename", lambda *a: False)
+        for run in (lambda: eod_job.close_day(spark, DAY, day, raw, table), ):
+            with pytest.raises(OSError):
+                run()
+    assert eod_job.closed_rows(spark, table).count() == spark.read.parquet(table).count() == 5
+    assert eod_job.close_day(spark, DAY, day, raw, table).first()["lilo_count"] == 1
+    with monkeypatch.context() as m:
+        m.setattr(fs, "rename", lambda *a: False)
+        with pytest.raises(OSError):
+            eod_job.fold_day(spark, DAY, table)
+    assert eod_job.closed_rows(spark, table).count() == spark.read.parquet(table).count() == 6
+
+
+def test_flags_stay_when_a_later_day_file_has_more_trades(spark, tmp_dir):
+    raw, table, _ = _closed(spark, tmp_dir, [[_login(1, "8.8.8.8")]])
+    more = _day_file(tmp_dir, [TRADE, TRADE.replace("1.2.3.4", "8.8.8.8")])
+    ingest.access_log_sink(raw, raw + "-rej")(_lines(spark, [_login(2, "8.8.8.8")]), 1)
+    eod_job.close_day(spark, DAY, more, raw, table)
+    got = {r["login"]: r["flag"] for r in eod_job.closed_rows(spark, table).collect()}
+    assert got == {"1": "lilo", "2": "trade"}
+
+
+def test_folding_a_day(spark, tmp_dir, monkeypatch):
+    from loglane.sources import fs
+
+    raw, table, day = _closed(spark, tmp_dir, [[_login(i, f"1.2.3.{i % 7}") for i in range(40)], [_login(50)], [_login(51)]])
+    want = sorted(map(str, eod_job.closed_rows(spark, table).drop("close").collect()))
+    real = fs.delete
+    with monkeypatch.context() as m:  # the old folders stay: as after a failure just after the switch
+        m.setattr(fs, "delete", lambda s, p: None if "close=" in p else real(s, p))
+        assert eod_job.fold_day(spark, DAY, table) == 3
+    assert sorted(map(str, eod_job.closed_rows(spark, table).drop("close").collect())) == want
+    ingest.access_log_sink(raw, raw + "-rej")(_lines(spark, [_login(60)]), 3)
+    assert eod_job.close_day(spark, DAY, day, raw, table).first()["trade_count"] == 1  # removes them, too
+    assert spark.read.parquet(table).count() == len(want) + 1
+    assert len([c for c in os.listdir(os.path.join(table, "log_date=2031-07-05")) if c.startswith("close=")]) == 2
+    assert eod_job.fold_day(spark, DAY, table) == 2 and eod_job.fold_day(spark, DAY, table) == 1
+    assert eod_job.closed_rows(spark, table, ["2031-07-05"]).count() == len(want) + 1
+    assert eod_job.closed_rows(spark, table, ["2031-07-06"]).count() == 0
+
+
+def test_folded_table_in_sql(spark, tmp_dir):
+    raw, table, day = _closed(spark, tmp_dir, [])[0], os.path.join(tmp_dir, "sql-table"), _day_file(tmp_dir, [TRADE])
+    name = tables.create_access_log(spark, "t_folded", table)
+    for n in range(3):
+        ingest.access_log_sink(raw, raw + "-rej")(_lines(spark, [_login(n)]), n)
+        eod_job.close_day(spark, DAY, day, raw, table, table_name=name)
+        assert spark.sql(f"SELECT * FROM {name}").count() == n + 1
+    assert eod_job.fold_day(spark, DAY, table, table_name=name) == 3
+    assert spark.sql(f"SELECT * FROM {name} WHERE flag = 'trade'").count() == 3
