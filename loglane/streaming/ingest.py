@@ -26,10 +26,11 @@ restart at 0 and overwrite old batches. A new checkpoint needs a new path.
 
 from __future__ import annotations
 
+import json
 import uuid
 from typing import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -41,6 +42,8 @@ from ..sources.files import landing_stream
 
 MISSING_VALUE = "value is missing or not UTF-8"
 UNDATED = "no date in the file name"
+COUNTERS = "batch_id long, lines long, sent long, skipped long, inserted long, rejected long"
+ACCESS_STORE = {"columns": al.ACCESS_LOG_COLUMNS, "source": "trading-access-logs", "loaded_at": "etl_timestamp", "dated": True}
 REJECT_COLUMNS = ["source", "topic", "partition", "offset", "reason", "preview90", "raw"]
 
 
@@ -61,10 +64,28 @@ def _move(spark: SparkSession, src: str, dst: str) -> None:
             raise OSError(f"could not publish {dst}")
 
 
+def _days_of(spark: SparkSession, raw_path: str, batch: str, batch_id: int) -> set[str]:
+    """Day folders that an earlier attempt of the batch may have written to. The
+    last batch's days stand beside the data; only a batch older than that one
+    (replayed by hand) is looked for in every day."""
+    note = f"{raw_path}/_last_batch"
+    if not fs.exists(spark, note):
+        return set()
+    last = json.loads(fs.read_text(spark, note))
+    if last["batch_id"] == batch_id:
+        return set(last["days"])
+    if last["batch_id"] < batch_id:
+        return set()
+    return {c for c in fs.children(spark, raw_path)
+            if c.startswith("log_date=") and fs.exists(spark, f"{raw_path}/{c}/{batch}")}
+
+
 def store_batch(tagged: DataFrame, batch_id: int, raw_path: str, rejects_path: str, columns: list[str],
-                source: str, loaded_at: str, dated: bool = False) -> dict[str, int]:
+                source: str, loaded_at: str, dated: bool = False, count: bool = True) -> dict[str, int]:
     """Write a tagged batch (``columns``, reason, raw, topic, partition, offset)
-    once and publish it; returns rows inserted and rejected."""
+    once and publish it; returns rows inserted and rejected (with ``count``).
+
+    A batch touches the folders of its own days only, however many the table has."""
     spark = tagged.sparkSession
     raw_path, rejects_path = raw_path.rstrip("/"), rejects_path.rstrip("/")
     run = run_id_of(spark, raw_path)
@@ -77,14 +98,16 @@ def store_batch(tagged: DataFrame, batch_id: int, raw_path: str, rejects_path: s
     staging = f"{raw_path}/_staging/{run}-{batch_id}"
     out.write.mode("overwrite").partitionBy("outcome", *(["log_date"] if dated else [])).parquet(staging)
     counts = dict.fromkeys(("valid", "rejected"), 0)
-    if any(c.startswith("outcome=") for c in fs.children(spark, staging)):
+    if count and any(c.startswith("outcome=") for c in fs.children(spark, staging)):
+        # row counts of file footers: no column is read
         rows = spark.read.schema("outcome string").parquet(staging).groupBy("outcome").count().collect()
         counts |= {r["outcome"]: r["count"] for r in rows}
     batch = f"run_id={run}/batch_id={batch_id}"
     if dated:
-        old = [c for c in fs.children(spark, raw_path) if c.startswith("log_date=")]
         new = fs.children(spark, f"{staging}/outcome=valid")
-        for day in {*new, *(c for c in old if fs.exists(spark, f"{raw_path}/{c}/{batch}"))}:
+        days = {*new, *_days_of(spark, raw_path, batch, batch_id)}
+        fs.write_text(spark, f"{raw_path}/_last_batch", json.dumps({"batch_id": batch_id, "days": sorted(days)}), overwrite=True)
+        for day in days:
             _move(spark, f"{staging}/outcome=valid/{day}", f"{raw_path}/{day}/{batch}")
     else:
         _move(spark, f"{staging}/outcome=valid", f"{raw_path}/{batch}")
@@ -93,16 +116,34 @@ def store_batch(tagged: DataFrame, batch_id: int, raw_path: str, rejects_path: s
     return counts
 
 
-def _write_counters(lines: DataFrame, counts: dict[str, int], batch_id: int, path: str) -> None:
-    """One row per batch: lines read, sent (login lines), skipped, inserted,
-    rejected. Counts the batch's lines; the rest comes from the written data."""
-    row = batch_counters(lines, batch_id, counts["valid"], counts["rejected"])
-    (row.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("batch_id").parquet(path))
+def store_counted(lines: DataFrame, batch_id: int, tag: Callable[[DataFrame], DataFrame], counters_path: str | None,
+                  sent: Column | None = None, **store) -> None:
+    """``store_batch`` of ``tag(lines)``, and where ``counters_path`` is given one row
+    of counters (lines, sent, skipped, inserted, rejected).
+
+    Lines and sent lines are observed by the one scan that writes the batch. Of a
+    batch that stores no row the plan may leave the observation out, so such a batch
+    alone is counted by a scan of its own."""
+    if not counters_path:
+        store_batch(tag(lines), batch_id, count=False, **store)
+        return
+    spark = lines.sparkSession
+    is_sent = F.coalesce(F.col("line").contains(F.lit(al.CID_MARKER)), F.lit(False)) if sent is None else sent
+    seen = Observation(f"batch-{uuid.uuid4().hex}")
+    counts = store_batch(tag(lines.observe(seen, F.count(F.lit(1)).alias("lines"), F.count_if(is_sent).alias("sent"))),
+                         batch_id, **store)
+    if counts["valid"] or counts["rejected"]:
+        got = seen.get
+        row = (batch_id, got["lines"], got["sent"], got["lines"] - got["sent"], counts["valid"], counts["rejected"])
+        out = spark.createDataFrame([row], COUNTERS)
+    else:
+        out = batch_counters(lines, batch_id, 0, 0, is_sent)
+    (out.coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("batch_id").parquet(counters_path))
 
 
 def batch_counters(lines: DataFrame, batch_id: int, inserted: int, rejected: int,
-                   sent: Callable | None = None) -> DataFrame:
+                   sent: Column | None = None) -> DataFrame:
     is_sent = F.coalesce(F.col("line").contains(F.lit(al.CID_MARKER)), F.lit(False)) if sent is None else sent
     n, s = F.count(F.lit(1)), F.count_if(is_sent)
     return lines.agg(n.alias("lines"), s.alias("sent"), (n - s).alias("skipped")).select(
@@ -126,22 +167,6 @@ def access_log_batch(lines: DataFrame, parser: Callable = al.parse_strict, log_d
                              .when(F.col("log_date").isNull(), F.lit(UNDATED)).otherwise(al.length_violations()))
 
 
-def observe_lines(lines: DataFrame, name: str = "ingest"):
-    """Attach sent/skipped counters to a batch of lines with an
-    ``Observation``: they are computed by whatever job consumes the lines
-    (no extra pass) and read with ``obs.get`` afterwards. Caveat: when the
-    consuming plan's result is empty, AQE may replace the stage holding the
-    observation with an empty relation and no metrics arrive; jobs that need
-    the counts unconditionally should aggregate them (``batch_counters``)."""
-    from pyspark.sql import Observation
-
-    obs = Observation(name)
-    sent = F.coalesce(ustrip("line").contains(F.lit(al.CID_MARKER)), F.lit(False))
-    observed = lines.observe(obs, F.count(F.lit(1)).alias("lines"), F.count_if(sent).alias("sent"),
-                             F.count_if(~sent).alias("skipped"))
-    return observed, obs
-
-
 def _from_files(batch: DataFrame) -> DataFrame:
     """Landing lines with the columns that topic records have."""
     return batch.select("file_name", "line", F.col("line").alias("raw"), F.col("file_name").alias("topic"),
@@ -154,11 +179,8 @@ def access_log_sink(raw_path: str, rejects_path: str, parser: Callable = al.pars
     """foreachBatch function for trading lines. With ``counters_path``, one
     counters row per batch is written there as well."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        tagged = access_log_batch(_from_files(batch), parser, log_date)
-        counts = store_batch(tagged, batch_id, raw_path, rejects_path, al.ACCESS_LOG_COLUMNS,
-                             "trading-access-logs", "etl_timestamp", dated=True)
-        if counters_path:
-            _write_counters(batch, counts, batch_id, counters_path)
+        store_counted(_from_files(batch), batch_id, lambda x: access_log_batch(x, parser, log_date), counters_path,
+                      raw_path=raw_path, rejects_path=rejects_path, **ACCESS_STORE)
     return write
 
 
@@ -177,21 +199,25 @@ def envelope_access_log_sink(raw_path: str, rejects_path: str, date_compact: str
 
     def write(batch: DataFrame, batch_id: int) -> None:
         lines = envelope_lines(batch).withColumn("file_name", F.lit(file_name))
-        tagged = access_log_batch(lines, parser, log_date, only_logins=False)
-        counts = store_batch(tagged, batch_id, raw_path, rejects_path, al.ACCESS_LOG_COLUMNS,
-                             "trading-access-logs", "etl_timestamp", dated=True)
-        if counters_path:
-            _write_counters(lines, counts, batch_id, counters_path)
+        store_counted(lines, batch_id, lambda x: access_log_batch(x, parser, log_date, only_logins=False), counters_path,
+                      raw_path=raw_path, rejects_path=rejects_path, **ACCESS_STORE)
     return write
 
 
 def ingest_topic_access_log(envelope_stream: DataFrame, raw_path: str, rejects_path: str, checkpoint: str,
                             date_compact: str, trigger: str = "availableNow",
-                            counters_path: str | None = None) -> StreamingQuery:
+                            counters_path: str | None = None, once_by: str | None = None,
+                            once_within: str = "1 day") -> StreamingQuery:
     """Topic records (e.g. ``sources.kafka.read_topic_stream``) into ``raw``
     and ``rejects``. Progress lives in the checkpoint, not in a consumer
-    group, so a restart resumes after the last committed micro-batch."""
+    group, so a restart resumes after the last committed micro-batch. With
+    ``once_by`` (``offset`` or ``value``), records that come again within
+    ``once_within`` are stored once (``state.once_per_record``)."""
+    from .state import once_per_record
+
     guard_fresh_checkpoint(envelope_stream.sparkSession, checkpoint, raw_path, rejects_path)
+    if once_by:
+        envelope_stream = once_per_record(envelope_stream, once_by, once_within)
     return start(envelope_stream, envelope_access_log_sink(raw_path, rejects_path, date_compact,
                                                            counters_path=counters_path), checkpoint, trigger)
 
@@ -207,11 +233,8 @@ def _app_tagged(lines: DataFrame) -> DataFrame:
 
 
 def _app_store(lines: DataFrame, batch_id: int, raw_path: str, rejects_path: str, counters_path: str | None) -> None:
-    counts = store_batch(_app_tagged(lines), batch_id, raw_path, rejects_path, ap.FIELDS, "app-logs", "created_at")
-    if counters_path:
-        every = batch_counters(lines, batch_id, counts["valid"], counts["rejected"], sent=F.lit(True))
-        (every.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("batch_id").parquet(counters_path))
+    store_counted(lines, batch_id, _app_tagged, counters_path, sent=F.lit(True), raw_path=raw_path,
+                  rejects_path=rejects_path, columns=ap.FIELDS, source="app-logs", loaded_at="created_at")
 
 
 def envelope_app_log_sink(raw_path: str, rejects_path: str, counters_path: str | None = None
@@ -243,7 +266,7 @@ def order_sink(orders_path: str, rejects_path: str) -> Callable[[DataFrame, int]
         dec = dec.withColumn("raw", F.coalesce("raw", F.hex("value")))
         store_batch(dec, batch_id, orders_path, rejects_path,
                     ["key", "order_id", "customer", "item", "quantity", "topic", "partition", "offset"],
-                    "orders", "created_at")
+                    "orders", "created_at", count=False)
     return write
 
 

@@ -98,13 +98,47 @@ def test_topic_ingest_rejects_bad_run_date(spark, tmp_dir):
         ingest.envelope_access_log_sink(os.path.join(tmp_dir, "r"), os.path.join(tmp_dir, "j"), "")
 
 
-def test_observed_line_counters(spark):
+def test_counters_come_from_the_scan_that_writes(spark, tmp_dir):
+    """One scan of the batch's lines, also where a batch stores nothing."""
     lines = day_lines(spark, SF).select("file_name", "line")
-    observed, obs = ingest.observe_lines(lines)
-    n_rows = al.parse_strict(al.cid_filter(observed)).count()
-    got = obs.get
-    assert got["lines"] == lines.count() and got["sent"] == n_rows
-    assert got["skipped"] == got["lines"] - got["sent"]
+    reads = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            reads.add(b.num_rows)
+            yield b
+
+    raw, cnt = os.path.join(tmp_dir, "raw"), os.path.join(tmp_dir, "cnt")
+    sink = ingest.access_log_sink(raw, raw + "-rej", counters_path=cnt)
+    sink(lines.mapInArrow(counted, lines.schema), 0)
+    n = lines.count()
+    assert reads.value == n
+    sink(lines.where("false"), 1)
+    sink(lines.where("not contains(line, 'cid:')"), 2)
+    got = {r["batch_id"]: r for r in spark.read.parquet(cnt).collect()}
+    sent = al.cid_filter(lines).count()
+    assert (got[0]["lines"], got[0]["sent"], got[0]["skipped"]) == (n, sent, n - sent)
+    assert got[0]["inserted"] + got[0]["rejected"] == sent
+    assert (got[1]["lines"], got[1]["inserted"]) == (0, 0) and got[2]["lines"] == got[2]["skipped"] == n - sent
+
+
+def test_a_batch_touches_its_own_days_only(spark, tmp_dir, monkeypatch):
+    from loglane.sources import fs
+
+    lines = day_lines(spark, SF).select("file_name", "line")
+    names = sorted(r[0] for r in lines.select("file_name").distinct().collect())
+    raw = os.path.join(tmp_dir, "raw")
+    sink = ingest.access_log_sink(raw, raw + "-rej")
+    sink(lines, 0)
+    asked = []
+    real = fs.exists
+    monkeypatch.setattr(fs, "exists", lambda s, p: asked.append(p) or real(s, p))
+    sink(lines.where(F.col("file_name") == names[0]), 1)
+    assert len({p for p in asked if "log_date=" in p}) <= 2
+    # a replay whose input moved to another day leaves nothing behind
+    sink(lines.where(F.col("file_name") == names[1]), 1)
+    got = {r[0] for r in spark.read.parquet(raw).where("batch_id = 1").select("file_name").distinct().collect()}
+    assert got == {names[1]}
 
 
 def test_progress_recorder(spark, tmp_dir):
