@@ -29,15 +29,15 @@ trade_ips AS (SELECT DISTINCT log_date, ip FROM ev WHERE is_usable)"""
 ACC = """
 acc AS (
   SELECT file_name, log_date, log_time, ip, login,
-         CASE WHEN event_id % 20 = 0 THEN 'unknown' ELSE md5(CAST(event_id AS VARCHAR)) END AS cid,
+         CASE WHEN event_id % 12 = 0 THEN 'unknown' ELSE md5(CAST(event_id AS VARCHAR)) END AS cid,
          CASE WHEN long_device THEN 'Terminal ' || repeat('Q', 120)
               WHEN event_id % 3 = 0 THEN 'Terminal Alpha'
               WHEN event_id % 3 = 1 THEN 'Terminal Beta'
               ELSE 'Terminal' END AS device,
-         CASE WHEN short THEN 'Unknown' WHEN event_id % 20 = 0 THEN 'cid: ' || md5(CAST(event_id AS VARCHAR))
-              ELSE 'point: Access Server Asia ' || CAST(event_id % 2 + 1 AS VARCHAR) END AS server,
+         CASE WHEN short THEN 'Unknown' WHEN event_id % 12 = 0 THEN 'cid: ' || md5(CAST(event_id AS VARCHAR))
+              ELSE 'point: Gate North ' || CAST(event_id % 2 + 1 AS VARCHAR) END AS server,
          'pending' AS flag,
-         CASE WHEN event_id % 20 = 0 THEN 'yes' ELSE 'no' END AS investor,
+         CASE WHEN event_id % 12 = 0 THEN 'yes' ELSE 'no' END AS investor,
          event_id, long_device
   FROM ev WHERE is_login)"""
 
@@ -165,9 +165,9 @@ SELECT file_name, log_date, log_time, ip, login, md5(CAST(event_id AS VARCHAR))
             WHEN event_id % 3 = 0 THEN 'Terminal Alpha'
             WHEN event_id % 3 = 1 THEN 'Terminal Beta'
             ELSE 'Terminal' END AS device,
-       CASE WHEN NOT short THEN 'point: Access Server Asia ' || CAST(event_id % 2 + 1 AS VARCHAR) END AS server,
+       CASE WHEN NOT short THEN 'point: Gate North ' || CAST(event_id % 2 + 1 AS VARCHAR) END AS server,
        'pending' AS flag,
-       CASE WHEN event_id % 20 = 0 THEN 'yes' ELSE 'no' END AS investor
+       CASE WHEN event_id % 12 = 0 THEN 'yes' ELSE 'no' END AS investor
 FROM ev WHERE is_login"""
 
 SQL["access_log_length_rejects"] = f"""
@@ -331,3 +331,26 @@ SELECT DATE '2031-07-05' AS log_date, count(*) AS lines_scanned,
 FROM ev"""
 
 SQL["utf16_day_scan"] = SQL["trade_scan_summary"]
+
+SQL["mixed_encoding_scan"] = f"""
+SELECT *, lines_scanned AS whole_lines FROM ({SQL["trade_scan_summary"]})"""
+
+SQL["stream_mixed_encodings"] = SQL["stream_access_log"]
+
+SQL["close_day_late_row"] = f"""
+WITH {EV}, {ACC}
+SELECT * REPLACE ({ONE_DAY}) FROM (
+SELECT a.file_name, a.log_date, a.log_time, a.ip, a.login, a.cid, a.device, a.server,
+       CASE WHEN a.ip IN (SELECT ip FROM ev WHERE is_usable) THEN 'trade' ELSE 'lilo' END AS flag, a.investor,
+       CASE WHEN a.event_id % 97 = 5 THEN 2 ELSE 1 END AS close_no
+FROM acc a WHERE NOT a.long_device)"""
+
+SQL["stream_growing_file"] = SQL["stream_access_log"]
+
+SQL["stream_once_per_record"] = f"""
+WITH {EV}, {ACC}
+SELECT * REPLACE ({ONE_DAY}) FROM (SELECT {ACCESS_COLS} FROM acc WHERE NOT long_device)"""
+
+SQL["stream_login_order"] = SQL["login_event_order"]
+
+SQL["close_day_folded"] = SQL["close_day_two_feeds"]

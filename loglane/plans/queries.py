@@ -400,6 +400,83 @@ def stream_topic_access_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{run}/raw").select(*al.ACCESS_LOG_COLUMNS)
 
 
+def _topic_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Login lines as keyed topic records: offset = arrival position."""
+    return trading_topic(spark, sf_dir).select(
+        F.col("key").cast("binary").alias("key"), F.col("line").cast("binary").alias("value"),
+        F.lit("trading-access-logs").alias("topic"), F.col("partition").cast("int").alias("partition"),
+        F.col("line_no").cast("long").alias("offset"), F.timestamp_seconds(F.col("line_no")).alias("timestamp"),
+        F.lit(0).alias("timestampType"))
+
+
+@query("stream_once_per_record")
+def stream_once_per_record(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every login record is sent twice, within one batch, in a later one and after a
+    restart of the consumer; each is stored once."""
+    from ..streaming import ingest
+
+    run = _run_dir(spark, "once")
+    records = _topic_records(spark, sf_dir)
+    third = F.col("offset") % 3
+
+    def deliver(part: DataFrame) -> None:
+        part.write.mode("append").parquet(f"{run}/topic")
+
+    def consume() -> None:
+        stream = spark.readStream.schema(records.schema).option("maxFilesPerTrigger", 4).parquet(f"{run}/topic")
+        ingest.ingest_topic_access_log(stream, f"{run}/raw", f"{run}/rejects", f"{run}/checkpoint", ONE_DAY,
+                                       once_by="offset").awaitTermination()
+
+    deliver(records.where(third < 2).union(records.where(third == 0)))  # a third twice at once
+    consume()
+    deliver(records.where(third == 2))
+    deliver(records.where(third > 0))  # the rest again
+    consume()
+    return spark.read.parquet(f"{run}/raw").select(*al.ACCESS_LOG_COLUMNS)
+
+
+@query("stream_login_order")
+def stream_login_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per login, the position of each of its messages, numbered by a stream that
+    gets them in three batches with a restart between."""
+    from ..streaming import ingest
+    from ..streaming.state import sequence_numbers
+
+    run = _run_dir(spark, "order")
+    records = _topic_records(spark, sf_dir)
+    last = records.agg(F.max("offset")).first()[0] or 0
+    for i in range(3):
+        low, high = F.lit(last * i // 3), F.lit(last * (i + 1) // 3)
+        part = records.where((F.col("offset") > low if i else F.lit(True)) & (F.col("offset") <= high))
+        part.write.mode("append").parquet(f"{run}/topic")
+        numbered = sequence_numbers(spark.readStream.schema(records.schema).parquet(f"{run}/topic"))
+        q = ingest.start(numbered, lambda df, n: df.write.mode("overwrite").parquet(f"{run}/seq/batch={n}"), f"{run}/checkpoint")
+        q.awaitTermination()
+    return spark.read.parquet(f"{run}/seq").select("key", F.col("offset").alias("line_no"), "seq")
+
+
+@query("stream_growing_file")
+def stream_growing_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Day files that grow while a stream follows them: half of each is there, the
+    stream runs, the rest is appended (the first append ends in the middle of a
+    line), and the stream runs again from its checkpoint. Each line arrives once."""
+    from ..sources.tail import tail_stream
+    from ..streaming import ingest
+
+    run = _run_dir(spark, "growing")
+    sink = ingest.access_log_sink(f"{run}/raw", f"{run}/rejects")
+
+    def follow() -> None:
+        q = ingest.start(tail_stream(spark, f"{run}/logs"), sink, f"{run}/checkpoint")
+        q.awaitTermination()
+
+    lines = _landed(spark, sf_dir)
+    for step in range(3):
+        fixtures.grow_day_files(lines, f"{run}/logs", step, 3)
+        follow()
+    return spark.read.parquet(f"{run}/raw").select(*al.ACCESS_LOG_COLUMNS)
+
+
 @query("stream_counters")
 def stream_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counters that the landing-folder ingest writes, summed over its batches."""
@@ -453,29 +530,91 @@ def close_day_two_feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{run}/table").select(*al.ACCESS_LOG_COLUMNS)
 
 
+@query("close_day_late_row")
+def close_day_late_row(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A day closed, then closed again when a few late rows have arrived: the
+    second close writes those rows only. ``close_no`` tells which one set a flag."""
+    from .eod_job import close_day, closed_rows
+
+    run = _run_dir(spark, "late")
+    day = f"trading_{ONE_DAY}.log"
+    lines = _landed(spark, sf_dir).withColumn("file_name", F.lit(day))
+    lines.select("line").write.text(f"{run}/logs/{day}")
+    late = F.col("line_no") % 97 == 5
+    for batch_id, part in enumerate((lines.where(~late), lines.where(late))):
+        raw = _write_batch(spark, part, run, "feed", batch_id)
+        close_day(spark, ONE_DAY, f"{run}/logs/{day}", raw, f"{run}/table")
+    return closed_rows(spark, f"{run}/table").select(
+        *al.ACCESS_LOG_COLUMNS, F.substring_index("close", "-", 1).cast("int").alias("close_no"))
+
+
+@query("close_day_folded")
+def close_day_folded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A day closed once per feed, then folded into one sorted set of files."""
+    from .eod_job import close_day, closed_rows, fold_day
+
+    run, raws, day_file = _two_feeds(spark, sf_dir)
+    close_day(spark, ONE_DAY, day_file, raws[:1], f"{run}/table")
+    close_day(spark, ONE_DAY, day_file, raws, f"{run}/table")
+    fold_day(spark, ONE_DAY, f"{run}/table")
+    return closed_rows(spark, f"{run}/table").select(*al.ACCESS_LOG_COLUMNS)
+
+
 @query("close_day_empty")
 def close_day_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Summary of closing a day whose access rows never arrived: the day file
     is scanned, and one row reports zero changes."""
     from .eod_job import close_day
 
-    run, _, day_file = _two_feeds(spark, sf_dir)
+    run = _run_dir(spark, "empty")
+    day_file = f"{run}/logs/trading_{ONE_DAY}.log"
+    _landed(spark, sf_dir).select("line").write.text(day_file)
     return close_day(spark, ONE_DAY, day_file, f"{run}/nothing", f"{run}/empty_table")
 
 
+#: The encoding of a day file, by the remainder of its day of the month.
+ENCODINGS = ["UTF-8", "UTF-16LE", "UTF-16BE"]
+#: Characters with a byte 0A, and a pair that holds the bytes of a little-endian newline.
+WIDE_TEXT = "\t\u5317\u4e0a \u0a85\u4e00"
+
+
+def _encoded_days(spark: SparkSession, sf_dir: str, run: str, lines: DataFrame, kinds: list[str]) -> str:
+    day = F.dayofmonth(F.to_date(F.substring("file_name", 9, 8), "yyyyMMdd"))
+    for i, kind in enumerate(kinds):
+        fixtures.write_day_files(lines.where(day % len(kinds) == i), f"{run}/logs", kind)
+    return f"{run}/logs"
+
+
 @query("utf16_day_scan")
 def utf16_day_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Trade IPs per day from a folder where every other day file is UTF-16
-    (with a malformed unit in each line), read by the one encoding-aware
-    reader."""
+    """Trade IPs per day from a folder where every other day file is UTF-16."""
     from ..sources.files import read_lines
 
     run = _run_dir(spark, "utf16")
-    wide = F.dayofmonth(F.to_date(F.substring("file_name", 9, 8), "yyyyMMdd")) % 2 == 0
-    text = F.regexp_replace(F.col("line"), "\u00a0", " ")  # keeps the rendered bytes within one byte per unit
-    units = F.regexp_replace(F.hex(text.cast("binary")), "(..)", "$100")
-    # little-endian: each line after the first begins with half of the newline before it
-    wide_line = F.unhex(F.concat(F.lit("00"), units, F.lit("00D8")))
-    out = _landed(spark, sf_dir).select("file_name", F.when(wide, wide_line).otherwise(text.cast("binary")).cast("string").alias("line"))
-    out.write.partitionBy("file_name").text(f"{run}/logs")
-    return eod.scan_summary(read_lines(spark, f"{run}/logs"))
+    return eod.scan_summary(read_lines(spark, _encoded_days(spark, sf_dir, run, _landed(spark, sf_dir), ENCODINGS[:2])))
+
+
+@query("mixed_encoding_scan")
+def mixed_encoding_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Day files in UTF-8, UTF-16LE and UTF-16BE in one folder, whose lines all end
+    with characters that hold a newline's bytes: per file, lines scanned,
+    trade IPs and lines that end as they were written."""
+    from ..sources.files import read_lines
+
+    run = _run_dir(spark, "mixed")
+    ended = _landed(spark, sf_dir).withColumn("line", F.concat("line", F.lit(WIDE_TEXT)))
+    lines = read_lines(spark, _encoded_days(spark, sf_dir, run, ended, ENCODINGS))
+    whole = lines.groupBy("file_name").agg(F.count_if(F.endswith("line", F.lit(WIDE_TEXT))).alias("whole_lines"))
+    return eod.scan_summary(lines).join(whole, "file_name")
+
+
+@query("stream_mixed_encodings")
+def stream_mixed_encodings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same folder as a landing stream, loaded into the raw table."""
+    from ..streaming import ingest
+
+    run = _run_dir(spark, "stream-mixed")
+    landing = _encoded_days(spark, sf_dir, run, _landed(spark, sf_dir), ENCODINGS)
+    q = ingest.ingest_access_log(spark, landing, f"{run}/raw", f"{run}/rejects", f"{run}/checkpoint")
+    q.awaitTermination()
+    return spark.read.parquet(f"{run}/raw").select(*al.ACCESS_LOG_COLUMNS)

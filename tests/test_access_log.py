@@ -5,8 +5,8 @@ import pytest
 from loglane.operators import access_log as al
 
 H = "XA\t4\t3\t00:00:00.028\t49.206.98.46\t'11820785': login ("
-P = ", cid: d0ccc64, point: Access Server Asia 1, ping: 20.56 ms, geo: "
-PT = "point: Access Server Asia 1"
+P = ", cid: d0ccc64, point: Gate North 1, ping: 20.56 ms, geo: "
+PT = "point: Gate North 1"
 
 VECTORS = {
     "A1": (H + "Client iPhone build 5545" + P + "IN, Chennai, Atria)",
