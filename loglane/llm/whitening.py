@@ -84,14 +84,17 @@ def split(a: np.ndarray) -> tuple[np.ndarray, np.ndarray] | None:
         p = (polar_factor(a - shift * np.eye(n)) + np.eye(n)) / 2
         k = int(round(float(np.trace(p))))
         # an eigenvalue at the shift is neither above nor below: take another
-        if 0 < k < n and np.linalg.norm(p @ p - p) <= 1e-10 * n:
-            g = np.random.default_rng(n).standard_normal((n, n))
+        if not (0 < k < n and np.linalg.norm(p @ p - p) <= 1e-10 * n):
+            continue
+        for attempt in range(4):  # a random start that misses a direction shows in what couples the parts
+            g = np.random.default_rng([n, k, attempt]).standard_normal((n, n))
             above, _ = np.linalg.qr(p @ (p @ g[:, :k]))
             rest = g[:, k:] - p @ g[:, k:]
             rest -= p @ rest + above @ (above.T @ rest)
             below, _ = np.linalg.qr(rest)
             below, _ = np.linalg.qr(below - above @ (above.T @ below))
-            return above, below
+            if np.linalg.norm(below.T @ a @ above) <= 1e-12 * n * np.linalg.norm(a):
+                return above, below
     return None
 
 
