@@ -2,6 +2,7 @@ import gzip
 import hashlib
 import io
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -104,6 +105,96 @@ def test_equal_and_crawled_again_pages_are_passed_over(spark):
                       + f" .\n\nSeen {i} times" for i in range(4)}}
 
 
+def paired(rows):
+    """Texts by looking through all pages of a host, as the module states it."""
+    name = lambda r: (host_path(r[1])[0].encode(), host_path(r[1])[1].encode(), hashlib.md5((r[2] or "").encode()).digest())
+    pages = {name(r): html_text.lines_of(r[2]) for r in rows}
+    order, out = sorted(pages), {}
+
+    def tells(a, b):
+        x, y = ([t for t, _ in pages[k]] for k in (a, b))
+        return pages[a] != pages[b] and (a[1] != b[1] or not html_text.near_copies(x, y))
+
+    for i, a in enumerate(order):
+        near = []
+        for beside in (order[:i][::-1], order[i + 1:]):
+            beside = [b for b in beside if b[0] == a[0]]
+            same = [b for b in beside if b[1] == a[1]][:html_text.NEAR]
+            near += [b for b in same + [b for b in beside if b[1] != a[1]][:1] if tells(a, b)][:1]
+        best = max(near, key=lambda b: html_text.shared_parts(a[1].decode(), b[1].decode()), default=None)
+        out[a] = html_text.main_text(pages[a], pages[best] if best else None)
+    return sorted((r[0], r[1], out[name(r)]) for r in rows)
+
+
+def host_path(url):
+    head, sep, rest = (url or "").partition("://")
+    if not sep:
+        return "", ""
+    rest = rest.split("#")[0].split("?")[0]
+    host, slash, path = rest.partition("/")
+    return host.lower(), slash + path
+
+
+def site(r, n=260):
+    """Pages of few hosts and paths, with templates, crawls, copies and a hot page."""
+    rows = []
+    for i in range(n):
+        host, path = f"h{r.randrange(4)}.org", f"/{r.choice('ab')}/{r.randrange(12)}"
+        body = r.choice(["equal", f"text {i}", "crawled " * 30 + f"</p><p>{i % 5}"])
+        menu = f"<div>Menu of {host}</div>" if r.random() < 0.8 else ""
+        rows.append((i, f"http://{host}{path}?q={i}", f"<body>{menu}<p>{body}</p><div>Imprint</div></body>", "h"))
+    hot = [(1000 + i, "http://h1.org/a/3", "<body><div>Menu of h1.org</div><p>hot</p></body>", "h") for i in range(130)]
+    path = [(2000 + i, "http://h2.org/one/path", f"<body><div>Menu of h2.org</div><p>{'long ' * 40}</p><p>{i}</p></body>", "h") for i in range(60)]
+    return rows + hot + path
+
+
+@pytest.mark.parametrize("tasks", ["1", "8", "40"])
+def test_pairs_are_the_same_however_pages_are_dealt(spark, tasks):
+    rows = site(random.Random(5))
+    want = paired(rows)
+    old = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", tasks)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        df = spark.createDataFrame(rows, PAGES).repartition(int(tasks))
+        for part_bytes, hot in ((1 << 24, 1000), (1500, 20)):
+            got = html_text.extract_text(df, part_bytes, hot).collect()
+            assert sorted((x["page_id"], x["url"], x["text"]) for x in got) == want
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
+def test_no_part_holds_the_copies_of_a_hot_page(spark):
+    rows = site(random.Random(6))
+    parts = html_text.plan_parts(html_text.named_rows(spark.createDataFrame(rows, PAGES)), 1500, 20)
+    assert len(parts.hot) == 1 and len(parts.starts) > 10 and parts.starts == sorted(parts.starts)
+    assert max(len(v) for v in parts.also.values()) <= len(parts.starts)
+
+
+def test_extra_columns_of_any_name(spark):
+    df = spark.createDataFrame([(1, "http://a.org/1", "<p>x</p>", "h")], PAGES)
+    for c in ("part", "path", "key", "own", "text", "tree", "idx", "size", "n_rows", "_p"):
+        df = df.withColumn(c, F.lit("z"))
+    assert [tuple(r) for r in html_text.extract_text(df).collect()] == [(1, "http://a.org/1", "x", 1)]
+
+
+@pytest.mark.parametrize("text", ["<p ", "</div>", "<div>", "<script ", "</script", "<a href='", '<a b="', "<!-", "<nav><article>", "<div class=ad>",
+                                  "<div><nav></div><main>", "<![", "& ", "<span class=menu>"])
+@pytest.mark.parametrize("end", ["", ">", "'>", "</p>"])
+def test_very_long_broken_pages_are_linear(text, end):
+    started = time.process_time()
+    html_text.lines_of(text * (1_000_000 // len(text)) + end)
+    assert time.process_time() - started < 8  # about 1 s; the scan of a quadratic parser takes hours
+
+
+def test_alignment_of_long_pages_needs_little_memory():
+    r = random.Random(7)
+    a, b = ([f"{side}{i}" if r.random() < 0.5 else f"s{i}" for i in range(6000)] for side in "ab")
+    got = html_text.common_lines(a, b)
+    assert got == {i for i in range(6000) if a[i] == b[i]}
+
+
 # --- WARC ------------------------------------------------------------------------
 
 
