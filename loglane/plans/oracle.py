@@ -353,4 +353,44 @@ SELECT * REPLACE ({ONE_DAY}) FROM (SELECT {ACCESS_COLS} FROM acc WHERE NOT long_
 
 SQL["stream_login_order"] = SQL["login_event_order"]
 
+SQL["trade_ip_logins_by_month"] = f"""
+WITH {EV}
+SELECT CAST(date_trunc('month', log_date) AS DATE) AS month, ip, count(DISTINCT login) AS n_logins
+FROM ev WHERE is_usable GROUP BY ALL"""
+
+SQL["ingest_rate_by_minute"] = """
+SELECT CASE WHEN event_type = 'signup' THEN '__internal' ELSE event_type END AS topic,
+       date_trunc('minute', ts) AS window_start, count(*) AS records, round(count(*) / 60, 6) AS per_second
+FROM events WHERE ts IS NOT NULL GROUP BY ALL"""
+
+PARTS = """
+lim AS (SELECT max(event_id) AS last FROM ev WHERE is_login),
+rec AS (
+  SELECT event_id AS "offset", CAST(event_id % 3 AS INTEGER) AS "partition",
+         CASE WHEN event_id <= last // 3 THEN 0 WHEN event_id <= last * 2 // 3 THEN 1 ELSE 2 END AS part
+  FROM ev, lim WHERE is_login)"""
+
+SQL["lag_trend"] = f"""
+WITH {EV}, {PARTS},
+b AS (
+  SELECT s.part AS batch_id, 'trading-access-logs' AS topic, r."partition",
+         max(CASE WHEN r.part = s.part THEN r."offset" END) + 1 AS committed,
+         max(CASE WHEN r.part <= s.part + 1 THEN r."offset" END) + 1 AS high,
+         count(CASE WHEN r.part = s.part THEN 1 END) AS records
+  FROM rec r, (SELECT DISTINCT part FROM rec) s GROUP BY ALL),
+l AS (SELECT *, greatest(high - committed, 0) AS lag FROM b WHERE records > 0)
+SELECT CAST(batch_id AS BIGINT) AS batch_id, topic, "partition", committed, high, records, lag,
+       lag - lag(lag) OVER (PARTITION BY "partition" ORDER BY batch_id) AS lag_change
+FROM l"""
+
+SQL["consumer_lag_recorded"] = f"""
+WITH {EV}, {PARTS},
+p AS (
+  SELECT 'trading-access-logs' AS topic, "partition", min("offset") AS low, max("offset") + 1 AS high,
+         coalesce(max(CASE WHEN part < 2 THEN "offset" END) + 1, 0) AS committed
+  FROM rec GROUP BY ALL)
+SELECT *, high - committed AS lag,
+       CASE WHEN high = committed THEN 'OK' ELSE 'BEHIND by ' || format('{{:,}}', high - committed) END AS status
+FROM p"""
+
 SQL["close_day_folded"] = SQL["close_day_two_feeds"]

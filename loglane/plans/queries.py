@@ -145,6 +145,16 @@ def trade_ip_login_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
             .groupBy("log_date", "ip").agg(F.count(F.lit(1)).alias("n_logins")))
 
 
+@query("trade_ip_logins_by_month")
+def trade_ip_logins_by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct logins per address and month, from bitmap states kept per day."""
+    from ..operators.distinct_state import day_state, logins_by_month
+
+    state = derived_table(spark, "trade_login_state", [_path(sf_dir, "events")],
+                          lambda: day_state(eod.trade_ip_logins(day_lines(spark, sf_dir))), partition_by=["log_date"])
+    return logins_by_month(state)
+
+
 @query("trade_scan_summary")
 def trade_scan_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per day file: lines scanned and distinct trade IPs."""
@@ -333,6 +343,58 @@ def consumer_lag_total(spark: SparkSession, sf_dir: str) -> DataFrame:
     return off.lag_totals(_lag(spark, sf_dir))
 
 
+@query("ingest_rate_by_minute")
+def ingest_rate_by_minute(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records per topic and minute of their time, and per second."""
+    from ..streaming.progress import rate_by_window
+
+    return rate_by_window(envelope(spark, sf_dir))
+
+
+def _part_of(offset, last: int, i: int):
+    """The i-th third of the offsets up to ``last``."""
+    return (offset > (last * i // 3 if i else -1)) & (offset <= last * (i + 1) // 3)
+
+
+def _consumed_in_parts(spark: SparkSession, sf_dir: str) -> str:
+    """A consumer with recorded progress that runs three times; each time the next
+    third of the records has already arrived. Returns the progress table's path."""
+    from ..streaming import ingest, progress
+
+    run = _run_dir(spark, "lag")
+    records = _topic_records(spark, sf_dir).withColumn("partition", (F.col("offset") % 3).cast("int"))
+    last = records.agg(F.max("offset")).first()[0] or 0
+    sink = progress.with_progress(ingest.envelope_access_log_sink(f"{run}/raw", f"{run}/rejects", ONE_DAY), f"{run}/progress",
+                                  lambda: off.partition_offsets(spark.read.parquet(f"{run}/arrived")))
+    parts = [records.where(_part_of(F.col("offset"), last, i)) for i in range(3)]
+    parts[0].write.mode("append").parquet(f"{run}/arrived")
+    for i in range(3):
+        parts[i].write.mode("append").parquet(f"{run}/topic")
+        if i < 2:
+            parts[i + 1].write.mode("append").parquet(f"{run}/arrived")
+        ingest.start(spark.readStream.schema(records.schema).parquet(f"{run}/topic"), sink, f"{run}/checkpoint").awaitTermination()
+    return f"{run}/progress"
+
+
+@query("lag_trend")
+def lag_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lag of a running consumer per batch and partition, and its change."""
+    from ..streaming import progress
+
+    return progress.lag_trend(progress.progress(spark, _consumed_in_parts(spark, sf_dir))).drop("batches_left")
+
+
+@query("consumer_lag_recorded")
+def consumer_lag_recorded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lag of that consumer against all records, from the offsets it has committed."""
+    from ..streaming import progress
+
+    run = _consumed_in_parts(spark, sf_dir)
+    records = _topic_records(spark, sf_dir).withColumn("partition", (F.col("offset") % 3).cast("int"))
+    early = progress.progress(spark, run).where("batch_id < 2").groupBy("topic", "partition").agg(F.max("committed").alias("committed"))
+    return off.consumer_lag(off.partition_offsets(records), early)
+
+
 # --- streaming ingest ----------------------------------------------------------------
 
 def _run_dir(spark: SparkSession, name: str) -> str:
@@ -446,8 +508,7 @@ def stream_login_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = _topic_records(spark, sf_dir)
     last = records.agg(F.max("offset")).first()[0] or 0
     for i in range(3):
-        low, high = F.lit(last * i // 3), F.lit(last * (i + 1) // 3)
-        part = records.where((F.col("offset") > low if i else F.lit(True)) & (F.col("offset") <= high))
+        part = records.where(_part_of(F.col("offset"), last, i))
         part.write.mode("append").parquet(f"{run}/topic")
         numbered = sequence_numbers(spark.readStream.schema(records.schema).parquet(f"{run}/topic"))
         q = ingest.start(numbered, lambda df, n: df.write.mode("overwrite").parquet(f"{run}/seq/batch={n}"), f"{run}/checkpoint")
