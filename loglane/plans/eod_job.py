@@ -3,8 +3,9 @@
 Layout:
 * ``raw``: streaming appends, partitioned by ``log_date``/``run_id``/``batch_id``,
   never rewritten by this job; several raw paths may feed one table;
-* ``table``: the flagged access_log, ``log_date=<day>/close=<n>-<id>/``, keeping
-  ``run_id`` and ``batch_id`` so a later close knows which batches it has.
+* ``table``: the flagged access_log, ``log_date=<day>/close=<n>-<id>/``. Each close
+  carries a list of its raw batches (``_batches``, which readers pass over), so
+  finding what is pending opens no data file of a closed row.
 
 A flag that was set never changes, so a close has no reason to touch rows of an
 earlier one. It reads only the raw batches of the day that the table does
@@ -25,6 +26,7 @@ Close one day from one job at a time.
 
 from __future__ import annotations
 
+import json
 import re
 import uuid
 
@@ -43,6 +45,7 @@ STORED = StructType([*ACCESS_LOG.fields, StructField("run_id", StringType()), St
                      StructField("etl_timestamp", TimestampType())])
 IDENTITY = ["run_id", "batch_id"]
 FOLDED = "-fold"
+BATCHES = "_batches"
 _CLOSE = re.compile(r"close=(\d+)-")
 
 
@@ -91,20 +94,41 @@ def new_batches(spark: SparkSession, raw_path: str, log_date: str, have: set[tup
     return out
 
 
-def rows_to_close(spark: SparkSession, raw_path: str | list[str], table_path: str, log_date: str) -> DataFrame | None:
-    """Rows of one day in raw batches that the table does not have yet, from all
-    raw paths (None without such batches). A batch is known by its run and its
-    number; batches of other days or closed ones are not read."""
-    live, _ = _closes(spark, table_path, log_date)
-    # two dictionary-coded columns of one day; a row per batch comes back
-    have = {tuple(r) for r in _rows(spark, table_path, live).select(*IDENTITY).distinct().collect()}
+def closed_batches(spark: SparkSession, folders: list[str]) -> set[tuple[str, int]]:
+    """(run, batch) of closes, from their lists; of a close without a list from its
+    two dictionary-coded columns."""
+    have, bare = set(), []
+    for folder in folders:
+        if fs.exists(spark, f"{folder}/{BATCHES}"):
+            have |= {(run, n) for run, n in json.loads(fs.read_text(spark, f"{folder}/{BATCHES}"))}
+        else:
+            bare.append(folder)
+    if bare:
+        rows = _rows(spark, bare[0].rpartition("/log_date=")[0], bare).select(*IDENTITY).distinct()  # a row per batch
+        have |= {tuple(r) for r in rows.collect()}
+    return have
+
+
+def _batch_of(folder: str) -> tuple[str, int]:
+    run = re.search(r"/run_id=([^/]*)/batch_id=", folder)
+    return run[1] if run else "", int(folder.rpartition("batch_id=")[2])
+
+
+def pending_batches(spark: SparkSession, raw_path: str | list[str], table_path: str, log_date: str) -> dict[str, list[str]]:
+    """Batch folders of one day, by raw path, that the table does not have yet."""
+    have = closed_batches(spark, _closes(spark, table_path, log_date)[0])
+    found = {p: new_batches(spark, p, log_date, have) for p in ([raw_path] if isinstance(raw_path, str) else raw_path)}
+    return {p: folders for p, folders in found.items() if folders}
+
+
+def pending_rows(spark: SparkSession, raw_path: str | list[str], table_path: str, log_date: str) -> DataFrame:
+    """Rows of one day whose flag is not set yet. A batch is known by its run and
+    its number; batches of other days or closed ones are not read."""
     out = None
-    for path in [raw_path] if isinstance(raw_path, str) else raw_path:
-        folders = new_batches(spark, path, log_date, have)
-        if folders:
-            rows = _rows(spark, path, folders).select(*STORED.names)
-            out = rows if out is None else out.unionByName(rows)
-    return out
+    for path, folders in pending_batches(spark, raw_path, table_path, log_date).items():
+        rows = _rows(spark, path, folders).select(*STORED.names)
+        out = rows if out is None else out.unionByName(rows)
+    return out if out is not None else spark.createDataFrame([], STORED)
 
 
 def _publish(spark: SparkSession, staged: str, table_path: str, log_date: str, name: str) -> str:
@@ -124,6 +148,10 @@ def _write_sorted(rows: DataFrame, path: str) -> None:
      .drop("log_date").write.mode("overwrite").parquet(path))
 
 
+def _list_batches(spark: SparkSession, folder: str, batches: set[tuple[str, int]]) -> None:
+    fs.write_text(spark, f"{folder}/{BATCHES}", json.dumps(sorted(batches)))
+
+
 def _set_flags(rows: DataFrame) -> tuple[int, int]:
     """How many rows are trade and lilo (reads the flag column only)."""
     return tuple(rows.agg(F.count_if(F.col("flag") == eod.TRADE), F.count_if(F.col("flag") == eod.LILO)).first())
@@ -154,12 +182,14 @@ def close_day(spark: SparkSession, date_compact: str, day_file: str, raw_path: s
 
     trade = lilo = 0
     clean_up(spark, table_path, log_date, table_name)
-    rows = rows_to_close(spark, raw_path, table_path, log_date)
-    if rows is not None:
+    pending = pending_batches(spark, raw_path, table_path, log_date)
+    if pending:
+        rows = pending_rows(spark, raw_path, table_path, log_date)
         here = f"{table_path.rstrip('/')}/_staging/{run}"
         _write_sorted(eod.apply_flags(rows, ips, [log_date]), here)
         after, before = _set_flags(spark.read.schema("flag string").parquet(here)), _set_flags(rows)
         trade, lilo = after[0] - before[0], after[1] - before[1]
+        _list_batches(spark, here, {_batch_of(f) for folders in pending.values() for f in folders})
         live, old = _closes(spark, table_path, log_date)
         last = max([0, *(_number(f.rpartition("/")[2]) for f in live + old)])
         folder = _publish(spark, here, table_path, log_date, f"close={last + 1:06d}-{run}")
@@ -195,6 +225,7 @@ def fold_day(spark: SparkSession, date_compact: str, table_path: str, table_name
     run = uuid.uuid4().hex[:8]
     here = f"{table_path.rstrip('/')}/_staging/{run}"
     _write_sorted(_rows(spark, table_path, live).select(*STORED.names), here)
+    _list_batches(spark, here, closed_batches(spark, live))
     last = _number(live[-1].rpartition("/")[2])
     folder = _publish(spark, here, table_path, log_date, f"close={last + 1:06d}-{run}{FOLDED}")
     if table_name:

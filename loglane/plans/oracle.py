@@ -393,4 +393,8 @@ SELECT *, high - committed AS lag,
        CASE WHEN high = committed THEN 'OK' ELSE 'BEHIND by ' || format('{{:,}}', high - committed) END AS status
 FROM p"""
 
+SQL["pending_after_close"] = f"""
+WITH {EV}, {ACC}
+SELECT * REPLACE ({ONE_DAY}) FROM (SELECT {ACCESS_COLS} FROM acc WHERE NOT long_device AND event_id % 2 = 1)"""
+
 SQL["close_day_folded"] = SQL["close_day_two_feeds"]

@@ -609,6 +609,17 @@ def close_day_late_row(spark: SparkSession, sf_dir: str) -> DataFrame:
         *al.ACCESS_LOG_COLUMNS, F.substring_index("close", "-", 1).cast("int").alias("close_no"))
 
 
+@query("pending_after_close")
+def pending_after_close(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows that arrived after a day was closed, found without reading closed rows."""
+    from .eod_job import close_day, pending_rows
+
+    run, raws, day_file = _two_feeds(spark, sf_dir)
+    close_day(spark, ONE_DAY, day_file, raws[:1], f"{run}/table")
+    iso = f"{ONE_DAY[:4]}-{ONE_DAY[4:6]}-{ONE_DAY[6:]}"
+    return pending_rows(spark, raws, f"{run}/table", iso).select(*al.ACCESS_LOG_COLUMNS)
+
+
 @query("close_day_folded")
 def close_day_folded(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A day closed once per feed, then folded into one sorted set of files."""

@@ -175,10 +175,23 @@ def test_a_late_row_writes_its_own_file_only(spark, tmp_dir):
 def test_a_late_row_reads_new_batches_only(spark, tmp_dir):
     raw, table, _ = _closed(spark, tmp_dir, [[_login(1)], [_login(2)]])
     ingest.access_log_sink(raw, raw + "-rej")(_lines(spark, [_login(3)]), 7)
-    rows = eod_job.rows_to_close(spark, raw, table, "2031-07-05")
+    rows = eod_job.pending_rows(spark, raw, table, "2031-07-05")
     assert [os.path.basename(os.path.dirname(f)) for f in rows.inputFiles()] == ["batch_id=7"]
 
 
+def test_pending_rows_open_no_closed_file(spark, tmp_dir):
+    """Also once the day is folded: the data files of closed rows may be unreadable."""
+    raw, table, _ = _closed(spark, tmp_dir, [[_login(1)], [_login(2)]])
+    eod_job.fold_day(spark, DAY, table)
+    for path in _files(table):
+        with open(path, "wb") as fh:
+            fh.write(b"not parquet")
+    assert eod_job.pending_rows(spark, raw, table, "2031-07-05").count() == 0
+    ingest.access_log_sink(raw, raw + "-rej")(_lines(spark, [_login(3)]), 2)
+    assert [r["login"] for r in eod_job.pending_rows(spark, raw, table, "2031-07-05").collect()] == ["3"]
+    assert eod_job.pending_rows(spark, raw + "-none", table, "2031-07-05").count() == 0
+
+
 def test_failure_between_write_and_publish_keeps_the_day(spark, tmp_dir, monkeypatch):
     from loglane.sources import fs
 
