@@ -44,6 +44,8 @@ BUCKET_ROWS = 50_000
 PART_BYTES = 8 << 20
 STEP_ROWS = 4096
 QUERY_BLOCK = 512
+#: What sums of products in another order may differ by, for unit vectors.
+ROUNDING = 1e-9
 
 
 @lru_cache(maxsize=8)
@@ -285,9 +287,11 @@ def _scored(en, ec, ex, qn, qc, qx, keep: int) -> list:
         for a in range(e0, e1, 8192):
             stop = min(e1, a + 8192)
             s = unit_q[qrow[q0:q1]] @ unit_e[erow[a:stop]].T
-            m = min(keep + 2, s.shape[1])  # two more than needed, as sums in a product may round differently
-            top = np.argpartition(-s, m - 1, axis=1)[:, :m]
-            qi, ei = np.repeat(np.arange(q0, q1), m), a + top.ravel()
+            # all that reach the keep-th score but for rounding: ties are ranked by id later
+            m = min(keep, s.shape[1])
+            least = np.partition(s, s.shape[1] - m, axis=1)[:, s.shape[1] - m]
+            qi, ei = np.nonzero(s >= (least - ROUNDING)[:, None])
+            qi, ei = q0 + qi, a + ei
             out.append((qc[qi], ec[ei], qrow[qi], erow[ei]))
     if not out:
         return []

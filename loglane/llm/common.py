@@ -104,11 +104,18 @@ def slice_count(docs: DataFrame, column: str, slice_bytes: int) -> int:
     return max(1, -(-int(total) // slice_bytes))
 
 
+def free_name(columns: list[str], name: str) -> str:
+    """``name``, or the first longer one that no column has."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def with_slice(docs: DataFrame, n: int) -> DataFrame:
-    """(slice, doc_id, text): each document to one of ``n`` slices by its id
-    (by its text where the id is null). Text is never null."""
-    key = F.coalesce(F.col("doc_id").cast("string"), F.coalesce("text", F.lit("")))
-    return docs.select(F.pmod(F.xxhash64(key), F.lit(n)).cast("int").alias("slice"),
+    """(slice, doc_id, text): each document to one of ``n`` slices by its id and
+    text, so an id that many texts share is spread. Text is never null."""
+    return docs.select(F.pmod(F.xxhash64("doc_id", F.coalesce("text", F.lit(""))), F.lit(n)).cast("int").alias("slice"),
                        F.col("doc_id").cast("long").alias("doc_id"),
                        F.coalesce("text", F.lit("")).alias("text"))
 

@@ -29,7 +29,7 @@ So documents first meet in blocks that lose no link, and each block has trees:
    In 4 and 5 what is split makes a part of its own, of two chunks.
 6. Spark joins the links by star contraction to components.
 
-Texts travel in slices of about ``SLICE_BYTES`` (a hash of the id); equal sets
+Texts travel in slices of about ``SLICE_BYTES`` (a hash of id and text); equal sets
 in a slice are one member. One shuffle of the texts serves steps 2, 4 and 5.
 
 Defined results: null or empty texts have no shingles and link with nothing;

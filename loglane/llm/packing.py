@@ -112,7 +112,9 @@ def pack_documents(docs: DataFrame, vocabulary: str | None = None, size: int = L
         return t.append_column("sequence_id", pa.array(sequence)).append_column("offset", pa.array(offset))
 
     found = tokenised(docs, vocabulary or default_vocabulary(), size, end_token)
-    sharded = found.withColumn("shard", F.pmod(F.xxhash64(*names), F.lit(shards)).cast("long"))
+    # the row number deals copies of one row to all shards; sequence numbers are any
+    dealt = F.xxhash64(*names, F.monotonically_increasing_id())
+    sharded = found.withColumn("shard", F.pmod(dealt, F.lit(shards)).cast("long"))
     return sharded.groupBy("shard").applyInArrow(
         place, "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")
 

@@ -6,7 +6,8 @@ Every line of a text is judged by three rules and dropped where one fails:
   no letter at all;
 * navigation: at least two separators (``|``, ``»``, ``>``) that leave pieces
   of at most three words, or one to two words without a final mark;
-* boilerplate: one of the fixed phrases below.
+* boilerplate: one of the fixed phrases below in a line of at most
+  ``MAX_PHRASE_LINE`` words (a sentence that mentions one is no boilerplate).
 
 A document whose kept lines hold less than ``MIN_KEPT_SHARE`` of its word
 characters is rejected. Before that, the base measures of the contract are
@@ -26,7 +27,7 @@ import re
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import read_table
+from .common import free_name, read_table
 
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
@@ -38,6 +39,7 @@ BOILERPLATE = [
     "log in to", "lorem ipsum", "privacy policy", "sign up for", "subscribe to our",
     "terms of service", "terms of use",
 ]
+MAX_PHRASE_LINE = 10
 SPACE = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]"
 SYMBOLS = "#*$%&|<>"
@@ -99,7 +101,7 @@ def line_ok(line: Column) -> Column:
         boiler = F.lit(False)
         for phrase in BOILERPLATE:
             boiler = boiler | F.contains(m["low"], F.lit(phrase))
-        return (n == 0) | ~(punctuation | navigation | boiler)
+        return (n == 0) | ~(punctuation | navigation | (n <= MAX_PHRASE_LINE) & boiler)
 
     return let(measures, judged)
 
@@ -111,15 +113,16 @@ def line_clean(docs: DataFrame, text: str = "text") -> DataFrame:
     src = docs.drop(*(c for c in docs.columns if c.lower() in names))
     t = F.coalesce(F.col(text), F.lit(""))
     lines = F.split(t, "\n")
+    w = free_name(src.columns, "w")
     out = src.withColumns({
         "n_symbols": count_of(t, SYMBOLS),
         "n_dup_lines": dup_lines(lines),
-        "_w": let(words(t), lambda w: F.struct(
-            F.size(w).cast("long").alias("n"), F.length(F.array_join(w, "")).cast("long").alias("c"),
-            repeat_words(w).alias("r"))),
+        w: let(words(t), lambda x: F.struct(
+            F.size(x).cast("long").alias("n"), F.length(F.array_join(x, "")).cast("long").alias("c"),
+            repeat_words(x).alias("r"))),
         "clean_text": F.array_join(F.filter(lines, line_ok), "\n"),
     })
-    out = out.withColumns({"n_words": F.col("_w.n"), "word_chars": F.col("_w.c"), "n_repeat_words": F.col("_w.r")}).drop("_w")
+    out = out.withColumns({"n_words": F.col(w)["n"], "word_chars": F.col(w)["c"], "n_repeat_words": F.col(w)["r"]}).drop(w)
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
     kept_chars = F.length(F.regexp_replace("clean_text", SPACE, ""))
     return out.withColumns({"base_failed": failed,
@@ -154,7 +157,7 @@ ln as (select rid, l, n, chars,
     sy > n * 0.5 or not regexp_matches(l, '\p{{L}}')
     or (seps >= 2 and n - seps <= 3 * (seps + 1))
     or (n <= 2 and not regexp_matches(l, '[.!?:;,…"''”»)][\x20\x09-\x0D]*$'))
-    or {boiler}) as ok from lw),
+    or (n <= 10 and ({boiler}))) as ok from lw),
 lt as (select rid, coalesce(sum(case when ok then chars else 0 end), 0) as kept_chars,
   (count(*) filter (n > 0) - count(distinct l) filter (n > 0))::bigint as n_dup_lines from ln group by rid),
 m as (

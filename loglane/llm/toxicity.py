@@ -39,6 +39,8 @@ from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
 from .common import pieces, read_table, ship_package, stored
 
+#: Bounds of the model: sampled rows, terms with a weight, and of these the most
+#: frequent that take part in the label model (it is quadratic in them).
 MAX_LABELLED = 20_000
 MAX_UNLABELLED = 10_000
 MAX_TERMS = 512
@@ -112,7 +114,8 @@ def training_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
     y = y.where(_share(MAX_LABELLED, n_labels, "labelled"))
     wide = d.join(F.broadcast(y), "doc_id", "left")  # about MAX_LABELLED narrow rows
     pick = F.col("toxic").isNotNull() | _share(MAX_UNLABELLED, n_docs, "other")
-    return wide.where(pick).select("text", "toxic")
+    # a row per id, also where an id repeats: so the sample is bounded
+    return wide.where(pick).groupBy("doc_id", "toxic").agg(F.min("text").alias("text")).select("text", "toxic")
 
 
 def term_counts(rows: DataFrame) -> DataFrame:

@@ -8,10 +8,10 @@ digit ratio, character entropy, parameter counts, and statistics of the host's
 and the path's suffixes. The trees learn from labelled urls; in the registered
 query those are the urls that a rule decides.
 
-Suffix statistics are block rates per hash bucket of the suffix, counted over
-all labelled urls; there are ``SUFFIX_BUCKETS`` buckets whatever the input, so
-the table of them is broadcast. The trees are fitted on at most about
-``MAX_TRAIN_ROWS`` labelled urls, chosen by a hash of the url.
+Suffix statistics are block rates per suffix itself, counted over all labelled
+urls and joined back; an unlabelled suffix has none (rate 0.5, count 0). Entropy
+counts every character. The trees are fitted on about ``MAX_TRAIN_ROWS`` distinct
+labelled urls, chosen by a hash of the url.
 
 Defined results: a null url, or one without ``://``, has empty host and path
 and no rule; if no labelled url exists, or all have one label, the model's
@@ -21,19 +21,16 @@ alike. Extra columns are kept unless they carry a result's name.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import read_table, scratch
+from .common import read_table, stored
+from .quality import let
 
 MAX_TRAIN_ROWS = 20_000
-SUFFIX_BUCKETS = 1024
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-CHARS = LOWER + "0123456789-._/"
 #: The contract's rules: verdict, host, path.
 RULES = [("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"),
          ("block", "net", "/es/"), ("block", "net", "/fr/")]
@@ -69,12 +66,19 @@ def _count(text: Column, chars: str) -> Column:
 
 
 def _entropy(text: Column) -> Column:
-    n = F.greatest(F.length(text), F.lit(1)).cast("double")
-    terms = []
-    for c in CHARS:
-        p = _count(text, c) / n
-        terms.append(F.when(p > 0, -p * F.log2(p)).otherwise(0.0))
-    return reduce(lambda a, b: a + b, terms)
+    """Bits per character over the text's own characters: sorted, so that each one's
+    run ends where the next character differs."""
+    chars = F.array_sort(F.filter(F.split(text, ""), lambda c: c != ""))
+
+    def of(sorted_chars: Column) -> Column:
+        n = F.size(sorted_chars).cast("double")
+        ends = F.filter(F.transform(sorted_chars, lambda c, i: F.when(
+            ~c.eqNullSafe(F.get(sorted_chars, i + 1)), i + 1).otherwise(0)), lambda e: e > 0)
+        runs = F.transform(ends, lambda e, i: (e - F.coalesce(F.get(ends, i - 1), F.lit(0))).cast("double"))
+        bits = F.aggregate(runs, F.lit(0.0), lambda a, r: a + r * F.log2(r))
+        return F.when(n > 0, F.log2(n) - bits / n).otherwise(0.0)
+
+    return let(chars, of)
 
 
 def _features(urls: DataFrame, url: str) -> tuple[DataFrame, list[str]]:
@@ -90,44 +94,41 @@ def _features(urls: DataFrame, url: str) -> tuple[DataFrame, list[str]]:
         "f_path_entropy": _entropy(path),
         "f_params": F.when(query == "", 0.0).otherwise(_count(query, "&") + 1),
         "f_https": u.startswith("https").cast("double"), "f_fragment": F.contains(u, F.lit("#")).cast("double"),
-        "k_host": F.pmod(F.xxhash64(F.substring_index(host, ".", -1)), F.lit(SUFFIX_BUCKETS)).cast("int"),
-        "k_domain": F.pmod(F.xxhash64(F.substring_index(host, ".", -2)), F.lit(SUFFIX_BUCKETS)).cast("int"),
-        "k_path": F.pmod(F.xxhash64(F.regexp_extract(path, r"(\.[A-Za-z0-9]+|/)$", 1),
-                                    F.regexp_extract(path, r"^/([a-z]{2})/", 1)), F.lit(SUFFIX_BUCKETS)).cast("int"),
+        "k_host": F.substring_index(host, ".", -1), "k_domain": F.substring_index(host, ".", -2),
+        "k_path": F.concat_ws(" ", F.regexp_extract(path, r"(\.[A-Za-z0-9]+|/)$", 1), F.regexp_extract(path, r"^/([a-z]{2})/", 1)),
     }
-    return urls.withColumns({f"_{k}": v for k, v in cols.items()}), [f"_{k}" for k in cols if k[0] == "f"]
+    return urls.withColumns(cols), [k for k in cols if k[0] == "f"]
 
 
 def gbt_verdicts(urls: DataFrame, label: str, url: str = "url", max_train_rows: int = MAX_TRAIN_ROWS,
                  max_iter: int = 12) -> DataFrame:
     """Add ``model_verdict`` (allow or block). ``label`` names a column with
     allow, block or null; rows with a label train the trees."""
-    feats, cols = _features(urls, url)
-    labelled = feats.where(F.col(label).isNotNull()).withColumn("_y", (F.col(label) == "block").cast("double"))
-    n, blocks = labelled.agg(F.count(F.lit(1)), F.sum("_y")).first()
+    # the caller's row travels as one column, so its names meet none of those made here
+    own = urls.select(F.struct(*urls.columns).alias("row"), F.col(url).alias("url"), "host", "path",
+                      (F.col(label) == "block").cast("double").alias("y"))
+    feats, cols = _features(own, "url")
+    labelled = feats.where("y is not null")
+    n, blocks, n_urls = labelled.agg(F.count(F.lit(1)), F.sum("y"), F.approx_count_distinct("url")).first()
     if not n or blocks in (0, n):
         return urls.withColumn("model_verdict", F.lit("block" if n and blocks else "allow"))
-    for key in ("_k_host", "_k_domain", "_k_path"):
-        stats = labelled.groupBy(key).agg(((F.sum("_y") + 1) / (F.count(F.lit(1)) + 2)).alias(f"{key}_rate"),
+    for key in ("k_host", "k_domain", "k_path"):
+        stats = labelled.groupBy(key).agg(((F.sum("y") + 1) / (F.count(F.lit(1)) + 2)).alias(f"{key}_rate"),
                                           F.log1p(F.count(F.lit(1))).alias(f"{key}_n"))
-        stats = F.broadcast(stats)  # at most SUFFIX_BUCKETS rows
+        stats = stored(stats, "url-suffixes")  # a row per suffix: the planner knows its size
         feats = feats.join(stats, key, "left").fillna({f"{key}_rate": 0.5, f"{key}_n": 0.0})
         cols += [f"{key}_rate", f"{key}_n"]
-    vectors = VectorAssembler(inputCols=cols, outputCol="_v")
-    chosen = feats.where(F.col(label).isNotNull()).where(
-        F.pmod(F.xxhash64(url, F.lit("train")), F.lit(1_000_000)) < int(1e6 * min(1.0, max_train_rows / n)))
-    path = scratch(urls.sparkSession, "url-train")
-    (vectors.transform(chosen).select("_v", (F.col(label) == "block").cast("double").alias("_y"))
-     .write.parquet(path))
-    train = urls.sparkSession.read.parquet(path)
-    if train.select("_y").distinct().count() < 2:
+    vectors = VectorAssembler(inputCols=cols, outputCol="v")
+    chosen = feats.where("y is not null").where(
+        F.pmod(F.xxhash64("url", F.lit("train")), F.lit(1_000_000)) < int(1e6 * min(1.0, max_train_rows / max(n_urls, 1))))
+    train = stored(vectors.transform(chosen).select("v", "y").distinct(), "url-train")  # a url that repeats counts once
+    if train.select("y").distinct().count() < 2:
         return urls.withColumn("model_verdict", F.lit("block" if 2 * blocks > n else "allow"))
-    model = GBTClassifier(featuresCol="_v", labelCol="_y", maxIter=max_iter, maxDepth=4, stepSize=0.3,
-                          seed=7, predictionCol="_p", checkpointInterval=-1).fit(train)
-    model = model.setRawPredictionCol("_r").setProbabilityCol("_q")
+    model = GBTClassifier(featuresCol="v", labelCol="y", maxIter=max_iter, maxDepth=4, stepSize=0.3,
+                          seed=7, predictionCol="p", checkpointInterval=-1).fit(train)
+    model = model.setRawPredictionCol("r").setProbabilityCol("q")
     out = model.transform(vectors.transform(feats))
-    out = out.withColumn("model_verdict", F.when(F.col("_p") > 0.5, "block").otherwise("allow"))
-    return out.select(*urls.columns, "model_verdict")
+    return out.select("row.*", F.when(F.col("p") > 0.5, "block").otherwise("allow").alias("model_verdict"))
 
 
 def url_filter(urls: DataFrame, rules=RULES, url: str = "url", max_train_rows: int = MAX_TRAIN_ROWS) -> DataFrame:

@@ -99,6 +99,8 @@ def parse_record(raw: bytes) -> tuple[dict[str, str], bytes]:
     if not sep or not lines[0].startswith("WARC/"):
         raise WarcError("no WARC header")
     fields = {k.strip().lower(): v.strip() for k, _, v in (x.partition(":") for x in lines[1:])}
+    if not fields.get("content-length", "").isdecimal():
+        raise WarcError("no usable Content-Length")
     n = int(fields["content-length"])
     block = rest[:n]
     if len(block) != n or rest[n:] != b"\r\n\r\n":
