@@ -88,8 +88,8 @@ NAMED = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+
 
 #: Pages of one path that are looked at on either side.
 NEAR = 4
-PART_BYTES = 16 << 20
-MAX_PARTS = 4096
+PART_BYTES = 4 << 20
+MAX_PARTS = 1 << 15
 HOT_COPIES = 1000
 
 
