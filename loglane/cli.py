@@ -18,6 +18,8 @@ lines to ``--bootstrap --topic``, or as Parquet records to ``--out DIR``.
 Close: ``close-day --date YYYYMMDD --logs DIR --raw PATH... --table PATH [--table-name T]``
 (exits 1 when the day file is missing) and ``fold-day --date --table``.
 
+Maintain: ``compact-raw --raw PATH [--table PATH] [--target-mb N]`` joins small batch folders.
+
 Report: ``lag-report --records PATH (--checkpoint PATH | --progress PATH) [--topic T]
 [--style app]``: lag per partition of one topic or of all, and totals.
 """
@@ -49,9 +51,14 @@ def _parser() -> argparse.ArgumentParser:
     for p in (c, f):
         p.add_argument("--table", required=True)
         p.add_argument("--table-name", default=None, help="catalog table over that path, created if absent")
+    k = sub.add_parser("compact-raw")
+    k.add_argument("--raw", required=True)
+    k.add_argument("--table", default=None, help="closed table of these rows")
+    k.add_argument("--target-mb", type=int, default=128)
     lg = sub.add_parser("lag-report")
     lg.add_argument("--topic", default=None, help="all topics without it")
-    lg.add_argument("--records", required=True, help="Parquet records with topic, partition, offset")
+    lg.add_argument("--records", default=None, help="Parquet records with topic, partition, offset")
+    lg.add_argument("--bootstrap", default=None, help="read the topic itself instead (needs --topic)")
     group = lg.add_mutually_exclusive_group(required=True)
     group.add_argument("--checkpoint", help="of a consumer of a topic source")
     group.add_argument("--progress", help="what a consumer recorded with --progress")
@@ -206,9 +213,15 @@ def _close(spark, args) -> int:
 
 def _lag(spark, args) -> int:
     from .operators import offsets as off
+    from .sources import kafka
     from .streaming import progress
 
-    records = spark.read.parquet(args.records)
+    if args.records:
+        records = spark.read.parquet(args.records)
+    elif args.bootstrap and args.topic:
+        records = kafka.read_topic_batch(spark, args.bootstrap, args.topic)
+    else:
+        raise SystemExit("name --records, or --bootstrap and --topic")
     if args.topic and records.where(records.topic == args.topic).isEmpty():
         print(f"{args.topic}: no such topic so far")
         return 0
@@ -239,6 +252,11 @@ def main(argv: list[str] | None = None) -> int:
         return _lag(spark, args)
     if args.cmd in PRODUCERS:
         return _produce(spark, args)
+    if args.cmd == "compact-raw":
+        from .plans.compact import compact_raw
+
+        print(f"{compact_raw(spark, args.raw, args.target_mb << 20, args.table)} folder(s) replaced")
+        return 0
     return _supervised(spark, args, (_ingest_files if args.cmd in FILES else _ingest_topic)(spark, args))
 
 

@@ -40,6 +40,7 @@ from ..schemas import ACCESS_LOG
 from ..session import work_path
 from ..sources import fs
 from ..sources.files import read_day_file
+from .compact import live_batches
 
 STORED = StructType([*ACCESS_LOG.fields, StructField("run_id", StringType()), StructField("batch_id", LongType()),
                      StructField("etl_timestamp", TimestampType())])
@@ -80,18 +81,16 @@ def closed_rows(spark: SparkSession, table_path: str, log_dates: list[str] | Non
     return _rows(spark, table_path, [f for d in days for f in _closes(spark, table_path, d)[0]])
 
 
-def new_batches(spark: SparkSession, raw_path: str, log_date: str, have: set[tuple[str, int]]) -> list[str]:
-    """Batch folders of a day under one raw path that are not among ``have``."""
+def new_batches(spark: SparkSession, raw_path: str, log_date: str, have: set[tuple[str, int]]) -> dict[str, set[tuple[str, int]]]:
+    """Batch folders of a day under one raw path that hold batches not among
+    ``have``, and which batches they hold."""
     day = f"{raw_path.rstrip('/')}/log_date={log_date}"
-    out = []
+    out = {}
     for c in fs.children(spark, day):
         if c.startswith("batch_id="):  # a raw path written without run ids
-            out += [f"{day}/{c}"] if ("", int(c.removeprefix("batch_id="))) not in have else []
-        elif c.startswith("run_id="):
-            run = c.removeprefix("run_id=")
-            out += [f"{day}/{c}/{b}" for b in fs.children(spark, f"{day}/{c}")
-                    if b.startswith("batch_id=") and (run, int(b.removeprefix("batch_id="))) not in have]
-    return out
+            out[f"{day}/{c}"] = {("", int(c.removeprefix("batch_id=")))}
+    out |= {b.folder: {(b.run, i) for i in b.ids} for b in live_batches(spark, raw_path, log_date)[0]}
+    return {f: ids for f, ids in out.items() if not ids <= have}
 
 
 def closed_batches(spark: SparkSession, folders: list[str]) -> set[tuple[str, int]]:
@@ -109,13 +108,10 @@ def closed_batches(spark: SparkSession, folders: list[str]) -> set[tuple[str, in
     return have
 
 
-def _batch_of(folder: str) -> tuple[str, int]:
-    run = re.search(r"/run_id=([^/]*)/batch_id=", folder)
-    return run[1] if run else "", int(folder.rpartition("batch_id=")[2])
-
-
-def pending_batches(spark: SparkSession, raw_path: str | list[str], table_path: str, log_date: str) -> dict[str, list[str]]:
-    """Batch folders of one day, by raw path, that the table does not have yet."""
+def pending_batches(spark: SparkSession, raw_path: str | list[str], table_path: str,
+                    log_date: str) -> dict[str, dict[str, set[tuple[str, int]]]]:
+    """Batch folders of one day, by raw path, that the table does not have yet, and
+    the batches in them."""
     have = closed_batches(spark, _closes(spark, table_path, log_date)[0])
     found = {p: new_batches(spark, p, log_date, have) for p in ([raw_path] if isinstance(raw_path, str) else raw_path)}
     return {p: folders for p, folders in found.items() if folders}
@@ -126,7 +122,7 @@ def pending_rows(spark: SparkSession, raw_path: str | list[str], table_path: str
     its number; batches of other days or closed ones are not read."""
     out = None
     for path, folders in pending_batches(spark, raw_path, table_path, log_date).items():
-        rows = _rows(spark, path, folders).select(*STORED.names)
+        rows = _rows(spark, path, list(folders)).select(*STORED.names)
         out = rows if out is None else out.unionByName(rows)
     return out if out is not None else spark.createDataFrame([], STORED)
 
@@ -189,7 +185,7 @@ def close_day(spark: SparkSession, date_compact: str, day_file: str, raw_path: s
         _write_sorted(eod.apply_flags(rows, ips, [log_date]), here)
         after, before = _set_flags(spark.read.schema("flag string").parquet(here)), _set_flags(rows)
         trade, lilo = after[0] - before[0], after[1] - before[1]
-        _list_batches(spark, here, {_batch_of(f) for folders in pending.values() for f in folders})
+        _list_batches(spark, here, {i for folders in pending.values() for ids in folders.values() for i in ids})
         live, old = _closes(spark, table_path, log_date)
         last = max([0, *(_number(f.rpartition("/")[2]) for f in live + old)])
         folder = _publish(spark, here, table_path, log_date, f"close={last + 1:06d}-{run}")

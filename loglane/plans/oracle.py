@@ -351,6 +351,8 @@ SQL["stream_once_per_record"] = f"""
 WITH {EV}, {ACC}
 SELECT * REPLACE ({ONE_DAY}) FROM (SELECT {ACCESS_COLS} FROM acc WHERE NOT long_device)"""
 
+SQL["raw_compacted"] = SQL["stream_once_per_record"]
+
 SQL["stream_login_order"] = SQL["login_event_order"]
 
 SQL["trade_ip_logins_by_month"] = f"""

@@ -564,6 +564,21 @@ def undated_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
                                               F.count_if(F.col("raw").contains("cid:")).alias("whole_lines"))
 
 
+@query("raw_compacted")
+def raw_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A landing folder ingested in many small batches, then compacted: same rows."""
+    from ..streaming import ingest
+    from .compact import compact_raw, raw_rows
+
+    run = _run_dir(spark, "compact")
+    lines = _landed(spark, sf_dir).withColumn("file_name", F.lit(f"trading_{ONE_DAY}.log"))
+    sink = ingest.access_log_sink(f"{run}/raw", f"{run}/rejects")
+    for n in range(6):
+        sink(lines.where(F.col("line_no") % 6 == n).select("file_name", "line"), n)
+    compact_raw(spark, f"{run}/raw")
+    return raw_rows(spark, f"{run}/raw").select(*al.ACCESS_LOG_COLUMNS)
+
+
 #: Queries of a single day take all lines as that day's.
 ONE_DAY = "20310705"
 

@@ -3,20 +3,17 @@
 The filter runs before anything is sent (only login lines go to the trading
 topic), each record is keyed by login so one login's records share a
 partition, and values are the stripped lines. Records are plain
-(key, value) DataFrames; ``sources.kafka`` writes them when the connector
-is installed."""
+(key, value) DataFrames; the command line writes them to a topic (where the
+connector is installed) or to files."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.text import ustrip
 from ..operators import access_log as al
 from ..operators import offsets as off
-from ..sources import kafka
-from ..sources.files import landing_stream
 
 TRADING_TOPIC = "trading-access-logs"
 APP_TOPIC = "app-logs"
@@ -36,19 +33,3 @@ def trading_records(lines: DataFrame, partitions: int | None = None) -> DataFram
 def app_records(lines: DataFrame) -> DataFrame:
     """Every app-log line, stripped, as an unkeyed record."""
     return lines.select(F.lit(None).cast("string").alias("key"), ustrip("line").alias("value"))
-
-
-def start_trading_producer(spark: SparkSession, landing_dir: str, bootstrap: str, checkpoint: str,
-                           topic: str = TRADING_TOPIC, linger_ms: int = 50,
-                           batch_size: int = 65536) -> StreamingQuery:
-    """Stream the landing folder's login lines to the topic (needs the Kafka
-    connector on the classpath)."""
-    recs = trading_records(landing_stream(spark, landing_dir))
-    return kafka.write_topic_stream(recs, bootstrap, topic, checkpoint, linger_ms=linger_ms,
-                                    batch_size=batch_size)
-
-
-def start_app_producer(spark: SparkSession, landing_dir: str, bootstrap: str, checkpoint: str,
-                       topic: str = APP_TOPIC) -> StreamingQuery:
-    recs = app_records(landing_stream(spark, landing_dir))
-    return kafka.write_topic_stream(recs, bootstrap, topic, checkpoint)

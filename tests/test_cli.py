@@ -55,6 +55,10 @@ def test_topic_records_to_closed_table_and_lag(spark, tmp_dir, capsys):
     assert "4 rows set to trade, 10 to lilo" in capsys.readouterr().out
     assert spark.sql("SELECT count_if(flag = 'trade') FROM t_cli_closed").first()[0] == 4
     assert cli.main(["fold-day", *close]) == 0 and "1 close(s)" in capsys.readouterr().out
+    assert cli.main(["compact-raw", "--raw", base + "-raw", "--table", base + "-table"]) == 0
+    assert "0 folder(s)" in capsys.readouterr().out  # the newest batch stays
+    with pytest.raises(SystemExit):
+        cli.main(["lag-report", "--checkpoint", base + "-ck"])
 
 
 def test_app_and_order_records(spark, tmp_dir):

@@ -1,0 +1,104 @@
+"""Compaction of raw batch folders: same rows, few files, replay and close stay right."""
+
+import os
+
+import pytest
+
+from loglane.plans import compact, eod_job
+from loglane.sources import fs
+from loglane.streaming import ingest
+
+from .test_close import DAY, TRADE, _day_file, _lines, _login
+
+ISO = "2031-07-05"
+
+
+def _batches(spark, raw, first, n):
+    sink = ingest.access_log_sink(raw, raw + "-rej")
+    for i in range(first, first + n):
+        sink(_lines(spark, [_login(10 * i + k) for k in range(3)]), i)
+
+
+def _folders(raw):
+    return sorted(os.path.basename(d) for d, _, files in os.walk(os.path.join(raw, f"log_date={ISO}")) if any(f.endswith(".parquet") for f in files))
+
+
+def _cids(df):
+    return sorted(r["cid"] for r in df.select("cid").collect())
+
+
+def test_small_batches_become_one_and_the_newest_stays(spark, tmp_dir):
+    raw = os.path.join(tmp_dir, "raw")
+    _batches(spark, raw, 0, 5)
+    want = _cids(spark.read.parquet(raw))
+    assert compact.compact_raw(spark, raw) == 4
+    assert _folders(raw) == ["batch_id=-4", "batch_id=4"]
+    assert _cids(spark.read.parquet(raw)) == _cids(compact.raw_rows(spark, raw)) == want
+    assert compact.compact_raw(spark, raw) == 0  # nothing more to do
+    ingest.access_log_sink(raw, raw + "-rej")(_lines(spark, [_login(40 + k) for k in range(3)]), 4)  # the newest batch is replayed
+    assert _cids(spark.read.parquet(raw)) == want
+    _batches(spark, raw, 5, 3)
+    assert compact.compact_raw(spark, raw) == 4 and len(_folders(raw)) == 2
+    assert len(_cids(compact.raw_rows(spark, raw))) == 24
+
+
+def test_large_batches_are_left_and_files_keep_near_the_target(spark, tmp_dir):
+    raw = os.path.join(tmp_dir, "raw")
+    sink = ingest.access_log_sink(raw, raw + "-rej")
+    for i in range(4):
+        sink(_lines(spark, [_login(1000 * i + k) for k in range(1 if i == 1 else 400)]).repartition(8), i)
+    sizes = compact.folder_sizes(spark, raw)
+    assert len(sizes) == 4
+    assert compact.compact_raw(spark, raw, target_bytes=min(sizes.values()) * 4) == 0  # one small batch alone
+    assert compact.compact_raw(spark, raw) == 3
+    files = [f for f in os.listdir(os.path.join(raw, f"log_date={ISO}", os.listdir(os.path.join(raw, f"log_date={ISO}"))[0], "batch_id=-3")) if f.endswith(".parquet")]
+    assert len(files) == 1
+
+
+@pytest.mark.parametrize("broken", ["rename", "delete"])
+def test_a_failure_leaves_each_row_once(spark, tmp_dir, monkeypatch, broken):
+    raw = os.path.join(tmp_dir, "raw")
+    _batches(spark, raw, 0, 4)
+    want, real = _cids(spark.read.parquet(raw)), getattr(fs, broken)
+
+    def fail(s, path, *rest):
+        if broken == "rename" or "batch_id=" in path:
+            raise OSError("store is away")
+        return real(s, path, *rest)
+
+    with monkeypatch.context() as m:
+        m.setattr(fs, broken, fail)
+        with pytest.raises(OSError):
+            compact.compact_raw(spark, raw)
+    assert _cids(compact.raw_rows(spark, raw)) == want
+    table, day = os.path.join(tmp_dir, "table"), _day_file(tmp_dir, [TRADE])
+    eod_job.close_day(spark, DAY, day, raw, table)
+    assert _cids(eod_job.closed_rows(spark, table)) == want
+    compact.compact_raw(spark, raw, table_path=table)
+    assert _cids(spark.read.parquet(raw)) == want and len(_folders(raw)) == 2
+
+
+def test_closed_and_pending_batches_stay_apart(spark, tmp_dir):
+    raw, table, day = os.path.join(tmp_dir, "raw"), os.path.join(tmp_dir, "table"), _day_file(tmp_dir, [TRADE])
+    _batches(spark, raw, 0, 3)
+    eod_job.close_day(spark, DAY, day, raw, table)
+    _batches(spark, raw, 3, 3)
+    before = _cids(eod_job.pending_rows(spark, raw, table, ISO))
+    assert compact.compact_raw(spark, raw, table_path=table) == 5
+    assert _cids(eod_job.pending_rows(spark, raw, table, ISO)) == before and len(before) == 9
+    assert eod_job.close_day(spark, DAY, day, raw, table).first()["trade_count"] == 9
+    assert eod_job.pending_rows(spark, raw, table, ISO).count() == 0
+    assert eod_job.close_day(spark, DAY, day, raw, table).first()["trade_count"] == 0
+    assert eod_job.closed_rows(spark, table).count() == 18
+
+
+def test_undated_tables_and_missing_paths(spark, tmp_dir):
+    raw = os.path.join(tmp_dir, "app")
+    sink = ingest.app_log_sink(raw, raw + "-rej")
+    for i in range(4):
+        sink(_lines(spark, [f"2026-01-01 00:00:0{i} | INFO | user_id={i} | status=200"], "app.log"), i)
+    assert compact.compact_raw(spark, raw) == 3
+    assert compact.raw_rows(spark, raw).count() == spark.read.parquet(raw).count() == 4
+    assert compact.compact_raw(spark, raw + "-none") == 0
+    with pytest.raises(FileNotFoundError):
+        compact.raw_rows(spark, raw + "-none")
