@@ -104,3 +104,35 @@ def test_host_path_and_rule_in_sql(spark):
                                    order by length(h || s) desc limit 1) as rule from p""").fetchall()
     got = url_filter.op9_url_filter(spark, sf).select("page_id", "host", "path", "rule").collect()
     assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
+
+
+def test_placement_equals_trying_every_open_bin():
+    """Longest first, each to the bin after which the squared counts per gap sum to least."""
+    r = np.random.default_rng(8)
+    for size, n in ((10, 60), (32, 200), (100, 150)):
+        lengths = r.integers(1, size + 1, n)
+        sequence, offset = packing.pack(lengths, size)
+        bins: dict[int, int] = {}  # bin: gap
+        for i in np.argsort(-lengths, kind="stable").tolist():
+            s = int(lengths[i])
+
+            def squares(b):
+                gaps = [g for k, g in bins.items() if k != b] + [bins[b] - s]
+                return sum(gaps.count(g) ** 2 for g in set(gaps) - {0})
+
+            fit = [b for b, g in bins.items() if g >= s]
+            if fit:
+                best = min(squares(b) for b in fit)
+                assert int(sequence[i]) in fit and squares(int(sequence[i])) == best
+            else:
+                assert int(sequence[i]) not in bins
+                bins[int(sequence[i])] = size
+            b = int(sequence[i])
+            assert offset[i] == size - bins[b]
+            bins[b] -= s
+
+
+def test_very_long_urls(spark):
+    rows = [(1, "http://a.com/" + "x/é%" * 60_000, ), (2, "http://b.net/es/" + "?" * 100_000), (3, "http://" + "h." * 50_000 + "net/fr/")]
+    got = {x["page_id"]: x for x in url_filter.url_filter(spark.createDataFrame(rows, "page_id long, url string")).collect()}
+    assert [got[i]["verdict"] for i in (1, 2, 3)] == ["allow", "block", "block"]
