@@ -18,6 +18,9 @@ lines to ``--bootstrap --topic``, or as Parquet records to ``--out DIR``.
 Close: ``close-day --date YYYYMMDD --logs DIR --raw PATH... --table PATH [--table-name T]``
 (exits 1 when the day file is missing) and ``fold-day --date --table``.
 
+Export: ``export-day --date --table --url JDBC_URL --into schema.table`` appends a closed day to
+a database (needs its driver on the classpath).
+
 Maintain: ``compact-raw --raw PATH [--table PATH] [--target-mb N]`` joins small batch folders.
 
 Report: ``lag-report --records PATH (--checkpoint PATH | --progress PATH) [--topic T]
@@ -51,6 +54,12 @@ def _parser() -> argparse.ArgumentParser:
     for p in (c, f):
         p.add_argument("--table", required=True)
         p.add_argument("--table-name", default=None, help="catalog table over that path, created if absent")
+    x = sub.add_parser("export-day")
+    for name in ("--date", "--table", "--url", "--into"):
+        x.add_argument(name, required=True)
+    x.add_argument("--user", default=None)
+    x.add_argument("--password", default=None)
+    x.add_argument("--driver", default=None)
     k = sub.add_parser("compact-raw")
     k.add_argument("--raw", required=True)
     k.add_argument("--table", default=None, help="closed table of these rows")
@@ -252,6 +261,15 @@ def main(argv: list[str] | None = None) -> int:
         return _lag(spark, args)
     if args.cmd in PRODUCERS:
         return _produce(spark, args)
+    if args.cmd == "export-day":
+        from .functions.dates import iso_from_compact
+        from .plans.eod_job import closed_rows
+        from .schemas import ACCESS_LOG_COLUMNS
+        from .sources import jdbc
+
+        rows = closed_rows(spark, args.table, [iso_from_compact(args.date)]).select(*ACCESS_LOG_COLUMNS, "etl_timestamp")
+        jdbc.jdbc_append(rows, args.url, args.into, user=args.user, password=args.password, driver=args.driver)
+        return 0
     if args.cmd == "compact-raw":
         from .plans.compact import compact_raw
 

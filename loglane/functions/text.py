@@ -35,7 +35,6 @@ def _char_class(chars: str, negate: bool = False) -> str:
 # Regex character classes with the same set (and its complement).
 WS = _char_class(PY_WHITESPACE)
 NON_WS = _char_class(PY_WHITESPACE, negate=True)
-WS_RUN = WS + "+"
 
 
 def col_of(c: str | Column) -> Column:
@@ -47,17 +46,6 @@ def ustrip(c: str | Column) -> Column:
     return F.btrim(col_of(c), F.lit(PY_WHITESPACE))
 
 
-def split_ws(c: str | Column) -> Column:
-    """Python ``s.split()``: split on whitespace runs, no empty pieces.
-
-    Runs are first collapsed to one space by ``regexp_replace`` (pattern
-    compiled once per task), then split on that single character, which
-    needs no regex at all."""
-    s = ustrip(c)
-    return F.when(s == F.lit(""), F.array().cast("array<string>")).otherwise(
-        F.split(F.regexp_replace(s, WS_RUN, " "), " ", -1))
-
-
 def ws_token(c: str | Column, i: int) -> Column:
     """Python ``s.split()[i]`` or NULL when there are not that many tokens."""
     pattern = f"^{WS}*(?:{NON_WS}+{WS}+){{{i}}}({NON_WS}+)"

@@ -55,6 +55,13 @@ def test_topic_records_to_closed_table_and_lag(spark, tmp_dir, capsys):
     assert "4 rows set to trade, 10 to lilo" in capsys.readouterr().out
     assert spark.sql("SELECT count_if(flag = 'trade') FROM t_cli_closed").first()[0] == 4
     assert cli.main(["fold-day", *close]) == 0 and "1 close(s)" in capsys.readouterr().out
+    from loglane.sources import jdbc
+
+    sent = []
+    with pytest.MonkeyPatch.context() as m:  # no driver here: what would be appended
+        m.setattr(jdbc, "jdbc_append", lambda df, url, into, **kw: sent.append((df.count(), df.columns[-1], url, into, kw["user"])))
+        assert cli.main(["export-day", "--date", DAY, "--table", base + "-table", "--url", "jdbc:x", "--into", "s.t", "--user", "u"]) == 0
+    assert sent == [(14, "etl_timestamp", "jdbc:x", "s.t", "u")]
     assert cli.main(["compact-raw", "--raw", base + "-raw", "--table", base + "-table"]) == 0
     assert "0 folder(s)" in capsys.readouterr().out  # the newest batch stays
     with pytest.raises(SystemExit):

@@ -7,7 +7,7 @@ import os
 from pyspark.sql import functions as F
 
 from loglane.functions import dates
-from loglane.functions.text import PY_WHITESPACE, split_ws, ustrip
+from loglane.functions.text import PY_WHITESPACE, ustrip, ws_token
 from loglane.sources import files, jdbc, kafka
 
 
@@ -24,9 +24,9 @@ def test_dates(spark):
 def test_python_whitespace(spark):
     samples = ["  a b  ", " x y\x1c", "\t\n", "", "a​b", " 　q\x85"]
     df = spark.createDataFrame([(s,) for s in samples], "s string")
-    got = df.select(ustrip("s").alias("st"), split_ws("s").alias("sp")).collect()
+    got = df.select(ustrip("s").alias("st"), *[ws_token("s", i).alias(f"t{i}") for i in range(4)]).collect()
     for s, r in zip(samples, got):
-        assert r["st"] == s.strip() and list(r["sp"]) == s.split(), repr(s)
+        assert r["st"] == s.strip() and [r[f"t{i}"] for i in range(4) if r[f"t{i}"] is not None] == s.split(), repr(s)
     assert set(PY_WHITESPACE) == {chr(c) for c in range(0x110000) if chr(c).isspace()}
 
 
