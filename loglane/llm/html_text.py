@@ -441,7 +441,8 @@ def extract_text(pages: DataFrame, part_bytes: int = PART_BYTES, hot_copies: int
                                              ["part", "host", "path", "key", "page_id", "url", "html", "own"])
 
     order = ["part", "host", "path", "key", F.isnull("html")]
-    dealt = rows.mapInArrow(deal, ddl).repartition("part").sortWithinPartitions(*order)
+    # as many partitions as parts: AQE does not join them again to large tasks
+    dealt = rows.mapInArrow(deal, ddl).repartition(max(1, len(parts.starts)), "part").sortWithinPartitions(*order)
 
     def run(hot: bool):
         names = ["key", "host", "path", "page_id", "url", "text"]
