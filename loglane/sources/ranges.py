@@ -21,6 +21,8 @@ from pyspark.sql import functions as F
 BLOCK = 1 << 18
 #: What one task reads of a file.
 RANGE_BYTES = 32 << 20
+#: What opening a file costs, in bytes read in the same time (as Spark's own file sources have it).
+OPEN_BYTES = 4 << 20
 #: The byte-order marks of UTF-16.
 MARKS = {b"\xff\xfe": "UTF-16LE", b"\xfe\xff": "UTF-16BE"}
 
@@ -146,12 +148,30 @@ def read_range(uri: str, size: int, start: int, end: int, encoding: str | None =
         yield from cutter.lines(cutter.line_start(start), cutter.line_start(end))
 
 
+def range_tasks(files: DataFrame, range_bytes: int = RANGE_BYTES) -> int:
+    """How many tasks read ``files`` (path, length): about ``range_bytes`` each, and
+    no fewer than the cores where there are ranges enough."""
+    size = F.col("length").cast("long")
+    ranges = F.ceil(size / range_bytes)
+    cost = size + F.least(F.lit(OPEN_BYTES), F.lit(range_bytes)) * (ranges > 0).cast("int")
+    n, total = files.agg(F.sum(ranges), F.sum(cost)).first()
+    return max(1, min(n or 0, files.sparkSession.sparkContext.defaultParallelism), -(-(total or 0) // range_bytes))
+
+
 def read_ranges(files: DataFrame, encoding: str | None = None, range_bytes: int = RANGE_BYTES) -> DataFrame:
     """(path, line) of whole files, given as (path, length), range by range: a
-    large file is read by many tasks. Batch and streaming."""
+    large file is read by many tasks. Batch and streaming.
+
+    The shuffle that deals ranges to tasks has a number of partitions. Without one
+    adaptive execution goes by its bytes, three short fields a range, and gives one
+    task all lines. A stream's sizes are not known when it is planned; it takes the
+    session's shuffle partitions (``files.landing_lines`` reads a batch of it by its
+    own size)."""
     import pyarrow as pa
 
-    ship_package(files.sparkSession)
+    spark = files.sparkSession
+    ship_package(spark)
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions")) if files.isStreaming else range_tasks(files, range_bytes)
     size = F.col("length").cast("long")
     ranges = files.where(size > 0).select("path", size.alias("length"), F.explode(
         F.sequence(F.lit(0).cast("long"), size - 1, F.lit(range_bytes).cast("long"))).alias("start"))
@@ -163,8 +183,8 @@ def read_ranges(files: DataFrame, encoding: str | None = None, range_bytes: int
                     yield pa.RecordBatch.from_arrays([pa.array([path] * len(lines)), pa.array(lines, pa.string())],
                                                      ["path", "line"])
 
-    # rows of this shuffle are three short fields; it deals ranges to tasks
-    return ranges.repartition("path", "start").mapInArrow(run, "path string, line string")
+    # in turn, so that no task gets many ranges while others get none
+    return ranges.repartition(tasks).mapInArrow(run, "path string, line string")
 
 
 def encodings(files: DataFrame) -> DataFrame:

@@ -155,3 +155,28 @@ def test_a_missing_folder_is_waited_for(spark, tmp_dir):
     with open(os.path.join(logs, "trading_20260318.log"), "w") as fh:
         fh.write("a\n")
     assert _follow(spark, logs, tmp_dir, "w") == [("trading_20260318.log", "a")]
+
+
+def _readers(lines):
+    return {r[0] for r in lines.select(F.spark_partition_id()).distinct().collect()}
+
+
+def test_ranges_are_not_merged_into_one_task(spark, tmp_dir):
+    """Adaptive execution sees three short fields a range and would give one task all lines."""
+    folder, want = _folder(tmp_dir, ["北上 ab"] * 200)
+    listed = files.listed(spark, folder)
+    read = ranges.read_ranges(listed, range_bytes=64)
+    assert read.count() == len(want)
+    assert len(_readers(read)) > 4
+    total = sum(r["length"] for r in listed.collect())
+    assert ranges.range_tasks(listed, 64) >= total // 64  # by bytes, however many cores there are
+    assert ranges.range_tasks(listed) == 3  # a range each: no more tasks than ranges
+    assert ranges.range_tasks(listed.where("length < 0")) == 1
+
+
+def test_a_folder_of_wide_files_is_read_by_several_tasks(spark, tmp_dir):
+    for i in range(6):
+        with open(os.path.join(tmp_dir, f"trading_2026031{i}.log"), "wb") as fh:
+            fh.write(MARKS["UTF-16LE"] + "北上\n".encode("utf-16le") * 50)
+    lines = files.read_lines(spark, tmp_dir)
+    assert lines.count() == 300 and len(_readers(lines)) > 1
