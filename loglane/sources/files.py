@@ -121,6 +121,33 @@ def ensure_folder(spark: SparkSession, path: str) -> str:
     return mkdirs(spark, path)
 
 
+def landing_files(spark: SparkSession, landing_dir: str, max_files_per_trigger: int | None = None,
+                  newer_than_ms: int | None = None, archive_dir: str | None = None) -> DataFrame:
+    """Streaming (path, length) of a landing folder's finished files; no content is
+    read. Options as for ``landing_stream``, which reads their lines."""
+    ensure_folder(spark, landing_dir)
+    r = spark.readStream.format("binaryFile").schema(BINARY_FILE)
+    if max_files_per_trigger:
+        r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    if archive_dir:
+        r = r.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
+    files = r.load(landing_dir).select("path", "length", "modificationTime")
+    if newer_than_ms is not None:
+        files = files.where(F.col("modificationTime") > F.timestamp_millis(F.lit(newer_than_ms)))
+    return files.select("path", "length")
+
+
+def landing_lines(batch: DataFrame) -> DataFrame:
+    """(file_name, line) of one batch of ``landing_files``, by as many tasks as its
+    bytes need. Names and lengths are collected, as the source itself holds them, so
+    the batch's source is run once."""
+    from .ranges import read_ranges
+
+    rows = [tuple(r) for r in batch.select("path", "length").collect()]
+    files = batch.sparkSession.createDataFrame(rows, "path string, length long")
+    return _named(read_ranges(files), F.col("path"))
+
+
 def landing_stream(spark: SparkSession, landing_dir: str, max_files_per_trigger: int | None = None,
                    newer_than_ms: int | None = None, archive_dir: str | None = None) -> DataFrame:
     """Streaming (file_name, line) over a landing folder of finished files.
@@ -132,19 +159,13 @@ def landing_stream(spark: SparkSession, landing_dir: str, max_files_per_trigger:
     moved there once read, which keeps the listing of each trigger short.
 
     The stream carries names and lengths; tasks read byte ranges of the files,
-    each in its own encoding, as ``read_lines`` does."""
+    each in its own encoding, as ``read_lines`` does. A ``foreachBatch`` sink takes
+    ``landing_files`` and ``landing_lines`` instead, whose tasks go by the size of
+    each batch."""
     from .ranges import read_ranges
 
-    ensure_folder(spark, landing_dir)
-    r = spark.readStream.format("binaryFile").schema(BINARY_FILE)
-    if max_files_per_trigger:
-        r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    if archive_dir:
-        r = r.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
-    files = r.load(landing_dir).select("path", "length", "modificationTime")
-    if newer_than_ms is not None:
-        files = files.where(F.col("modificationTime") > F.timestamp_millis(F.lit(newer_than_ms)))
-    return _named(read_ranges(files), F.col("path"))
+    return _named(read_ranges(landing_files(spark, landing_dir, max_files_per_trigger, newer_than_ms, archive_dir)),
+                  F.col("path"))
 
 
 def lines_to_envelope(lines: DataFrame, topic: str | Column | None = None, key: Column | None = None) -> DataFrame:

@@ -38,7 +38,7 @@ from ..functions.text import ustrip
 from ..operators import access_log as al
 from ..operators import app_log as ap
 from ..sources import fs
-from ..sources.files import landing_stream
+from ..sources.files import landing_files, landing_lines, landing_stream  # noqa: F401
 
 MISSING_VALUE = "value is missing or not UTF-8"
 UNDATED = "no date in the file name"
@@ -317,8 +317,8 @@ def ingest_access_log(spark: SparkSession, landing_dir: str, raw_path: str, reje
     ``newer_than_ms`` starts with files changed after that time; ``archive_dir``
     takes files that were read, so the folder's listing stays short."""
     guard_fresh_checkpoint(spark, checkpoint, raw_path, rejects_path)
-    src = landing_stream(spark, landing_dir, max_files_per_trigger, newer_than_ms, archive_dir)
-    return start(src, access_log_sink(raw_path, rejects_path, parser, counters_path=counters_path), checkpoint, trigger)
+    return start_landing(spark, landing_dir, access_log_sink(raw_path, rejects_path, parser, counters_path=counters_path),
+                         checkpoint, trigger, max_files_per_trigger, newer_than_ms, archive_dir)
 
 
 def ingest_app_log(spark: SparkSession, landing_dir: str, raw_path: str, rejects_path: str,
@@ -328,8 +328,17 @@ def ingest_app_log(spark: SparkSession, landing_dir: str, raw_path: str, rejects
     """Application-log lines from a landing folder into ``raw`` and ``rejects``
     (options as for ``ingest_access_log``)."""
     guard_fresh_checkpoint(spark, checkpoint, raw_path, rejects_path)
-    src = landing_stream(spark, landing_dir, max_files_per_trigger, newer_than_ms, archive_dir)
-    return start(src, app_log_sink(raw_path, rejects_path, counters_path), checkpoint, trigger)
+    return start_landing(spark, landing_dir, app_log_sink(raw_path, rejects_path, counters_path),
+                         checkpoint, trigger, max_files_per_trigger, newer_than_ms, archive_dir)
+
+
+def start_landing(spark: SparkSession, landing_dir: str, sink: Callable[[DataFrame, int], None], checkpoint: str,
+                  trigger: str = "availableNow", max_files_per_trigger: int | None = None,
+                  newer_than_ms: int | None = None, archive_dir: str | None = None) -> StreamingQuery:
+    """Start a query over the lines of a landing folder; each batch is read by as
+    many tasks as its bytes need."""
+    files = landing_files(spark, landing_dir, max_files_per_trigger, newer_than_ms, archive_dir)
+    return start(files, lambda batch, batch_id: sink(landing_lines(batch), batch_id), checkpoint, trigger)
 
 
 def progress_rates(query: StreamingQuery) -> list[dict]:

@@ -212,3 +212,21 @@ def test_new_checkpoint_over_existing_output_is_refused(spark, tmp_dir):
     # ... but a fresh one over the same output would restart batch ids at 0
     with pytest.raises(ValueError):
         ingest.ingest_access_log(spark, landing, raw, rej, os.path.join(tmp_dir, "ck2"))
+
+
+def _writers(spark, path):
+    """Numbers of the tasks that wrote the files of a table."""
+    names = spark.read.parquet(path).select(F.input_file_name().alias("f")).distinct().collect()
+    return {os.path.basename(r["f"])[:len("part-00000")] for r in names}
+
+
+def test_an_app_log_batch_is_read_by_several_tasks(spark, tmp_dir):
+    landing, run = os.path.join(tmp_dir, "app"), os.path.join(tmp_dir, "run")
+    os.makedirs(landing)
+    for i in range(12):
+        with open(os.path.join(landing, f"app-{i}.log"), "w") as fh:
+            fh.write(f"2026-03-10 00:00:0{i % 10}.000 | INFO  | user_id={i} | endpoint=/api/x | method=GET | status=200"
+                     " | duration_ms=1 | ip=10.0.0.1\n")
+    ingest.ingest_app_log(spark, landing, run + "/raw", run + "/rej", run + "/ck").awaitTermination()
+    assert sorted(int(r["user_id"]) for r in spark.read.parquet(run + "/raw").collect()) == list(range(12))
+    assert len(_writers(spark, run + "/raw")) > 1
