@@ -132,9 +132,10 @@ def _ingest_files(spark, args):
 
     def start():
         ingest.guard_fresh_checkpoint(spark, args.checkpoint, args.raw, args.rejects)
-        stream = tail_stream(spark, args.landing, "latest" if args.new_only else "earliest") if args.follow else \
-            ingest.landing_stream(spark, args.landing, args.max_files, now_ms, args.archive)
-        return ingest.start(stream, sink, args.checkpoint, args.trigger)
+        if args.follow:
+            return ingest.start(tail_stream(spark, args.landing, "latest" if args.new_only else "earliest"), sink,
+                                args.checkpoint, args.trigger)
+        return ingest.start_landing(spark, args.landing, sink, args.checkpoint, args.trigger, args.max_files, now_ms, args.archive)
     return start
 
 

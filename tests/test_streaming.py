@@ -230,3 +230,19 @@ def test_an_app_log_batch_is_read_by_several_tasks(spark, tmp_dir):
     ingest.ingest_app_log(spark, landing, run + "/raw", run + "/rej", run + "/ck").awaitTermination()
     assert sorted(int(r["user_id"]) for r in spark.read.parquet(run + "/raw").collect()) == list(range(12))
     assert len(_writers(spark, run + "/raw")) > 1
+
+
+def _day_batch(spark, tmp_dir, encodings):
+    landing, run = os.path.join(tmp_dir, "days"), os.path.join(tmp_dir, "run")
+    os.makedirs(landing)
+    for i in range(12):
+        line = f"Q\t4\t3\t00:00:00.000\t5.6.7.8\t'{i}': login (Terminal build 1, cid: c{i}, point: P, ping: 1 ms)\n"
+        with open(os.path.join(landing, f"trading_202603{i + 10}.log"), "w", encoding=encodings[i % len(encodings)]) as fh:
+            fh.write(line)
+    ingest.ingest_access_log(spark, landing, run + "/raw", run + "/rej", run + "/ck").awaitTermination()
+    assert sorted(r["cid"] for r in spark.read.parquet(run + "/raw").collect()) == sorted(f"c{i}" for i in range(12))
+    return _writers(spark, run + "/raw")
+
+
+def test_an_access_log_batch_is_read_by_several_tasks(spark, tmp_dir):
+    assert len(_day_batch(spark, tmp_dir, ["utf-8"])) > 1
