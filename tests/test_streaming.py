@@ -246,3 +246,7 @@ def _day_batch(spark, tmp_dir, encodings):
 
 def test_an_access_log_batch_is_read_by_several_tasks(spark, tmp_dir):
     assert len(_day_batch(spark, tmp_dir, ["utf-8"])) > 1
+
+
+def test_a_batch_of_mixed_encodings_is_read_by_several_tasks(spark, tmp_dir):
+    assert len(_day_batch(spark, tmp_dir, ["utf-8", "utf-16"])) > 1
