@@ -30,6 +30,7 @@ import unicodedata
 from collections import Counter
 from functools import cached_property, lru_cache
 from itertools import chain
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -263,7 +264,8 @@ class Encoder:
             ids[i] = self.lexicon.ids_at(int(places[i]))
         fast = v.merger()
         for i in unseen:
-            ids[i] = fast(words[i]) if fast and not UNSURE.search(words[i]) else v.merge(raw[i])
+            sure = words[i].isascii() or not UNSURE.search(words[i])
+            ids[i] = fast(words[i]) if fast and sure else v.merge(raw[i])
         of, name = v.bytes_of, v.decimal
         return [(name[g[0]], 1, of[g[0]]) if len(g) == 1 else
                 (",".join([name[i] for i in g]), len(g), b"".join([of[i] for i in g])) for g in ids]
@@ -278,15 +280,21 @@ class Encoder:
                 plans.append([w for p in bits for w in ([p] if p == special else split(p))])
             else:
                 plans.append(split(text))
-        words = set(chain.from_iterable(plans))
-        if len(self.known) + len(words) > CACHE_ENTRIES:
-            self.known.clear()
-        if special:
+        if special and special not in self.known:
             self.known[special] = (str(self.vocabulary.specials[special]), 1, special.encode())
-        new = list(words - self.known.keys())
-        self.known.update(zip(new, self.learn(new)))
-        known = self.known.__getitem__
-        return [list(map(known, p)) for p in plans]
+        # one look-up a word; only those not met before are gathered and looked up again
+        known = self.known.get
+        out = [list(map(known, p)) for p in plans]
+        missing = [i for i, got in enumerate(out) if None in got]
+        if missing:
+            new = list({w for i in missing for w, g in zip(plans[i], out[i]) if g is None})
+            learned = dict(zip(new, self.learn(new)))
+            for i in missing:
+                out[i] = [learned[w] if g is None else g for w, g in zip(plans[i], out[i])]
+            if len(self.known) + len(new) > CACHE_ENTRIES:
+                self.known.clear()
+            self.known.update(learned)
+        return out
 
 
 @lru_cache(maxsize=2)
@@ -370,13 +378,13 @@ def encode_decode(docs: DataFrame, vocabulary: str | None = None, size: int = LE
     ddl += ", ids array<int>, decoded string" if with_ids else ""
 
     def run(batches):
-        e = encoder(vocabulary, lexicon)
+        e, name_of, bytes_of = encoder(vocabulary, lexicon), itemgetter(0), itemgetter(2)
         for b in pieces(batches, "text"):
             counts, id_sums, text_sums, ids, decoded = [], [], [], [], []
             for got in e.encode_all([t or "" for t in b.column(1).to_pylist()]):
-                joined = ",".join([g[0] for g in got])
-                back = b"".join([g[2] for g in got]).decode("utf-8", "replace")
-                counts.append(sum([g[1] for g in got]))
+                joined = ",".join(map(name_of, got))
+                back = b"".join(map(bytes_of, got)).decode("utf-8", "replace")
+                counts.append(joined.count(",") + 1 if joined else 0)
                 id_sums.append(hashlib.sha256(joined.encode()).hexdigest())
                 text_sums.append(hashlib.sha256(back.encode()).hexdigest())
                 if with_ids:

@@ -109,3 +109,15 @@ def test_mixed_texts_equal_the_library(library):
     got = bpe.Encoder(bpe.vocabulary_of(bpe.default_vocabulary()), None).encode_all(texts)
     for t, g in zip(texts, got):
         assert [int(i) for x in g if x[0] for i in x[0].split(",")] == encoded(library, t), t
+
+
+def test_words_met_before_are_not_learned_again(monkeypatch):
+    """Of a step only its new words count against the cache."""
+    monkeypatch.setattr(bpe, "CACHE_ENTRIES", 10)
+    e = bpe.Encoder(bpe.vocabulary_of(bpe.default_vocabulary()), None)
+    texts = ["aa bb cc dd", "ee ff gg cc", ""]
+    first, asked, learn = e.encode_all(texts), [], e.learn
+    monkeypatch.setattr(e, "learn", lambda words: asked.extend(words) or learn(words))
+    assert e.encode_all(texts) == first and asked == []
+    more = e.encode_all(["aa hh", " ".join("klmnopqrst"), "aa"])  # beyond the cache: emptied, nothing lost
+    assert [len(x) for x in more] == [2, 10, 1] and more[2] == first[0][:1] and "aa" not in asked
