@@ -250,3 +250,21 @@ def test_an_access_log_batch_is_read_by_several_tasks(spark, tmp_dir):
 
 def test_a_batch_of_mixed_encodings_is_read_by_several_tasks(spark, tmp_dir):
     assert len(_day_batch(spark, tmp_dir, ["utf-8", "utf-16"])) > 1
+
+
+def test_a_task_of_a_mixed_batch_does_not_grow_with_the_batch(spark, tmp_dir):
+    """Opening a file counts 4 MB and a task takes 32 MB: eight small files a task, on average."""
+    landing, run = os.path.join(tmp_dir, "days"), os.path.join(tmp_dir, "run")
+    n = 16 * spark.sparkContext.defaultParallelism
+    for i in range(n):
+        folder = os.path.join(landing, f"file_name=trading_2026031{i % 3}.log")
+        os.makedirs(folder, exist_ok=True)
+        encoding = ["utf-8", "utf-16-le", "utf-16-be"][i % 3]
+        line = f"Q\t4\t3\t00:00:00.000\t5.6.7.8\t'{i}': login (Terminal build 1, cid: c{i}, point: P, ping: 1 ms)\n"
+        with open(os.path.join(folder, f"part-{i}"), "wb") as fh:
+            fh.write((b"" if i % 3 == 0 else "\ufeff".encode(encoding)) + line.encode(encoding))
+    ingest.ingest_access_log(spark, landing, run + "/raw", run + "/rej", run + "/ck").awaitTermination()
+    raw = spark.read.parquet(run + "/raw")
+    assert sorted(r["cid"] for r in raw.collect()) == sorted(f"c{i}" for i in range(n))
+    task = F.regexp_extract(F.input_file_name(), r"/(part-\d{5})[^/]*$", 1)
+    assert raw.groupBy(task.alias("task")).count().agg(F.max("count")).first()[0] < n / 4
